@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from canvass.functions import geo
-from canvass.operators.sizing import broadcast_if_small, row_count_at_most
+from canvass.operators.sizing import broadcast_if_small
 
 _OFFSETS = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]
 _ROUND_MARGIN = 2e-6  # distances are compared after rounding to 6 places
@@ -66,20 +66,30 @@ def edge_for_distance(dist: float, metric: Metric) -> float:
     return min(2.0, 2.0 * math.sin(min(math.pi / 2, ang / 2.0)) * 1.0000001 + 1e-12)
 
 
-def _initial_edge(pois: DataFrame, p_lat: str, p_lng: str, metric: Metric) -> float:
-    """Edge sized so a cell holds about one point of interest (one small aggregate)."""
-    st = pois.agg(F.count(F.lit(1)).alias("n"),
-                  F.min(p_lat).alias("a0"), F.max(p_lat).alias("a1"),
-                  F.min(p_lng).alias("b0"), F.max(p_lng).alias("b1")).first()
+def _poi_stats(pois: DataFrame, p_lat: str, p_lng: str, match: list[str]):
+    """One small aggregate over the point side: count, match groups, extent."""
+    groups = F.count_distinct(*[F.col(c) for c in match]) if match else F.lit(1)
+    return pois.agg(F.count(F.lit(1)).alias("n"), groups.alias("g"),
+                    F.min(p_lat).alias("a0"), F.max(p_lat).alias("a1"),
+                    F.min(p_lng).alias("b0"), F.max(p_lng).alias("b1")).first()
+
+
+def _initial_edge(st) -> float:
+    """Edge sized so a cell holds about one point of interest per match group."""
     if not st or not st["n"]:
         return 2.0
     lat_span = math.radians(max(st["a1"] - st["a0"], 1e-3))
     lng_span = math.radians(max(st["b1"] - st["b0"], 1e-3)) * max(
         math.cos(math.radians(max(abs(st["a0"]), abs(st["a1"])))), 0.05)
-    spacing = math.sqrt(lat_span * lng_span / st["n"])
+    per_group = max(1.0, st["n"] / max(1, st["g"] or 1))
+    spacing = math.sqrt(lat_span * lng_span / per_group)
     return min(2.0, max(2.0 * spacing, 1e-5))
 
 
+# Broadcast the 27x-copied point side only under this many copies.
+BROADCAST_POI_COPIES = 2_000_000
+
+
 def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], poi_id: str,
                     o_lat: str, o_lng: str, p_lat: str, p_lng: str, *,
                     match: list[str] | None = None, metric: Metric = SPHERE_MILES,
@@ -91,6 +101,8 @@ def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], p
     ``match`` columns must be equal on both sides (e.g. county, phase). The
     result holds the origin columns, the point columns and ``dist_col``
     (rounded to ``digits``). Origins with no point of interest give no row.
+    Each pass is checkpointed to the session's checkpoint folder, which cuts
+    the lineage between passes and lets the "anything left?" test read files.
     """
     match = list(match or [])
     o_cols = [c for c in origins.columns]
@@ -100,16 +112,16 @@ def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], p
         raise ValueError(f"origin and poi columns clash: {sorted(clash)}")
     origins = origins.filter(F.col(o_lat).isNotNull() & F.col(o_lng).isNotNull())
     pois = pois.filter(F.col(p_lat).isNotNull() & F.col(p_lng).isNotNull())
-    h = start_edge or _initial_edge(pois, p_lat, p_lng, metric)
-    # Copies of each point per neighbour cell: 27x the (usually small) point side.
-    poi_small = row_count_at_most(pois, 2_000_000 // 27)
+    st = _poi_stats(pois, p_lat, p_lng, match)
+    h = start_edge or _initial_edge(st)
+    poi_small = (st["n"] or 0) * len(_OFFSETS) <= BROADCAST_POI_COPIES
     pending = origins
     results: list[DataFrame] = []
     w = Window.partitionBy(*origin_id)
     while True:
         final = h >= 2.0
         bound = bound_for_edge(h, metric)
-        spread = (pois.withColumn("_cell", F.explode(_neighbour_cells(F.col(p_lat), F.col(p_lng), h))))
+        spread = pois.withColumn("_cell", F.explode(_neighbour_cells(F.col(p_lat), F.col(p_lng), h)))
         spread = F.broadcast(spread) if poi_small else spread
         keyed = pending.withColumn("_cell", _cell(F.col(o_lat), F.col(o_lng), h))
         joined = keyed.join(spread, on=match + ["_cell"], how="left").drop("_cell")
@@ -117,15 +129,14 @@ def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], p
         scored = (joined.withColumn(dist_col, F.when(F.col(poi_id).isNotNull(), d))
                   .withColumn("_dmin", F.min(dist_col).over(w)))
         ok = F.lit(True) if final else (F.col("_dmin") + F.lit(band + _ROUND_MARGIN) < F.lit(bound))
-        scored = scored.withColumn("_ok", ok)
-        done = (scored.filter(F.col("_ok") & (F.col(dist_col) <= F.col("_dmin") + F.lit(band)))
-                .drop("_dmin", "_ok"))
-        results.append(done)
+        scored = (scored.withColumn("_ok", F.coalesce(ok, F.lit(False)))
+                  .filter(~F.col("_ok") | (F.col(dist_col) <= F.col("_dmin") + F.lit(band))))
+        if not final:
+            scored = scored.checkpoint(eager=True)
+        results.append(scored.filter("_ok").drop("_dmin", "_ok"))
         if final:
             break
-        pending = (scored.filter(~F.col("_ok").eqNullSafe(True))
-                   .select(*o_cols).dropDuplicates(origin_id))
-        pending = pending.checkpoint(eager=True)   # cut lineage; reliable folder
+        pending = scored.filter(~F.col("_ok")).select(*o_cols).dropDuplicates(origin_id)
         if pending.isEmpty():
             break
         h = min(2.0, h * 4.0)

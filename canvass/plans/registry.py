@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from canvass.plans import contact_jobs as cj
 from canvass.plans import geo_jobs
 
 REGISTRY = {
@@ -10,4 +11,20 @@ REGISTRY = {
                                    geo_jobs.NEAREST_BY_PHASE_TOLERANCE_SQL),
     "phase_asof": (geo_jobs.phase_asof, geo_jobs.PHASE_ASOF_SQL),
     "radius_events": (geo_jobs.radius_events, geo_jobs.RADIUS_EVENTS_SQL),
+    "merge_contacts": (cj.merge_contacts, cj.MERGE_CONTACTS_SQL),
+    "first_touch": (cj.first_touch, cj.FIRST_TOUCH_SQL),
+    "latest_per_key": (cj.latest_per_key, cj.LATEST_PER_KEY_SQL),
+    "best_record": (cj.best_record, cj.BEST_RECORD_SQL),
+    "last_action_type": (cj.last_action_type, cj.LAST_ACTION_TYPE_SQL),
+    "bulk_loaders": (cj.bulk_loaders, cj.BULK_LOADERS_SQL),
+    "precinct_scores": (cj.precinct_scores, cj.PRECINCT_SCORES_SQL),
+    "membership_flags": (cj.membership_flags, cj.MEMBERSHIP_FLAGS_SQL),
+    "target_universe": (cj.target_universe, cj.TARGET_UNIVERSE_SQL),
+    "anti_subscribed": (cj.anti_subscribed, cj.ANTI_SUBSCRIBED_SQL),
+    "suppress_by_region": (cj.suppress_by_region, cj.SUPPRESS_BY_REGION_SQL),
+    "semi_recent": (cj.semi_recent, cj.SEMI_RECENT_SQL),
+    "phone_class": (cj.phone_class, cj.PHONE_CLASS_SQL),
+    "identity_match": (cj.identity_match, cj.IDENTITY_MATCH_SQL),
+    "union_feeds": (cj.union_feeds_q, cj.UNION_FEEDS_SQL),
+    "distinct_union": (cj.distinct_union, cj.DISTINCT_UNION_SQL),
 }
