@@ -99,3 +99,22 @@ def fallback_lookup(requests: DataFrame, req_key: Column, table: DataFrame, exac
 def tag_lists(keys: DataFrame, scopes: list[str], scope: str) -> DataFrame:
     """Copy a key list once per configured scope (a short constant list)."""
     return keys.withColumn(scope, F.explode(F.array(*[F.lit(s) for s in scopes])))
+
+
+def eligible_or_resubscribe(combined: DataFrame, known: DataFrame, blacklist: DataFrame,
+                            email: str, action_epoch: str) -> DataFrame:
+    """J7 + F2: contacts not already known, plus known ones whose last
+    unsubscribe is older than their latest qualifying action; never a
+    blacklisted one. Both matches use the dotless email key. Emits
+    ``is_resubscribe`` (known side matched) and ``unsub_epoch``."""
+    def key(c):
+        return F.replace(F.trim(F.lower(c)), F.lit("."), F.lit(""))
+    k = known.select(key(F.col("email")).alias("_k"), F.col("email").alias("_known_email"),
+                     "unsub_epoch", "isunsub")
+    b = blacklist.select(key(F.col(blacklist.columns[0])).alias("_k")).distinct()
+    x = combined.withColumn("_k", key(F.col(email)))
+    x = x.join(k, "_k", "left").join(b, "_k", "left_anti")
+    keep = (F.col("_known_email").isNull()
+            | (F.col("isunsub") & F.col("unsub_epoch").isNotNull() & (F.col("unsub_epoch") < F.col(action_epoch))))
+    return (x.filter(keep).withColumn("is_resubscribe", F.col("_known_email").isNotNull())
+            .drop("_k", "_known_email", "isunsub"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from canvass.plans import contact_jobs as cj
+from canvass.plans import event_jobs as ej
 from canvass.plans import geo_jobs
+from canvass.plans import sync_jobs as sj
 
 REGISTRY = {
     "nearest_poi": (geo_jobs.nearest_poi, geo_jobs.NEAREST_POI_SQL),
@@ -27,4 +29,28 @@ REGISTRY = {
     "identity_match": (cj.identity_match, cj.IDENTITY_MATCH_SQL),
     "union_feeds": (cj.union_feeds_q, cj.UNION_FEEDS_SQL),
     "distinct_union": (cj.distinct_union, cj.DISTINCT_UNION_SQL),
+    "resubscribe_filter": (sj.resubscribe_filter, sj.RESUBSCRIBE_FILTER_SQL),
+    "pivot_fields": (sj.pivot_fields, sj.PIVOT_FIELDS_SQL),
+    "field_diff_crm": (sj.field_diff_crm, sj.FIELD_DIFF_CRM_SQL),
+    "field_diff_sms": (sj.field_diff_sms, sj.FIELD_DIFF_SMS_SQL),
+    "time_buckets": (sj.time_buckets, sj.TIME_BUCKETS_SQL),
+    "group_members": (sj.group_members, sj.GROUP_MEMBERS_SQL),
+    "membership_delta": (sj.membership_delta, sj.MEMBERSHIP_DELTA_SQL),
+    "new_groups": (sj.new_groups, sj.NEW_GROUPS_SQL),
+    "cap_per_type": (sj.cap_per_type, sj.CAP_PER_TYPE_SQL),
+    "batches": (sj.batches, sj.BATCHES_SQL),
+    "counts_by": (sj.counts_by, sj.COUNTS_BY_SQL),
+    "donor_rollup": (ej.donor_rollup, ej.DONOR_ROLLUP_SQL),
+    "drop_stale": (ej.drop_stale, ej.DROP_STALE_SQL),
+    "recent_nyc": (ej.recent_nyc, ej.RECENT_NYC_SQL),
+    "send_hours": (ej.send_hours, ej.SEND_HOURS_SQL),
+    "lag_gate": (ej.lag_gate, ej.LAG_GATE_SQL),
+    "local_time": (ej.local_time, ej.LOCAL_TIME_SQL),
+    "latest_kv": (ej.latest_kv, ej.LATEST_KV_SQL),
+    "extract_contacts": (ej.extract_contacts, ej.EXTRACT_CONTACTS_SQL),
+    "inbound_text": (ej.inbound_text, ej.INBOUND_TEXT_SQL),
+    "json_props": (ej.json_props, ej.JSON_PROPS_SQL),
+    "utm_links": (ej.utm_links, ej.UTM_LINKS_SQL),
+    "invite_buttons": (ej.invite_buttons, ej.INVITE_BUTTONS_SQL),
+    "debt_relief": (ej.debt_relief, ej.DEBT_RELIEF_SQL),
 }
