@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +44,27 @@ def _unit_xyz(lat: Column, lng: Column) -> tuple[Column, Column, Column]:
     return F.cos(la) * F.cos(ln), F.cos(la) * F.sin(ln), F.sin(la)
 
 
+def _with_xyz(df: DataFrame, lat: str, lng: str, prefix: str) -> DataFrame:
+    x, y, z = _unit_xyz(F.col(lat), F.col(lng))
+    return df.withColumn(f"{prefix}x", x).withColumn(f"{prefix}y", y).withColumn(f"{prefix}z", z)
+
+
+def _chord2() -> Column:
+    return (F.pow(F.col("_ox") - F.col("_px"), 2) + F.pow(F.col("_oy") - F.col("_py"), 2)
+            + F.pow(F.col("_oz") - F.col("_pz"), 2))
+
+
+def _cell_xyz(prefix: str, h: float) -> Column:
+    return F.struct(F.floor(F.col(f"{prefix}x") / h).alias("cx"), F.floor(F.col(f"{prefix}y") / h).alias("cy"),
+                    F.floor(F.col(f"{prefix}z") / h).alias("cz"))
+
+
+def _neighbours_xyz(prefix: str, h: float) -> Column:
+    bx, by, bz = [F.floor(F.col(f"{prefix}{a}") / h) for a in "xyz"]
+    return F.array(*[F.struct((bx + i).alias("cx"), (by + j).alias("cy"), (bz + k).alias("cz"))
+                     for i, j, k in _OFFSETS])
+
+
 def _cell(lat: Column, lng: Column, h: float) -> Column:
     x, y, z = _unit_xyz(lat, lng)
     return F.struct(F.floor(x / h).alias("cx"), F.floor(y / h).alias("cy"), F.floor(z / h).alias("cz"))
@@ -101,8 +123,9 @@ def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], p
     ``match`` columns must be equal on both sides (e.g. county, phase). The
     result holds the origin columns, the point columns and ``dist_col``
     (rounded to ``digits``). Origins with no point of interest give no row.
-    Each pass is checkpointed to the session's checkpoint folder, which cuts
-    the lineage between passes and lets the "anything left?" test read files.
+    Each pass is persisted (later passes and the result both read it); from
+    the fourth pass on it is checkpointed to the session's checkpoint folder
+    to cut the growing lineage.
     """
     match = list(match or [])
     o_cols = [c for c in origins.columns]
@@ -115,16 +138,24 @@ def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], p
     st = _poi_stats(pois, p_lat, p_lng, match)
     h = start_edge or _initial_edge(st)
     poi_small = (st["n"] or 0) * len(_OFFSETS) <= BROADCAST_POI_COPIES
-    pending = origins
+    # Unit vectors once per row; pairs are first pruned by chord length
+    # (three multiply-adds), the trigonometric distance runs on survivors only.
+    pois = _with_xyz(pois, p_lat, p_lng, "_p")
+    pending = _with_xyz(origins, o_lat, o_lng, "_o")
+    o_cols = o_cols + ["_ox", "_oy", "_oz"]
+    slack = (band + 1e-5) / metric.radius + 1e-12
     results: list[DataFrame] = []
     w = Window.partitionBy(*origin_id)
     while True:
         final = h >= 2.0
         bound = bound_for_edge(h, metric)
-        spread = pois.withColumn("_cell", F.explode(_neighbour_cells(F.col(p_lat), F.col(p_lng), h)))
+        spread = pois.withColumn("_cell", F.explode(_neighbours_xyz("_p", h)))
         spread = F.broadcast(spread) if poi_small else spread
-        keyed = pending.withColumn("_cell", _cell(F.col(o_lat), F.col(o_lng), h))
+        keyed = pending.withColumn("_cell", _cell_xyz("_o", h))
         joined = keyed.join(spread, on=match + ["_cell"], how="left").drop("_cell")
+        joined = (joined.withColumn("_c", F.sqrt(_chord2()))
+                  .withColumn("_cmin", F.min("_c").over(w))
+                  .filter(F.col("_c").isNull() | (F.col("_c") <= F.col("_cmin") + F.lit(slack))))
         d = F.round(metric.fn(F.col(o_lat), F.col(o_lng), F.col(p_lat), F.col(p_lng)), digits)
         scored = (joined.withColumn(dist_col, F.when(F.col(poi_id).isNotNull(), d))
                   .withColumn("_dmin", F.min(dist_col).over(w)))
@@ -132,8 +163,12 @@ def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], p
         scored = (scored.withColumn("_ok", F.coalesce(ok, F.lit(False)))
                   .filter(~F.col("_ok") | (F.col(dist_col) <= F.col("_dmin") + F.lit(band))))
         if not final:
-            scored = scored.checkpoint(eager=True)
-        results.append(scored.filter("_ok").drop("_dmin", "_ok"))
+            # Later passes and the result both read this pass: keep it once.
+            # Past a few passes the lineage is cut with a reliable checkpoint.
+            scored = (scored.checkpoint(eager=True) if len(results) >= 3
+                      else scored.persist(StorageLevel.MEMORY_AND_DISK))
+        results.append(scored.filter("_ok").drop("_dmin", "_ok", "_c", "_cmin",
+                                                 "_ox", "_oy", "_oz", "_px", "_py", "_pz"))
         if final:
             break
         pending = scored.filter(~F.col("_ok")).select(*o_cols).dropDuplicates(origin_id)
@@ -204,12 +239,17 @@ def within_radius(origins: DataFrame, pois: DataFrame, o_lat: str, o_lng: str, p
     equi join whose cell edge covers the radius: exact, no cross product."""
     match = list(match or [])
     h = edge_for_distance(max_dist, metric)
-    spread = pois.withColumn("_cell", F.explode(_neighbour_cells(F.col(p_lat), F.col(p_lng), h)))
+    pois = _with_xyz(pois, p_lat, p_lng, "_p")
+    spread = pois.withColumn("_cell", F.explode(_neighbours_xyz("_p", h)))
     spread = broadcast_if_small(spread, 2_000_000)
-    keyed = origins.withColumn("_cell", _cell(F.col(o_lat), F.col(o_lng), h))
+    keyed = _with_xyz(origins, o_lat, o_lng, "_o").withColumn("_cell", _cell_xyz("_o", h))
+    # chord prefilter (a little slack), then the exact rounded distance
+    reach = 2.0 * math.sin(min(math.pi / 2, max_dist / metric.radius / 2.0)) + 1e-9
     d = F.round(metric.fn(F.col(o_lat), F.col(o_lng), F.col(p_lat), F.col(p_lng)), digits)
     return (keyed.join(spread, on=match + ["_cell"], how="inner").drop("_cell")
-            .withColumn(dist_col, d).filter(F.col(dist_col) <= F.lit(max_dist)))
+            .filter(_chord2() <= F.lit(reach * reach))
+            .withColumn(dist_col, d).filter(F.col(dist_col) <= F.lit(max_dist))
+            .drop("_ox", "_oy", "_oz", "_px", "_py", "_pz"))
 
 
 def top_k_per(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:

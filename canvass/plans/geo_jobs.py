@@ -3,6 +3,7 @@ phase with tolerance, J13 phase mapping, J22 radius search."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,7 +76,10 @@ def nearest_by_phase_tolerance(spark: SparkSession, base: str) -> DataFrame:
     1e-5-mile tolerance preferring the earlier start date, under 500 miles."""
     t = Tables(spark, base)
     days, starts, ends = _phase_bounds(t.orders)
-    phases = assign_phase(days, "ds", starts, ends).select("timeframe_start", "timeframe_end").distinct()
+    # The phase calendar is a small dimension read by several size checks and
+    # joins below: keep it once.
+    phases = (assign_phase(days, "ds", starts, ends).select("timeframe_start", "timeframe_end")
+              .distinct().persist(StorageLevel.MEMORY_AND_DISK))
     sites = d.supplier_sites(t.supplier).select(
         F.col("s_nationkey").alias("county"), "s_suppkey", "s_lat", "s_lng", "start_date", "end_date")
     sp = sites_by_phase(sites, phases)
