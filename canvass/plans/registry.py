@@ -5,6 +5,7 @@ from __future__ import annotations
 from canvass.plans import contact_jobs as cj
 from canvass.plans import event_jobs as ej
 from canvass.plans import geo_jobs
+from canvass.plans import stream_jobs as st
 from canvass.plans import sync_jobs as sj
 
 REGISTRY = {
@@ -53,4 +54,5 @@ REGISTRY = {
     "utm_links": (ej.utm_links, ej.UTM_LINKS_SQL),
     "invite_buttons": (ej.invite_buttons, ej.INVITE_BUTTONS_SQL),
     "debt_relief": (ej.debt_relief, ej.DEBT_RELIEF_SQL),
+    "donor_stream": (st.donor_stream, st.DONOR_STREAM_SQL),
 }
