@@ -283,3 +283,42 @@ SELECT o_orderkey, relief, round(least(relief, debt), 2) AS cancelled,
        cast(round_even(greatest(debt - least(relief, debt), 0), 0) AS bigint) AS remaining
   FROM r
 """
+
+
+# ------------------------------------------------------------------ result report
+def report_brands(n: int = 13) -> list[str]:
+    """Binding's main-candidate list: the first ``n`` brands by name (rule-built)."""
+    return sorted(f"Brand#{a}{b}" for a in range(1, 6) for b in range(1, 6))[:n]
+
+
+def order_results(spark: SparkSession, base: str) -> DataFrame:
+    """Orders as result events: one result per line (brand, quantity, line
+    number, tie partner, won when returned). Lines per order are few, so the
+    per-order array is small; it is sorted to make the input order stable."""
+    t = Tables(spark, base)
+    li = t.lineitem.join(t.part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    entry = F.struct(F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("pk"),
+                     F.col("l_extendedprice").alias("px"),
+                     F.struct(F.col("p_brand").alias("name"), F.col("l_quantity").cast("long").alias("caucusers"),
+                              F.col("l_linenumber").cast("long").alias("delegates"),
+                              F.array(F.concat(F.lit("Brand#"), (F.col("l_suppkey") % 5 + 1).cast("string"),
+                                               F.lit("1"))).alias("ties"),
+                              F.when(F.col("l_returnflag") == "R", F.lit("won")).alias("tieStatus")).alias("r"))
+    per_order = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("_rs"))
+    o = t.orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("string").alias("precinct_id"),
+        d.customer_phone(F.col("o_custkey")).alias("phone_number"),
+        F.when(F.col("o_orderstatus") == "F", "alignment").when(F.col("o_orderstatus") == "O", "realignment")
+         .otherwise("final").alias("event_type"),
+        F.col("o_orderdate").alias("created_at"), F.col("o_orderpriority").alias("notes"),
+        F.lit(None).cast("string").alias("media_url"),
+        F.when(F.col("o_orderstatus") != "P", F.size(F.coalesce("_rs", F.array()))).alias("attendee_count"),
+        F.transform("_rs", lambda x: x["r"]).alias("results"))
+
+
+def result_report(spark: SparkSession, base: str) -> DataFrame:
+    """AR1 + O2 + O3 + X11 over orders; one 59-cell row per order."""
+    from canvass.operators.report import result_report as rr
+    r = rr(order_results(spark, base), main=report_brands())
+    return r.select("id", *[F.col("cells")[i].alias(f"c{i + 1:02d}") for i in range(59)])

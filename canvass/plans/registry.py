@@ -55,4 +55,6 @@ REGISTRY = {
     "invite_buttons": (ej.invite_buttons, ej.INVITE_BUTTONS_SQL),
     "debt_relief": (ej.debt_relief, ej.DEBT_RELIEF_SQL),
     "donor_stream": (st.donor_stream, st.DONOR_STREAM_SQL),
+    # No SQL twin: checked against a plain-Python reading on a fixture (tests).
+    "result_report": (ej.result_report, None),
 }

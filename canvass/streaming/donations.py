@@ -66,13 +66,16 @@ def read_donations(spark: SparkSession, path: str, streaming: bool = True,
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(path)
-    return raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), raw.filter(F.col(CORRUPT).isNotNull())
+    # Rejects keep their raw text plus context columns (a scan may not read
+    # the corrupt-record column alone).
+    bad = raw.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, "arrival", "received_at")
+    return raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
 
 
 def flatten_donation(events: DataFrame) -> DataFrame:
     """One row per event: last line item's amount and paid time; the paid
     time's own calendar date (offset-local, from the text) for badges."""
-    last = F.element_at("lineitems", -1)
+    last = F.try_element_at(F.col("lineitems"), F.lit(-1))
     paid_txt = last["paidAt"]
     return events.select(
         "arrival", "received_at",
@@ -126,8 +129,13 @@ def _donor_handler(salt: str, debate_days: list[str]):
                 None, None, 0.0, None, None, None, None, None, 0, 0)
             badge_set = set()
         changed = False
-        for pdf in batches:
-            for r in pdf.sort_values("arrival", kind="stable").itertuples(index=False):
+        # Arrival order decides which events count, and a key's rows may come
+        # in several chunks: order the key's rows of this micro-batch (bounded
+        # by the trigger size, e.g. maxFilesPerTrigger) before applying them.
+        chunks = [pdf for pdf in batches if len(pdf)]
+        rows = pd.concat(chunks, ignore_index=True) if chunks else None
+        if rows is not None:
+            for r in rows.sort_values("arrival", kind="stable").itertuples(index=False):
                 paid = r.paid_at
                 if paid is None or pd.isna(paid):
                     continue
