@@ -40,8 +40,15 @@ def local_date(ts, tz: str = NEW_YORK) -> Column:
 
 
 def recent(ts, as_of: str, days: int, tz: str = NEW_YORK) -> Column:
-    """at most ``days`` calendar days before ``as_of`` in zone ``tz``."""
-    return F.datediff(local_date(F.lit(as_of).cast("timestamp"), tz), local_date(ts, tz)) <= days
+    """at most ``days`` calendar days before ``as_of`` in zone ``tz``.
+
+    The extra UTC lower bound (``days + 2`` days before ``as_of``, wider than
+    any zone offset or DST shift) changes nothing but can be pushed to the scan.
+    """
+    t = _c(ts)
+    as_of_ts = F.lit(as_of).cast("timestamp")
+    lower = as_of_ts - F.make_dt_interval(F.lit(days + 2))
+    return (t >= lower) & (F.datediff(local_date(as_of_ts, tz), local_date(t, tz)) <= days)
 
 
 def before_ds(ts, ds: str, tz: str = NEW_YORK) -> Column:

@@ -322,3 +322,18 @@ def result_report(spark: SparkSession, base: str) -> DataFrame:
     from canvass.operators.report import result_report as rr
     r = rr(order_results(spark, base), main=report_brands())
     return r.select("id", *[F.col("cells")[i].alias(f"c{i + 1:02d}") for i in range(59)])
+
+
+# ------------------------------------------------------------------ dialogue
+def dialogue_replay(spark: SparkSession, base: str) -> DataFrame:
+    """ST7: referral dialogue replayed over every inbound (user) message of
+    every conversation, in turn order; one reply per message."""
+    from canvass.operators.dialogue import dialogue_replay as replay
+    cv = Tables(spark, base).conversations.filter(F.col("role") == "user")
+    return replay(cv, "conv_id", "turn", "text")
+
+
+def referrals(spark: SparkSession, base: str) -> DataFrame:
+    """ST9: referral records (get-or-create on referee phone x referrer)."""
+    from canvass.operators.dialogue import referrals as refs
+    return refs(dialogue_replay(spark, base))

@@ -57,4 +57,7 @@ REGISTRY = {
     "donor_stream": (st.donor_stream, st.DONOR_STREAM_SQL),
     # No SQL twin: checked against a plain-Python reading on a fixture (tests).
     "result_report": (ej.result_report, None),
+    # State machines: no SQL form; tests replay a scripted transcript.
+    "dialogue_replay": (ej.dialogue_replay, None),
+    "referrals": (ej.referrals, None),
 }
