@@ -74,6 +74,16 @@ SELECT strftime(ds, '%Y-%m-%d') AS ds, strftime(timeframe_start, '%Y-%m-%d') AS
 def nearest_by_phase_tolerance(spark: SparkSession, base: str) -> DataFrame:
     """P1 core: per (phase, customer) the nearest open site in the same nation,
     1e-5-mile tolerance preferring the earlier start date, under 500 miles."""
+    res = nearest_sites(spark, base)
+    return res.select(F.date_format("timeframe_start", "yyyy-MM-dd").alias("timeframe_start"),
+                      F.date_format("timeframe_end", "yyyy-MM-dd").alias("timeframe_end"),
+                      "c_custkey", "site_id",
+                      F.date_format("start_date", "yyyy-MM-dd").alias("start_date"),
+                      "distance_to_site")
+
+
+def nearest_sites(spark: SparkSession, base: str) -> DataFrame:
+    """Typed form of ``nearest_by_phase_tolerance`` (dates stay dates)."""
     t = Tables(spark, base)
     days, starts, ends = _phase_bounds(t.orders)
     # The phase calendar is a small dimension read by several size checks and
@@ -95,10 +105,7 @@ def nearest_by_phase_tolerance(spark: SparkSession, base: str) -> DataFrame:
         "c_lat", "c_lng", "s_lat", "s_lng", "start_date",
         match=["county", "timeframe_start", "timeframe_end"], metric=nn.COSINE_MILES,
         eps=1e-5, cap=500.0, dist_col="distance_to_site")
-    return res.select(F.date_format("timeframe_start", "yyyy-MM-dd").alias("timeframe_start"),
-                      F.date_format("timeframe_end", "yyyy-MM-dd").alias("timeframe_end"),
-                      "c_custkey", "site_id",
-                      F.date_format("start_date", "yyyy-MM-dd").alias("start_date"),
+    return res.select("timeframe_start", "timeframe_end", "c_custkey", "site_id", "start_date",
                       "distance_to_site")
 
 

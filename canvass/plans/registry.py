@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from canvass.plans import contact_jobs as cj
 from canvass.plans import event_jobs as ej
+from canvass.plans import export_jobs as xj
 from canvass.plans import geo_jobs
 from canvass.plans import stream_jobs as st
 from canvass.plans import sync_jobs as sj
@@ -55,6 +56,13 @@ REGISTRY = {
     "invite_buttons": (ej.invite_buttons, ej.INVITE_BUTTONS_SQL),
     "debt_relief": (ej.debt_relief, ej.DEBT_RELIEF_SQL),
     "donor_stream": (st.donor_stream, st.DONOR_STREAM_SQL),
+    "event_signups": (xj.event_signups, xj.EVENT_SIGNUPS_SQL),
+    "invite_export": (xj.invite_export, xj.INVITE_EXPORT_SQL),
+    "config_groups": (xj.config_groups, xj.CONFIG_GROUPS_SQL),
+    "email_validation": (xj.email_validation, xj.EMAIL_VALIDATION_SQL),
+    "donor_lookup": (xj.donor_lookup, xj.DONOR_LOOKUP_SQL),
+    "merge_props": (xj.merge_props, xj.MERGE_PROPS_SQL),
+    "day_matched": (xj.day_matched, xj.DAY_MATCHED_SQL),
     # No SQL twin: checked against a plain-Python reading on a fixture (tests).
     "result_report": (ej.result_report, None),
     # State machines: no SQL form; tests replay a scripted transcript.
