@@ -72,10 +72,11 @@ def zip5(c) -> Column:
 def extract_phone(c) -> Column:
     """First US number in free text as ``1`` + 10 digits; null if none
     (so 9-digit strings give null)."""
-    t = _c(c)
-    parts = [F.regexp_extract(t, PHONE_IN_TEXT, i) for i in (3, 4, 5)]
-    found = F.concat(F.lit("1"), *parts)
-    return F.when(parts[0] != "", found)
+    # One scan of the (possibly long) text; the digits are then taken from
+    # the short match. Only the optional leading 1 precedes the ten digits.
+    hit = F.regexp_extract(_c(c), PHONE_IN_TEXT, 0)
+    digits = F.regexp_replace(hit, "[^0-9]", "")
+    return F.when(hit != "", F.concat(F.lit("1"), F.right(digits, F.lit(10))))
 
 
 def extract_postal_code(c) -> Column:

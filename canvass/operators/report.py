@@ -35,20 +35,11 @@ def event_id(phone: Column, precinct: Column, created_at: Column) -> Column:
     return F.concat_ws("|", phone, precinct, F.unix_millis(created_at).cast("string"))
 
 
-def report_cells(results: Column, event_type: Column, meta: list[Column],
-                 main: list[str] = MAIN_CANDIDATES) -> Column:
-    """Array of text cells for one event (see module docstring)."""
-    res = F.coalesce(results, F.array())
+def _stage_arrays(df: DataFrame, results: str, main: list[str]) -> DataFrame:
+    """Sorted write-ins and ties, computed once per row as columns (cells
+    below refer to them, so they are not rebuilt for every cell)."""
+    res = F.coalesce(F.col(results), F.array())
     mains = F.array(*[F.lit(m) for m in main])
-    zero_default = event_type.isin(ZERO_DEFAULT_EVENTS)
-    cells: list[Column] = list(meta)
-
-    for name in main:
-        hit = F.try_element_at(F.filter(res, lambda r: r["name"] == F.lit(name)), F.lit(-1))
-        for f in ("caucusers", "delegates"):
-            cells.append(F.when(hit.isNotNull(), hit[f]).when(zero_default, F.lit(0)))
-
-    # write-ins with their input position, sorted by votes desc (stable)
     w = F.filter(F.transform(res, lambda r, i: F.struct(r["name"].alias("name"), r["caucusers"].alias("c"),
                                                         r["delegates"].alias("d"), i.alias("i"))),
                  lambda r: ~F.array_contains(mains, r["name"]))
@@ -56,31 +47,46 @@ def report_cells(results: Column, event_type: Column, meta: list[Column],
                             .otherwise(_cmp(a["i"], b["i"])))
     ranked = F.transform(by_votes, lambda r, j: F.struct(r["name"].alias("name"), r["c"].alias("c"),
                                                          r["d"].alias("d"), j.alias("j")))
-    top = F.array_sort(F.slice(ranked, 1, TOP_WRITE_INS),
+    won = F.filter(res, lambda r: r["tieStatus"] == F.lit("won"))
+    keyed = F.transform(won, lambda r: F.struct(
+        F.array_join(F.array_sort(F.concat(F.array(r["name"]), F.coalesce(r["ties"], F.array().cast("array<string>")))),
+                     " ").alias("k"), r["name"].alias("n")))
+    # name -> (votes, delegates); a repeated name keeps its last entry
+    # (the session's LAST_WIN map-key policy), like a dict update.
+    by_name = F.map_from_entries(F.transform(res, lambda r: F.struct(
+        r["name"], F.struct(r["caucusers"].alias("c"), r["delegates"].alias("d")))))
+    x = (df.withColumn("_res", res).withColumn("_main", by_name)
+         .withColumn("_ranked", ranked).withColumn("_keyed", keyed))
+    top = F.array_sort(F.slice("_ranked", 1, TOP_WRITE_INS),
                        lambda a, b: F.when(a["name"] < b["name"], -1).when(a["name"] > b["name"], 1)
                        .otherwise(_cmp(a["j"], b["j"])))
-    for k in range(1, TOP_WRITE_INS + 1):
-        e = F.get(top, k - 1)
+    keys = F.array_distinct(F.transform("_keyed", lambda t: t["k"]))
+    ties = F.array_sort(F.transform(keys, lambda k: F.struct(k.alias("k"), F.array_join(F.array_sort(F.array_distinct(
+        F.transform(F.filter("_keyed", lambda t: t["k"] == k), lambda t: t["n"]))), " ").alias("v"))))
+    return (x.withColumn("_top", top).withColumn("_over", F.slice("_ranked", TOP_WRITE_INS + 1, 1 << 20))
+            .withColumn("_ties", ties))
+
+
+def _cells(event_type: Column, meta: list[Column], main: list[str]) -> Column:
+    zero_default = event_type.isin(ZERO_DEFAULT_EVENTS)
+    cells: list[Column] = list(meta)
+    for name in main:
+        hit = F.try_element_at(F.col("_main"), F.lit(name))
+        for f in ("c", "d"):
+            cells.append(F.when(hit.isNotNull(), hit[f]).when(zero_default, F.lit(0)))
+    for k in range(TOP_WRITE_INS):
+        e = F.get(F.col("_top"), k)
         cells += [e["name"], e["c"], e["d"]]
-    over = F.slice(ranked, TOP_WRITE_INS + 1, 1 << 20)
+    over = F.col("_over")
     has_over = F.size(over) > 0
     cells.append(F.when(has_over, F.array_join(F.transform(over, lambda r: F.concat(
         r["name"], F.lit(": "), r["c"].cast("string"), F.lit(" -> "), r["d"].cast("string"))), "; ")))
     cells.append(F.when(has_over, F.aggregate(over, F.lit(0).cast("long"), lambda acc, r: acc + r["c"])))
     cells.append(F.when(has_over, F.aggregate(over, F.lit(0).cast("long"), lambda acc, r: acc + r["d"])))
-
-    # ties: key = sorted [name, *ties]; value = sorted distinct winners per key
-    won = F.filter(res, lambda r: r["tieStatus"] == F.lit("won"))
-    keyed = F.transform(won, lambda r: F.struct(
-        F.array_join(F.array_sort(F.concat(F.array(r["name"]), F.coalesce(r["ties"], F.array().cast("array<string>")))),
-                     " ").alias("k"), r["name"].alias("n")))
-    keys = F.array_distinct(F.transform(keyed, lambda x: x["k"]))
-    ties = F.array_sort(F.transform(keys, lambda k: F.struct(k.alias("k"), F.array_join(F.array_sort(F.array_distinct(
-        F.transform(F.filter(keyed, lambda x: x["k"] == k), lambda x: x["n"]))), " ").alias("v"))))
-    for k in range(1, TOP_TIES + 1):
-        e = F.get(ties, k - 1)
+    for k in range(TOP_TIES):
+        e = F.get(F.col("_ties"), k)
         cells += [e["k"], e["v"]]
-    tover = F.slice(ties, TOP_TIES + 1, 1 << 20)
+    tover = F.slice("_ties", TOP_TIES + 1, 1 << 20)
     cells.append(F.when(F.size(tover) > 0, F.array_join(
         F.transform(tover, lambda t: F.concat(t["k"], F.lit(": "), t["v"])), "; ")))
     return F.array(*[F.coalesce(c.cast("string"), F.lit("")) for c in cells])
@@ -88,7 +94,8 @@ def report_cells(results: Column, event_type: Column, meta: list[Column],
 
 def result_report(events: DataFrame, main: list[str] = MAIN_CANDIDATES, media_url: str = "media_url") -> DataFrame:
     """AR1: one 59-cell report row per result event."""
+    staged = _stage_arrays(events, "results", main)
     meta = [F.col("id"), F.col("precinct_id"), F.col("phone_number"), F.col("event_type"),
             report_time(F.col("created_at")), F.col("notes"), F.col(media_url),
             F.coalesce(F.col("attendee_count"), F.lit(0))]
-    return events.select("id", report_cells(F.col("results"), F.col("event_type"), meta, main).alias("cells"))
+    return staged.select("id", _cells(F.col("event_type"), meta, main).alias("cells"))

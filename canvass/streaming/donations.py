@@ -14,10 +14,9 @@
 
 from __future__ import annotations
 
-import base64
-import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +25,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from canvass.functions import contacts as C
 from canvass.functions import timefmt as TF
-from canvass.operators.donors import (BADGE_DEBATE, BADGE_EOM, BADGE_EOQ, BADGE_RECURRING, DEBATE_DAYS,
-                                      DONOR_ID_LENGTH)
+from canvass.operators.donors import DEBATE_DAYS, badges, donor_id
 
 _S, _B, _I, _L, _D = T.StringType(), T.BooleanType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
@@ -90,86 +88,70 @@ def flatten_donation(events: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- ST1 / ST2
+# The state handler only folds numbers and strings; ids, dates and badges
+# are computed by JVM expressions before and after it.
+FOLD_OUT = _st(("email", _S), ("total_donation_amount", _D), ("last_donation_amount", _D),
+               ("last_paid_us", _L), ("firstname", _S), ("lastname", _S), ("city", _S), ("badges", _S),
+               ("n_donations", _L), ("version", _L))
+FOLD_STATE = _st(("last_paid_us", _L), ("total", _D), ("last_amount", _D), ("firstname", _S),
+                 ("lastname", _S), ("city", _S), ("badges", _S), ("n", _L), ("version", _L))
 DONOR_OUT = _st(("email", _S), ("donor_id", _S), ("total_donation_amount", _D), ("last_donation_amount", _D),
                 ("last_donation_ts", T.TimestampType()), ("last_donation_dt", _S), ("firstname", _S),
                 ("lastname", _S), ("city", _S), ("badges", _S), ("n_donations", _L), ("version", _L))
-DONOR_STATE = _st(("last_ts", T.TimestampType()), ("donor_id", _S), ("total", _D), ("last_amount", _D),
-                  ("last_dt", _S), ("firstname", _S), ("lastname", _S), ("city", _S), ("badges", _S),
-                  ("n", _L), ("version", _L))
-
-
-def _donor_id(email: str, salt: str) -> str:
-    digest = hashlib.md5((salt + email).encode("utf-8")).digest()
-    return base64.urlsafe_b64encode(digest).decode("ascii")[:DONOR_ID_LENGTH]
-
-
-def _badges(day: str, recurring: bool, debate_days: frozenset[str]) -> set[str]:
-    out = set()
-    if day and len(day) == 10:
-        d, m = int(day[8:10]), int(day[5:7])
-        if d >= 26:
-            out.add(BADGE_EOQ if m % 3 == 0 else BADGE_EOM)
-        if day in debate_days:
-            out.add(BADGE_DEBATE)
-    if recurring:
-        out.add(BADGE_RECURRING)
-    return out
-
-
-def _donor_handler(salt: str, debate_days: list[str]):
-    debate = frozenset(debate_days)
-
-    def handle(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        email = key[0]
-        if state.exists:
-            (last_ts, did, total, last_amount, last_dt, fn, ln, city, badges, n, version) = state.get
-            badge_set = set(badges.split(",")) if badges else set()
-        else:
-            last_ts, did, total, last_amount, last_dt, fn, ln, city, n, version = (
-                None, None, 0.0, None, None, None, None, None, 0, 0)
-            badge_set = set()
-        changed = False
-        # Arrival order decides which events count, and a key's rows may come
-        # in several chunks: order the key's rows of this micro-batch (bounded
-        # by the trigger size, e.g. maxFilesPerTrigger) before applying them.
-        chunks = [pdf for pdf in batches if len(pdf)]
-        rows = pd.concat(chunks, ignore_index=True) if chunks else None
-        if rows is not None:
-            for r in rows.sort_values("arrival", kind="stable").itertuples(index=False):
-                paid = r.paid_at
-                if paid is None or pd.isna(paid):
-                    continue
-                if last_ts is not None and paid <= last_ts:
-                    continue                      # late or repeated notification
-                if did is None:
-                    did = _donor_id(email, salt)
-                fn, ln, city = r.firstname, r.lastname, r.city
-                badge_set |= _badges(r.paid_local_day, bool(r.is_recurring), debate)
-                last_ts = paid
-                last_dt = (pd.Timestamp(paid).tz_localize("UTC").tz_convert("America/New_York")
-                           .strftime("%Y-%m-%d"))
-                last_amount = float(r.amount) if r.amount is not None and not pd.isna(r.amount) else 0.0
-                total += last_amount
-                n += 1
-                changed = True
-        if changed:
-            version += 1
-            badges = ",".join(sorted(badge_set))
-            state.update((last_ts, did, total, last_amount, last_dt, fn, ln, city, badges, n, version))
-            yield pd.DataFrame([{
-                "email": email, "donor_id": did, "total_donation_amount": total,
-                "last_donation_amount": last_amount, "last_donation_ts": last_ts, "last_donation_dt": last_dt,
-                "firstname": fn, "lastname": ln, "city": city, "badges": badges, "n_donations": n,
-                "version": version}])
-    return handle
+
+
+def _fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    frames = [b for b in batches if len(b)]
+    if not frames:
+        return
+    pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    if state.exists:
+        last, total, last_amount, fn, ln, city, badges, n, version = state.get
+    else:
+        last, total, last_amount, fn, ln, city, badges, n, version = (None, 0.0, None, None, None, None, "", 0, 0)
+    # Arrival order decides which events count; a key's rows may come in
+    # several chunks, so order this micro-batch's rows (bounded by the trigger).
+    order = np.argsort(pdf["arrival"].to_numpy(), kind="stable")
+    paid = pdf["paid_us"].to_numpy(dtype=np.int64)[order]
+    floor = np.iinfo(np.int64).min if last is None else int(last)
+    prev = np.maximum.accumulate(np.concatenate(([floor], paid[:-1])))
+    ok = paid > prev            # later than every earlier arrival (and the state)
+    if not ok.any():
+        return
+    idx = order[ok]
+    amounts = np.nan_to_num(pdf["amount"].to_numpy(dtype=float)[idx])
+    total = float(total) + float(amounts.sum())
+    n = int(n) + int(ok.sum())
+    lastrow = pdf.iloc[idx[-1]]
+    last, last_amount = int(paid[ok][-1]), float(amounts[-1])
+    fn, ln, city = lastrow["firstname"], lastrow["lastname"], lastrow["city"]
+    got = set(filter(None, (badges or "").split(",")))
+    for b in pdf["badges"].to_numpy()[idx]:
+        if b:
+            got.update(b.split(","))
+    badges = ",".join(sorted(got))
+    version = int(version) + 1
+    state.update((last, total, last_amount, fn, ln, city, badges, n, version))
+    yield pd.DataFrame({"email": [key[0]], "total_donation_amount": [total], "last_donation_amount": [last_amount],
+                        "last_paid_us": [last], "firstname": [fn], "lastname": [ln], "city": [city],
+                        "badges": [badges], "n_donations": [n], "version": [version]})
 
 
 def donor_stream(flat: DataFrame, salt: str, debate_days: list[str] = DEBATE_DAYS) -> DataFrame:
     """ST1 + ST2: donor state keyed by the email exactly as received. Emits
     the donor's new state (with a ``version``) whenever an event is accepted."""
-    ok = flat.filter(F.col("email").isNotNull() & (F.col("email") != ""))
-    return ok.groupBy("email").applyInPandasWithState(
-        _donor_handler(salt, debate_days), DONOR_OUT, DONOR_STATE, "append", GroupStateTimeout.NoTimeout)
+    day = F.to_date(F.col("paid_local_day"))
+    ok = (flat.filter(F.col("email").isNotNull() & (F.col("email") != "") & F.col("paid_at").isNotNull())
+          .select("email", "arrival", F.unix_micros("paid_at").alias("paid_us"), "amount",
+                  "firstname", "lastname", "city",
+                  F.array_join(badges(day, F.col("is_recurring"), debate_days), ",").alias("badges")))
+    folded = ok.groupBy("email").applyInPandasWithState(_fold, FOLD_OUT, FOLD_STATE, "append",
+                                                        GroupStateTimeout.NoTimeout)
+    ts = F.timestamp_micros("last_paid_us")
+    return folded.select("email", donor_id(F.col("email"), salt).alias("donor_id"), "total_donation_amount",
+                         "last_donation_amount", ts.alias("last_donation_ts"),
+                         TF.eastern_date(ts).alias("last_donation_dt"), "firstname", "lastname", "city",
+                         "badges", "n_donations", "version")
 
 
 def latest_state(updates: DataFrame) -> DataFrame:
