@@ -101,3 +101,38 @@ def flatten_profiles(df: DataFrame, profile: str = "profile") -> DataFrame:
         F.map_from_entries(F.transform(cols, lambda c: F.struct(c["name"], c["value"]))).alias("custom_columns"),
         newest_first.alias("messages"),
         F.get(newest_first, 0).alias("last_message"))
+
+
+def format_events(response: DataFrame, utm_source: str | None = None,
+                  sponsor_whitelist: list[int] | None = None) -> DataFrame:
+    """AR6 / P11: one row per event of a saved search response. ``data`` may
+    be null (count 0 and no rows); time slots become local display strings in
+    the event's own zone; the link gets ``utm_source`` (X16); an optional
+    sponsor whitelist keeps only listed sponsors."""
+    from canvass.functions.text import add_utm_source
+    from canvass.functions.timefmt import local_event_time
+    data = F.coalesce(F.col("data"), F.array())
+    ev = response.select(F.size(data).alias("count"), F.explode(data).alias("e")).select("count", "e.*")
+    if sponsor_whitelist:
+        ev = ev.filter(F.col("sponsor.id").isin(sponsor_whitelist))
+    slots = F.transform(F.coalesce(F.col("timeslots"), F.array()), lambda t: F.struct(
+        t["id"].alias("id"), t["is_full"].alias("is_full"),
+        local_event_time(t["start_date"], F.col("timezone")).alias("start"),
+        local_event_time(t["end_date"], F.col("timezone")).alias("end")))
+    url = add_utm_source(F.col("browser_url"), utm_source) if utm_source else F.col("browser_url")
+    return ev.select("count", "id", "title", "event_type", "timezone", url.alias("url"), slots.alias("timeslots"),
+                     F.col("location.locality").alias("city"), F.col("location.region").alias("state"),
+                     F.col("location.postal_code").alias("postal_code"))
+
+
+def classify_replies(df: DataFrame, body: str = "body") -> DataFrame:
+    """AR11: saved API replies (XML text) -> is_new, error present, first 500
+    characters, and the known e-mails listed (one or many records)."""
+    schema = ("cons ARRAY<STRUCT<_is_new: STRING, _id: STRING, email: STRING>>, "
+              "error STRUCT<code: STRING, description: STRING>")
+    p = F.from_xml(F.col(body), schema, {"rowTag": "api"})
+    cons = F.coalesce(p["cons"], F.array())
+    return df.select(
+        "*", F.exists(cons, lambda c: c["_is_new"] == F.lit("1")).alias("is_new"),
+        p["error"].isNotNull().alias("has_error"), F.left(F.col(body), F.lit(500)).alias("body_head"),
+        F.filter(F.transform(cons, lambda c: c["email"]), lambda e: e.isNotNull()).alias("emails"))
