@@ -11,8 +11,14 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+# Queries whose semantics have no SQL form; each is checked against a
+# plain-Python statement of its rules on fixtures instead.
+NO_SQL_TWIN = {"result_report", "dialogue_replay", "referrals"}
+
+
 def test_every_query_has_sql_twin():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(E.queries()) - set(E.oracle_sql()) == NO_SQL_TWIN
 
 
 def test_all_queries_run_on_smallest_tables(spark):
