@@ -4,8 +4,8 @@ Parsing runs in Spark: every inbound message gets its candidate reason,
 name, postal code, phone and city/state from the Column functions in
 ``functions.contacts``. Only the slot-filling step — a few comparisons per
 message on the pre-parsed candidates — runs in Python, per conversation,
-in turn order. ``dialogue_replay`` is the batch form (``applyInPandas``,
-one conversation per group); ``dialogue_stream`` is the streaming form
+in turn order. ``dialogue_replay`` is the batch form (``applyInPandas`` fed
+in Arrow-sized chunks of one conversation); ``dialogue_stream`` is the streaming form
 (``applyInPandasWithState``) where a key's state is O(1) and only one
 micro-batch of its messages is in memory at a time.
 """
@@ -174,15 +174,34 @@ def _rows(key, pdf: pd.DataFrame, s: dict) -> list[dict]:
 _PARSED_COLS = ["conv_id", "turn", "_msg", "_full", "_first", "_last", "_zip", "_phone", "_city", "_st"]
 
 
+def _replay_chunks(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One conversation, chunk by chunk, in turn order: only the slot state
+    and one Arrow chunk are held at a time."""
+    s = {k: None for k in SLOTS}
+    last_turn = None
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        turns = pdf["turn"].to_numpy()
+        if (last_turn is not None and turns[0] < last_turn) or (turns[1:] < turns[:-1]).any():
+            raise RuntimeError("dialogue replay received turns out of order")
+        last_turn = turns[-1]
+        yield pd.DataFrame(_rows(int(key[0]), pdf, s), columns=OUT_SCHEMA.fieldNames())
+
+
 def dialogue_replay(messages: DataFrame, key: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
-    """ST7 batch replay: one reply (and state) per inbound message."""
+    """ST7 batch replay: one reply (and state) per inbound message.
+
+    Rows are hash-partitioned by conversation and sorted by (conversation,
+    turn); that ordering already satisfies the grouped map's requirement, so
+    each conversation streams to Python in turn order, in Arrow-sized chunks
+    (a conversation with a third of all messages is never one in-memory
+    frame). The handler checks the order and fails rather than guess.
+    """
     p = parse_messages(messages.select(F.col(key).alias("conv_id"), F.col(turn).alias("turn"),
                                        F.col(text).alias("text")), "text").select(*_PARSED_COLS)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        s = {k: None for k in SLOTS}
-        return pd.DataFrame(_rows(int(pdf["conv_id"].iloc[0]), pdf, s), columns=OUT_SCHEMA.fieldNames())
-    return p.groupBy("conv_id").applyInPandas(run, OUT_SCHEMA)
+    ordered = p.repartition("conv_id").sortWithinPartitions("conv_id", "turn")
+    return ordered.groupBy("conv_id").applyInPandas(_replay_chunks, OUT_SCHEMA)
 
 
 STATE_SCHEMA = T.StructType([T.StructField(k, T.StringType()) for k in SLOTS])
