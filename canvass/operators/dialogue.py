@@ -4,8 +4,9 @@ Parsing runs in Spark: every inbound message gets its candidate reason,
 name, postal code, phone and city/state from the Column functions in
 ``functions.contacts``. Only the slot-filling step — a few comparisons per
 message on the pre-parsed candidates — runs in Python, per conversation,
-in turn order. ``dialogue_replay`` is the batch form (``applyInPandas`` fed
-in Arrow-sized chunks of one conversation); ``dialogue_stream`` is the streaming form
+in turn order. ``dialogue_replay`` is the batch form (a secondary-sort scan:
+``mapInPandas`` over partitions sorted by conversation and turn);
+``dialogue_stream`` is the streaming form
 (``applyInPandasWithState``) where a key's state is O(1) and only one
 micro-batch of its messages is in memory at a time.
 """
@@ -157,51 +158,59 @@ OUT_SCHEMA = T.StructType([
 ])
 
 
+def _record(conv, turn, reply: str, s: dict, sent: dict | None) -> dict:
+    sent = sent or {}
+    return {"conv_id": conv, "turn": turn, "reply": reply, "state_after": s["state"],
+            "referral_sent": bool(sent),
+            "referee_full": sent.get("ref_full"), "referee_first": sent.get("ref_first"),
+            "referee_last": sent.get("ref_last"), "referee_phone": sent.get("ref_phone"),
+            "referee_city": sent.get("ref_city"), "referee_state": sent.get("ref_state"),
+            "referrer_full": sent.get("full"), "referrer_postal_code": sent.get("postal_code")}
+
+
 def _rows(key, pdf: pd.DataFrame, s: dict) -> list[dict]:
     out = []
     for m in pdf.sort_values("turn", kind="stable").to_dict("records"):
         reply, sent = step(s, m)
-        sent = sent or {}
-        out.append({"conv_id": key, "turn": m["turn"], "reply": reply, "state_after": s["state"],
-                    "referral_sent": bool(sent),
-                    "referee_full": sent.get("ref_full"), "referee_first": sent.get("ref_first"),
-                    "referee_last": sent.get("ref_last"), "referee_phone": sent.get("ref_phone"),
-                    "referee_city": sent.get("ref_city"), "referee_state": sent.get("ref_state"),
-                    "referrer_full": sent.get("full"), "referrer_postal_code": sent.get("postal_code")})
+        out.append(_record(key, m["turn"], reply, s, sent))
     return out
 
 
 _PARSED_COLS = ["conv_id", "turn", "_msg", "_full", "_first", "_last", "_zip", "_phone", "_city", "_st"]
 
 
-def _replay_chunks(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One conversation, chunk by chunk, in turn order: only the slot state
-    and one Arrow chunk are held at a time."""
-    s = {k: None for k in SLOTS}
-    last_turn = None
+def _replay_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of a partition sorted by (conversation, turn): the slot state is
+    reset whenever the conversation changes and carried across Arrow batches,
+    so only one batch and one conversation's state are held at a time."""
+    conv, last_turn, s = None, None, None
     for pdf in batches:
         if not len(pdf):
             continue
-        turns = pdf["turn"].to_numpy()
-        if (last_turn is not None and turns[0] < last_turn) or (turns[1:] < turns[:-1]).any():
-            raise RuntimeError("dialogue replay received turns out of order")
-        last_turn = turns[-1]
-        yield pd.DataFrame(_rows(int(key[0]), pdf, s), columns=OUT_SCHEMA.fieldNames())
+        out = []
+        for m in pdf.to_dict("records"):
+            if m["conv_id"] != conv:
+                conv, last_turn, s = m["conv_id"], None, {k: None for k in SLOTS}
+            elif m["turn"] < last_turn:
+                raise RuntimeError("dialogue replay received turns out of order")
+            last_turn = m["turn"]
+            reply, sent = step(s, m)
+            out.append(_record(conv, m["turn"], reply, s, sent))
+        yield pd.DataFrame(out, columns=OUT_SCHEMA.fieldNames())
 
 
 def dialogue_replay(messages: DataFrame, key: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
     """ST7 batch replay: one reply (and state) per inbound message.
 
-    Rows are hash-partitioned by conversation and sorted by (conversation,
-    turn); that ordering already satisfies the grouped map's requirement, so
-    each conversation streams to Python in turn order, in Arrow-sized chunks
-    (a conversation with a third of all messages is never one in-memory
-    frame). The handler checks the order and fails rather than guess.
+    Messages are hash-partitioned by conversation and sorted by
+    (conversation, turn) inside each partition; one Python pass per partition
+    walks them in order (a secondary-sort scan). A conversation with a third
+    of all messages is still streamed batch by batch, never held whole.
     """
     p = parse_messages(messages.select(F.col(key).alias("conv_id"), F.col(turn).alias("turn"),
                                        F.col(text).alias("text")), "text").select(*_PARSED_COLS)
     ordered = p.repartition("conv_id").sortWithinPartitions("conv_id", "turn")
-    return ordered.groupBy("conv_id").applyInPandas(_replay_chunks, OUT_SCHEMA)
+    return ordered.mapInPandas(_replay_partition, OUT_SCHEMA)
 
 
 STATE_SCHEMA = T.StructType([T.StructField(k, T.StringType()) for k in SLOTS])
