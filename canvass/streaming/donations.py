@@ -121,20 +121,21 @@ def _fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
     idx = order[ok]
     amounts = np.nan_to_num(pdf["amount"].to_numpy(dtype=float)[idx])
     total = float(total) + float(amounts.sum())
-    n = int(n) + int(ok.sum())
-    lastrow = pdf.iloc[idx[-1]]
+    n = int(n) + int(idx.size)
+    i = idx[-1]
     last, last_amount = int(paid[ok][-1]), float(amounts[-1])
-    fn, ln, city = lastrow["firstname"], lastrow["lastname"], lastrow["city"]
-    got = set(filter(None, (badges or "").split(",")))
-    for b in pdf["badges"].to_numpy()[idx]:
-        if b:
+    fn, ln, city = pdf["firstname"].iat[i], pdf["lastname"].iat[i], pdf["city"].iat[i]
+    new_badges = {b for b in pdf["badges"].to_numpy()[idx] if b}
+    if new_badges:
+        got = set(filter(None, (badges or "").split(",")))
+        for b in new_badges:
             got.update(b.split(","))
-    badges = ",".join(sorted(got))
+        badges = ",".join(sorted(got))
     version = int(version) + 1
     state.update((last, total, last_amount, fn, ln, city, badges, n, version))
     yield pd.DataFrame({"email": [key[0]], "total_donation_amount": [total], "last_donation_amount": [last_amount],
                         "last_paid_us": [last], "firstname": [fn], "lastname": [ln], "city": [city],
-                        "badges": [badges], "n_donations": [n], "version": [version]})
+                        "badges": [badges], "n_donations": [n], "version": [version]}, copy=False)
 
 
 def donor_stream(flat: DataFrame, salt: str, debate_days: list[str] = DEBATE_DAYS) -> DataFrame:
