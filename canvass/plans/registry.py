@@ -6,6 +6,7 @@ from canvass.plans import contact_jobs as cj
 from canvass.plans import event_jobs as ej
 from canvass.plans import export_jobs as xj
 from canvass.plans import geo_jobs
+from canvass.plans import outreach_exports as ox
 from canvass.plans import stream_jobs as st
 from canvass.plans import sync_jobs as sj
 
@@ -63,6 +64,8 @@ REGISTRY = {
     "donor_lookup": (xj.donor_lookup, xj.DONOR_LOOKUP_SQL),
     "merge_props": (xj.merge_props, xj.MERGE_PROPS_SQL),
     "day_matched": (xj.day_matched, xj.DAY_MATCHED_SQL),
+    "sms_optin_export": (ox.sms_optin_export, ox.SMS_OPTIN_EXPORT_SQL),
+    "email_export": (ox.email_export, ox.EMAIL_EXPORT_SQL),
     # No SQL twin: checked against a plain-Python reading on a fixture (tests).
     "result_report": (ej.result_report, None),
     # State machines: no SQL form; tests replay a scripted transcript.
