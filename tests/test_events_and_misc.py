@@ -104,3 +104,26 @@ def test_no_cross_join_in_nearest_plans(spark):
     for k in ("nearest_poi", "radius_events"):
         plan = E.queries()[k](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, k
+
+
+def test_sql_distance_function_and_event_id(spark):
+    import datetime as dt
+
+    from canvass.functions import geo
+    from canvass.operators.report import event_id
+    geo.register_distance_function(spark)
+    r = spark.sql("SELECT compute_distance_between_points(41.0, -93.0, 41.5, -93.5) AS d").first()["d"]
+    df = spark.createDataFrame([(41.0, -93.0, 41.5, -93.5)], "a double, b double, c double, e double")
+    assert abs(r - df.select(geo.cosine_miles("a", "b", "c", "e")).first()[0]) < 1e-9
+    same = spark.sql("SELECT compute_distance_between_points(41.0, -93.0, 41.0, -93.0) AS d").first()["d"]
+    assert same == 0.0                      # clamped acos, never NaN
+    ev = spark.createDataFrame([("5550100", "p7", dt.datetime(2020, 2, 3, 12, 0, 0))], "ph string, p string, t timestamp")
+    assert ev.select(event_id(F.col("ph"), F.col("p"), F.col("t"))).first()[0] == "5550100|p7|1580731200000"
+
+
+def test_push_order_and_snapshot(spark):
+    df = spark.createDataFrame([(1, 5), (2, 9), (3, 7)], "k int, t int")
+    assert [r["k"] for r in FL.push_order(df, "t", 5, [F.col("t").desc()]).collect()] == [2, 3]
+    d = tempfile.mkdtemp(prefix="canvass-snap-")
+    out = SK.snapshot(df, d, "2020-02-03")
+    assert out.endswith("ds=2020-02-03") and spark.read.parquet(out).count() == 3
