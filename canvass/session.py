@@ -61,7 +61,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     and is used as is. Only when the session has none (tests, local runs) do
     we make a fresh temporary folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: no local context to set
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
