@@ -74,12 +74,17 @@ def phase_table(mapping: DataFrame) -> DataFrame:
 def sites_by_phase(sites: DataFrame, phases: DataFrame) -> DataFrame:
     """Sites whose start lies inside a phase (and still open at its start).
 
-    Phases are a handful of rows (checked), broadcast into a range join; each
-    site lands in the phase holding its start date.
+    A short phase calendar (checked) is broadcast into a range join. A long
+    one goes through the as-of lookup instead (latest phase start <= site
+    start, then an equi join and the end checks); that path assumes the
+    phases do not overlap, which holds for phases built by ``assign_phase``.
     """
-    if not row_count_at_most(phases, BROADCAST_BOUNDARIES):
-        raise ValueError("phase table is not small; phases are expected to be a short calendar")
-    p = F.broadcast(phases.select("timeframe_start", "timeframe_end"))
     cond = ((F.col("start_date") <= F.col("timeframe_end")) & (F.col("start_date") >= F.col("timeframe_start"))
             & (F.col("end_date") >= F.col("timeframe_start")))
-    return sites.join(p, cond, "inner")
+    ph = phases.select("timeframe_start", "timeframe_end")
+    if row_count_at_most(ph, BROADCAST_BOUNDARIES):
+        return sites.join(F.broadcast(ph), cond, "inner")
+    starts = asof_bound(sites, "start_date", ph.withColumnRenamed("timeframe_start", "boundary"), "boundary",
+                        "timeframe_start", latest_le=True)
+    keyed = sites.join(starts, "start_date").filter(F.col("timeframe_start").isNotNull())
+    return keyed.join(ph, "timeframe_start").filter(cond)

@@ -112,7 +112,8 @@ def email_export_parts(spark: SparkSession, base: str) -> tuple[DataFrame, DataF
          .withColumn("valid", FL.email_syntax_ok("email") & F.coalesce("domain_ok", F.lit(False))))
     rejects = x.filter(~F.col("valid")).select("email", "ext_type", F.lit("undeliverable").alias("reason"))
     rn = F.row_number().over(Window.partitionBy("ext_type").orderBy(F.col("c_custkey").asc()))
-    exports = (x.filter("valid").withColumn("rank_in_type", rn).filter(F.col("rank_in_type") <= EXPORT_CAP)
+    exports = (x.filter("valid").withColumn("rank_in_type", rn.cast("long"))
+               .filter(F.col("rank_in_type") <= EXPORT_CAP)
                .select("email", "ext_type", F.col("c_custkey").cast("string").alias("ext_id"),
                        "is_resubscribe", "rank_in_type"))
     counts = A.counts_by(x, "ext_type", ~F.col("valid"))

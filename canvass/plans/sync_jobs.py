@@ -336,7 +336,7 @@ def cap_per_type(spark: SparkSession, base: str) -> DataFrame:
     per task before the shuffle (WindowGroupLimit)."""
     c = Tables(spark, base).customer.filter(F.col("c_acctbal") > 0)
     rn = F.row_number().over(Window.partitionBy("c_mktsegment").orderBy(F.col("c_custkey").asc()))
-    return (c.withColumn("rank_in_type", rn).filter(F.col("rank_in_type") <= CAP_PER_TYPE)
+    return (c.withColumn("rank_in_type", rn.cast("long")).filter(F.col("rank_in_type") <= CAP_PER_TYPE)
             .select("c_custkey", "c_mktsegment", "rank_in_type"))
 
 

@@ -36,3 +36,19 @@ def test_assign_phase_inner_semantics(spark):
     got = {r["ds"].day: (r["timeframe_start"].day, r["timeframe_end"].day)
            for r in PH.assign_phase(days, "ds", starts, ends).collect()}
     assert got == {11: (11, 14), 15: (15, 21)}
+
+
+def test_sites_by_phase_large_calendar_path(spark, monkeypatch):
+    phases = spark.createDataFrame(
+        [(dt.date(2018, 10, 11), dt.date(2018, 10, 14)), (dt.date(2018, 10, 15), dt.date(2018, 10, 21)),
+         (dt.date(2018, 10, 22), dt.date(2018, 10, 26))], "timeframe_start date, timeframe_end date")
+    sites = spark.createDataFrame(
+        [(1, dt.date(2018, 10, 12), dt.date(2018, 10, 20)), (2, dt.date(2018, 10, 15), dt.date(2018, 10, 15)),
+         (3, dt.date(2018, 10, 1), dt.date(2018, 10, 30)), (4, dt.date(2018, 10, 26), dt.date(2018, 10, 27))],
+        "site int, start_date date, end_date date")
+    small = sorted(tuple(r) for r in PH.sites_by_phase(sites, phases).collect())
+    monkeypatch.setattr(PH, "BROADCAST_BOUNDARIES", 1)
+    large = sorted(tuple(r) for r in PH.sites_by_phase(sites, phases)
+                   .select("site", "start_date", "end_date", "timeframe_start", "timeframe_end").collect())
+    assert [r[0] for r in small] == [1, 2, 4]
+    assert large == small
