@@ -153,10 +153,6 @@ def has_value(c) -> Column:
     return x.isNotNull() & ~F.coalesce(F.isnan(x), F.lit(False))
 
 
-def has_text_value(c) -> Column:
-    return _c(c).isNotNull()
-
-
 def postal_text(c) -> Column:
     """Numeric postal code -> zero-filled five-character text."""
     return F.lpad(_c(c).cast("bigint").cast("string"), 5, "0")
