@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canvass.functions.arrays import present
 from canvass.functions.timefmt import eastern_date
 from canvass.operators.scan import prior_max
 
@@ -40,11 +41,11 @@ def badges(paid_local_date: Column, recurring: Column, debate_days: list[str]) -
     """Badges earned by one donation, from its offset-local date."""
     day, month = F.dayofmonth(paid_local_date), F.month(paid_local_date)
     debate = F.date_format(paid_local_date, "yyyy-MM-dd").isin(debate_days)
-    return F.array_compact(F.array(
+    return present(
         F.when((day >= 26) & (month % 3 != 0), F.lit(BADGE_EOM)),
         F.when((day >= 26) & (month % 3 == 0), F.lit(BADGE_EOQ)),
         F.when(debate, F.lit(BADGE_DEBATE)),
-        F.when(recurring, F.lit(BADGE_RECURRING))))
+        F.when(recurring, F.lit(BADGE_RECURRING)))
 
 
 def drop_stale(events: DataFrame, key: str, arrival: str, paid_at: str) -> DataFrame:

@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canvass.functions.arrays import present
+
 
 def time_buckets(df: DataFrame, ts: str, as_of: str, names: list[tuple[Column, Column]]) -> DataFrame:
     """a row may land in several groups; ``names`` pairs (condition, group
     name). Returns the input rows exploded to one row per matching group."""
-    arr = F.array_compact(F.array(*[F.when(cond, name) for cond, name in names]))
+    arr = present(*[F.when(cond, name) for cond, name in names])
     return df.withColumn("group_name", F.explode(arr))
 
 

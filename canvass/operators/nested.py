@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canvass.functions.arrays import present
+
 
 def latest_kv(puts: DataFrame, key: str, value: str, arrival: str, ts: str) -> DataFrame:
     """ST8: keyed upsert replayed in batch: last write (by arrival) wins,
@@ -40,7 +42,7 @@ def get_or_default(c: Column, default: Column) -> Column:
 
 def missing_fields(record: Column, names: list[str]) -> Column:
     """AR9: names of required fields that are null, in list order."""
-    return F.array_compact(F.array(*[F.when(record[n].isNull(), F.lit(n)) for n in names]))
+    return present(*[F.when(record[n].isNull(), F.lit(n)) for n in names])
 
 
 def render_invites(df: DataFrame, urls: str, labels: str, refcode: str, sep: str = "|",
