@@ -36,6 +36,7 @@ def _asof_scan(keys: DataFrame, key: str, bounds: DataFrame, bcol: str, out: str
     carry = (u.groupBy("_pid").agg(agg("_bv").alias("_last"))
              .withColumn("_carry", agg("_last").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
              .select("_pid", "_carry"))
+    # ``carry`` has one row per partition: bounded by construction.
     res = (u.filter(F.col("_kind") == 0).join(F.broadcast(carry), "_pid", "left")
            .select(F.col("_key").alias(key),
                    (F.greatest if latest_le else F.least)("_run", "_carry").alias(out)))
