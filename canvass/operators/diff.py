@@ -62,11 +62,14 @@ def _text(n: Column, kind: str) -> Column:
 
 
 def diff_fields(stored: DataFrame, wanted: DataFrame, key: str, rules: list[FieldRule],
-                sms: bool = False) -> DataFrame:
+                sms: bool = False, key_whitelist: list | None = None) -> DataFrame:
     """Rows of ``wanted`` (joined to ``stored`` on ``key``) that need a push,
     all fields as text(1024), distinct. Field ``f`` is ``f`` in ``wanted`` and
-    ``f`` in ``stored``; ``ignore`` fields take no part (D2 null list)."""
+    ``f`` in ``stored``; ``ignore`` fields take no part (D2 null list). An
+    optional key whitelist (D2's single-phone test mode) limits the keys."""
     live = [r for r in rules if r.kind != IGNORE]
+    if key_whitelist:
+        stored = stored.filter(F.col(key).isin(list(key_whitelist)))
     s = stored.select(key, *[F.col(r.name).alias(f"_old_{r.name}") for r in live])
     x = wanted.join(s, key, "inner")
     if sms:

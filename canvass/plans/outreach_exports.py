@@ -54,14 +54,22 @@ def _signup_feed(t: Tables) -> DataFrame:
                     F.lit("signups").alias("action_type")))
 
 
-def sms_optin_export(spark: SparkSession, base: str) -> DataFrame:
+def sms_optin_export(spark: SparkSession, base: str, faithful: bool = False) -> DataFrame:
+    """``faithful=True`` keeps the reference's quirk: known numbers are cut to
+    ten digits but candidates are compared as written, so an 11-digit
+    candidate is never suppressed. The default cuts both sides."""
     t = Tables(spark, base)
     feeds = D.union_feeds(_customer_feed(t), _signup_feed(t))
     valid = feeds.filter(C.is_valid_phone("phone_number")).withColumn("phone10", C.phone10("phone_number"))
     newest = D.latest_by(valid, ["phone10"], ["action_ts", "action_type"],
                          ["first_name", "postal_code", "action_ts", "action_type"])
     known = t.customer.filter(F.col("c_acctbal") > KNOWN_BALANCE).select(C.phone10(d.customer_phone()).alias("phone10"))
-    out = J.subtract_known(newest, known, "phone10")
+    if faithful:
+        raw = valid.select("phone10", F.col("phone_number").alias("_raw")).distinct()
+        keep = J.subtract_known(raw, known.withColumnRenamed("phone10", "_raw"), "_raw").select("phone10").distinct()
+        out = newest.join(keep, "phone10", "left_semi")
+    else:
+        out = J.subtract_known(newest, known, "phone10")
     return out.select(F.col("phone10").alias("phone_number"), "first_name",
                       C.zip5("postal_code").alias("postal_code"),
                       F.date_format("action_ts", "yyyy-MM-dd").alias("action_date"), "action_type").distinct()

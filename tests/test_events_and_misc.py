@@ -127,3 +127,32 @@ def test_push_order_and_snapshot(spark):
     d = tempfile.mkdtemp(prefix="canvass-snap-")
     out = SK.snapshot(df, d, "2020-02-03")
     assert out.endswith("ds=2020-02-03") and spark.read.parquet(out).count() == 3
+
+
+def test_append_log_and_csv(spark):
+    d = tempfile.mkdtemp(prefix="canvass-log-")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    SK.append_log(df, os.path.join(d, "log"))
+    SK.append_log(df, os.path.join(d, "log"))
+    assert spark.read.parquet(os.path.join(d, "log")).count() == 4
+    SK.write_csv(df, os.path.join(d, "csv"), ["v"])
+    got = spark.read.option("header", True).csv(os.path.join(d, "csv")).collect()
+    assert sorted(r["v"] for r in got) == ["a", "b"] and got[0].asDict().keys() == {"v"}
+
+
+def test_sms_export_faithful_quirk(spark):
+    from canvass.plans import outreach_exports as OX
+    base = "/root/testdata/sf0.001"
+    plain = {r["phone_number"] for r in OX.sms_optin_export(spark, base).collect()}
+    faithful = {r["phone_number"] for r in OX.sms_optin_export(spark, base, faithful=True).collect()}
+    # faithful mode never suppresses the 11-digit signup numbers, so it keeps at least as many
+    assert plain <= faithful
+
+
+def test_diff_whitelist(spark):
+    from canvass.operators import diff as DF
+    stored = spark.createDataFrame([("p1", "1"), ("p2", "1")], "k string, a string")
+    wanted = spark.createDataFrame([("p1", 2.0), ("p2", 3.0)], "k string, a double")
+    got = [r["k"] for r in DF.diff_fields(stored, wanted, "k", [DF.FieldRule("a")], sms=True,
+                                          key_whitelist=["p2"]).collect()]
+    assert got == ["p2"]
