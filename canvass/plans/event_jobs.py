@@ -333,7 +333,53 @@ def dialogue_replay(spark: SparkSession, base: str) -> DataFrame:
     return replay(cv, "conv_id", "turn", "text")
 
 
+# State codes used to build the scripted conversations (a rule over the list
+# of codes, not data from the reference).
+_SCRIPT_STATES = sorted(set(C.STATE_TO_CODE.values()))
+
+
+def customer_dialogues(spark: SparkSession, base: str) -> DataFrame:
+    """One scripted referral conversation per customer, derived from its row:
+    keyword, reason, own name, zip, friend's name, friend's phone (another
+    customer's), friend's city and state. Every fifth customer answers the
+    zip question with no digits, so that flow stalls without a referral."""
+    c = Tables(spark, base).customer
+    k = F.col("c_custkey")
+    codes = F.array(*[F.lit(x) for x in _SCRIPT_STATES])
+    zip_text = F.when(k % 5 == 0, F.lit("no idea")).otherwise(F.lpad(((k * 37) % 99999).cast("string"), 5, "0"))
+    msgs = F.array(
+        F.lit(""),
+        F.concat(F.lit("Because "), F.lower("c_mktsegment"), F.lit(" matters to me")),
+        F.concat(F.lit("Pat Doe"), k.cast("string")),
+        zip_text,
+        F.concat(F.lit("Sam Friend"), (k % 7).cast("string")),
+        F.concat(F.lit("call "), d.customer_phone(k + 1)),
+        F.concat(F.lit("Springfield "), F.element_at(codes, (k % len(_SCRIPT_STATES) + 1).cast("int"))))
+    return c.select(k.alias("conv_id"), F.posexplode(msgs).alias("turn", "text")).withColumn(
+        "turn", F.col("turn").cast("long"))
+
+
 def referrals(spark: SparkSession, base: str) -> DataFrame:
-    """ST9: referral records (get-or-create on referee phone x referrer)."""
+    """ST7 + ST9: scripted customer conversations through the dialogue, then
+    referral records (get-or-create on referee phone x referrer)."""
+    from canvass.operators.dialogue import dialogue_replay as replay
     from canvass.operators.dialogue import referrals as refs
-    return refs(dialogue_replay(spark, base))
+    return refs(replay(customer_dialogues(spark, base), "conv_id", "turn", "text"))
+
+
+# The script's expected outcome, stated independently of the state machine:
+# a customer ends with one referral when the zip answer has digits and the
+# friend's number is a valid NANP number (exchange starts with 2-9).
+REFERRALS_SQL = f"""
+SELECT c_custkey AS referrer,
+       '1' || cast(2000000000 + (c_custkey + 1) * 7919 AS varchar) AS referee_phone,
+       'Sam Friend' || cast(c_custkey % 7 AS varchar) AS referee_full, 'Sam' AS referee_first,
+       'Friend' || cast(c_custkey % 7 AS varchar) AS referee_last, 'Springfield' AS referee_city,
+       ({_SCRIPT_STATES!r})[c_custkey % {len(_SCRIPT_STATES)} + 1] AS referee_state,
+       'Pat Doe' || cast(c_custkey AS varchar) AS referrer_full,
+       lpad(cast((c_custkey * 37) % 99999 AS varchar), 5, '0') AS referrer_postal_code,
+       cast(6 AS bigint) AS first_turn, cast(6 AS bigint) AS last_turn
+  FROM customer
+ WHERE c_custkey % 5 <> 0
+   AND regexp_full_match(cast(2000000000 + (c_custkey + 1) * 7919 AS varchar), '[2-9][0-9]{{2}}[2-9][0-9]{{6}}')
+"""

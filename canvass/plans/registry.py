@@ -68,7 +68,8 @@ REGISTRY = {
     "email_export": (ox.email_export, ox.EMAIL_EXPORT_SQL),
     # No SQL twin: checked against a plain-Python reading on a fixture (tests).
     "result_report": (ej.result_report, None),
-    # State machines: no SQL form; tests replay a scripted transcript.
+    # State machine over free text: no SQL form; tests replay a scripted transcript.
     "dialogue_replay": (ej.dialogue_replay, None),
-    "referrals": (ej.referrals, None),
+    # Scripted conversations: the twin states the script's expected outcome.
+    "referrals": (ej.referrals, ej.REFERRALS_SQL),
 }
