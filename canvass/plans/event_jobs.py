@@ -383,3 +383,75 @@ SELECT c_custkey AS referrer,
  WHERE c_custkey % 5 <> 0
    AND regexp_full_match(cast(2000000000 + (c_custkey + 1) * 7919 AS varchar), '[2-9][0-9]{{2}}[2-9][0-9]{{6}}')
 """
+
+
+def _report_sql() -> str:
+    mains = report_brands()
+    mains_sql = "[" + ", ".join(f"'{m}'" for m in mains) + "]"
+    cells = [
+        "id", "precinct_id", "phone_number", "event_type",
+        "strftime(timezone('America/Chicago', timezone('UTC', created_at)), '%m/%d/%Y %H:%M:%S')",
+        "notes", "NULL", "coalesce(attendee_count, 0)"]
+    for m in mains:
+        hit = f"list_filter(rs, lambda x: x.name = '{m}')[-1]"
+        for f in ("caucusers", "delegates"):
+            cells.append(f"CASE WHEN {hit} IS NOT NULL THEN {hit}.{f} "
+                         f"WHEN event_type IN ('alignment', 'realignment') THEN 0 END")
+    for k in range(1, 6):
+        cells += [f"top[{k}].name", f"top[{k}].c", f"top[{k}].d"]
+    cells += [
+        "CASE WHEN len(over) > 0 THEN array_to_string(list_transform(over, lambda x: "
+        "x.name || ': ' || cast(x.c AS varchar) || ' -> ' || cast(x.d AS varchar)), '; ') END",
+        "CASE WHEN len(over) > 0 THEN list_sum(list_transform(over, lambda x: x.c)) END",
+        "CASE WHEN len(over) > 0 THEN list_sum(list_transform(over, lambda x: x.d)) END"]
+    for k in range(1, 4):
+        cells += [f"ties[{k}].k", f"ties[{k}].v"]
+    cells.append("CASE WHEN len(ties) > 3 THEN array_to_string(list_transform(list_slice(ties, 4, 1000000), "
+                 "lambda t: t.k || ': ' || t.v), '; ') END")
+    select = ",\n       ".join(f"coalesce(cast({c} AS varchar), '') AS c{i + 1:02d}" for i, c in enumerate(cells))
+    return f"""
+WITH li AS (
+  SELECT l.l_orderkey, l.l_linenumber AS ln, l.l_partkey AS pk, l.l_extendedprice AS px,
+         {{'name': p.p_brand, 'caucusers': cast(l.l_quantity AS bigint),
+          'delegates': cast(l.l_linenumber AS bigint),
+          'ties': ['Brand#' || cast(l.l_suppkey % 5 + 1 AS varchar) || '1'],
+          'tieStatus': CASE WHEN l.l_returnflag = 'R' THEN 'won' END}} AS r
+    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+per AS (SELECT l_orderkey, list(r ORDER BY ln, pk, px) AS rs FROM li GROUP BY l_orderkey),
+ev AS (
+  SELECT cast(o.o_orderkey AS varchar) AS id, cast(o.o_custkey AS varchar) AS precinct_id,
+         cast(2000000000 + o.o_custkey * 7919 AS varchar) AS phone_number,
+         CASE o.o_orderstatus WHEN 'F' THEN 'alignment' WHEN 'O' THEN 'realignment' ELSE 'final' END AS event_type,
+         o.o_orderdate AS created_at, o.o_orderpriority AS notes,
+         CASE WHEN o.o_orderstatus <> 'P' THEN coalesce(len(per.rs), 0) END AS attendee_count, per.rs
+    FROM orders o LEFT JOIN per ON per.l_orderkey = o.o_orderkey),
+w AS (
+  SELECT ev.*,
+         list_filter(list_transform(rs, lambda x, i: {{'name': x.name, 'c': x.caucusers, 'd': x.delegates, 'i': i}}),
+                     lambda x: NOT list_contains({mains_sql}, x.name)) AS wi,
+         list_transform(list_filter(rs, lambda x: x.tieStatus = 'won'),
+                        lambda x: {{'k': array_to_string(list_sort(list_concat([x.name], x.ties)), ' '),
+                                   'n': x.name}}) AS keyed
+    FROM ev),
+r AS (
+  SELECT w.*,
+         list_transform(list_sort(list_transform(wi, lambda x: {{'nc': -x.c, 'i': x.i, 'name': x.name,
+                                                                 'c': x.c, 'd': x.d}})),
+                        lambda x, j: {{'name': x.name, 'c': x.c, 'd': x.d, 'j': j}}) AS ranked
+    FROM w),
+t AS (
+  SELECT r.*,
+         list_sort(list_transform(list_slice(ranked, 1, 5), lambda x: {{'name': x.name, 'j': x.j,
+                                                                       'c': x.c, 'd': x.d}})) AS top,
+         list_slice(ranked, 6, 1000000) AS over,
+         list_sort(list_transform(list_distinct(list_transform(keyed, lambda x: x.k)),
+                   lambda k: {{'k': k, 'v': array_to_string(list_sort(list_distinct(list_transform(
+                       list_filter(keyed, lambda y: y.k = k), lambda y: y.n))), ' ')}})) AS ties
+    FROM r)
+SELECT id,
+       {select}
+  FROM t
+"""
+
+
+RESULT_REPORT_SQL = _report_sql()

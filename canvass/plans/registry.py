@@ -66,8 +66,7 @@ REGISTRY = {
     "day_matched": (xj.day_matched, xj.DAY_MATCHED_SQL),
     "sms_optin_export": (ox.sms_optin_export, ox.SMS_OPTIN_EXPORT_SQL),
     "email_export": (ox.email_export, ox.EMAIL_EXPORT_SQL),
-    # No SQL twin: checked against a plain-Python reading on a fixture (tests).
-    "result_report": (ej.result_report, None),
+    "result_report": (ej.result_report, ej.RESULT_REPORT_SQL),
     # State machine over free text: no SQL form; tests replay a scripted transcript.
     "dialogue_replay": (ej.dialogue_replay, None),
     # Scripted conversations: the twin states the script's expected outcome.
