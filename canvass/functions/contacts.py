@@ -91,7 +91,7 @@ def extract_postal_code(c) -> Column:
 
 
 def _recase_word(w: Column) -> Column:
-    # initcap each hyphen part: "katz-brown" -> "Katz-Brown"
+    # initcap each hyphen part: "doe-roe" -> "Doe-Roe"
     return F.array_join(F.transform(F.split(w, "-"), lambda p: F.initcap(p)), "-")
 
 

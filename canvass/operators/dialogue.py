@@ -25,8 +25,10 @@ from canvass.functions import contacts as C
 
 # The dialogue's reply texts.
 START = "Let's get more people to join in this fight!\n"
-ASK_REASON = ("First, in one quick sentence, why are you supporting Elizabeth? "
+ASK_REASON = ("First, in one quick sentence, why are you supporting {candidate}? "
               "We'll share this with people you refer.")
+# Who the reason question names; a deployment sets its own.
+CANDIDATE = "our candidate"
 ASK_NAME = "What's your first and last name?"
 RETRY_NAME = "Reply with your first and last name."
 ASK_ZIP = "And what's your zip code?"
@@ -84,7 +86,7 @@ def step(s: dict, m) -> tuple[str, dict | None]:
                 state = NAME
                 continue
             s["state"] = state
-            return out + ASK_REASON, sent
+            return out + ASK_REASON.format(candidate=CANDIDATE), sent
         if state == NAME:
             if msg:
                 if not m["_first"] or not m["_last"]:

@@ -3,12 +3,13 @@
 All array work is higher-order built-ins over one event's own (small)
 results array: no explode, no shuffle, no Python.
 
-Cells: 8 metadata, 13 x 2 main candidates (0 by default for alignment and
-realignment events, blank otherwise), 5 x 3 top write-ins (top five by
-votes, input order on equal votes, then listed by name), 3 overflow cells
-("name: votes -> delegates" joined by "; ", vote sum, delegate sum), 3 x 2
-ties (key = sorted member names, value = sorted winners; first three in
-order) and 1 tie overflow. Nulls become ''.
+Cells: 8 metadata, 2 per main candidate (13 candidates in the original
+configuration; 0 by default for alignment and realignment events, blank
+otherwise), 5 x 3 top write-ins (top five by votes, input order on equal
+votes, then listed by name), 3 overflow cells ("name: votes -> delegates"
+joined by "; ", vote sum, delegate sum), 3 x 2 ties (key = sorted member
+names, value = sorted winners; first three in order) and 1 tie overflow.
+Nulls become ''.
 """
 
 from __future__ import annotations
@@ -18,9 +19,8 @@ from pyspark.sql import functions as F
 
 from canvass.functions.timefmt import report_time
 
-# Main candidates, in sheet order.
-MAIN_CANDIDATES = ["Warren", "Biden", "Sanders", "Buttigieg", "Bloomberg", "Klobuchar", "Yang",
-                   "Gabbard", "Steyer", "Bennet", "Delaney", "Patrick", "Uncommitted"]
+# The main-candidate list (13 names in sheet order in the original report)
+# is run configuration and is passed in by the caller.
 ZERO_DEFAULT_EVENTS = ["alignment", "realignment"]
 TOP_WRITE_INS = 5
 TOP_TIES = 3
@@ -92,7 +92,7 @@ def _cells(event_type: Column, meta: list[Column], main: list[str]) -> Column:
     return F.array(*[F.coalesce(c.cast("string"), F.lit("")) for c in cells])
 
 
-def result_report(events: DataFrame, main: list[str] = MAIN_CANDIDATES, media_url: str = "media_url") -> DataFrame:
+def result_report(events: DataFrame, main: list[str], media_url: str = "media_url") -> DataFrame:
     """AR1: one 59-cell report row per result event."""
     staged = _stage_arrays(events, "results", main)
     meta = [F.col("id"), F.col("precinct_id"), F.col("phone_number"), F.col("event_type"),

@@ -74,26 +74,26 @@ def best_phone(phones: DataFrame) -> DataFrame:
 
 def invite_export(spark: SparkSession, base: str) -> DataFrame:
     """P1 tail: nearest site per phase with the voter's best phone (voters
-    without one drop out), in the invite layout, for upcoming hustle dates."""
+    without one drop out), in the invite layout, for upcoming send dates."""
     t = Tables(spark, base)
     near = G.nearest_sites(spark, base)
     ph = best_phone(_phones(t.orders))
     x = (near.join(ph, near["c_custkey"] == ph["vanid"], "inner")
          .join(t.customer, "c_custkey"))
-    hustle = F.date_sub("start_date", 1)
+    send = F.date_sub("start_date", 1)
     blurb = F.when(F.col("site_id") % 3 == 0, F.lit("Rally at noon")).otherwise(F.lit(""))
     out = x.select(
         F.col("c_custkey").alias("Custom ID"),
         F.initcap(F.split_part(F.col("c_name"), F.lit("#"), F.lit(1))).alias("first_name"),
         F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)).alias("last_name"), "phone",
-        hustle.alias("hustle_date"), F.date_format("start_date", "yyyy-MM-dd").alias("start_date"),
+        send.alias("send_date"), F.date_format("start_date", "yyyy-MM-dd").alias("start_date"),
         F.concat(F.lit("Site "), F.col("site_id").cast("string")).alias("evipLocation"),
         F.when(F.length(blurb) > 5, 1).otherwise(0).alias("evipIsRally"),
         F.col("c_nationkey").alias("County"),
         F.when(F.col("c_nationkey").isin(TARGETED), 1).otherwise(0).alias("isTargetedSD"),
         F.when(F.col("c_acctbal") > 5000, 1).otherwise(0).alias("isStrongDem"))
-    out = out.filter(FL.upcoming(F.col("hustle_date"), INVITE_AS_OF))
-    return out.withColumn("hustle_date", F.date_format("hustle_date", "yyyy-MM-dd"))
+    out = out.filter(FL.upcoming(F.col("send_date"), INVITE_AS_OF))
+    return out.withColumn("send_date", F.date_format("send_date", "yyyy-MM-dd"))
 
 
 INVITE_EXPORT_SQL = f"""
@@ -107,17 +107,17 @@ best AS (SELECT vanid, phone FROM (
                                         phone DESC) AS rn
              FROM ph WHERE phone_type = 'C' AND wrongnumber < 12) WHERE rn = 1),
 x AS (SELECT n.*, b.phone, c.c_name, c.c_nationkey, c.c_acctbal,
-             cast(n.start_date AS date) - 1 AS hustle_date,
+             cast(n.start_date AS date) - 1 AS send_date,
              CASE WHEN n.site_id % 3 = 0 THEN 'Rally at noon' ELSE '' END AS blurb
         FROM near n JOIN best b ON n.c_custkey = b.vanid JOIN customer c ON c.c_custkey = n.c_custkey)
 SELECT c_custkey AS "Custom ID",
        upper(substr(split_part(c_name, '#', 1), 1, 1)) || lower(substr(split_part(c_name, '#', 1), 2)) AS first_name,
-       split_part(c_name, '#', 2) AS last_name, phone, strftime(hustle_date, '%Y-%m-%d') AS hustle_date,
+       split_part(c_name, '#', 2) AS last_name, phone, strftime(send_date, '%Y-%m-%d') AS send_date,
        start_date, 'Site ' || cast(site_id AS varchar) AS evipLocation,
        CASE WHEN length(blurb) > 5 THEN 1 ELSE 0 END AS evipIsRally, c_nationkey AS County,
        CASE WHEN c_nationkey IN ({", ".join(map(str, TARGETED))}) THEN 1 ELSE 0 END AS isTargetedSD,
        CASE WHEN c_acctbal > 5000 THEN 1 ELSE 0 END AS isStrongDem
-  FROM x WHERE hustle_date >= DATE '{INVITE_AS_OF}' + 1
+  FROM x WHERE send_date >= DATE '{INVITE_AS_OF}' + 1
 """
 
 # Configured (question, answer) -> group map (J24): data, not code.

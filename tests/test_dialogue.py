@@ -6,12 +6,12 @@ import tempfile
 from canvass.operators import dialogue as DG
 
 SCRIPT = [
-    ("", "Let's get more people to join in this fight!\n" + DG.ASK_REASON),
+    ("", "Let's get more people to join in this fight!\n" + DG.ASK_REASON.format(candidate=DG.CANDIDATE)),
     ("Because the *system* needs fixing; now it's time For change!", DG.ASK_NAME),
     ("Alex Rivera-Stone", DG.ASK_ZIP),
     ("94801", DG.ASK_FRIEND),
     ("Robin Vale", "Cool, what's Robin Vale's phone number?"),
-    ("5102194255", "What city and state does Robin live in? For example: Reno NV"),
+    ("6505550177", "What city and state does Robin live in? For example: Reno NV"),
     ("Richmond CA", "Great, sent an invite to Robin. What's the name of another person you'd like "
                     "to invite to join the fight?"),
     ("Dana  Moss-Lee", "Cool, what's Dana Moss-Lee's phone number?"),
@@ -34,10 +34,10 @@ def test_batch_transcript(spark):
     assert len(sent) == 1
     s = sent[0]
     assert (s["referee_full"], s["referee_phone"], s["referee_city"], s["referee_state"]) == \
-        ("Robin Vale", "15102194255", "Richmond", "CA")
+        ("Robin Vale", "16505550177", "Richmond", "CA")
     assert (s["referrer_full"], s["referrer_postal_code"]) == ("Alex Rivera-Stone", "94801")
     refs = DG.referrals(DG.dialogue_replay(_messages(spark))).collect()
-    assert [(r["referrer"], r["referee_phone"]) for r in refs] == [(7, "15102194255")]
+    assert [(r["referrer"], r["referee_phone"]) for r in refs] == [(7, "16505550177")]
 
 
 def test_stream_matches_batch(spark):
