@@ -108,8 +108,11 @@ def _initial_edge(st) -> float:
     return min(2.0, max(2.0 * spacing, 1e-5))
 
 
-# Broadcast the 27x-copied point side only under this many copies.
-BROADCAST_POI_COPIES = 2_000_000
+# Broadcast the 27x-copied point side only under this many copies. The
+# copied rows hold just the id, match keys, coordinates and cell (about 100
+# bytes), so the bound keeps the broadcast near 40 MB; other point columns
+# are joined back by id after the search.
+BROADCAST_POI_COPIES = 400_000
 
 
 def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], poi_id: str,
@@ -135,6 +138,10 @@ def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], p
         raise ValueError(f"origin and poi columns clash: {sorted(clash)}")
     origins = origins.filter(F.col(o_lat).isNotNull() & F.col(o_lng).isNotNull())
     pois = pois.filter(F.col(p_lat).isNotNull() & F.col(p_lng).isNotNull())
+    core_cols = [poi_id, *match, p_lat, p_lng]
+    extra = [c for c in pois.columns if c not in core_cols]
+    payload = pois.select(poi_id, *extra) if extra else None
+    pois = pois.select(*core_cols)
     st = _poi_stats(pois, p_lat, p_lng, match)
     h = start_edge or _initial_edge(st)
     poi_small = (st["n"] or 0) * len(_OFFSETS) <= BROADCAST_POI_COPIES
@@ -178,6 +185,8 @@ def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], p
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
+    if payload is not None:
+        out = out.join(payload, poi_id, "left")   # point columns back, by id
     return out
 
 
@@ -241,7 +250,7 @@ def within_radius(origins: DataFrame, pois: DataFrame, o_lat: str, o_lng: str, p
     h = edge_for_distance(max_dist, metric)
     pois = _with_xyz(pois, p_lat, p_lng, "_p")
     spread = pois.withColumn("_cell", F.explode(_neighbours_xyz("_p", h)))
-    spread = broadcast_if_small(spread, 2_000_000)
+    spread = broadcast_if_small(spread, BROADCAST_POI_COPIES)   # callers pass narrow point frames
     keyed = _with_xyz(origins, o_lat, o_lng, "_o").withColumn("_cell", _cell_xyz("_o", h))
     # chord prefilter (a little slack), then the exact rounded distance
     reach = 2.0 * math.sin(min(math.pi / 2, max_dist / metric.radius / 2.0)) + 1e-9
