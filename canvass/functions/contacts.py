@@ -90,11 +90,6 @@ def extract_postal_code(c) -> Column:
     return F.nullif(F.regexp_extract(_c(c), FIVE_DIGITS, 0), F.lit(""))
 
 
-def _recase_word(w: Column) -> Column:
-    # initcap each hyphen part: "doe-roe" -> "Doe-Roe"
-    return F.array_join(F.transform(F.split(w, "-"), lambda p: F.initcap(p)), "-")
-
-
 def normalize_name_case(first, last) -> tuple[Column, Column]:
     """Re-case both names only if the whole name is all upper or all lower;
     hyphenated parts are capitalised separately. Mixed case is kept."""
@@ -103,7 +98,10 @@ def normalize_name_case(first, last) -> tuple[Column, Column]:
     plain = (full == F.upper(full)) | (full == F.lower(full))
 
     def recase(x: Column) -> Column:
-        return F.array_join(F.transform(F.split(x, " "), _recase_word), " ")
+        # initcap capitalises after spaces only; "-" -> "- " makes every hyphen
+        # part a word ("doe-roe" -> "Doe-Roe"), then the space is taken out.
+        # Name tokens never contain spaces, so "- " cannot occur beforehand.
+        return F.replace(F.initcap(F.replace(x, F.lit("-"), F.lit("- "))), F.lit("- "), F.lit("-"))
     return F.when(plain, recase(f)).otherwise(f), F.when(plain, recase(l_)).otherwise(l_)
 
 
