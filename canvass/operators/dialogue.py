@@ -181,6 +181,9 @@ def _rows(key, pdf: pd.DataFrame, s: dict) -> list[dict]:
 _PARSED_COLS = ["conv_id", "turn", "_msg", "_full", "_first", "_last", "_zip", "_phone", "_city", "_st"]
 
 
+_OUT_FIELDS = OUT_SCHEMA.fieldNames()
+
+
 def _replay_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows of a partition sorted by (conversation, turn): the slot state is
     reset whenever the conversation changes and carried across Arrow batches,
@@ -189,16 +192,19 @@ def _replay_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
     for pdf in batches:
         if not len(pdf):
             continue
-        out = []
-        for m in pdf.to_dict("records"):
+        cols = {f: [] for f in _OUT_FIELDS}
+        names = list(pdf.columns)
+        for row in pdf.itertuples(index=False, name=None):
+            m = dict(zip(names, row))
             if m["conv_id"] != conv:
                 conv, last_turn, s = m["conv_id"], None, {k: None for k in SLOTS}
             elif m["turn"] < last_turn:
                 raise RuntimeError("dialogue replay received turns out of order")
             last_turn = m["turn"]
             reply, sent = step(s, m)
-            out.append(_record(conv, m["turn"], reply, s, sent))
-        yield pd.DataFrame(out, columns=OUT_SCHEMA.fieldNames())
+            for f, v in _record(conv, m["turn"], reply, s, sent).items():
+                cols[f].append(v)
+        yield pd.DataFrame(cols, columns=_OUT_FIELDS)
 
 
 def dialogue_replay(messages: DataFrame, key: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
