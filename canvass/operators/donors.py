@@ -72,7 +72,7 @@ def donor_rollup(events: DataFrame, key: str, arrival: str, paid_at: str, paid_l
     agg = ok.groupBy(key).agg(
         F.sum(amount).alias("total_donation_amount"),
         F.max_by(last, F.col(arrival)).alias("_last"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("_badges")))).alias("badges"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("_badges")))).alias("badges"),
         F.count(F.lit(1)).alias("n_donations"))
     return agg.select(
         key, donor_id(F.col(key), salt).alias("donor_id"),

@@ -49,7 +49,7 @@ def _stage_arrays(df: DataFrame, results: str, main: list[str]) -> DataFrame:
                                                          r["d"].alias("d"), j.alias("j")))
     won = F.filter(res, lambda r: r["tieStatus"] == F.lit("won"))
     keyed = F.transform(won, lambda r: F.struct(
-        F.array_join(F.array_sort(F.concat(F.array(r["name"]), F.coalesce(r["ties"], F.array().cast("array<string>")))),
+        F.array_join(F.sort_array(F.concat(F.array(r["name"]), F.coalesce(r["ties"], F.array().cast("array<string>")))),
                      " ").alias("k"), r["name"].alias("n")))
     # name -> (votes, delegates); a repeated name keeps its last entry
     # (the session's LAST_WIN map-key policy), like a dict update.

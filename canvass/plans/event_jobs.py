@@ -304,7 +304,7 @@ def order_results(spark: SparkSession, base: str) -> DataFrame:
                               F.array(F.concat(F.lit("Brand#"), (F.col("l_suppkey") % 5 + 1).cast("string"),
                                                F.lit("1"))).alias("ties"),
                               F.when(F.col("l_returnflag") == "R", F.lit("won")).alias("tieStatus")).alias("r"))
-    per_order = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("_rs"))
+    per_order = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(entry)).alias("_rs"))
     o = t.orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return o.select(
         F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("string").alias("precinct_id"),
