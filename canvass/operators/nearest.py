@@ -108,6 +108,28 @@ def _initial_edge(st) -> float:
     return min(2.0, max(2.0 * spacing, 1e-5))
 
 
+# Densest cell allowed at the first pass: a cluster holding many points (say
+# a third of all sites in one town) shrinks the first cell until no cell
+# holds more than this many, so origins there compare with few candidates.
+MAX_POINTS_PER_CELL = 256
+MAX_REFINEMENTS = 6
+
+
+def _refine_edge(pois: DataFrame, match: list[str], h: float, n_points: int | None = None) -> float:
+    """Shrink ``h`` (x4 per step) while some cell holds too many points. One
+    small aggregate per step; sparse origins later coarsen pass by pass."""
+    if n_points is not None and n_points <= MAX_POINTS_PER_CELL:
+        return h                       # no cell can hold more than all points
+    for _ in range(MAX_REFINEMENTS):
+        keys = [F.floor(F.col(f"_p{a}") / h).alias(f"_c{a}") for a in "xyz"]
+        densest = (pois.groupBy(*match, *keys).agg(F.count(F.lit(1)).alias("_n"))
+                   .agg(F.max("_n")).first()[0])
+        if densest is None or densest <= MAX_POINTS_PER_CELL or h < 1e-6:
+            break
+        h /= 4.0
+    return h
+
+
 # Broadcast the 27x-copied point side only under this many copies. The
 # copied rows hold just the id, match keys, coordinates and cell (about 100
 # bytes), so the bound keeps the broadcast near 40 MB; other point columns
@@ -143,11 +165,11 @@ def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], p
     payload = pois.select(poi_id, *extra) if extra else None
     pois = pois.select(*core_cols)
     st = _poi_stats(pois, p_lat, p_lng, match)
-    h = start_edge or _initial_edge(st)
     poi_small = (st["n"] or 0) * len(_OFFSETS) <= BROADCAST_POI_COPIES
     # Unit vectors once per row; pairs are first pruned by chord length
     # (three multiply-adds), the trigonometric distance runs on survivors only.
     pois = _with_xyz(pois, p_lat, p_lng, "_p")
+    h = start_edge or _refine_edge(pois, match, _initial_edge(st), st["n"])
     pending = _with_xyz(origins, o_lat, o_lng, "_o")
     o_cols = o_cols + ["_ox", "_oy", "_oz"]
     slack = (band + 1e-5) / metric.radius + 1e-12

@@ -59,3 +59,29 @@ def test_within_radius_matches_brute_force(spark):
     got = {(r["oid"], r["pid"]) for r in nn.within_radius(odf, pdf, "olat", "olng", "plat", "plng", 40.0).collect()}
     want = {(a, b) for a, la, ln in o for b, pla, pln in p if round(hav(la, ln, pla, pln), 6) <= 40.0}
     assert got == want
+
+
+def test_dense_cluster_refines_first_cell_and_stays_exact(spark):
+    import random
+    rnd = random.Random(5)
+    # a third of the sites packed into a ~1-mile square, the rest spread out
+    spread = points(6, 400)
+    cluster = [(1000 + i, 41.0 + rnd.random() * 0.01, -95.0 + rnd.random() * 0.01) for i in range(200)]
+    p = spread + cluster
+    o = points(7, 150) + [(900 + i, 41.005 + rnd.random() * 0.002, -95.005 + rnd.random() * 0.002)
+                          for i in range(30)]
+    odf = spark.createDataFrame(o, "oid long, olat double, olng double")
+    pdf = spark.createDataFrame(p, "pid long, plat double, plng double")
+    pts = nn._with_xyz(pdf.select("pid", "plat", "plng"), "plat", "plng", "_p")
+    coarse = nn._initial_edge(nn._poi_stats(pdf, "plat", "plng", []))
+    old = nn.MAX_POINTS_PER_CELL
+    nn.MAX_POINTS_PER_CELL = 32
+    try:
+        assert nn._refine_edge(pts, [], coarse) < coarse
+        best = {r["oid"]: (r["distance"], r["pid"])
+                for r in nn.nearest(odf, pdf, ["oid"], "pid", "olat", "olng", "plat", "plng").collect()}
+    finally:
+        nn.MAX_POINTS_PER_CELL = old
+    for oid, la, ln in o:
+        want = min((round(hav(la, ln, pla, pln), 6), pid) for pid, pla, pln in p)
+        assert best[oid][1] == want[1], oid
