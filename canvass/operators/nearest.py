@@ -89,11 +89,14 @@ def edge_for_distance(dist: float, metric: Metric) -> float:
 
 
 def _poi_stats(pois: DataFrame, p_lat: str, p_lng: str, match: list[str]):
-    """One small aggregate over the point side: count, match groups, extent."""
-    groups = F.count_distinct(*[F.col(c) for c in match]) if match else F.lit(1)
-    return pois.agg(F.count(F.lit(1)).alias("n"), groups.alias("g"),
-                    F.min(p_lat).alias("a0"), F.max(p_lat).alias("a1"),
-                    F.min(p_lng).alias("b0"), F.max(p_lng).alias("b1")).first()
+    """One small aggregate over the point side: count, match groups, largest
+    group, extent."""
+    per = pois.groupBy(*match).agg(F.count(F.lit(1)).alias("_n"),
+                                   F.min(p_lat).alias("_a0"), F.max(p_lat).alias("_a1"),
+                                   F.min(p_lng).alias("_b0"), F.max(p_lng).alias("_b1"))
+    return per.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("g"), F.max("_n").alias("gmax"),
+                   F.min("_a0").alias("a0"), F.max("_a1").alias("a1"),
+                   F.min("_b0").alias("b0"), F.max("_b1").alias("b1")).first()
 
 
 def _initial_edge(st) -> float:
@@ -119,7 +122,7 @@ def _refine_edge(pois: DataFrame, match: list[str], h: float, n_points: int | No
     """Shrink ``h`` (x4 per step) while some cell holds too many points. One
     small aggregate per step; sparse origins later coarsen pass by pass."""
     if n_points is not None and n_points <= MAX_POINTS_PER_CELL:
-        return h                       # no cell can hold more than all points
+        return h                       # no cell can hold more points than that
     for _ in range(MAX_REFINEMENTS):
         keys = [F.floor(F.col(f"_p{a}") / h).alias(f"_c{a}") for a in "xyz"]
         densest = (pois.groupBy(*match, *keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -169,7 +172,8 @@ def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], p
     # Unit vectors once per row; pairs are first pruned by chord length
     # (three multiply-adds), the trigonometric distance runs on survivors only.
     pois = _with_xyz(pois, p_lat, p_lng, "_p")
-    h = start_edge or _refine_edge(pois, match, _initial_edge(st), st["n"])
+    # a cell never holds more points than the largest match group
+    h = start_edge or _refine_edge(pois, match, _initial_edge(st), st["gmax"])
     pending = _with_xyz(origins, o_lat, o_lng, "_o")
     o_cols = o_cols + ["_ox", "_oy", "_oz"]
     slack = (band + 1e-5) / metric.radius + 1e-12

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from canvass.functions.geo import cosine_miles_sql, sphere_miles_sql
 from canvass.operators import nearest as nn
-from canvass.operators.phases import BROADCAST_BOUNDARIES, assign_phase, sites_by_phase
-from canvass.operators.sizing import broadcast_if_small
+from canvass.operators.phases import assign_phase, sites_by_phase
 from canvass.plans import derive as d
 from canvass.sources.tables import Tables
 
@@ -98,8 +97,9 @@ def nearest_sites(spark: SparkSession, base: str) -> DataFrame:
                                                "c_lat", "c_lng")
     # One origin per (person, phase open in the person's county): phases are a
     # small dimension, so this matches the reference's phases x people rows.
-    county_phases = broadcast_if_small(sp.select("county", "timeframe_start", "timeframe_end").distinct(),
-                                       BROADCAST_BOUNDARIES)
+    # A plain equi join: AQE broadcasts this (county, phase) list once its
+    # measured size is small, and shuffles otherwise.
+    county_phases = sp.select("county", "timeframe_start", "timeframe_end").distinct()
     origins = people.join(county_phases, "county")
     res = nn.nearest_with_tolerance(
         origins, sp.withColumnRenamed("s_suppkey", "site_id"),
