@@ -108,7 +108,10 @@ def _initial_edge(st) -> float:
         math.cos(math.radians(max(abs(st["a0"]), abs(st["a1"])))), 0.05)
     per_group = max(1.0, st["n"] / max(1, st["g"] or 1))
     spacing = math.sqrt(lat_span * lng_span / per_group)
-    return min(2.0, max(2.0 * spacing, 1e-5))
+    # The block bound is about one edge; groups of a handful of points need
+    # a wider first edge or many origins spill into a second pass.
+    factor = 2.0 if per_group >= 16 else 4.0
+    return min(2.0, max(factor * spacing, 1e-5))
 
 
 # Densest cell allowed at the first pass: a cluster holding many points (say
