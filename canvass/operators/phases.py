@@ -44,12 +44,15 @@ def _asof_scan(keys: DataFrame, key: str, bounds: DataFrame, bcol: str, out: str
 
 
 def asof_bound(keys: DataFrame, key: str, bounds: DataFrame, bcol: str, out: str,
-               latest_le: bool = True) -> DataFrame:
+               latest_le: bool = True, bounds_small: bool | None = None) -> DataFrame:
     """Distinct ``key`` values with the latest boundary <= key (``latest_le``)
-    or the earliest boundary >= key. Keys with no such boundary get null."""
+    or the earliest boundary >= key. Keys with no such boundary get null.
+    ``bounds_small`` passes a size check the caller already made."""
     keys = keys.select(key).distinct()
     bounds = bounds.select(bcol).distinct()
-    if row_count_at_most(bounds, BROADCAST_BOUNDARIES):
+    if bounds_small is None:
+        bounds_small = row_count_at_most(bounds, BROADCAST_BOUNDARIES)
+    if bounds_small:
         cond = (F.col(bcol) <= F.col(key)) if latest_le else (F.col(bcol) >= F.col(key))
         agg = F.max if latest_le else F.min
         return (keys.join(F.broadcast(bounds), cond, "left")
@@ -61,8 +64,11 @@ def assign_phase(days: DataFrame, day_col: str, starts: DataFrame, ends: DataFra
                  boundary_col: str = "boundary") -> DataFrame:
     """Each day with the latest start <= day and earliest end >= day.
     A day missing either side disappears (the reference's inner joins)."""
-    s = asof_bound(days, day_col, starts, boundary_col, "timeframe_start", latest_le=True)
-    e = asof_bound(days, day_col, ends, boundary_col, "timeframe_end", latest_le=False)
+    # one size check covers both lists: each is at most as long as their union
+    small = row_count_at_most(starts.select(boundary_col).unionByName(ends.select(boundary_col)),
+                              BROADCAST_BOUNDARIES)
+    s = asof_bound(days, day_col, starts, boundary_col, "timeframe_start", latest_le=True, bounds_small=small)
+    e = asof_bound(days, day_col, ends, boundary_col, "timeframe_end", latest_le=False, bounds_small=small)
     return (s.join(e, day_col).filter(F.col("timeframe_start").isNotNull() & F.col("timeframe_end").isNotNull())
             .withColumn("timeframe", F.lit("Phase")))
 
