@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from canvass.session import ensure_checkpoint_dir
 
@@ -66,3 +71,44 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         seen = now
     return (links.select(F.col("u").alias("id"), F.col("v").alias("component"))
             .union(links.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct())
+
+
+def with_arrow(df: DataFrame, columns: list[str], fields: list[tuple[str, str]], work, max_bytes: int = 4 << 20) -> DataFrame:
+    """``df`` with the columns ``fields`` (name, type) that ``work`` makes from ``columns``.
+
+    ``work`` gets one Arrow array per column, a run of rows of at most
+    ``max_bytes`` (or one row), and returns one list or array per field. Other
+    columns pass through; those named like a field are replaced. One narrow
+    ``mapInArrow``: nothing is shuffled, and memory is bound by the batch.
+    """
+    names = [n for n, _ in fields]
+    kept = [c for c in df.columns if c not in names]
+    source = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(columns)])
+    schema = T.StructType([df.schema[c] for c in kept] + [
+        T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
+    width = len(kept)
+
+    def run(batches):
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            for part in byte_slices(batch, width, max_bytes):
+                made = work(*part.columns[width:])
+                made = [x if isinstance(x, pa.Array) else pa.array(x, arrow.field(width + i).type) for i, x in enumerate(made)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], *made], schema=arrow)
+
+    return source.mapInArrow(run, schema)
+
+
+def byte_slices(batch, first: int, max_bytes: int):
+    """Runs of the batch's rows whose texts, in the columns from ``first`` on, take at most ``max_bytes`` (or one row)."""
+    size = np.zeros(batch.num_rows, np.int64)
+    for col in batch.columns[first:]:
+        if pa.types.is_string(col.type) or pa.types.is_large_string(col.type) or pa.types.is_binary(col.type):
+            size += pc.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    total = np.cumsum(size)
+    at = 0
+    while at < batch.num_rows:
+        base = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, base + max_bytes, "right")))
+        yield batch.slice(at, end - at)
+        at = end
