@@ -201,8 +201,9 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted and read back."""
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = END + START + "assistant ok"
-    rows = rows.unionByName(spark.createDataFrame(
-        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string"))
+    rows = rows.unionByName(spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text")))
     # whole conversations are message-list records; ties in turn go by role, then text
     records = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(
         F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))).alias("m"))

@@ -110,7 +110,8 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str =
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the four listed rules."""
-    rules = spark.createDataFrame(list(RULES), "host string, path string, verdict string")
+    rules = spark.range(1).select(F.inline(F.array(*[
+        F.struct(*[F.lit(x).alias(n) for n, x in zip(("host", "path", "verdict"), r)]) for r in RULES])))
     return judge_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
