@@ -5,11 +5,13 @@ from __future__ import annotations
 from canvass.llm.chat_format import OP10_SQL, op10_chat_format
 from canvass.llm.decontaminate import OP4_SQL, op4_decontamination
 from canvass.llm.packing import op6_packing
+from canvass.llm.toxicity import op7_toxicity
 from canvass.llm.url_filter import OP2_SQL, op2_url_filter
 
 LLM_QUERIES = {
     "op2_url_filter": (op2_url_filter, OP2_SQL),
     "op4_decontamination": (op4_decontamination, OP4_SQL),
     "op6_packing": (op6_packing, None),
+    "op7_toxicity": (op7_toxicity, None),
     "op10_chat_format": (op10_chat_format, OP10_SQL),
 }
