@@ -5,6 +5,7 @@ from __future__ import annotations
 from canvass.llm.chat_format import OP10_SQL, op10_chat_format
 from canvass.llm.decontaminate import OP4_SQL, op4_decontamination
 from canvass.llm.packing import op6_packing
+from canvass.llm.personal_data import op8_personal_data
 from canvass.llm.toxicity import op7_toxicity
 from canvass.llm.url_filter import OP2_SQL, op2_url_filter
 
@@ -13,5 +14,6 @@ LLM_QUERIES = {
     "op4_decontamination": (op4_decontamination, OP4_SQL),
     "op6_packing": (op6_packing, None),
     "op7_toxicity": (op7_toxicity, None),
+    "op8_personal_data": (op8_personal_data, None),
     "op10_chat_format": (op10_chat_format, OP10_SQL),
 }
