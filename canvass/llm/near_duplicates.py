@@ -39,10 +39,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from canvass.llm.common import byte_slices, components, read_table, staged, with_arrow
+from canvass.llm.hashing import BASE, RangeHash, mix
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
@@ -54,28 +55,9 @@ BROADCAST_IDS = 2_000_000   # 8 bytes each, some 100 MB as a hash table
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _R = np.random.default_rng(20240229)
-_BYTE = _R.integers(0, 1 << 64, 256, np.uint64)
-_BASE = 0x9E3779B97F4A7C15
 _PLACE = _R.integers(0, 1 << 64, SHINGLE, np.uint64) | np.uint64(1)
 _MUL = _R.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the hash base, and of its inverse, modulo 2^64."""
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0][:n], _powers[1][:n]
+_IN_BAND = _R.integers(0, 1 << 64, ROWS, np.uint64) | np.uint64(1)
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
@@ -86,22 +68,20 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     space = _SPACE[buf]
     edge = np.diff(np.concatenate(([1], space.view(np.int8))))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    up, down = powers(len(buf) + 1)
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[buf] * up[:-1], dtype=np.uint64)))
-    word = _mix((total[end] - total[start]) * down[start])
+    word = RangeHash(buf)(start, end)
     first = np.searchsorted(start, np.concatenate(([0], bounds[:-1])))
     last = np.append(first[1:], len(start))
     n = max(0, len(word) - SHINGLE + 1)
     every = np.zeros(n, np.uint64)
     for k in range(SHINGLE):
         every += word[k:k + n] * _PLACE[k]
-    every = _mix(every)
+    every = mix(every)
     out = []
     for a, b in zip(first.tolist(), last.tolist()):
         if b - a >= SHINGLE:
             out.append(np.unique(every[a:b - SHINGLE + 1]))
         elif b > a:                                             # fewer words: one shingle, apart from all longer ones
-            out.append(_mix((word[a:b] * _PLACE[:b - a]).sum(keepdims=True, dtype=np.uint64) + np.uint64(b - a)))
+            out.append(mix((word[a:b] * _PLACE[:b - a]).sum(keepdims=True, dtype=np.uint64) + np.uint64(b - a)))
         else:
             out.append(np.empty(0, np.uint64))
     return out
@@ -142,14 +122,12 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def bands(sketch: DataFrame) -> DataFrame:
     """One row per set and band: key, id."""
-    place = _R_BAND
-
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 sig = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(np.uint64)
-                key = _mix(_mix((sig * place).sum(2, dtype=np.uint64)) + np.arange(BANDS, dtype=np.uint64) * np.uint64(_BASE))
+                key = mix(mix((sig * _IN_BAND).sum(2, dtype=np.uint64)) + np.arange(BANDS, dtype=np.uint64) * np.uint64(BASE))
                 ids = part.column(0).to_numpy()
                 yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(ids, BANDS))],
                                                  names=["key", "id"])
@@ -157,9 +135,6 @@ def bands(sketch: DataFrame) -> DataFrame:
     return sketch.select("id", "signature").mapInArrow(run, "key bigint, id bigint")
 
 
-_R_BAND = _R.integers(0, 1 << 64, ROWS, np.uint64) | np.uint64(1)
-
-
 def least_matches(n: int, share: float, miss: float) -> int:
     """Smallest number of equal values among n at which P(similarity >= share) is not below ``miss``.
 
@@ -229,7 +204,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     alias = staged(alias, "sets")
     same = sketch.where("digest is not null and doc_id is not null").select("doc_id", "digest").join(
         alias.select("digest", "id"), "digest").where("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    # ids stand for the first text with that digest only where a doc_id has one text
     texts = docs.where("doc_id is not null").withColumnRenamed("doc_id", "id")
 
     keyed = bands(alias)
@@ -252,7 +226,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         mixed = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x != y")
         if place is None:
             now = now.join(mixed.select("key"), "key").withColumn(
-                "place", F.row_number().over(_by_key()).cast("bigint") - 1)
+                "place", F.row_number().over(Window.partitionBy("key").orderBy("id")).cast("bigint") - 1)
             mixed = now.select("key").distinct()
         now = staged(now.join(mixed.select("key"), "key", "left_semi").select("key", "id", "component", "place"), "mixed")
         top = now.agg(F.max("place")).first()[0]
@@ -275,12 +249,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def _by_key():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("key").orderBy("id")
-
-
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))

@@ -7,6 +7,7 @@ from canvass.llm.decontaminate import OP4_SQL, op4_decontamination
 from canvass.llm.near_duplicates import op5_near_duplicates
 from canvass.llm.packing import op6_packing
 from canvass.llm.personal_data import op8_personal_data
+from canvass.llm.suffix_dedup import op9_suffix_dedup
 from canvass.llm.toxicity import op7_toxicity
 from canvass.llm.url_filter import OP2_SQL, op2_url_filter
 
@@ -17,5 +18,6 @@ LLM_QUERIES = {
     "op6_packing": (op6_packing, None),
     "op7_toxicity": (op7_toxicity, None),
     "op8_personal_data": (op8_personal_data, None),
+    "op9_suffix_dedup": (op9_suffix_dedup, None),
     "op10_chat_format": (op10_chat_format, OP10_SQL),
 }
