@@ -12,7 +12,7 @@ the same rule, until no round saves a sequence or the whole is certified.
 
 Tokenising: the vocabulary's own rule splits a text into letter runs, digits
 and other runs after lower-casing, and each run is coded on its own. So words
-and runs are coded once and remembered in the Python worker (``CACHE`` of them at
+are coded once and remembered in the Python worker (``CACHE`` of them at
 most); texts beyond Latin script or with marks of the vocabulary go to
 the tokeniser whole. Tests hold both ways against each other.
 
@@ -39,7 +39,7 @@ from canvass.llm.common import byte_slices, read_table, staged
 LENGTH = 4096
 END_ID = 1
 PART_PIECES = 50_000   # pieces in one partition, some 10 MB
-CACHE = 400_000        # remembered words, and as many runs, some 80 MB each
+CACHE = 1_000_000      # remembered words, some 200 MB at most
 ROUNDS = 4
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -57,7 +57,7 @@ def default_vocabulary() -> str:
 
 
 class Coder:
-    """Token ids of texts, by a tokenizers file, remembered per word and per run of characters."""
+    """Token ids of texts, by a tokenizers file, remembered per word."""
 
     def __init__(self, path: str, cache: int = CACHE):
         import os
@@ -71,7 +71,7 @@ class Coder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)   # ids that end a run
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
-        self.words, self.runs = Remembered(cache), Remembered(cache)
+        self.known = Remembered(cache)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """The tokeniser's own way."""
@@ -86,18 +86,21 @@ class Coder:
         return [raw[4 * a:4 * b] for a, b in zip(cut, cut[1:])]
 
     def _new_words(self, words: list[str]) -> list[bytes]:
-        split = [_RUNS.findall(w) for w in words]
-        of = self.runs.get_all(list(set(chain.from_iterable(split))), self._new_runs)
-        return [b"".join([of[r] for r in s]) for s in split]
+        split = [(w,) if w.isalpha() else _RUNS.findall(w) for w in words]    # a word of letters is one run
+        runs = list(set(chain.from_iterable(split)))
+        of = dict(zip(runs, self._new_runs(runs)))
+        return [of[s[0]] if len(s) == 1 else b"".join([of[r] for r in s]) for s in split]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian 32-bit bytes."""
         plain = [_PLAIN.fullmatch(t) is not None and not any(m in t for m in self.marks) for t in texts]
         rest = iter(self.whole([t for t, p in zip(texts, plain) if not p]))
-        words = pc.ascii_split_whitespace(pc.utf8_lower(pa.array([t for t, p in zip(texts, plain) if p], pa.string())))
+        lower = pc.utf8_lower(pa.array([t for t, p in zip(texts, plain) if p], pa.string()))
+        # a stop or comma between a letter or digit and white space is a run of its own
+        words = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, r"([\pL\pN])([.,])(\s|$)", r"\1 \2\3"))
         coded = words.flatten().dictionary_encode()
         unique = coded.dictionary.to_pylist()
-        of = self.words.get_all(unique, self._new_words)
+        of = self.known.get_all(unique, self._new_words)
         codes = coded.indices.to_numpy()
         flat = [of[w] for w in unique]
         size = np.array([len(x) // 4 for x in flat], np.int64)
