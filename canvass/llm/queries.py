@@ -6,6 +6,7 @@ from canvass.llm.chat_format import OP10_SQL, op10_chat_format
 from canvass.llm.decontaminate import OP4_SQL, op4_decontamination
 from canvass.llm.line_dedup import op1_line_dedup
 from canvass.llm.near_duplicates import op5_near_duplicates
+from canvass.llm.nearest_vectors import op3_nearest_vectors
 from canvass.llm.packing import op6_packing
 from canvass.llm.personal_data import op8_personal_data
 from canvass.llm.suffix_dedup import op9_suffix_dedup
@@ -15,6 +16,7 @@ from canvass.llm.url_filter import OP2_SQL, op2_url_filter
 LLM_QUERIES = {
     "op1_line_dedup": (op1_line_dedup, None),
     "op2_url_filter": (op2_url_filter, OP2_SQL),
+    "op3_nearest_vectors": (op3_nearest_vectors, None),
     "op4_decontamination": (op4_decontamination, OP4_SQL),
     "op5_near_duplicates": (op5_near_duplicates, None),
     "op6_packing": (op6_packing, None),
