@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canvass.llm.common import read_table, staged
+from canvass.llm.common import read_table, set_aside, staged
 from canvass.llm.decontaminate import decontaminate
 from canvass.llm.line_dedup import dedup_lines
 from canvass.llm.near_duplicates import BROADCAST_IDS, near_duplicates
@@ -23,17 +23,21 @@ from canvass.llm.toxicity import score_toxicity
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
-    scored = score_toxicity(docs, read_table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 0").select(*docs.columns)
+    apart, give_back = set_aside(docs, ("doc_id", "text"))
+    return give_back(score_toxicity(apart, read_table(spark, sf_dir, "labels")).where("predicted = 0"))
+
+
+def _with_text(docs: DataFrame, text: str, changed) -> DataFrame:
+    """The new text and, where it changed, its length as n_chars."""
+    n_chars = F.when(changed, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return docs.withColumns({"n_chars": n_chars, "text": F.col(text)})
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated and nearly repeated lines go; n_chars follows the text."""
-    done = dedup_lines(docs).where("n_removed = 0 or length(deduped) > 0")
-    return done.select(*[
-        F.col("deduped").alias("text") if c == "text" else
-        F.when(F.col("n_removed") > 0, F.length("deduped")).otherwise(F.col("n_chars")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-        else F.col(c) for c in docs.columns])
+    """Repeated and nearly repeated lines go."""
+    apart, give_back = set_aside(docs, ("doc_id", "text", "n_chars"))
+    done = dedup_lines(apart).where("n_removed = 0 or length(deduped) > 0")
+    return give_back(_with_text(done, "deduped", F.col("n_removed") > 0))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +49,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages cut out; documents that are little else go."""
-    return decontaminate(docs, read_table(spark, sf_dir, "benchmark")).withColumn(
-        "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    apart, give_back = set_aside(docs, ("doc_id", "text", "n_chars"))
+    cut = decontaminate(apart.withColumn("was", F.length("text")), read_table(spark, sf_dir, "benchmark"))
+    return give_back(_with_text(cut, "text", F.length("text") != F.col("was")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
