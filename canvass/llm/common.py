@@ -112,3 +112,13 @@ def byte_slices(batch, first: int, max_bytes: int):
         end = max(at + 1, int(np.searchsorted(total, base + max_bytes, "right")))
         yield batch.slice(at, end - at)
         at = end
+
+
+def set_aside(df: DataFrame, used: tuple[str, ...]):
+    """``df`` with its columns but ``used`` under names that no operator makes, and a function that gives back the old ones."""
+    names = {c: f"__own{i}" for i, c in enumerate(df.columns) if c not in used}
+
+    def give_back(out: DataFrame) -> DataFrame:
+        return out.select(*[F.col(names.get(c, f"`{c}`")).alias(c) for c in df.columns])
+
+    return df.withColumnsRenamed(names), give_back

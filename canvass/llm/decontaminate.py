@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canvass.llm.common import read_table, with_arrow
+from canvass.llm.common import read_table, set_aside, with_arrow
 
 WINDOW = 10
 SHARD_WORDS = 500_000   # words in one automaton, some 300 MB at most while it is built
@@ -217,9 +217,10 @@ def _cut(texts, spans):
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", max_coverage: float = MAX_COVERAGE, **how) -> DataFrame:
     """The documents' own columns: hit spans cut from the text, documents hit beyond ``max_coverage`` left out."""
-    hits = benchmark_hits(docs, items, text, **how).where(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words"))
+    apart, give_back = set_aside(docs, (text,))
+    hits = benchmark_hits(apart, items, text, **how).where(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words"))
     kept = with_arrow(hits, [text, "hit_spans"], [("__text", docs.schema[text].dataType.simpleString())], _cut)
-    return kept.select(*[F.col("__text").alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    return give_back(kept.drop(text).withColumnRenamed("__text", text))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
