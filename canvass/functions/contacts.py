@@ -90,33 +90,49 @@ def extract_postal_code(c) -> Column:
     return F.nullif(F.regexp_extract(_c(c), FIVE_DIGITS, 0), F.lit(""))
 
 
+# Words of a last name that stand before its main part, and suffixes that belong to no name part.
+NAME_PARTICLES = ("van", "von", "der", "den", "de", "del", "della", "di", "da", "dos", "la", "le", "du", "bin", "ibn", "al", "st", "st.")
+NAME_SUFFIXES = ("jr", "sr", "ii", "iii", "iv", "esq", "md", "phd")
+
+
 def normalize_name_case(first, last) -> tuple[Column, Column]:
     """Re-case both names only if the whole name is all upper or all lower;
-    hyphenated parts are capitalised separately. Mixed case is kept."""
+    parts after a hyphen or apostrophe and after Mc are capitalised, particles
+    before the main part of a last name stay small. Mixed case is kept."""
     f, l_ = _c(first), _c(last)
     full = F.concat_ws(" ", f, l_)
     plain = (full == F.upper(full)) | (full == F.lower(full))
 
     def recase(x: Column) -> Column:
-        # initcap capitalises after spaces only; "-" -> "- " makes every hyphen
-        # part a word ("doe-roe" -> "Doe-Roe"), then the space is taken out.
-        # Name tokens never contain spaces, so "- " cannot occur beforehand.
-        return F.replace(F.initcap(F.replace(x, F.lit("-"), F.lit("- "))), F.lit("- "), F.lit("-"))
+        # initcap capitalises after spaces only: a mark and a space make every
+        # part a word ("doe-roe" -> "Doe-Roe"), then both are taken out
+        marked = F.regexp_replace(F.lower(x), r"(-|'|\bmc(?=\p{L}{3}))", "$1\u0001 ")
+        cased = F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit(""))
+        particles = "|".join(p.capitalize().replace(".", "[.]") for p in NAME_PARTICLES)
+        return F.array_join(F.transform(F.split(cased, " "), lambda w, i: F.when(
+            (i < F.size(F.split(cased, " ")) - 1) & w.rlike(f"^({particles})$"), F.lower(w)).otherwise(w)), " ")
     return F.when(plain, recase(f)).otherwise(f), F.when(plain, recase(l_)).otherwise(l_)
 
 
 def split_name(c) -> Column:
-    """Full name -> struct(full, first, last); a leading title joins the
-    first name, middle names are dropped, case rules as X4."""
-    toks = F.split(F.trim(_c(c)), r"\s+")
+    """Full name -> struct(full, first, last). "Last, First" is turned
+    round; a suffix (Jr, III) is left out; a leading title joins the first
+    name; particles (van der) join the last name; other middle names are
+    dropped; case rules as X4."""
+    suffix = r"(?i)[\s,]+(" + "|".join(NAME_SUFFIXES) + r")[.]?$"
+    text = F.regexp_replace(F.regexp_replace(F.trim(_c(c)), suffix, ""), r"\s+", " ")
+    text = F.trim(F.regexp_replace(text, r"^([^,]+),\s*([^,]+)$", "$2 $1"))
+    toks = F.split(text, " ")
     titles = F.array(*[F.lit(t) for t in NAME_TITLES])
     has_title = (F.size(toks) > 1) & F.array_contains(titles, F.regexp_replace(F.lower(toks[0]), r"\.$", ""))
-    rest = F.when(has_title, F.slice(toks, 2, 1000000)).otherwise(toks)
-    first = F.when(F.size(rest) >= 1, F.element_at(rest, 1)).otherwise(F.lit(""))
-    last = F.when(F.size(rest) >= 2, F.element_at(rest, -1)).otherwise(F.lit(""))
+    rest = F.when(has_title, F.array_join(F.slice(toks, F.lit(2), F.size(toks)), " ")).otherwise(text)
+    particles = "|".join(p.replace(".", "[.]") for p in NAME_PARTICLES)
+    first = F.regexp_extract(rest, r"^(\S*)", 1)
+    # the shortest middle, so that the last name takes all particles before its main part
+    last = F.regexp_extract(rest, rf"(?i)^\S+\s(?:.*?\s)??((?:(?:{particles})\s)*\S+)$", 1)
     first = F.when(has_title, F.concat_ws(" ", toks[0], first)).otherwise(first)
     nf, nl = normalize_name_case(first, last)
-    return F.struct(F.concat_ws(" ", nf, nl).alias("full"), nf.alias("first"), nl.alias("last"))
+    return F.struct(F.trim(F.concat_ws(" ", nf, nl)).alias("full"), nf.alias("first"), nl.alias("last"))
 
 
 def _state_map() -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canvass.functions import contacts as C
+
 
 def precinct_stats(df: DataFrame, precinct: str, person: str, score: str) -> DataFrame:
     """A3: persons, total, scored persons and mean score per precinct.
@@ -63,9 +65,34 @@ def pivot_fields(df: DataFrame, key: str, name: str, value: str, fields: list[st
     return wide
 
 
-def match_identity(users: DataFrame, crm: DataFrame, sms: DataFrame) -> DataFrame:
-    """Users matched to SMS profiles by phone and to CRM records by
-    email; each target side is first reduced to one id per key."""
-    crm1 = crm.groupBy("email").agg(F.min("cons_id").alias("cons_id"))
-    sms1 = sms.groupBy("phone").agg(F.min("profile_id").alias("profile_id"))
-    return users.join(crm1, "email", "left").join(sms1, "phone", "left")
+def canonical_identity(people: DataFrame, email: str, phone: str) -> DataFrame:
+    """``people`` with ``identity_id``, one id per (canonical e-mail,
+    canonical phone) pair; a missing part is part of the pair. The columns
+    ``email`` and ``phone`` become canonical."""
+    e = F.nullif(F.lower(F.trim(F.col(email))), F.lit(""))
+    p = C.extract_phone(F.col(phone))
+    pair = F.concat(F.coalesce(e, F.lit("")), F.lit("|"), F.coalesce(p, F.lit("")))
+    return people.withColumns({"email": e, "phone": p, "identity_id": F.md5(pair)})
+
+
+def match_identity(users: DataFrame, crm: DataFrame, sms: DataFrame, key: str = "user_id") -> DataFrame:
+    """Long (key, target, member_id): all CRM ids with the user's e-mail,
+    and the SMS profiles with the user's phone or, where none has it, with the
+    user's e-mail. Only active, not opted-out profiles count.
+
+    ``users``: key, email, phone (canonical); ``crm``: email, cons_id; ``sms``:
+    phone, email, profile_id, status, opted_out_at. Sets stay rows, so nothing
+    is cut to one id and no list is collected.
+    """
+    def canon(c: str):
+        return F.lower(F.trim(F.col(c)))
+
+    by_crm = users.join(crm.select(canon("email").alias("email"), F.col("cons_id").alias("member_id")), "email")
+    active = sms.filter((F.col("status") == "Active Subscriber") & F.col("opted_out_at").isNull())
+    by_phone = users.join(active.select("phone", F.col("profile_id").alias("member_id")), "phone")
+    by_email = (users.join(by_phone.select(key).distinct(), key, "left_anti")
+                .join(active.select(canon("email").alias("email"), F.col("profile_id").alias("member_id")), "email"))
+    return (by_crm.select(key, F.lit("crm").alias("target"), "member_id")
+            .unionByName(by_phone.select(key, F.lit("sms").alias("target"), "member_id"))
+            .unionByName(by_email.select(key, F.lit("sms").alias("target"), "member_id"))
+            .distinct())

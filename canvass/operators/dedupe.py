@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def merge_by_key(df: DataFrame, key: Column | str, attrs: list[str], key_name: str = "key") -> DataFrame:
-    """A1: one row per key, ``MAX`` of every attribute. A null key forms its
-    own group (SQL ``GROUP BY`` semantics), as in the reference."""
+def merge_by_key(df: DataFrame, key: Column | str, attrs: list[str], key_name: str = "key",
+                 count_as: str | None = None) -> DataFrame:
+    """A1: one row per key, ``MAX`` of every attribute and, if asked for, the
+    number of rows. A null key forms its own group (SQL ``GROUP BY``)."""
     k = F.col(key) if isinstance(key, str) else key
-    return df.groupBy(k.alias(key_name)).agg(*[F.max(a).alias(a) for a in attrs])
+    aggs = [F.max(a).alias(a) for a in attrs] + ([F.count(F.lit(1)).alias(count_as)] if count_as else [])
+    return df.groupBy(k.alias(key_name)).agg(*aggs)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

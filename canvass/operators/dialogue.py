@@ -14,6 +14,7 @@ micro-batch of its messages is in memory at a time.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -41,13 +42,38 @@ RETRY_CITY = "Reply with your friend's city and state. For example: Fort Dodge I
 SENT = ("Great, sent an invite to {first}. What's the name of another person you'd like to invite "
         "to join the fight?")
 
-INITIAL, REASON, NAME, ZIP, FRIEND, PHONE, CITY, SEND = (
-    "state_initial", "state_receive_personal_reason", "state_receive_name", "state_receive_postal_code",
-    "state_receive_referee_name", "state_receive_referee_phone_number", "state_receive_referee_city_state",
-    "state_send_referral")
 
-SLOTS = ["state", "reason", "full", "first", "last", "postal_code",
-         "ref_full", "ref_first", "ref_last", "ref_phone", "ref_city", "ref_state"]
+
+@dataclass(frozen=True)
+class Question:
+    """One line of the dialogue: what it asks, which parsed parts of an answer
+    fill which slots, and what it says to an answer that lacks one of them."""
+
+    name: str
+    ask: str
+    fills: tuple[tuple[str, str], ...]     # (slot, parsed column)
+    needs: tuple[str, ...]                 # slots that must be filled to go on
+    retry: str = ""                        # empty: the question itself again
+    clears: tuple[str, ...] = ()           # slots emptied when it is asked
+
+
+FRIEND_SLOTS = ("ref_full", "ref_first", "ref_last", "ref_phone", "ref_city", "ref_state")
+
+QUESTIONS = (
+    Question("why", ASK_REASON, (("reason", "_msg"),), ("reason",)),
+    Question("who", ASK_NAME, (("full", "_full"), ("first", "_first"), ("last", "_last")), ("first", "last"), RETRY_NAME),
+    Question("where", ASK_ZIP, (("postal_code", "_zip"),), ("postal_code",), RETRY_ZIP),
+    Question("friend", ASK_FRIEND, (("ref_full", "_full"), ("ref_first", "_first"), ("ref_last", "_last")),
+             ("ref_first", "ref_last"), RETRY_FRIEND, FRIEND_SLOTS),
+    Question("friend_phone", ASK_PHONE, (("ref_phone", "_phone"),), ("ref_phone",)),
+    Question("friend_place", ASK_CITY, (("ref_city", "_city"), ("ref_state", "_st")), ("ref_city", "ref_state"),
+             RETRY_CITY, ("ref_city", "ref_state")),
+)
+PLACE = {q.name: i for i, q in enumerate(QUESTIONS)}
+
+# What is known of a sender beforehand; ``dialogue_replay`` takes it as a table.
+PROFILE_SLOTS = ("reason", "full", "first", "last", "postal_code", "email")
+SLOTS = ["asked", *PROFILE_SLOTS, *FRIEND_SLOTS]
 
 
 def parse_messages(df: DataFrame, text: str = "text") -> DataFrame:
@@ -62,93 +88,34 @@ def parse_messages(df: DataFrame, text: str = "text") -> DataFrame:
         cs["city"].alias("_city"), cs["state"].alias("_st"))
 
 
-def _reset_referee(s: dict) -> None:
-    for k in ("ref_full", "ref_first", "ref_last", "ref_phone", "ref_city", "ref_state"):
-        s[k] = None
-
+def answer(slots: dict, message) -> tuple[str, dict | None]:
+    """The reply to one pre-parsed message; ``slots`` is changed. When all
+    questions are answered, also the referral: a copy of the slots.
 
-def step(s: dict, m) -> tuple[str, dict | None]:
-    """Apply one pre-parsed message to slot state ``s`` (mutated). Returns the
-    reply and, when a referral is sent, the referral record."""
-    msg = m["_msg"] or None
-    state = s["state"] if (msg and s["state"]) else INITIAL
-    out, sent = "", None
-    while True:
-        if state == INITIAL:
-            _reset_referee(s)
-            out += START
-            state = REASON
-            continue
-        if state == REASON:
-            if msg:
-                s["reason"], msg = msg, None
-            if s["reason"]:
-                state = NAME
-                continue
-            s["state"] = state
-            return out + ASK_REASON.format(candidate=CANDIDATE), sent
-        if state == NAME:
-            if msg:
-                if not m["_first"] or not m["_last"]:
-                    s["state"] = state
-                    return out + RETRY_NAME, sent
-                s["full"], s["first"], s["last"], msg = m["_full"], m["_first"], m["_last"], None
-            if s["first"]:
-                state = ZIP
-                continue
-            s["state"] = state
-            return out + ASK_NAME, sent
-        if state == ZIP:
-            if msg:
-                if not m["_zip"]:
-                    s["state"] = state
-                    return out + RETRY_ZIP, sent
-                s["postal_code"], msg = m["_zip"], None
-            if s["postal_code"]:
-                state = FRIEND
-                continue
-            s["state"] = state
-            return out + ASK_ZIP, sent
-        if state == FRIEND:
-            if msg:
-                if not m["_first"] or not m["_last"]:
-                    s["state"] = state
-                    return out + RETRY_FRIEND, sent
-                s["ref_full"], s["ref_first"], s["ref_last"], msg = m["_full"], m["_first"], m["_last"], None
-            if s["ref_first"] and s["ref_last"]:
-                state = PHONE
-                continue
-            _reset_referee(s)
-            s["state"] = state
-            return out + ASK_FRIEND, sent
-        if state == PHONE:
-            if msg and m["_phone"]:
-                s["ref_phone"], msg = m["_phone"], None
-            if s["ref_phone"]:
-                state = CITY
-                continue
-            s["state"] = state
-            return out + ASK_PHONE.format(friend=s["ref_full"]), sent
-        if state == CITY:
-            if msg:
-                if not m["_city"] or not m["_st"]:
-                    s["state"] = state
-                    return out + RETRY_CITY, sent
-                s["ref_city"], s["ref_state"], msg = m["_city"], m["_st"], None
-            if s["ref_city"] and s["ref_state"]:
-                state = SEND
-                continue
-            s["ref_city"] = s["ref_state"] = None
-            s["state"] = state
-            return out + ASK_CITY.format(first=s["ref_first"]), sent
-        if state == SEND:
-            sent = {k: s[k] for k in ("ref_full", "ref_first", "ref_last", "ref_phone", "ref_city", "ref_state",
-                                      "full", "first", "last", "postal_code", "reason")}
-            reply = out + SENT.format(first=s["ref_first"])
-            _reset_referee(s)
-            s["state"] = FRIEND
-            return reply, sent
-        raise ValueError(state)
+    An empty message, or the first one, starts over: what is known of the
+    friend is dropped, and the first open question is asked. Otherwise the
+    message answers the question asked last.
+    """
+    text = message["_msg"] or None
+    again = text is not None and slots["asked"] is not None
+    reply = "" if again else START
+    if not again:
+        slots.update(dict.fromkeys(FRIEND_SLOTS))
+    for question in QUESTIONS[PLACE[slots["asked"]] if again else 0:]:
+        if text is not None:
+            parsed = {slot: message[part] for slot, part in question.fills}
+            text = None
+            if all(parsed[slot] for slot in question.needs):
+                slots.update(parsed)
+            elif question.retry:
+                slots["asked"] = question.name
+                return reply + question.retry, None
+        if not all(slots[slot] for slot in question.needs):
+            slots.update(dict.fromkeys(question.clears), asked=question.name)
+            return reply + question.ask.format(candidate=CANDIDATE, friend=slots["ref_full"], first=slots["ref_first"]), None
+    referral = dict(slots)
+    slots.update(dict.fromkeys(FRIEND_SLOTS), asked="friend")
+    return reply + SENT.format(first=referral["ref_first"]), referral
 
 
 OUT_SCHEMA = T.StructType([
@@ -156,29 +123,44 @@ OUT_SCHEMA = T.StructType([
     T.StructField("reply", T.StringType()), T.StructField("state_after", T.StringType()),
     T.StructField("referral_sent", T.BooleanType()),
     *[T.StructField(f"referee_{k}", T.StringType()) for k in ("full", "first", "last", "phone", "city", "state")],
-    T.StructField("referrer_full", T.StringType()), T.StructField("referrer_postal_code", T.StringType()),
+    *[T.StructField(f"referrer_{k}", T.StringType()) for k in ("full", "first", "last", "postal_code", "email", "reason")],
 ])
 
 
 def _record(conv, turn, reply: str, s: dict, sent: dict | None) -> dict:
     sent = sent or {}
-    return {"conv_id": conv, "turn": turn, "reply": reply, "state_after": s["state"],
+    return {"conv_id": conv, "turn": turn, "reply": reply, "state_after": s["asked"],
             "referral_sent": bool(sent),
             "referee_full": sent.get("ref_full"), "referee_first": sent.get("ref_first"),
             "referee_last": sent.get("ref_last"), "referee_phone": sent.get("ref_phone"),
             "referee_city": sent.get("ref_city"), "referee_state": sent.get("ref_state"),
-            "referrer_full": sent.get("full"), "referrer_postal_code": sent.get("postal_code")}
+            **{f"referrer_{k}": sent.get(k) for k in ("full", "first", "last", "postal_code", "email", "reason")}}
 
 
 def _rows(key, pdf: pd.DataFrame, s: dict) -> list[dict]:
     out = []
     for m in pdf.sort_values("turn", kind="stable").to_dict("records"):
-        reply, sent = step(s, m)
+        reply, sent = answer(s, m)
         out.append(_record(key, m["turn"], reply, s, sent))
     return out
 
 
-_PARSED_COLS = ["conv_id", "turn", "_msg", "_full", "_first", "_last", "_zip", "_phone", "_city", "_st"]
+_PARSED_COLS = ["conv_id", "turn", "_msg", "_full", "_first", "_last", "_zip", "_phone", "_city", "_st",
+                *[f"_known_{k}" for k in PROFILE_SLOTS]]
+
+
+def _begin(m) -> dict:
+    """The slots of a conversation before its first message."""
+    return dict.fromkeys(SLOTS) | {k: m[f"_known_{k}"] or None for k in PROFILE_SLOTS}
+
+
+def _with_profiles(messages: DataFrame, profiles: DataFrame | None) -> DataFrame:
+    """Messages (conv_id, turn, text) with what the profiles (conv_id and any of PROFILE_SLOTS) know of the sender."""
+    known = [k for k in PROFILE_SLOTS if profiles is not None and k in profiles.columns]
+    if known:
+        messages = messages.join(profiles.select("conv_id", *[F.col(k).cast("string").alias(f"_known_{k}") for k in known]).dropDuplicates(["conv_id"]),
+                                 "conv_id", "left")
+    return messages.withColumns({f"_known_{k}": F.lit(None).cast("string") for k in PROFILE_SLOTS if k not in known})
 
 
 _OUT_FIELDS = OUT_SCHEMA.fieldNames()
@@ -197,17 +179,18 @@ def _replay_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
         for row in pdf.itertuples(index=False, name=None):
             m = dict(zip(names, row))
             if m["conv_id"] != conv:
-                conv, last_turn, s = m["conv_id"], None, {k: None for k in SLOTS}
+                conv, last_turn, s = m["conv_id"], None, _begin(m)
             elif m["turn"] < last_turn:
                 raise RuntimeError("dialogue replay received turns out of order")
             last_turn = m["turn"]
-            reply, sent = step(s, m)
+            reply, sent = answer(s, m)
             for f, v in _record(conv, m["turn"], reply, s, sent).items():
                 cols[f].append(v)
         yield pd.DataFrame(cols, columns=_OUT_FIELDS)
 
 
-def dialogue_replay(messages: DataFrame, key: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
+def dialogue_replay(messages: DataFrame, key: str = "conv_id", turn: str = "turn", text: str = "text",
+                    profiles: DataFrame | None = None) -> DataFrame:
     """ST7 batch replay: one reply (and state) per inbound message.
 
     Messages are hash-partitioned by conversation and sorted by
@@ -215,8 +198,8 @@ def dialogue_replay(messages: DataFrame, key: str = "conv_id", turn: str = "turn
     walks them in order (a secondary-sort scan). A conversation with a third
     of all messages is still streamed batch by batch, never held whole.
     """
-    p = parse_messages(messages.select(F.col(key).alias("conv_id"), F.col(turn).alias("turn"),
-                                       F.col(text).alias("text")), "text").select(*_PARSED_COLS)
+    rows = messages.select(F.col(key).alias("conv_id"), F.col(turn).alias("turn"), F.col(text).alias("text"))
+    p = parse_messages(_with_profiles(rows, profiles), "text").select(*_PARSED_COLS)
     ordered = p.repartition("conv_id").sortWithinPartitions("conv_id", "turn")
     return ordered.mapInPandas(_replay_partition, OUT_SCHEMA)
 
@@ -224,17 +207,20 @@ def dialogue_replay(messages: DataFrame, key: str = "conv_id", turn: str = "turn
 STATE_SCHEMA = T.StructType([T.StructField(k, T.StringType()) for k in SLOTS])
 
 
-def dialogue_stream(messages: DataFrame, key: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
+def dialogue_stream(messages: DataFrame, key: str = "conv_id", turn: str = "turn", text: str = "text",
+                    profiles: DataFrame | None = None) -> DataFrame:
     """ST7 streaming form: slot state per key across micro-batches."""
-    p = parse_messages(messages.select(F.col(key).alias("conv_id"), F.col(turn).alias("turn"),
-                                       F.col(text).alias("text")), "text").select(*_PARSED_COLS)
+    rows = messages.select(F.col(key).alias("conv_id"), F.col(turn).alias("turn"), F.col(text).alias("text"))
+    p = parse_messages(_with_profiles(rows, profiles), "text").select(*_PARSED_COLS)
 
     def handle(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        s = dict(zip(SLOTS, state.get)) if state.exists else {x: None for x in SLOTS}
+        # Arrow chunks of a key come in no order, so its micro-batch is sorted here
         chunks = [b for b in batches if len(b)]
         if not chunks:
             return
-        rows = _rows(int(k[0]), pd.concat(chunks, ignore_index=True), s)
+        pdf = pd.concat(chunks, ignore_index=True)
+        s = dict(zip(SLOTS, state.get)) if state.exists else _begin(pdf.iloc[0])
+        rows = _rows(int(k[0]), pdf, s)
         state.update(tuple(s[x] for x in SLOTS))
         yield pd.DataFrame(rows, columns=OUT_SCHEMA.fieldNames())
     return p.groupBy("conv_id").applyInPandasWithState(handle, OUT_SCHEMA, STATE_SCHEMA, "append",
@@ -247,7 +233,7 @@ def referrals(replies: DataFrame, referrer_phone: str = "conv_id") -> DataFrame:
     referee phones never reach here (the dialogue rejects them)."""
     sent = replies.filter("referral_sent")
     cols = ["referee_full", "referee_first", "referee_last", "referee_city", "referee_state",
-            "referrer_full", "referrer_postal_code"]
+            "referrer_full", "referrer_first", "referrer_last", "referrer_postal_code", "referrer_email"]
     g = sent.groupBy(F.col(referrer_phone).alias("referrer"), "referee_phone").agg(
         F.max_by(F.struct(*cols), "turn").alias("_r"), F.min("turn").alias("first_turn"),
         F.max("turn").alias("last_turn"))

@@ -31,26 +31,32 @@ def _blank(o: Column) -> Column:
 
 def _differs(o: Column, n: Column, kind: str) -> Column:
     if kind == INT:
-        return F.ceil(o.try_cast("double")) != F.ceil(n.cast("double"))
+        return F.ceil(o.try_cast("double")) != F.ceil(n.try_cast("double"))
     if kind == YESNO:
-        return ((o.isin("1", "Yes") & (n.isNull() | (n == 0)))
-                | ((o.isNull() | o.isin("0", "No", "")) & (n == 1)))
+        return ((o.isin("1", "Yes") & (n.isNull() | _is(n, 0)))
+                | ((o.isNull() | o.isin("0", "No", "")) & _is(n, 1)))
     if kind == DATE:
-        return o.try_cast("date") != n.cast("date")
-    return o.try_cast("double") != n.cast("double")
+        return o.try_cast("date") != n.try_cast("date")
+    # a text field is compared as text, a number by value
+    return F.when(F.typeof(n) == "string", o != n.cast("string")).otherwise(o.try_cast("double") != n.try_cast("double"))
+
+
+def _is(n: Column, value: int) -> Column:
+    """``n = value`` for numbers and texts alike; a text that is no number is unequal, null stays unknown."""
+    return F.when(n.isNotNull(), F.coalesce(n.try_cast("double") == value, F.lit(False)))
 
 
 def crm_needs_update(o: Column, n: Column) -> Column:
     """Skip "wanted 0, stored null or ''"; else blank->value,
     value->null, or both present and different."""
-    return (~((n == 0) & _blank(o))
+    return (~(_is(n, 0) & _blank(o))
             & ((_blank(o) & n.isNotNull()) | (~_blank(o) & n.isNull()) | _differs(o, n, PLAIN)))
 
 
 def sms_needs_update(o: Column, n: Column, kind: str) -> Column:
     """Like D1 but the zero-skip checks only null (not ''), and the
     comparison depends on the field kind (int by CEIL, yes/no, date)."""
-    zero_skip = F.lit(False) if kind == DATE else ((n == 0) & o.isNull())
+    zero_skip = F.lit(False) if kind == DATE else (_is(n, 0) & o.isNull())
     return (~zero_skip
             & ((_blank(o) & n.isNotNull()) | (~_blank(o) & n.isNull()) | _differs(o, n, kind)))
 

@@ -34,10 +34,12 @@ def explode_threads(df: DataFrame, conv: str, threads: str) -> DataFrame:
 
 
 def get_or_default(c: Column, default: Column) -> Column:
-    """AR4: nested value, or the default when it is missing or falsy
-    (null, 0, '' or false at the leaf)."""
-    dt_falsy = F.coalesce(c.cast("string").isin("", "0", "false", "0.0"), F.lit(True))
-    return F.when(dt_falsy, default).otherwise(c)
+    """AR4: nested value, or the default when it is missing or falsy: null, the
+    empty text, the number 0, false. A text '0' or 'false' is a value."""
+    text = c.cast("string")
+    falsy = F.when(F.typeof(c) == "string", text == "").otherwise(
+        F.coalesce(text.try_cast("double") == 0, F.lit(False)) | (text == "false"))
+    return F.when(F.coalesce(falsy, F.lit(True)), default).otherwise(c)
 
 
 def missing_fields(record: Column, names: list[str]) -> Column:

@@ -2,9 +2,9 @@
 
 ``asof_bound`` finds, for every key, the latest boundary <= key (or earliest
 >= key). Small boundary lists (checked) are broadcast into a range join.
-Past the bound it runs a two-pass prefix scan: range-partition keys and
-boundaries together, take a running max inside each partition, then carry the
-last boundary of all earlier partitions (one row per partition) forward.
+Past the bound it runs a two-pass prefix scan over range partitions fixed by a
+checkpoint: keys and boundaries together, a running max inside each partition,
+then the last boundary of all earlier partitions (one row per partition).
 """
 
 from __future__ import annotations
@@ -12,9 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from canvass.operators.sizing import row_count_at_most
+from canvass.operators.scan import fixed_ranges
+from canvass.operators.sizing import broadcast_if_small, row_count_at_most
 
-BROADCAST_BOUNDARIES = 100_000
+# Up to so many boundaries a nested loop over a broadcast list is cheaper than
+# the scan; both give the same rows.
+BROADCAST_BOUNDARIES = 1_000
+# Phases, by the spans of days that they touch, which a task may hold.
+BROADCAST_SPANS = 200_000
 
 
 def _asof_scan(keys: DataFrame, key: str, bounds: DataFrame, bcol: str, out: str,
@@ -27,7 +32,7 @@ def _asof_scan(keys: DataFrame, key: str, bounds: DataFrame, bcol: str, out: str
     u = (k.withColumn("_bv", F.lit(None).cast(bounds.schema[bcol].dataType)).drop("_b")
          .unionByName(b).withColumn("_ord", ordv))
     nparts = max(1, keys.sparkSession.sparkContext.defaultParallelism)
-    u = u.repartitionByRange(nparts, "_ord").withColumn("_pid", F.spark_partition_id())
+    u = fixed_ranges(u, ["_ord"], nparts)
     # boundary before key on equal order: a boundary equal to the key counts
     w = (Window.partitionBy("_pid").orderBy(F.col("_ord"), F.col("_kind").desc())
          .rowsBetween(Window.unboundedPreceding, 0))
@@ -79,19 +84,22 @@ def phase_table(mapping: DataFrame) -> DataFrame:
 
 
 def sites_by_phase(sites: DataFrame, phases: DataFrame) -> DataFrame:
-    """Sites whose start lies inside a phase (and still open at its start).
+    """Sites whose start lies inside a phase (and still open at its start);
+    phases may overlap.
 
-    A short phase calendar (checked) is broadcast into a range join. A long
-    one goes through the as-of lookup instead (latest phase start <= site
-    start, then an equi join and the end checks); that path assumes the
-    phases do not overlap, which holds for phases built by ``assign_phase``.
+    Days are cut into spans as long as the average phase. A phase is listed
+    under every span that it touches (two or three on average), a site under
+    the span of its start; they meet by an equi join, so each (site, phase)
+    pair appears once. The list is broadcast while it is small (checked).
     """
-    cond = ((F.col("start_date") <= F.col("timeframe_end")) & (F.col("start_date") >= F.col("timeframe_start"))
-            & (F.col("end_date") >= F.col("timeframe_start")))
-    ph = phases.select("timeframe_start", "timeframe_end")
-    if row_count_at_most(ph, BROADCAST_BOUNDARIES):
-        return sites.join(F.broadcast(ph), cond, "inner")
-    starts = asof_bound(sites, "start_date", ph.withColumnRenamed("timeframe_start", "boundary"), "boundary",
-                        "timeframe_start", latest_le=True)
-    keyed = sites.join(starts, "start_date").filter(F.col("timeframe_start").isNotNull())
-    return keyed.join(ph, "timeframe_start").filter(cond)
+    ph = phases.select("timeframe_start", "timeframe_end").where("timeframe_start <= timeframe_end")
+    days = ph.agg(F.avg(F.date_diff("timeframe_end", "timeframe_start"))).first()[0] or 0
+    width = F.lit(max(1, int(days) + 1))
+
+    def span(c: str):
+        return F.floor(F.unix_date(F.col(c).cast("date")) / width)
+
+    listed = ph.withColumn("_span", F.explode(F.sequence(span("timeframe_start"), span("timeframe_end"))))
+    return (sites.withColumn("_span", span("start_date")).join(broadcast_if_small(listed, BROADCAST_SPANS), "_span")
+            .where((F.col("start_date") <= F.col("timeframe_end")) & (F.col("start_date") >= F.col("timeframe_start"))
+                   & (F.col("end_date") >= F.col("timeframe_start"))).drop("_span"))

@@ -63,7 +63,7 @@ def _stage_arrays(df: DataFrame, results: str, main: list[str]) -> DataFrame:
     keys = F.array_distinct(F.transform("_keyed", lambda t: t["k"]))
     ties = F.array_sort(F.transform(keys, lambda k: F.struct(k.alias("k"), F.array_join(F.array_sort(F.array_distinct(
         F.transform(F.filter("_keyed", lambda t: t["k"] == k), lambda t: t["n"]))), " ").alias("v"))))
-    return (x.withColumn("_top", top).withColumn("_over", F.slice("_ranked", TOP_WRITE_INS + 1, 1 << 20))
+    return (x.withColumn("_top", top).withColumn("_over", F.slice("_ranked", F.lit(TOP_WRITE_INS + 1), F.greatest(F.size("_ranked"), F.lit(1))))
             .withColumn("_ties", ties))
 
 
@@ -86,7 +86,7 @@ def _cells(event_type: Column, meta: list[Column], main: list[str]) -> Column:
     for k in range(TOP_TIES):
         e = F.get(F.col("_ties"), k)
         cells += [e["k"], e["v"]]
-    tover = F.slice("_ties", TOP_TIES + 1, 1 << 20)
+    tover = F.slice("_ties", F.lit(TOP_TIES + 1), F.greatest(F.size("_ties"), F.lit(1)))
     cells.append(F.when(F.size(tover) > 0, F.array_join(
         F.transform(tover, lambda t: F.concat(t["k"], F.lit(": "), t["v"])), "; ")))
     return F.array(*[F.coalesce(c.cast("string"), F.lit("")) for c in cells])

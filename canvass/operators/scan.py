@@ -9,9 +9,13 @@ summary forward from the earlier buckets — a two-pass parallel prefix scan.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from canvass.session import ensure_checkpoint_dir
+
 # Rows of one key in one range of the (integral) order column.
 DEFAULT_BUCKET_WIDTH = 1 << 16
 
@@ -35,35 +39,50 @@ def prior_max(df: DataFrame, keys: list[str], order: str, value: str, out: str,
         "_carry", F.max("_bmax").over(Window.partitionBy(*keys).orderBy("_bucket")
                                       .rowsBetween(Window.unboundedPreceding, -1))
     ).select(*keys, "_bucket", "_carry")
-    return (x.join(carry, [*keys, "_bucket"], "left")
+    return (join_null_safe(x, carry, [*keys, "_bucket"])
             .withColumn(out, F.greatest("_in", "_carry"))
             .drop("_bucket", "_in", "_carry"))
 
 
+def fixed_ranges(df: DataFrame, columns: list[str], partitions: int) -> DataFrame:
+    """``df`` in range partitions of ``columns``, with the partition in ``_pid``.
+
+    Range bounds come from a sample, so two plans over the same rows may draw
+    other bounds. The checkpoint (in the cluster's folder) fixes rows and
+    partition numbers together; all later steps read the same ones.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.repartitionByRange(partitions, *columns).withColumn("_pid", F.spark_partition_id()).checkpoint()
+
+
 def numbered(df: DataFrame, group: list[str], order: list[str], out: str = "rn",
              partitions: int | None = None) -> DataFrame:
     """1-based row number per ``group`` under ``order`` (unique), without a
-    one-task window per group.
+    one-task window per group. A null group is a group.
 
-    Rows are range-partitioned on (group, order); each partition numbers its
-    own rows, and a per-(partition, group) count table — a few rows per
+    Rows are range-partitioned on (group, order) once; each partition numbers
+    its own rows, and a per-(partition, group) count table — a few rows per
     partition — gives every partition its starting offset.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = df.repartitionByRange(n, *group, *order).withColumn("_pid", F.spark_partition_id())
+    x = fixed_ranges(df, [*group, *order], n)
     local = F.row_number().over(Window.partitionBy("_pid", *group).orderBy(*order))
     x = x.withColumn("_local", local)
-    counts = x.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(Window.partitionBy(*group).orderBy("_pid")
-                                            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select("_pid", *group, "_off")
-    grp_cols = ["_pid", *group]
-    return (x.join(offs, grp_cols, "left")
+    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (x.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))))
+    return (join_null_safe(x, offs.select("_pid", *group, "_off"), ["_pid", *group])
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
             .drop("_pid", "_local", "_off"))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on ``keys`` where null meets null; the right side's keys are dropped."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys])
+    return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
+
+
 def batches(df: DataFrame, size: int, order: list[str], group: list[str] | None = None,
             out: str = "batch") -> DataFrame:
     """SNK6: cut rows into numbered batches of ``size`` (per group if given)."""

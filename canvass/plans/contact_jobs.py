@@ -47,12 +47,11 @@ def merge_contacts(spark: SparkSession, base: str) -> DataFrame:
                      C.id_text(F.col("user_id")).alias("ext_id"),
                      F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("subsource"),
                      "action_epoch"))
-    feeds = D.union_feeds(cust, users).withColumn("_one", F.lit(1))
+    feeds = D.union_feeds(cust, users)
     merged = D.merge_by_key(feeds, C.canon_email("raw_email"),
                             ["first_name", "phone_number", "ext_id", "source", "subsource", "action_epoch"],
-                            key_name="email")
-    counts = feeds.groupBy(C.canon_email("raw_email").alias("email")).agg(F.count(F.lit(1)).alias("n_rows"))
-    return merged.join(counts, "email").withColumn("action_epoch", F.round("action_epoch", 6))
+                            key_name="email", count_as="n_rows")
+    return merged.withColumn("action_epoch", F.round("action_epoch", 6))
 
 
 MERGE_CONTACTS_SQL = f"""
@@ -361,25 +360,57 @@ SELECT c.c_custkey, c.phone,
 
 
 def identity_match(spark: SparkSession, base: str) -> DataFrame:
-    """J18 + P8: event users (canonical email, phone) matched to SMS profiles
-    by phone and to CRM records by email."""
+    """J18 + P8: event users (canonical e-mail and phone) with all their CRM ids
+    (by e-mail) and active SMS profiles (by phone, else by e-mail)."""
     t = Tables(spark, base)
-    users = (t.events.select("user_id").distinct()
-             .select("user_id", C.canon_email(user_email()).alias("email"), user_phone().alias("phone")))
-    crm = t.customer.select(C.canon_email(d.customer_email()).alias("email"), F.col("c_custkey").alias("cons_id"))
-    sms = t.customer.filter(F.col("c_acctbal") > 0).select(d.customer_phone().alias("phone"),
-                                                          F.col("c_custkey").alias("profile_id"))
-    return A.match_identity(users, crm, sms).select("user_id", "cons_id", "profile_id")
+    users = A.canonical_identity(
+        t.events.select("user_id").distinct().select("user_id", user_email().alias("e"), user_phone().alias("p")), "e", "p")
+    crm = t.customer.select(d.customer_email().alias("email"), F.col("c_custkey").alias("cons_id"))
+    # every third customer uses another number in the SMS list; some numbers are shared
+    shift = F.when(F.col("c_custkey") % 3 == 0, F.lit(500000)).when(F.col("c_custkey") % 3 == 1, -1).otherwise(0)
+    sms = t.customer.select(
+        F.concat(F.lit("1"), d.customer_phone(F.col("c_custkey") + shift)).alias("phone"),
+        F.upper(d.customer_email()).alias("email"), F.col("c_custkey").alias("profile_id"),
+        F.when(F.col("c_acctbal") > 0, F.lit("Active Subscriber")).otherwise(F.lit("Profile")).alias("status"),
+        F.when(F.col("c_nationkey") == 3, F.lit("2024-01-01")).alias("opted_out_at"))
+    return A.match_identity(users, crm, sms)
 
 
 IDENTITY_MATCH_SQL = f"""
-WITH u AS (SELECT DISTINCT user_id FROM events),
-u2 AS (SELECT user_id, trim(lower({USER_EMAIL_SQL})) AS email, {USER_PHONE_SQL} AS phone FROM u)
-SELECT u2.user_id, crm.cons_id, sms.profile_id FROM u2
-  LEFT JOIN (SELECT trim(lower({d.CUSTOMER_EMAIL_SQL})) AS email, min(c_custkey) AS cons_id FROM customer
-              GROUP BY 1) crm ON crm.email = u2.email
-  LEFT JOIN (SELECT {d.CUSTOMER_PHONE_SQL} AS phone, min(c_custkey) AS profile_id FROM customer
-              WHERE c_acctbal > 0 GROUP BY 1) sms ON sms.phone = u2.phone
+WITH u AS (
+  SELECT user_id, trim(lower({USER_EMAIL_SQL})) AS email,
+         CASE WHEN regexp_full_match({USER_PHONE_SQL}, '[2-9][0-9]{{2}}[2-9][0-9]{{6}}') THEN '1' || {USER_PHONE_SQL} END AS phone
+    FROM (SELECT DISTINCT user_id FROM events)),
+p AS (
+  SELECT c_custkey AS profile_id, lower({d.CUSTOMER_EMAIL_SQL}) AS email,
+         '1' || cast(2000000000 + (c_custkey + CASE c_custkey % 3 WHEN 0 THEN 500000 WHEN 1 THEN -1 ELSE 0 END) * 7919 AS varchar) AS phone
+    FROM customer WHERE c_acctbal > 0 AND c_nationkey IS DISTINCT FROM 3),
+j AS (
+  SELECT u.user_id, coalesce(a.profile_id, b.profile_id) AS member_id
+    FROM u LEFT JOIN p a ON a.phone = u.phone LEFT JOIN p b ON b.email = u.email)
+SELECT DISTINCT u.user_id, 'crm' AS target, c_custkey AS member_id
+  FROM u JOIN customer ON trim(lower({d.CUSTOMER_EMAIL_SQL})) = u.email
+UNION
+SELECT DISTINCT user_id, 'sms', member_id FROM j WHERE member_id IS NOT NULL
+"""
+
+
+def canonical_identity(spark: SparkSession, base: str) -> DataFrame:
+    """One id per canonical (e-mail, phone) pair, over customers and event users."""
+    t = Tables(spark, base)
+    people = t.customer.select(F.upper(d.customer_email()).alias("e"), F.concat(F.lit("+1 "), d.customer_phone()).alias("p")).unionByName(
+        t.events.select(user_email().alias("e"), F.when(F.col("user_id") % 4 != 0, user_phone()).alias("p")))
+    return A.canonical_identity(people, "e", "p").groupBy("email", "phone", "identity_id").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+CANONICAL_IDENTITY_SQL = f"""
+WITH r AS (
+  SELECT upper({d.CUSTOMER_EMAIL_SQL}) AS e, {d.CUSTOMER_PHONE_SQL} AS p FROM customer
+  UNION ALL
+  SELECT {USER_EMAIL_SQL}, CASE WHEN user_id % 4 <> 0 THEN {USER_PHONE_SQL} END FROM events),
+k AS (SELECT lower(e) AS email, CASE WHEN regexp_full_match(p, '[2-9][0-9]{{2}}[2-9][0-9]{{6}}') THEN '1' || p END AS phone FROM r)
+SELECT email, phone, md5(coalesce(email, '') || '|' || coalesce(phone, '')) AS identity_id, count(*) AS n_records
+  FROM k GROUP BY email, phone
 """
 
 

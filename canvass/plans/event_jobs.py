@@ -364,7 +364,10 @@ def referrals(spark: SparkSession, base: str) -> DataFrame:
     referral records (get-or-create on referee phone x referrer)."""
     from canvass.operators.dialogue import dialogue_replay as replay
     from canvass.operators.dialogue import referrals as refs
-    return refs(replay(customer_dialogues(spark, base), "conv_id", "turn", "text"))
+    # half of the senders have an e-mail in their profile
+    known = Tables(spark, base).customer.where(F.col("c_custkey") % 2 == 0).select(
+        F.col("c_custkey").alias("conv_id"), d.customer_email().alias("email"))
+    return refs(replay(customer_dialogues(spark, base), "conv_id", "turn", "text", known))
 
 
 # The script's expected outcome, stated independently of the state machine:
@@ -376,7 +379,9 @@ SELECT c_custkey AS referrer,
        'Sam Friend' || cast(c_custkey % 7 AS varchar) AS referee_full, 'Sam' AS referee_first,
        'Friend' || cast(c_custkey % 7 AS varchar) AS referee_last, 'Springfield' AS referee_city,
        ({_SCRIPT_STATES!r})[c_custkey % {len(_SCRIPT_STATES)} + 1] AS referee_state,
-       'Pat Doe' || cast(c_custkey AS varchar) AS referrer_full,
+       'Pat Doe' || cast(c_custkey AS varchar) AS referrer_full, 'Pat' AS referrer_first,
+       'Doe' || cast(c_custkey AS varchar) AS referrer_last,
+       CASE WHEN c_custkey % 2 = 0 THEN {d.CUSTOMER_EMAIL_SQL} END AS referrer_email,
        lpad(cast((c_custkey * 37) % 99999 AS varchar), 5, '0') AS referrer_postal_code,
        cast(6 AS bigint) AS first_turn, cast(6 AS bigint) AS last_turn
   FROM customer
@@ -406,7 +411,7 @@ def _report_sql() -> str:
         "CASE WHEN len(over) > 0 THEN list_sum(list_transform(over, lambda x: x.d)) END"]
     for k in range(1, 4):
         cells += [f"ties[{k}].k", f"ties[{k}].v"]
-    cells.append("CASE WHEN len(ties) > 3 THEN array_to_string(list_transform(list_slice(ties, 4, 1000000), "
+    cells.append("CASE WHEN len(ties) > 3 THEN array_to_string(list_transform(list_slice(ties, 4, len(ties)), "
                  "lambda t: t.k || ': ' || t.v), '; ') END")
     select = ",\n       ".join(f"coalesce(cast({c} AS varchar), '') AS c{i + 1:02d}" for i, c in enumerate(cells))
     return f"""

@@ -102,11 +102,12 @@ SELECT DISTINCT phone10 AS phone_number, first_name,
   FROM n WHERE phone10 NOT IN (SELECT phone10 FROM k)
 """
 
-EXPORT_CAP = 200
+CAPPED_EXPORT = 200   # the limit of the registered capped job
 
 
-def email_export_parts(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(exports, rejects, counts per source type)."""
+def email_export_parts(spark: SparkSession, base: str, cap: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(exports, rejects, counts per source type). ``cap``: exports per source
+    type at most (W8), a run parameter; none by default."""
     t = Tables(spark, base)
     cand = resubscribe_filter(spark, base)
     # source type and id: customers that ordered are "shop", the others "crm"
@@ -120,18 +121,25 @@ def email_export_parts(spark: SparkSession, base: str) -> tuple[DataFrame, DataF
          .withColumn("valid", FL.email_syntax_ok("email") & F.coalesce("domain_ok", F.lit(False))))
     rejects = x.filter(~F.col("valid")).select("email", "ext_type", F.lit("undeliverable").alias("reason"))
     rn = F.row_number().over(Window.partitionBy("ext_type").orderBy(F.col("c_custkey").asc()))
-    exports = (x.filter("valid").withColumn("rank_in_type", rn.cast("long"))
-               .filter(F.col("rank_in_type") <= EXPORT_CAP)
-               .select("email", "ext_type", F.col("c_custkey").cast("string").alias("ext_id"),
+    exports = x.filter("valid").withColumn("rank_in_type", rn.cast("long"))
+    if cap is not None:
+        exports = exports.filter(F.col("rank_in_type") <= cap)
+    exports = (exports.select("email", "ext_type", F.col("c_custkey").cast("string").alias("ext_id"),
                        "is_resubscribe", "rank_in_type"))
     counts = A.counts_by(x, "ext_type", ~F.col("valid"))
     return exports, rejects, counts
 
 
 def email_export(spark: SparkSession, base: str) -> DataFrame:
+    """Every valid candidate, ranked within its source type."""
     return email_export_parts(spark, base)[0]
 
 
+def email_export_capped(spark: SparkSession, base: str) -> DataFrame:
+    """P3 + W8: the same with a limit per source type."""
+    return email_export_parts(spark, base, CAPPED_EXPORT)[0]
+
+
 def _resub_sql() -> str:
     from canvass.plans.sync_jobs import RESUBSCRIBE_FILTER_SQL
     return RESUBSCRIBE_FILTER_SQL
@@ -149,5 +157,7 @@ x AS (SELECT cand.email, cand.is_resubscribe, cust.c_custkey, cust.ext_type,
         FROM cand JOIN cust ON cust.email = cand.email LEFT JOIN nation n ON n.n_nationkey = cust.c_nationkey),
 r AS (SELECT *, row_number() OVER (PARTITION BY ext_type ORDER BY c_custkey) AS rank_in_type FROM x WHERE valid)
 SELECT email, ext_type, cast(c_custkey AS varchar) AS ext_id, is_resubscribe, rank_in_type
-  FROM r WHERE rank_in_type <= {EXPORT_CAP}
+  FROM r
 """
+
+EMAIL_EXPORT_CAPPED_SQL = EMAIL_EXPORT_SQL + f" WHERE rank_in_type <= {CAPPED_EXPORT}"

@@ -29,6 +29,7 @@ REGISTRY = {
     "suppress_by_region": (cj.suppress_by_region, cj.SUPPRESS_BY_REGION_SQL),
     "semi_recent": (cj.semi_recent, cj.SEMI_RECENT_SQL),
     "phone_class": (cj.phone_class, cj.PHONE_CLASS_SQL),
+    "canonical_identity": (cj.canonical_identity, cj.CANONICAL_IDENTITY_SQL),
     "identity_match": (cj.identity_match, cj.IDENTITY_MATCH_SQL),
     "union_feeds": (cj.union_feeds_q, cj.UNION_FEEDS_SQL),
     "distinct_union": (cj.distinct_union, cj.DISTINCT_UNION_SQL),
@@ -66,6 +67,7 @@ REGISTRY = {
     "day_matched": (xj.day_matched, xj.DAY_MATCHED_SQL),
     "sms_optin_export": (ox.sms_optin_export, ox.SMS_OPTIN_EXPORT_SQL),
     "email_export": (ox.email_export, ox.EMAIL_EXPORT_SQL),
+    "email_export_capped": (ox.email_export_capped, ox.EMAIL_EXPORT_CAPPED_SQL),
     "result_report": (ej.result_report, ej.RESULT_REPORT_SQL),
     # State machine over free text: no SQL form; tests replay a scripted transcript.
     "dialogue_replay": (ej.dialogue_replay, None),

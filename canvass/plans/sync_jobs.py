@@ -15,7 +15,7 @@ from canvass.operators import groups as G
 from canvass.operators import joins as J
 from canvass.operators import scan as S
 from canvass.plans import derive as d
-from canvass.plans.contact_jobs import EVENT_TYPES, identity_match, user_phone
+from canvass.plans.contact_jobs import EVENT_TYPES, IDENTITY_MATCH_SQL, identity_match, user_phone
 from canvass.sources.tables import Tables
 
 
@@ -255,26 +255,14 @@ UNION ALL SELECT event_id, 'past_' || upper(event_type) FROM events WHERE ts < {
 def group_members(spark: SparkSession, base: str) -> DataFrame:
     """Members per (event-type group, target), ids from the identity match."""
     ev = Tables(spark, base).events
-    ids = identity_match(spark, base)
-    m = ev.select("user_id", F.concat(F.lit("evt_"), F.col("event_type")).alias("group_name")).distinct().join(ids, "user_id")
-    long = (m.select("group_name", F.lit("crm").alias("target"), F.col("cons_id").alias("member_id"))
-            .unionByName(m.select("group_name", F.lit("sms").alias("target"), F.col("profile_id").alias("member_id"))))
-    return G.group_members(long, "group_name", "target", "member_id")
-
-
-GROUP_MEMBERS_SQL = """
-WITH ids AS (""" + """
-SELECT u.user_id, crm.cons_id, sms.profile_id FROM (SELECT DISTINCT user_id FROM events) u
-  LEFT JOIN (SELECT min(c_custkey) AS cons_id, trim(lower(concat(replace(lower(c_name), '#', '.'), '@example.com'))) AS email
-               FROM customer GROUP BY 2) crm
-    ON crm.email = trim(lower('customer.' || lpad(cast(u.user_id AS varchar), 9, '0') || '@example.com'))
-  LEFT JOIN (SELECT min(c_custkey) AS profile_id, cast(2000000000 + c_custkey * 7919 AS varchar) AS phone
-               FROM customer WHERE c_acctbal > 0 GROUP BY 2) sms
-    ON sms.phone = cast(2000000000 + u.user_id * 7919 AS varchar)),
-m AS (SELECT DISTINCT e.user_id, 'evt_' || e.event_type AS group_name FROM events e)
-SELECT DISTINCT group_name, 'crm' AS target, cons_id AS member_id FROM m JOIN ids USING (user_id) WHERE cons_id IS NOT NULL
-UNION
-SELECT DISTINCT group_name, 'sms', profile_id FROM m JOIN ids USING (user_id) WHERE profile_id IS NOT NULL
+    groups = ev.select("user_id", F.concat(F.lit("evt_"), F.col("event_type")).alias("group_name")).distinct()
+    return G.group_members(groups.join(identity_match(spark, base), "user_id"), "group_name", "target", "member_id")
+
+
+GROUP_MEMBERS_SQL = f"""
+WITH ids AS ({IDENTITY_MATCH_SQL})
+SELECT DISTINCT 'evt_' || e.event_type AS group_name, ids.target, ids.member_id
+  FROM events e JOIN ids USING (user_id)
 """
 
 OLD_BEFORE = "1999-01-01"
@@ -330,13 +318,13 @@ CAP_PER_TYPE = 100
 BATCH_SIZE = 100
 
 
-def cap_per_type(spark: SparkSession, base: str) -> DataFrame:
+def cap_per_type(spark: SparkSession, base: str, cap: int = CAP_PER_TYPE) -> DataFrame:
     """W8 (CRM form): at most N accepted exports per type, counting only
     eligible rows. A top-k per group: Catalyst keeps at most N rows per group
     per task before the shuffle (WindowGroupLimit)."""
     c = Tables(spark, base).customer.filter(F.col("c_acctbal") > 0)
     rn = F.row_number().over(Window.partitionBy("c_mktsegment").orderBy(F.col("c_custkey").asc()))
-    return (c.withColumn("rank_in_type", rn.cast("long")).filter(F.col("rank_in_type") <= CAP_PER_TYPE)
+    return (c.withColumn("rank_in_type", rn.cast("long")).filter(F.col("rank_in_type") <= cap)
             .select("c_custkey", "c_mktsegment", "rank_in_type"))
 
 
@@ -350,12 +338,12 @@ SELECT c_custkey, c_mktsegment, rank_in_type FROM (
 def batches(spark: SparkSession, base: str) -> DataFrame:
     """SNK6: numbered batches of 100 per segment, in key order, without a
     one-task window per segment."""
-    c = Tables(spark, base).customer.select("c_custkey", "c_mktsegment")
+    c = Tables(spark, base).customer.select("c_custkey", "c_mktsegment", "c_name")
     return S.batches(c, BATCH_SIZE, ["c_custkey"], ["c_mktsegment"])
 
 
 BATCHES_SQL = f"""
-SELECT c_custkey, c_mktsegment,
+SELECT c_custkey, c_mktsegment, c_name,
        cast(floor((row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1) / {BATCH_SIZE}) AS bigint) AS batch
   FROM customer
 """

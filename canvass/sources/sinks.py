@@ -51,23 +51,34 @@ def constituent_xml(df: DataFrame, fields: list[str], group_ids: list[int], sour
 
 
 def field_xml(key: Column, fields: list[str], field_ids: dict[str, int]) -> Column:
-    """SNK8: custom-field update XML. A field with no value renders without a
-    ``value`` element (meaning "clear it"); whole floats print as integers."""
-    items = [F.struct(F.lit(field_ids[f]).alias("_id"),
-                      whole_number_text(F.col(f).try_cast("double")).alias("value")) for f in fields]
+    """SNK8: custom-field update XML. A field with no value (null, empty text,
+    the number 0, false) renders without a ``value`` element, which clears it.
+    Texts stay as they are, also '0'; whole numbers print as integers, also
+    those that a diff made text ('24.0')."""
+    def value(f: str) -> Column:
+        c = F.col(f)
+        number = c.cast("string").try_cast("double")
+        return (F.when((F.typeof(c) == "string") & c.cast("string").rlike(r"^-?[0-9]+\.[0-9]+$"), whole_number_text(number))
+                .when(F.typeof(c) == "string", F.nullif(c.cast("string"), F.lit("")))
+                .when(F.typeof(c).isin("date", "timestamp"), c.cast("string"))
+                .when(F.typeof(c) == "boolean", F.when(c.cast("string") == "true", F.lit("True")))
+                .when(number != 0, whole_number_text(number)))
+    items = [F.struct(F.lit(field_ids[f]).alias("_id"), value(f).alias("value")) for f in fields]
     return F.to_xml(F.struct(key.alias("_id"), F.array(*items).alias("cons_field")), {"rowTag": "cons"})
 
 
 def profile_payload(phone11: Column, fields: list[str], ints: list[str], yesno: list[str]) -> Column:
     """SNK9: SMS profile JSON: null/empty keys dropped (``to_json`` omits
-    nulls), ints rounded half-even, 1/0 as Yes/No, phone as ``1`` + 10 digits."""
+    nulls), ints rounded half-even, 1/0 as Yes/No and Yes/No as they are, other
+    values unchanged, phone as ``1`` + 10 digits."""
     def val(f: str) -> Column:
         c = F.col(f)
         if f in ints:
             return F.bround(c.try_cast("double"), 0).cast("bigint")
         if f in yesno:
-            d = c.try_cast("double")
-            return F.when(d == 1, F.lit("Yes")).when(d == 0, F.lit("No"))
+            d = c.cast("string").try_cast("double")
+            return (F.when(d == 1, F.lit("Yes")).when(d == 0, F.lit("No"))
+                    .otherwise(F.nullif(c.cast("string"), F.lit(""))))
         return F.nullif(c.cast("string"), F.lit(""))
     phone = F.concat(F.lit("1"), F.right(phone11, F.lit(10)))
     return F.to_json(F.struct(phone.alias("phone_number"), *[val(f).alias(f) for f in fields]))

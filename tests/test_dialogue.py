@@ -1,50 +1,61 @@
-"""Referral dialogue transcript (batch replay and stream give the same replies)."""
+"""Referral dialogue: invented conversations, batch replay and stream alike."""
 
 import os
 import tempfile
 
 from canvass.operators import dialogue as DG
 
-SCRIPT = [
-    ("", "Let's get more people to join in this fight!\n" + DG.ASK_REASON.format(candidate=DG.CANDIDATE)),
-    ("Because the *system* needs fixing; now it's time For change!", DG.ASK_NAME),
-    ("Alex Rivera-Stone", DG.ASK_ZIP),
-    ("94801", DG.ASK_FRIEND),
-    ("Robin Vale", "Cool, what's Robin Vale's phone number?"),
-    ("6505550177", "What city and state does Robin live in? For example: Reno NV"),
-    ("Richmond CA", "Great, sent an invite to Robin. What's the name of another person you'd like "
-                    "to invite to join the fight?"),
-    ("Dana  Moss-Lee", "Cool, what's Dana Moss-Lee's phone number?"),
-    ("", "Let's get more people to join in this fight!\n" + DG.ASK_FRIEND),
-    ("Sam Quincy Hart", "Cool, what's Sam Hart's phone number?"),
-    ("no digits here", "Cool, what's Sam Hart's phone number?"),
-    ("Nowhere Special", "Cool, what's Sam Hart's phone number?"),
+WHY = DG.ASK_REASON.format(candidate=DG.CANDIDATE)
+# (message, question open afterwards, reply)
+TALK = [
+    ("We need clean rivers", "who", DG.START + DG.ASK_NAME),          # a first message is the reason
+    ("Ines", "who", DG.RETRY_NAME),
+    ("ines okafor", "where", DG.ASK_ZIP),
+    ("no idea", "where", DG.RETRY_ZIP),
+    ("it is 50309 I think", "friend", DG.ASK_FRIEND),
+    ("Otto Brandt", "friend_phone", DG.ASK_PHONE.format(friend="Otto Brandt")),
+    ("he has none", "friend_phone", DG.ASK_PHONE.format(friend="Otto Brandt")),
+    ("then 515 555 0133", "friend_place", DG.ASK_CITY.format(first="Otto")),
+    ("somewhere", "friend_place", DG.RETRY_CITY),
+    ("Ames Iowa", "friend", DG.SENT.format(first="Otto")),
+    ("Mia Lund", "friend_phone", DG.ASK_PHONE.format(friend="Mia Lund")),
+    ("", "friend", DG.START + DG.ASK_FRIEND),                         # starts over; own slots are kept
+    ("Mia", "friend", DG.RETRY_FRIEND),
+    ("Mia Lund", "friend_phone", DG.ASK_PHONE.format(friend="Mia Lund")),
+    ("5155550144", "friend_place", DG.ASK_CITY.format(first="Mia")),
+    ("Pella, IA", "friend", DG.SENT.format(first="Mia")),
 ]
 
 
-def _messages(spark):
-    rows = [(7, i, t) for i, (t, _) in enumerate(SCRIPT)]
-    return spark.createDataFrame(rows, "conv_id long, turn long, text string")
+def _messages(spark, key=7):
+    return spark.createDataFrame([(key, i, m) for i, (m, _, _) in enumerate(TALK)], "conv_id long, turn long, text string")
 
 
-def test_batch_transcript(spark):
+def test_batch_replay(spark):
     out = sorted(DG.dialogue_replay(_messages(spark)).collect(), key=lambda r: r["turn"])
-    assert [r["reply"] for r in out] == [want for _, want in SCRIPT]
-    sent = [r for r in out if r["referral_sent"]]
-    assert len(sent) == 1
-    s = sent[0]
-    assert (s["referee_full"], s["referee_phone"], s["referee_city"], s["referee_state"]) == \
-        ("Robin Vale", "16505550177", "Richmond", "CA")
-    assert (s["referrer_full"], s["referrer_postal_code"]) == ("Alex Rivera-Stone", "94801")
+    assert [(r["state_after"], r["reply"]) for r in out] == [(q, want) for _, q, want in TALK]
+    sent = [(r["referee_full"], r["referee_phone"], r["referee_city"], r["referee_state"], r["referrer_first"], r["referrer_last"],
+             r["referrer_postal_code"], r["referrer_reason"]) for r in out if r["referral_sent"]]
+    own = ("Ines", "Okafor", "50309", "We need clean rivers")
+    assert sent == [("Otto Brandt", "15155550133", "Ames", "IA", *own), ("Mia Lund", "15155550144", "Pella", "IA", *own)]
     refs = DG.referrals(DG.dialogue_replay(_messages(spark))).collect()
-    assert [(r["referrer"], r["referee_phone"]) for r in refs] == [(7, "16505550177")]
+    assert sorted(r["referee_phone"] for r in refs) == ["15155550133", "15155550144"]
+
+
+def test_empty_first_message_asks_and_known_slots_are_skipped(spark):
+    rows = spark.createDataFrame([(1, 0, ""), (2, 0, ""), (3, 0, None)], "conv_id long, turn long, text string")
+    known = spark.createDataFrame([(2, "Because", "Ana Diaz", "Ana", "Diaz", "50010", "ana@example.org"),
+                                   (3, "Because", None, None, None, "50010", None)],
+                                  "conv_id long, reason string, full string, first string, last string, postal_code string, email string")
+    got = {r["conv_id"]: (r["state_after"], r["reply"]) for r in DG.dialogue_replay(rows, profiles=known).collect()}
+    assert got == {1: ("why", DG.START + WHY), 2: ("friend", DG.START + DG.ASK_FRIEND), 3: ("who", DG.START + DG.ASK_NAME)}
 
 
 def test_stream_matches_batch(spark):
     root = tempfile.mkdtemp(prefix="canvass-dialogue-")
     src = os.path.join(root, "in")
     msgs = _messages(spark)
-    for lo, hi in ((0, 4), (4, 8), (8, 12)):     # three micro-batches in turn order
+    for lo, hi in ((0, 5), (5, 11), (11, 16)):     # three micro-batches in turn order
         msgs.filter(f"turn >= {lo} AND turn < {hi}").coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(src)
     q = (DG.dialogue_stream(stream).writeStream.format("parquet").option("path", os.path.join(root, "out"))
@@ -52,4 +63,4 @@ def test_stream_matches_batch(spark):
     q.awaitTermination()
     got = sorted(spark.read.schema(DG.OUT_SCHEMA).parquet(os.path.join(root, "out")).collect(),
                  key=lambda r: r["turn"])
-    assert [r["reply"] for r in got] == [want for _, want in SCRIPT]
+    assert [r["reply"] for r in got] == [want for _, _, want in TALK]

@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 import tempfile
 
 from pyspark.sql import functions as F
@@ -91,3 +92,17 @@ def test_field_xml_values(spark):
                                {"total": 1, "gifts": 2, "missing": 3}).alias("x")).first()["x"]
     assert "<value>3</value>" in x and "<value>2.5</value>" in x
     assert x.count("<value>") == 2
+
+
+def test_payload_values_by_type(spark):
+    df = spark.createDataFrame([("abc", "0", 0.0, 24.0, 1.5, "Yes", "No", 1, 0, "maybe", None, True)],
+                               "a string, b string, c double, d double, e double, f string, g string, h int, i int, j string, k string, l boolean")
+    names = list("abcdejkl")
+    x = df.select(SK.field_xml(F.lit(9), names, {n: i for i, n in enumerate(names)}).alias("x")).first()["x"]
+    got = dict(re.findall(r'cons_field id="(\d)">\s*(?:<value>([^<]*)</value>)?', x))
+    assert got == {"0": "abc", "1": "0", "2": "", "3": "24", "4": "1.5", "5": "maybe", "6": "", "7": "True"}
+    p = json.loads(df.select(SK.profile_payload(F.lit("15105550100"), list("abdfghijk"), ["d"], list("fghij")).alias("p")).first()["p"])
+    assert p == {"phone_number": "15105550100", "a": "abc", "b": "0", "d": 24, "f": "Yes", "g": "No", "h": "Yes", "i": "No", "j": "maybe"}
+    r = df.select(*[N.get_or_default(F.col(c), F.lit(v)).alias(c) for c, v in
+                    (("a", "z"), ("b", "z"), ("c", -1.0), ("d", -1.0), ("i", -1), ("h", -1), ("k", "z"))]).first()
+    assert tuple(r) == ("abc", "0", -1.0, 24.0, -1, 1, "z")
