@@ -7,6 +7,7 @@ from canvass.plans import event_jobs as ej
 from canvass.plans import export_jobs as xj
 from canvass.plans import geo_jobs
 from canvass.plans import outreach_exports as ox
+from canvass.plans.more_jobs import MORE
 from canvass.plans import stream_jobs as st
 from canvass.plans import sync_jobs as sj
 
@@ -73,4 +74,5 @@ REGISTRY = {
     "dialogue_replay": (ej.dialogue_replay, None),
     # Scripted conversations: the twin states the script's expected outcome.
     "referrals": (ej.referrals, ej.REFERRALS_SQL),
+    **MORE,
 }

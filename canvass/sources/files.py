@@ -6,7 +6,7 @@ declaring the child as an array.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,11 +57,17 @@ def read_tags(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
 
 def read_sheet(spark: SparkSession, path: str, columns: list[str], header_rows: int = 1) -> DataFrame:
     """SRC5: exported sheet; the first of ``header_rows`` rows names the
-    columns, further header rows are skipped; keep only listed columns that exist."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    columns, further header rows are skipped; keep only listed columns that
+    exist. ``path`` may be a folder of sheets, each with its own header rows."""
+    raw = spark.read.option("header", True).option("inferSchema", False)
     if header_rows > 1:
-        raw = (raw.withColumn("_i", F.monotonically_increasing_id())
-               .filter(F.col("_i") >= header_rows - 1).drop("_i"))
+        # multiLine keeps a file whole, so its rows are numbered in order
+        x = raw.option("multiLine", True).csv(path).withColumns(
+            {"_file": F.input_file_name(), "_i": F.monotonically_increasing_id()})
+        first = F.min("_i").over(Window.partitionBy("_file"))
+        raw = x.withColumn("_first", first).filter(F.col("_i") - F.col("_first") >= header_rows - 1).drop("_file", "_i", "_first")
+    else:
+        raw = raw.csv(path)
     keep = [c for c in columns if c in raw.columns]
     return raw.select(*keep)
 

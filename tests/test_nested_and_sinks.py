@@ -99,7 +99,7 @@ def test_payload_values_by_type(spark):
                                "a string, b string, c double, d double, e double, f string, g string, h int, i int, j string, k string, l boolean")
     names = list("abcdejkl")
     x = df.select(SK.field_xml(F.lit(9), names, {n: i for i, n in enumerate(names)}).alias("x")).first()["x"]
-    got = dict(re.findall(r'cons_field id="(\d)">\s*(?:<value>([^<]*)</value>)?', x))
+    got = dict(re.findall(r'cons_field id="(\d)"/?>\s*(?:<value>([^<]*)</value>)?', x))
     assert got == {"0": "abc", "1": "0", "2": "", "3": "24", "4": "1.5", "5": "maybe", "6": "", "7": "True"}
     p = json.loads(df.select(SK.profile_payload(F.lit("15105550100"), list("abdfghijk"), ["d"], list("fghij")).alias("p")).first()["p"])
     assert p == {"phone_number": "15105550100", "a": "abc", "b": "0", "d": 24, "f": "Yes", "g": "No", "h": "Yes", "i": "No", "j": "maybe"}
