@@ -209,21 +209,18 @@ SELECT c.c_custkey, c.c_nationkey, s.persons, s.persons_scored, round(s.total_sc
 
 # ---------------------------------------------------------------- joins / flags
 def membership_flags(spark: SparkSession, base: str) -> DataFrame:
-    """F7 + J2 + J4 + A8: a star of left lookups on the customer key."""
+    """F7 + J2 + J4 + A8: flags from one conditional aggregate over the orders
+    and one left join on the customer key."""
     t = Tables(spark, base)
-    o = t.orders
-    c = t.customer.select("c_custkey")
-    c = J.flag_in(c, o.filter(F.col("o_orderstatus") == "F"), "c_custkey", "in_univ", "o_custkey")
-    c = J.flag_in(c, o.filter(F.col("o_orderpriority") == "1-URGENT"), "c_custkey", "in_canv", "o_custkey")
-    voted = (o.filter((F.col("o_totalprice") > 300000) & (F.col("o_orderstatus") == "O"))
-             .select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("_v", F.lit(1)))
-    c = J.left_join_where(c, voted, ["c_custkey"], None)
-    c = (c.withColumn("voted", F.when(F.col("_v").isNull(), 0).otherwise(1))
-          .withColumn("no_vote", F.when(F.col("_v").isNull(), 1).otherwise(0)).drop("_v"))
-    myc = A.max_id(o.filter(F.col("o_orderpriority") == "2-HIGH"), "o_custkey", "o_orderkey", "myc_id")
-    c = c.join(myc.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left")
-    return c.select("c_custkey", F.col("in_univ").cast("int"), F.col("in_canv").cast("int"),
-                    F.col("voted").cast("int"), F.col("no_vote").cast("int"), "myc_id")
+    o = F.col
+    by = t.orders.groupBy(o("o_custkey").alias("c_custkey")).agg(
+        F.max((o("o_orderstatus") == "F").cast("int")).alias("in_univ"),
+        F.max((o("o_orderpriority") == "1-URGENT").cast("int")).alias("in_canv"),
+        F.max(((o("o_totalprice") > 300000) & (o("o_orderstatus") == "O")).cast("int")).alias("voted"),
+        F.max(F.when(o("o_orderpriority") == "2-HIGH", o("o_orderkey"))).alias("myc_id"))
+    c = t.customer.select("c_custkey").join(by, "c_custkey", "left")
+    return c.select("c_custkey", *[F.coalesce(f, F.lit(0)).alias(f) for f in ("in_univ", "in_canv", "voted")],
+                    (1 - F.coalesce("voted", F.lit(0))).alias("no_vote"), "myc_id")
 
 
 MEMBERSHIP_FLAGS_SQL = """

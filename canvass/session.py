@@ -31,14 +31,14 @@ CORE_CONF = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "canvass") -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (SparkSession.builder
-               .master(master or f"local[{cpus}]")
-               .appName(app_name)
-               .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", os.environ.get("CANVASS_DRIVER_MEMORY", "16g"))
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus))))
+    """A session with the library's settings. Master and shuffle partitions
+    stay the caller's (spark-submit, cluster defaults) unless given here."""
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
+    if master:
+        builder = builder.master(master).config("spark.driver.memory", os.environ.get("CANVASS_DRIVER_MEMORY", "16g"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in CORE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -47,6 +47,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def local_session(app_name: str = "canvass") -> SparkSession:
+    """``local[BENCH_CPUS]`` with as many shuffle partitions, for bench and tools."""
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    return get_session(f"local[{cpus}]", cpus, app_name)
+
+
 def apply_core_conf(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on in an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.mapKeyDedupPolicy"):
@@ -55,11 +61,11 @@ def apply_core_conf(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset.
+    """Return the shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/...) folder
-    and is used as is. Only when the session has none (tests, local runs) do
-    we make a fresh temporary folder.
+    On a cluster ``spark.checkpoint.dir`` must name a shared (HDFS/S3/...)
+    folder; without it this raises. Only a local session (tests, laptops) that
+    has none gets a fresh temporary folder.
     """
     try:
         sc = spark.sparkContext
@@ -70,6 +76,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="canvass-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return conf_dir
