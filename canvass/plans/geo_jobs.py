@@ -142,13 +142,19 @@ SELECT strftime(a.timeframe_start, '%Y-%m-%d') AS timeframe_start,
 
 RADIUS_MILES = 50.0
 RADIUS_TOP = 3
+RADIUS_FROM, RADIUS_TO = "1995-06-01", "1999-12-31"
+RADIUS_TYPES = (0, 1, 2)
 
 
 def radius_events(spark: SparkSession, base: str) -> DataFrame:
-    """Per customer, the first 3 suppliers (by id) within 50 miles."""
+    """Per customer, the first 3 sites (by id) within 50 miles that start in
+    a time range, are of a listed type and not full (positive balance). The
+    filters come before the join; the limit is applied per task before the shuffle."""
     t = Tables(spark, base)
     origins = d.customer_geo(t.customer).select("c_custkey", "c_lat", "c_lng")
-    pois = d.supplier_geo(t.supplier).select("s_suppkey", "s_lat", "s_lng")
+    open_ = (F.col("start_date").between(F.lit(RADIUS_FROM).cast("date"), F.lit(RADIUS_TO).cast("date"))
+             & (F.col("s_nationkey") % 4).isin(*RADIUS_TYPES) & (F.col("s_acctbal") > 0))
+    pois = d.supplier_sites(t.supplier).where(open_).select("s_suppkey", "s_lat", "s_lng")
     pairs = nn.within_radius(origins, pois, "c_lat", "c_lng", "s_lat", "s_lng", RADIUS_MILES)
     top = nn.top_k_per(pairs, ["c_custkey"], [F.col("s_suppkey").asc()], RADIUS_TOP)
     return top.select("c_custkey", "s_suppkey", "distance")
@@ -156,7 +162,9 @@ def radius_events(spark: SparkSession, base: str) -> DataFrame:
 
 RADIUS_EVENTS_SQL = f"""
 WITH o AS (SELECT c_custkey, {d.CUSTOMER_LAT_SQL} AS c_lat, {d.CUSTOMER_LNG_SQL} AS c_lng FROM customer),
-p AS (SELECT s_suppkey, {d.SUPPLIER_LAT_SQL} AS s_lat, {d.SUPPLIER_LNG_SQL} AS s_lng FROM supplier),
+p AS (SELECT s_suppkey, {d.SUPPLIER_LAT_SQL} AS s_lat, {d.SUPPLIER_LNG_SQL} AS s_lng FROM supplier
+       WHERE {d.SITE_START_SQL} BETWEEN DATE '{RADIUS_FROM}' AND DATE '{RADIUS_TO}'
+         AND s_nationkey % 4 IN {RADIUS_TYPES} AND s_acctbal > 0),
 x AS (SELECT o.c_custkey, p.s_suppkey,
              round({sphere_miles_sql('o.c_lat', 'o.c_lng', 'p.s_lat', 'p.s_lng')}, 6) AS distance
         FROM o CROSS JOIN p),

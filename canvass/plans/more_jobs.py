@@ -399,7 +399,93 @@ SELECT cast(event_id AS varchar) AS order_number,
   FROM events
 """
 
+def profiles_flat(spark: SparkSession, base: str) -> DataFrame:
+    """SRC3 + AR2 + O4: profile pages written as XML from customers, read and flattened; messages newest first."""
+    root = scratch_folder(spark, "profiles")
+    k = F.col("c_custkey")
+    text = k.cast("string")
+
+    def message(i: int):
+        return F.struct(F.concat(text, F.lit(f"-{i}")).alias("id"),
+                        F.concat(F.lit("2024-01-0"), ((k + i * 3) % 7 + 1).cast("string")).alias("when"))
+
+    def campaign(c):
+        return F.struct(c.cast("string").alias("campaign_id"))
+
+    pages = Tables(spark, base).customer.select(
+        text.alias("id"), d.customer_phone().alias("phone_number"), F.lit("Pat").alias("first_name"),
+        F.when(k % 2 == 0, F.struct(F.array(F.struct(F.lit("seg").alias("name"), F.col("c_mktsegment").alias("value")))
+                                    .alias("custom_column"))).alias("custom_columns"),
+        F.when(k % 3 != 0, F.struct(F.array(campaign(k % 9), campaign(F.lit(4))).alias("subscription"))).alias("subscriptions"),
+        F.struct(F.array(message(0), message(1), message(2)).alias("message")).alias("messages"))
+    pages.write.format("xml").option("rootTag", "profiles").option("rowTag", "profile").save(f"{root}/pages")
+    flat = N.flatten_profiles(SF.read_profiles_xml(spark, f"{root}/pages"))
+    return flat.select(F.col("id").cast("long").alias("id"), "phone_number", F.array_join("campaign_ids", ",").alias("campaigns"),
+                       F.try_element_at("custom_columns", F.lit("seg")).alias("seg"), F.col("last_message.id").alias("last_message"),
+                       F.size("messages").alias("n_messages"))
+
+
+PROFILES_FLAT_SQL = f"""
+WITH c AS (SELECT *, [c_custkey % 7, (c_custkey + 3) % 7, (c_custkey + 6) % 7] AS w FROM customer)
+SELECT c_custkey AS id, {d.CUSTOMER_PHONE_SQL} AS phone_number,
+       CASE WHEN c_custkey % 3 = 0 THEN '' WHEN c_custkey % 9 = 4 THEN '4'
+            ELSE cast(least(c_custkey % 9, 4) AS varchar) || ',' || cast(greatest(c_custkey % 9, 4) AS varchar) END AS campaigns,
+       CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS seg,
+       cast(c_custkey AS varchar) || '-' || cast(list_position(w, list_max(w)) - 1 AS varchar) AS last_message, 3 AS n_messages
+  FROM c
+"""
+
+
+def address_flat(spark: SparkSession, base: str) -> DataFrame:
+    """AR3 + P15: geocoder answers to flat address columns."""
+    def part(kind: str, value):
+        return F.struct(F.array(F.lit(kind), F.lit("political")).alias("types"), value.cast("string").alias("short_name"))
+
+    k = F.col("c_custkey")
+    parts = F.filter(F.array(
+        part("street_number", k), part("locality", F.col("c_mktsegment")), part("administrative_area_level_1", F.lit("IA")),
+        part("postal_code", F.lpad((k % 99999).cast("string"), 5, "0")),
+        F.when(k % 4 == 0, part("postal_code_suffix", F.lit("0042")))), lambda p: p.isNotNull())
+    c = Tables(spark, base).customer.select("c_custkey", F.struct(
+        parts.alias("address_components"), F.concat(F.lit("p"), k.cast("string")).alias("place_id"),
+        F.struct(F.struct(F.lit(1.5).alias("lat"), F.lit(-2.5).alias("lng")).alias("location")).alias("geometry")).alias("result"))
+    return N.flatten_address(c, "result").drop("result")
+
+
+ADDRESS_FLAT_SQL = """
+SELECT c_custkey, cast(c_custkey AS varchar) AS street_number, cast(NULL AS varchar) AS route, c_mktsegment AS city, 'IA' AS state,
+       lpad(cast(c_custkey % 99999 AS varchar), 5, '0') AS zip5,
+       lpad(cast(c_custkey % 99999 AS varchar), 5, '0') || CASE WHEN c_custkey % 4 = 0 THEN '-0042' ELSE '' END AS zip9,
+       'p' || c_custkey AS place_id, 1.5::DOUBLE AS lat, (-2.5)::DOUBLE AS lng
+  FROM customer
+"""
+
+
+def events_formatted(spark: SparkSession, base: str) -> DataFrame:
+    """AR6 + X16: saved search responses, one per user, to one row per event; a sponsor whitelist."""
+    e = Tables(spark, base).events.where("user_id is not null")
+    item = F.struct(
+        F.col("event_id").alias("id"), F.col("event_type").alias("title"), F.col("event_type"), F.lit("America/Chicago").alias("timezone"),
+        F.concat(F.lit("https://events.example.org/e/"), F.col("event_id").cast("string")).alias("browser_url"),
+        F.array(F.struct(F.lit(1).alias("id"), F.lit(False).alias("is_full"), F.unix_timestamp("ts").alias("start_date"),
+                         (F.unix_timestamp("ts") + 3600).alias("end_date"))).alias("timeslots"),
+        F.struct((F.col("event_id") % 5).cast("int").alias("id")).alias("sponsor"),
+        F.struct(F.lit("Ames").alias("locality"), F.lit("IA").alias("region"), F.lit("50010").alias("postal_code")).alias("location"))
+    # a response holds one user's events of one day: bounded by what a page shows
+    replies = e.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.collect_list(item).alias("data"))
+    out = N.format_events(replies, utm_source="mail", sponsor_whitelist=[1, 3])
+    return out.select("id", "count", "url", "city", F.size("timeslots").alias("n_slots"))
+
+
+EVENTS_FORMATTED_SQL = """
+SELECT event_id AS id, cast(count(*) OVER (PARTITION BY user_id, cast(ts AS date)) AS integer) AS count,
+       'https://events.example.org/e/' || event_id || '?utm_source=mail' AS url, 'Ames' AS city, 1 AS n_slots
+  FROM events WHERE user_id IS NOT NULL QUALIFY event_id % 5 IN (1, 3)
+"""
+
 MORE = {
+    "profiles_flat": (profiles_flat, PROFILES_FLAT_SQL), "address_flat": (address_flat, ADDRESS_FLAT_SQL),
+    "events_formatted": (events_formatted, EVENTS_FORMATTED_SQL),
     "field_xml": (field_xml, FIELD_XML_SQL), "profile_payload": (profile_payload, PROFILE_PAYLOAD_SQL),
     "nested_default": (nested_default, NESTED_DEFAULT_SQL), "constituent_record": (constituent_record, CONSTITUENT_RECORD_SQL),
     "merge_row": (merge_row, MERGE_ROW_SQL), "written_and_read": (written_and_read, WRITTEN_AND_READ_SQL),
