@@ -1,8 +1,8 @@
 """Size checks behind every broadcast.
 
 A side is broadcast only after a bounded count proves it small: the count
-reads at most ``limit + 1`` rows (``limit`` pushes into the scan), so the check
-itself never scans a big table in full. Past the bound the caller gets the
+reads at most ``limit + 1`` rows. Over a plain scan that is all the work; over
+an aggregate or a distinct list the check runs it once more. Past the bound the caller gets the
 frame back unchanged and Spark plans a shuffle join (AQE may still switch).
 """
 

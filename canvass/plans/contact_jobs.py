@@ -241,14 +241,16 @@ SELECT c.c_custkey,
 
 TARGETED_NATIONS = [7, 13, 19]
 REQUESTED_SINCE = "2000-01-01"
+MOVED_NATIONS = [9, 24]
 
 
 def target_universe(spark: SparkSession, base: str) -> DataFrame:
-    """flagged, not already requested; district list, OR of three
+    """flagged, not already requested, not moved away; district list, OR of three
     signals and a long-text test as 0/1 columns."""
     t = Tables(spark, base)
     flags = membership_flags(spark, base)
-    c = t.customer.join(flags, "c_custkey").filter(F.col("in_univ") == 1)
+    c = t.customer.join(flags, "c_custkey").filter(
+        (F.col("in_univ") == 1) & ~F.col("c_nationkey").isin(MOVED_NATIONS))
     requested = t.orders.filter((F.col("o_orderstatus") == "P")
                                 & (F.col("o_orderdate") >= F.lit(REQUESTED_SINCE).cast("timestamp")))
     c = J.subtract_known(c, requested, "c_custkey", "o_custkey")
@@ -267,7 +269,7 @@ SELECT c.c_custkey,
        CASE WHEN f.in_canv = 1 OR f.voted = 1 OR c.c_acctbal > 5000 THEN 1 ELSE 0 END AS is_strong,
        CASE WHEN length(c.c_mktsegment) > 8 THEN 1 ELSE 0 END AS is_rally
   FROM customer c JOIN f USING (c_custkey)
- WHERE f.in_univ = 1
+ WHERE f.in_univ = 1 AND NOT (c.c_nationkey IN ({', '.join(map(str, MOVED_NATIONS))}))
    AND c.c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'
                              AND o_orderdate >= TIMESTAMP '{REQUESTED_SINCE}' AND o_custkey IS NOT NULL)
 """

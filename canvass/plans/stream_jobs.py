@@ -48,7 +48,7 @@ def donor_stream(spark: SparkSession, base: str) -> DataFrame:
     """ST1 + ST2 + SRC2 end to end; final donor state per email."""
     root = scratch_folder(spark, "donor-stream")
     orders_as_donations(spark, base).write.mode("overwrite").json(f"{root}/in")
-    good, _bad = SD.read_donations(spark, f"{root}/in", streaming=True)
+    good, _bad = SD.read_donations(spark, f"{root}/in", streaming=True, max_files_per_trigger=64)
     updates = SD.donor_stream(SD.flatten_donation(good), DONOR_SALT, BINDING_DEBATE_DAYS)
     q = (updates.writeStream.format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/checkpoint").outputMode("append")

@@ -5,8 +5,8 @@
 * ``donor_stream``: per-email state with ``applyInPandasWithState``. Inside a
   micro-batch rows are sorted by arrival; an event whose paid time is not
   later than the key's high-water mark is dropped (a per-key rule — a global
-  watermark would drop other donors' events). State is O(1) per donor, so a
-  donor with a third of all events still streams through in chunks.
+  watermark would drop other donors' events). State is O(1) per donor; the rows
+  of a donor in one micro-batch are held together, so the trigger bounds them.
 * ``lag_metrics`` (ST3, re-aimed as a 5-minute tumbling window with a
   watermark), ``gate`` (ST4), ``opt_in`` (ST5, stream-static anti join),
   ``archive`` (ST6 with SNK1 keys).
