@@ -16,9 +16,10 @@ are linked; classes are the connected components. The first line of a class
    beginnings and ends (but for a few characters) are left out; as both ends of
    the rest take an edit, a pair passes only if a piece between them is unchanged.
 4. Keys with many lines do not make all pairs: in each round the next few lines
-   of a key, twice as many as before, are paired with its other lines that they are
-   not connected to yet. Keys whose lines are all connected leave. So no link
-   between classes is lost.
+   of a key, some times as many as before, are paired with its other lines that
+   they are not connected to yet and whose length and letter counts are near
+   enough. Keys whose lines are all connected leave. So no link between classes
+   is lost.
 
 All on DataFrame functions; nothing but distinct lines and 16-byte key rows is
 shuffled. Removed line numbers are joined back to the documents by a broadcast
@@ -40,8 +41,10 @@ from canvass.llm.common import components, read_table, staged
 
 EDITS = 2
 MIN_CHARS = 32
-FIRST_LEADS = 4
-BROADCAST_ROWS = 1_000_000   # lists of line numbers, some 100 MB
+FIRST_LEADS = 64   # lines of a key that meet all others in the first round, and the growth per round
+BROADCAST_ROWS = 1_000_000   # line ids, or lists of line numbers, some 100 MB
+# Letters counted together: similar lines have similar counts (any partition will do).
+BAGS = ("eE", "aA", "iI", "oO", "nN", "tT", "rR", "sS", "lLhH", "dDcC", "uUyY", "mMgG", "wWbBpPfF", "0123456789", " ", ".,")
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -50,25 +53,23 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             .where(F.length("line") >= MIN_CHARS))
 
 
-def _segment(length: Column, i: int, k: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of segment i (from 1) of k: the last ones take the remainder."""
-    base, rest = F.floor(length / k).cast("int"), (length % k).cast("int")
-    extra = F.greatest(F.lit(0), F.lit(i - 1 - k) + rest)
-    return F.lit(i - 1) * base + extra + 1, base + (F.lit(i) > F.lit(k) - rest).cast("int")
+def _keys(lines: DataFrame, edits: int) -> DataFrame:
+    """Rows (key, id, index) of lines (id, n, line): index rows for a line's own segments, probes for lines up to ``edits`` shorter.
 
-
-def _keys(edits: int) -> Column:
-    """All (key, index) rows of a line: index rows of its own segments, probes for lines up to ``edits`` shorter."""
-    k, n, out = edits + 1, F.length("line"), []
-    for d in range(edits + 1):
-        for i in range(1, k + 1):
-            start, size = _segment(n - d, i, k)
-            for shift in range(max(1 - i, d - (k - i)), min(i - 1, d + (k - i)) + 1):
-                at = start + shift
-                key = F.xxhash64(n - d, F.lit(i), F.substring(F.col("line"), at, size))
-                out.append(F.struct(F.when((at >= 1) & (at + size <= n + 1), key).alias("key"),
-                                    F.lit(d == 0 and shift == 0).alias("index")))
-    return F.filter(F.array(*out), lambda x: x["key"].isNotNull())
+    A line is first repeated for every (length difference, segment, shift), so
+    that one short expression makes all keys.
+    """
+    k = edits + 1
+    cases = [(d, i, shift) for d in range(edits + 1) for i in range(1, k + 1)
+             for shift in range(max(1 - i, d - (k - i)), min(i - 1, d + (k - i)) + 1)]
+    rows = lines.select("id", "n", "line", F.inline(F.array(*[
+        F.struct(*[F.lit(v).alias(c) for c, v in zip(("d", "i", "shift"), case)]) for case in cases])))
+    # segment i of a text of n - d characters: all of the same size, the last ones a character longer
+    start = F.expr(f"(i - 1) * ((n - d) div {k}) + greatest(0, i - 1 - {k} + (n - d) % {k}) + 1 + shift").cast("int")
+    size = F.expr(f"(n - d) div {k} + if(i > {k} - (n - d) % {k}, 1, 0)").cast("int")
+    rows = rows.withColumns({"start": start, "size": size}).where("start >= 1 and start + size <= n + 1")
+    return rows.select("id", F.xxhash64(F.expr("n - d"), "i", F.substring("line", F.col("start"), F.col("size"))).alias("key"),
+                       F.expr("d = 0 and shift = 0").alias("index"))
 
 
 def _shared_start(a: str, b: str) -> str:
@@ -125,27 +126,35 @@ def _similar(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
 
 
 def line_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Links (a, b) between distinct lines (id, line) that make the same components as all pairs within ``edits`` edits."""
-    keyed = lines.select("id", F.inline(_keys(edits)))
-    shared = keyed.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.max("index").alias("index")).where(
-        "x != y and index").select("key")
-    now = keyed.join(shared, "key").groupBy("key", "id").agg(F.max("index").alias("index"))
+    """Links (a, b) between distinct lines (id, n, line) that make the same components as all pairs within ``edits`` edits."""
+    # one exchange by key: rows whose key has an index row and a second line
+    same = Window.partitionBy("key")
+    keyed = _keys(lines, edits).withColumns({
+        "x": F.min("id").over(same), "y": F.max("id").over(same), "any": F.max("index").over(same)}).where("x != y and any")
+    now = staged(keyed.groupBy("key", "id").agg(F.max("index").alias("index")), "shared")
+    ids = staged(now.select("id").distinct(), "ids")
+    some = staged(lines.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "id")
+                  .withColumns({f"bag{i}": _count_of("line", b) for i, b in enumerate(BAGS)}), "some")
+    bags = [f"bag{i}" for i in range(len(BAGS))]
     order = Window.partitionBy("key").orderBy(F.desc("index"), "id")
-    now = staged(now.withColumn("place", F.row_number().over(order).cast("bigint") - 1), "keys")
-    now = now.withColumn("component", F.col("id"))
+    now = now.withColumn("place", F.row_number().over(order).cast("bigint") - 1).join(some.select("id", "n", *bags), "id")
+    now = staged(now, "keys").withColumn("component", F.col("id"))
+    # an edit changes the lengths by one and the counts of letters by two at most
+    near = " + ".join(f"abs({c} - lead_{c})" for c in bags) + f" <= {2 * edits} and abs(n - lead_n) <= {edits}"
     links = tested = None
     low, high = 0, FIRST_LEADS
     while True:
         leads = now.where(F.col("index") & F.col("place").between(low, high - 1)).select(
-            "key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("place").alias("pa"))
-        pairs = (leads.join(now, "key").where("place > pa and component != ca")
+            "key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("place").alias("pa"),
+            *[F.col(c).alias(f"lead_{c}") for c in ("n", *bags)])
+        pairs = (leads.join(now.withColumnRenamed("key", "lead_key"), F.expr(f"key = lead_key and place > pa and component != ca and {near}"))
                  .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
-        found = _similar(pairs, lines, edits)
+        found = _similar(pairs, some, edits)
         links, tested = (found, pairs) if links is None else (links.union(found), tested.union(pairs))
-        low, high = high, 2 * high + 1
+        low, high = high, FIRST_LEADS * high
         now = now.drop("component").join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
                                        F.max(F.when(F.col("index"), F.col("place"))).alias("last")).where(
@@ -155,14 +164,19 @@ def line_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
             return links
 
 
+def _count_of(column: str, letters: str) -> Column:
+    return F.length(column) - F.length(F.translate(column, letters, ""))
+
+
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS) -> DataFrame:
     """doc_id, removed: the line numbers to remove, with the line's hash and whether the kept line differs."""
     lines = _lines(docs, doc_id, text)
     distinct = lines.groupBy("line").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
-    distinct = staged(distinct.withColumn("id", F.monotonically_increasing_id()), "lines")
-    known = components(line_links(distinct.select("id", "line"), edits))
+    distinct = staged(distinct.withColumnRenamed("n", "times").withColumns(
+        {"id": F.monotonically_increasing_id(), "n": F.length("line")}), "lines")
+    known = components(line_links(distinct.select("id", "n", "line"), edits))
     # lines that occur again or are linked; others are alone in their class
-    some = (distinct.join(known, "id", "left").where("n > 1 or component is not null")
+    some = (distinct.join(known, "id", "left").where("times > 1 or component is not null")
             .select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "first",
                     F.coalesce("component", "id").alias("component")))
     kept = some.groupBy("component").agg(F.min("first").alias("kept"))
@@ -185,7 +199,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edi
     rows = rows.withColumns({
         "deduped": F.when(whole, F.col(text)).otherwise(F.array_join(F.transform(
             F.filter("__lines", lambda x: F.size(x["hit"]) == 0), lambda x: x["line"]), "\n")),
-        "n_lines": F.coalesce(F.length(text) - F.length(F.translate(text, "\n", "")) + 1, F.lit(0)).cast("bigint"),
+        "n_lines": F.coalesce(F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("bigint"),
         "n_removed": F.when(whole, 0).otherwise(F.size(F.filter("__lines", lambda x: F.size(x["hit"]) > 0))).cast("bigint"),
         "n_near": F.when(whole, 0).otherwise(F.size(F.filter("__lines", lambda x: F.exists(x["hit"], lambda r: r["near"])))).cast("bigint")})
     return rows.select(*[c for c in docs.columns if c not in outputs], *outputs)
