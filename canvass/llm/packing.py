@@ -34,12 +34,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canvass.llm.common import byte_slices, read_table, staged
+from canvass.llm.common import byte_slices, held, read_table, staged
 
 LENGTH = 4096
 END_ID = 1
 PART_PIECES = 50_000   # pieces in one partition, some 10 MB
-CACHE = 1_000_000      # remembered words, some 200 MB at most
+CACHE = 600_000        # remembered words, some 120 MB at most
 ROUNDS = 4
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -47,7 +47,6 @@ PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint
 _RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 # Characters for which Python's lower() and the vocabulary's normal form agree.
 _PLAIN = regex.compile(r"[\t\n\r -~¡-įĲ-ɏ]*+")
-_state: dict = {}
 
 
 def default_vocabulary() -> str:
@@ -132,12 +131,6 @@ class Remembered:
         return young
 
 
-def coder(path: str) -> Coder:
-    if path not in _state:
-        _state[path] = Coder(path)
-    return _state[path]
-
-
 def pieces(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, end_id: int = END_ID,
            doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
@@ -146,8 +139,8 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH,
 
     def run(batches):
         for batch in batches:
-            for part in byte_slices(batch, 1, 6 << 20):
-                coded = coder(path).ids([t or "" for t in part.column(1).to_pylist()])
+            for part in byte_slices(batch, 1, 4 << 20):
+                coded = held(path, lambda: Coder(path)).ids([t or "" for t in part.column(1).to_pylist()])
                 rows = []
                 for d, ids in zip(part.column(0).to_pylist(), coded):
                     ids += end

@@ -30,14 +30,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canvass.llm.common import read_table, with_arrow
+from canvass.llm.common import held, read_table, with_arrow
 
 WINDOW, STRIDE = 32, 16
 WORD_ROWS, CHAR_BITS, DIM, HIDDEN = 1 << 13, 13, 12, 8
 FIT_DOCS, FIT_WINDOWS = 1500, 32
 EPOCHS, BATCH_DOCS, RATE = 6, 64, 0.01
 THRESHOLD = 0.3
-CACHE = 250_000   # words whose gate inputs are remembered in a worker, 192 bytes each
+CACHE = 200_000   # words whose gate inputs are remembered in a worker, 192 bytes each
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
@@ -196,8 +196,8 @@ def fit(docs: list[tuple[int, list[list[str]]]], epochs: int = EPOCHS, seed: int
     def scores():
         """Each document's windows' logits, with the present weights."""
         out = []
-        for i in range(0, len(coded), 256):
-            part = coded[i:i + 256]
+        for i in range(0, len(coded), 64):
+            part = coded[i:i + 64]
             got, _ = forward(np.concatenate([w for _, w in part]))
             out += np.split(got, np.cumsum([len(w) for _, w in part])[:-1])
         return out
@@ -314,15 +314,11 @@ class Scorer:
         return np.where(some, _sigmoid(a * best.astype(np.float64) + b), 0.)
 
 
-_scorers: dict = {}
-
-
 def _score(weights, texts):
     if weights.value is None:
         return ([0.0] * len(texts),)
-    if _scorers.get("of") != weights.id_:
-        _scorers.update(of=weights.id_, scorer=Scorer(weights.value))
-    return (pa.array(_scorers["scorer"](texts), pa.float64()),)
+    scorer = held(("toxicity", weights.id_), lambda: Scorer(weights.value))
+    return (pa.array(scorer(texts), pa.float64()),)
 
 
 class _Shared:

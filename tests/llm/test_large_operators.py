@@ -14,6 +14,7 @@ from canvass.llm import line_dedup as lines
 from canvass.llm import near_duplicates as near
 from canvass.llm import nearest_vectors as vectors
 from canvass.llm import packing, suffix_dedup as suffix, toxicity
+from canvass.llm.common import components
 
 
 class Groups:
@@ -65,7 +66,7 @@ def test_banded_distance_against_plain(spark, edits):
 
 
 def test_line_dedup_against_plain(spark, monkeypatch):
-    monkeypatch.setattr(lines, "FIRST_LEADS", 1)                     # more rounds
+    monkeypatch.setattr(lines, "FIRST_LEADS", 2)                     # more rounds
     r = random.Random(5)
     seeds = ["".join(r.choice("abcde ") for _ in range(r.randint(33, 60))) for _ in range(8)]
     hot = "x" * 15 + " a very common beginning of lines "              # a segment that many different lines share
@@ -156,6 +157,17 @@ def test_near_duplicates_against_plain(spark, monkeypatch, small, block):
     assert near.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_components_against_plain(spark):
+    r = random.Random(12)
+    for pairs in ([(i, i + 1) for i in range(30)], [(r.randrange(60), r.randrange(60)) for _ in range(40)], [(5, 5), (None, 3)], [(3, 1), (3, 2), (9, 1)]):
+        g = Groups({x for p in pairs for x in p if x is not None})
+        real = [(a, b) for a, b in pairs if a is not None and b is not None and a != b]
+        for a, b in real:
+            g.join(a, b)
+        got = {(q.id, q.component) for q in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+        assert got == {(x, g.find(x)) for p in real for x in p}
+
+
 def test_posterior_bound():
     assert near.least_matches(128, 0.75, 1e-6) < 96 * 0.8
     assert [near.least_matches(n, 0.75, 1e-6) for n in (32, 64, 96, 128)] == sorted(near.least_matches(n, 0.75, 1e-6) for n in (32, 64, 96, 128))
