@@ -56,7 +56,7 @@ def test_stream_state_over_three_batches(spark):
 
 
 def test_gate_and_archive_key(spark):
-    rows = [(dt.datetime(2023, 2, 11, 8, 5, 3), dt.datetime(2023, 2, 11, 8, 41, 50), "ORD-17"),
+    rows = [(dt.datetime(2023, 2, 11, 18, 5, 3), dt.datetime(2023, 2, 11, 18, 41, 50), "ORD-17"),
             (dt.datetime(2023, 2, 11, 19, 0, 0), dt.datetime(2023, 2, 12, 1, 32, 0), "X"),
             (dt.datetime(2023, 2, 12, 4, 0, 0), dt.datetime(2023, 2, 12, 4, 1, 0), "Y")]
     df = spark.createDataFrame(rows, "paid_at timestamp, received_at timestamp, order_number string")
@@ -65,7 +65,7 @@ def test_gate_and_archive_key(spark):
                    SD.archive_key("donations", F.col("received_at"), F.col("paid_at"), F.col("order_number"))
                    .alias("key")).collect()
     assert [x["send"] for x in r] == [True, False, True]
-    assert r[0]["key"] == "donations/2023-02-11_08:41:50_2023-02-11_08:05:03_ORD-17.json"
+    assert r[0]["key"] == "donations/2023-02-11_18:41:50_2023-02-11_18:05:03_ORD-17.json"
 
 
 def _write_events(root, events):
