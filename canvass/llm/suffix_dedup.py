@@ -6,8 +6,9 @@ goes; strings are judged on the input.
 1. Equal texts are found by their 128-bit hash; one of each is looked at further
    (all copies of a text of n bytes or more go whole).
 2. Texts are cut into phrases at positions whose 8-byte hash is the strict
-   minimum among its 32 neighbours on each side, so equal strings are cut alike.
-   A phrase gets a 64-bit name. Names that occur once cannot lie in a repeat;
+   minimum among its 24 neighbours on each side, so equal strings are cut alike.
+   A phrase gets a 64-bit name, of its bytes and those beside it that decide
+   about its two cuts (a window that holds both cuts holds them too). Names that occur once cannot lie in a repeat;
    the rest, with their places, are the text to sort.
 3. Difference-cover sort of that text's suffixes (places 1 and 2 modulo 3):
    sampled triples are sorted and named, the names form two shorter texts per
@@ -21,13 +22,13 @@ goes; strings are judged on the input.
    run of phrases repeats, one whose whole phrases are not shared does not.
 5. Rim windows share all their whole phrases with another place and are
    compared on all n bytes by a hash, against each other and against one copy
-   of each settled run. Windows with less than two cuts (text of a short period)
+   of the settled windows with the same whole phrases. Windows with less than two cuts (text of a short period)
    are compared so from the start.
 
 Sorting is by range partitions with counts carried over between them; nothing is
 ordered in one task or on the driver, which sees two rows per partition.
 Texts are never shuffled unless the list of spans outgrows a broadcast
-(``BROADCAST_ROWS``); phrases are, 24 bytes for some 65 of text.
+(``BROADCAST_ROWS``); phrases are, 28 bytes for some 49 of text.
 
 Defined cases: null and empty texts have no bytes and no spans; repeated rows
 are copies of each other; texts shorter than n lose nothing; other columns pass
@@ -45,10 +46,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from canvass.llm.common import byte_slices, read_table, staged, with_arrow
-from canvass.llm.hashing import RangeHash, mix
+from canvass.llm.hashing import RangeHash, mix, powers
 
 LENGTH = 400
-RADIUS, GRAM = 32, 8
+RADIUS, GRAM = 24, 8
 REACH = RADIUS + GRAM          # bytes after a cut that decide about it; RADIUS before it
 CAP = 27                       # phrases compared; a phrase has more than RADIUS bytes
 LEVELS = 3                     # triples of triples of triples: 27 phrases
@@ -64,8 +65,9 @@ def cuts(raw: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
     value = (mix(grams) >> np.uint64(32)).astype(np.uint32)
     low, span = value, 1
     while span < RADIUS:                                       # least of RADIUS values from each position on
-        low = np.minimum(low[:-span], low[span:])
-        span *= 2
+        step = min(span, RADIUS - span)
+        low = np.minimum(low[:-step], low[step:])
+        span += step
     at = np.arange(RADIUS, max(RADIUS, n - RADIUS))
     at = at[(value[at] < low[at - RADIUS]) & (value[at] < low[at + 1])]
     bounds = np.cumsum([0] + [len(r) for r in raw])
@@ -95,7 +97,7 @@ def _parse(n: int):
                 ranges = RangeHash(buf)
                 at, names, weak = 0, [], []
                 for r, c in zip(raw, cut):
-                    names.append(((ranges(at + c[:-1], at + c[1:]) >> np.uint64(1)) | np.uint64(1)).astype(np.int64).tolist() if len(c) > 1 else [])
+                    names.append(((ranges(at + c[:-1] - RADIUS, at + c[1:] + REACH) >> np.uint64(1)) | np.uint64(1)).astype(np.int64).tolist() if len(c) > 1 else [])
                     a, b = window_cuts(c, len(r), n)
                     p = np.flatnonzero(b - a < 1)
                     h = ranges(at + p, at + p + n).view(np.int64)
@@ -261,14 +263,29 @@ def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
 
 
 _PAIRS = "array<struct<start:int,end:int>>"
+_KEYED = "array<struct<start:int,end:int,key:bigint>>"
+
+
+def _keyed(mask: np.ndarray, a: np.ndarray, b: np.ndarray, total: np.ndarray) -> list[dict]:
+    """Runs of windows with the same whole phrases, with a key of those phrases."""
+    at = np.flatnonzero(mask)
+    if not len(at):
+        return []
+    new = np.flatnonzero((np.diff(at) != 1) | (np.diff(a[at]) != 0) | (np.diff(b[at]) != 0)) + 1
+    first, last = at[np.concatenate(([0], new))], at[np.append(new, len(at)) - 1]
+    _, down = powers(len(total) + 1)
+    key = mix((total[b[first]] - total[a[first]]) * down[a[first]]).view(np.int64)
+    return [{"start": i, "end": j + 1, "key": k} for i, j, k in zip(first.tolist(), last.tolist(), key.tolist())]
 
 
 def _judge(n: int):
     """Windows by phrases alone: ranges of starts that repeat for sure, that are to be compared, and one copy of sure ones."""
-    def work(sizes, cut, shared):
+    def work(sizes, cut, names, shared):
         sure, rim, copy = [], [], []
-        for size, c, s in zip(sizes.to_pylist(), cut.to_pylist(), shared.to_pylist()):
+        for size, c, name, s in zip(sizes.to_pylist(), cut.to_pylist(), names.to_pylist(), shared.to_pylist()):
             c = np.array(c, np.int64)
+            name = np.array(name, np.int64).view(np.uint64)
+            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(name * powers(len(name) + 1)[0][:-1], dtype=np.uint64)))
             before, after = np.zeros(len(c) + 1, np.int64), np.zeros(len(c) + 1, np.int64)
             pos = np.array([x["pos"] for x in s], np.int64)
             before[pos], after[pos] = [x["before"] for x in s], [x["after"] for x in s]
@@ -279,9 +296,10 @@ def _judge(n: int):
             x, y = np.searchsorted(c, p, "right") - 1, np.searchsorted(c, p + n)      # cuts around the window
             inside = (x >= 0) & (y < len(c))
             safe = inside & (most[np.maximum(x, 0)] >= y - x)
-            lead = safe & (before[np.maximum(x, 0)] < y - x)                            # the first of its run in the order
-            for out, mask in ((sure, safe), (rim, maybe & ~safe), (copy, lead)):
-                out.append([{"start": i, "end": j} for i, j in _runs(mask)])
+            lead = safe & (b - a >= 1) & (before[np.maximum(x, 0)] < y - x)             # the first of its run in the order
+            sure.append([{"start": i, "end": j} for i, j in _runs(safe)])
+            rim.append(_keyed(maybe & ~safe, a, b, total))
+            copy.append(_keyed(lead, a, b, total))
         return sure, rim, copy
     return work
 
@@ -291,16 +309,13 @@ def _windows(n: int):
     def run(batches):
         for batch in batches:
             for part in byte_slices(batch, 2, 1 << 20):
-                for h1, h2, text, rim, copy in zip(*(c.to_pylist() for c in part.columns)):
-                    buf = np.frombuffer(text.encode(), np.uint8)
-                    ranges = RangeHash(buf)
-                    for spans, check in ((rim, True), (copy, False)):
-                        p = np.concatenate([np.arange(s["start"], s["end"]) for s in spans] or [np.empty(0, np.int64)])
-                        if len(p):
-                            k = len(p)
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(ranges(p, p + n).view(np.int64)), pa.array(np.full(k, h1)), pa.array(np.full(k, h2)),
-                                 pa.array(p.astype(np.int32)), pa.array(np.full(k, check))], names=["hash", "h1", "h2", "p", "check"])
+                for h1, h2, text, spans in zip(*(c.to_pylist() for c in part.columns)):
+                    ranges = RangeHash(np.frombuffer(text.encode(), np.uint8))
+                    p = np.concatenate([np.arange(s["start"], s["end"]) for s in spans])
+                    check = np.repeat([s["check"] for s in spans], [s["end"] - s["start"] for s in spans])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ranges(p, p + n).view(np.int64)), pa.array(np.full(len(p), h1)), pa.array(np.full(len(p), h2)),
+                         pa.array(p.astype(np.int32)), pa.array(check)], names=["hash", "h1", "h2", "p", "check"])
     return run
 
 
@@ -325,12 +340,16 @@ def repeated_spans(docs: DataFrame, text: str = "text", n: int = LENGTH) -> tupl
     repeated = phrases.join(twice, "name").select(*DOC, F.lit(0).cast("bigint").alias("path"), F.col("pos").cast("bigint"), "name")
     shared = adjacent_prefixes(suffix_ranks(repeated)).where("before > 0 or after > 0")
     shared = shared.groupBy(*DOC).agg(F.collect_list(F.struct("pos", "before", "after")).alias("shared"))
-    judged = with_arrow(parsed.select(*DOC, "n_bytes", "cut").join(shared, DOC), ["n_bytes", "cut", "shared"],
-                        [("sure", _PAIRS), ("rim", _PAIRS), ("copy", _PAIRS)], _judge(n))
+    judged = with_arrow(parsed.select(*DOC, "n_bytes", "cut", "name").join(shared, DOC), ["n_bytes", "cut", "name", "shared"],
+                        [("sure", _PAIRS), ("rim", _KEYED), ("copy", _KEYED)], _judge(n))
     judged = staged(judged.select(*DOC, "sure", "rim", "copy").where("size(sure) + size(rim) > 0"), "judged")
 
-    some = judged.where("size(rim) + size(copy) > 0").select(*DOC, "rim", "copy")
-    texts = _near(single.union(one_each), some, "inner").select(*DOC, "text", "rim", "copy")
+    # sure windows are needed only where a rim has the same whole phrases
+    rims = judged.select(*DOC, F.inline("rim")).withColumn("check", F.lit(True))
+    spare = judged.select(*DOC, F.inline("copy")).withColumn("check", F.lit(False)).join(
+        rims.select("key").distinct(), "key", "left_semi").select(*rims.columns)
+    some = staged(rims.union(spare).groupBy(*DOC).agg(F.collect_list(F.struct("start", "end", "check")).alias("ranges")), "ranges")
+    texts = _near(single.union(one_each), some, "inner").select(*DOC, "text", "ranges")
     weak = parsed.select(*DOC, F.explode("weak").alias("w")).select(
         F.col("w.hash").alias("hash"), *DOC, F.col("w.p").alias("p"), F.lit(True).alias("check"))
     windows = staged(texts.mapInArrow(_windows(n), "hash bigint, h1 bigint, h2 bigint, p int, check boolean").union(weak), "windows")
