@@ -23,7 +23,8 @@ goes; strings are judged on the input.
 5. Rim windows share all their whole phrases with another place and are
    compared on all n bytes by a hash, against each other and against one copy
    of the settled windows with the same whole phrases. Windows with less than two cuts (text of a short period)
-   are compared so from the start.
+   are compared so from the start; those that repeat inside their own text are
+   settled there.
 
 Sorting is by range partitions with counts carried over between them; nothing is
 ordered in one task or on the driver, which sees two rows per partition.
@@ -79,13 +80,19 @@ def cuts(raw: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
     return buf[:n], out
 
 
+def reached(cut: np.ndarray, windows: int, ahead: int) -> np.ndarray:
+    """For each window start p, the number of cuts at p + ahead or before (a running count, not a search each)."""
+    return np.bincount(np.clip(cut - ahead, 0, windows), minlength=windows + 1)[:windows].cumsum()
+
+
 def window_cuts(cut: np.ndarray, size: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """For each window start, the numbers of the first and the last cut that the window alone decides."""
-    p = np.arange(max(0, size - n + 1))
-    return np.searchsorted(cut, p + RADIUS), np.searchsorted(cut, p + n - REACH, "right") - 1
+    windows = max(0, size - n + 1)
+    return reached(cut, windows, RADIUS - 1), reached(cut, windows, n - REACH) - 1
 
 
-PARSED = "h1 bigint, h2 bigint, n_bytes bigint, cut array<int>, name array<bigint>, weak array<struct<p:int,hash:bigint>>"
+PARSED = ("h1 bigint, h2 bigint, n_bytes bigint, cut array<int>, name array<bigint>, "
+          "weak array<struct<hash:bigint,p:int,check:boolean>>, again array<struct<start:int,end:int>>")
 
 
 def _parse(n: int):
@@ -95,19 +102,25 @@ def _parse(n: int):
                 raw = [t.encode() for t in part.column(2).to_pylist()]
                 buf, cut = cuts(raw)
                 ranges = RangeHash(buf)
-                at, names, weak = 0, [], []
+                at, names, weak, again = 0, [], [], []
                 for r, c in zip(raw, cut):
                     names.append(((ranges(at + c[:-1] - RADIUS, at + c[1:] + REACH) >> np.uint64(1)) | np.uint64(1)).astype(np.int64).tolist() if len(c) > 1 else [])
                     a, b = window_cuts(c, len(r), n)
                     p = np.flatnonzero(b - a < 1)
-                    h = ranges(at + p, at + p + n).view(np.int64)
-                    weak.append([{"p": x, "hash": y} for x, y in zip(p.tolist(), h.tolist())])
+                    # those that repeat inside the text are settled here; one of each is enough for other texts
+                    h, first, which, count = np.unique(ranges(at + p, at + p + n).view(np.int64), return_index=True,
+                                                       return_inverse=True, return_counts=True)
+                    weak.append([{"hash": x, "p": y, "check": z} for x, y, z in zip(h.tolist(), p[first].tolist(), (count == 1).tolist())])
+                    mask = np.zeros(len(a), bool)
+                    mask[p[count[which] > 1]] = True
+                    again.append([{"start": x, "end": y} for x, y in _runs(mask)])
                     at += len(r)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), pa.array([len(r) for r in raw], pa.int64()),
                     pa.array([c.tolist() for c in cut], pa.list_(pa.int32())), pa.array(names, pa.list_(pa.int64())),
-                    pa.array(weak, pa.list_(pa.struct([("p", pa.int32()), ("hash", pa.int64())])))],
-                    names=["h1", "h2", "n_bytes", "cut", "name", "weak"])
+                    pa.array(weak, pa.list_(pa.struct([("hash", pa.int64()), ("p", pa.int32()), ("check", pa.bool_())]))),
+                    pa.array(again, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
+                    names=["h1", "h2", "n_bytes", "cut", "name", "weak", "again"])
     return run
 
 
@@ -290,10 +303,10 @@ def _judge(n: int):
             pos = np.array([x["pos"] for x in s], np.int64)
             before[pos], after[pos] = [x["before"] for x in s], [x["after"] for x in s]
             most = np.maximum(before, after)
-            p = np.arange(max(0, size - n + 1))
+            windows = max(0, size - n + 1)
             a, b = window_cuts(c, size, n)
             maybe = (b - a >= 1) & (most[np.minimum(a, len(c))] >= b - a)
-            x, y = np.searchsorted(c, p, "right") - 1, np.searchsorted(c, p + n)      # cuts around the window
+            x, y = reached(c, windows, 0) - 1, reached(c, windows, n - 1)              # cuts around the window
             inside = (x >= 0) & (y < len(c))
             safe = inside & (most[np.maximum(x, 0)] >= y - x)
             lead = safe & (b - a >= 1) & (before[np.maximum(x, 0)] < y - x)             # the first of its run in the order
@@ -350,12 +363,11 @@ def repeated_spans(docs: DataFrame, text: str = "text", n: int = LENGTH) -> tupl
         rims.select("key").distinct(), "key", "left_semi").select(*rims.columns)
     some = staged(rims.union(spare).groupBy(*DOC).agg(F.collect_list(F.struct("start", "end", "check")).alias("ranges")), "ranges")
     texts = _near(single.union(one_each), some, "inner").select(*DOC, "text", "ranges")
-    weak = parsed.select(*DOC, F.explode("weak").alias("w")).select(
-        F.col("w.hash").alias("hash"), *DOC, F.col("w.p").alias("p"), F.lit(True).alias("check"))
+    weak = parsed.select(*DOC, F.inline("weak")).select("hash", *DOC, "p", "check")
     windows = staged(texts.mapInArrow(_windows(n), "hash bigint, h1 bigint, h2 bigint, p int, check boolean").union(weak), "windows")
     again = windows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     found = windows.where("check").join(again, "hash", "left_semi").select(*DOC, F.col("p").alias("start"), (F.col("p") + 1).alias("end"))
-    found = found.union(judged.select(*DOC, F.inline("sure")))
+    found = found.union(judged.select(*DOC, F.inline("sure"))).union(parsed.select(*DOC, F.inline("again")))
     merged = with_arrow(found.groupBy(*DOC).agg(F.collect_list(F.struct("start", "end")).alias("starts")),
                         ["starts"], [("spans", _PAIRS)], lambda s: _merge(s, n)).select(*DOC, "spans")
     whole = copies.withColumn("whole", F.lit(True))
