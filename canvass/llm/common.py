@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
 import numpy as np
@@ -26,6 +28,11 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of fewer rows: documents are long, and a worker holds a batch whole."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the cluster's checkpoint folder and read it back.
 
@@ -35,6 +42,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     as for checkpoints.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -79,6 +87,7 @@ def with_arrow(df: DataFrame, columns: list[str], fields: list[tuple[str, str]],
     columns pass through; those named like a field are replaced. One narrow
     ``mapInArrow``: nothing is shuffled, and memory is bound by the batch.
     """
+    small_batches(df.sparkSession)
     names = [n for n, _ in fields]
     kept = [c for c in df.columns if c not in names]
     source = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(columns)])
@@ -129,5 +138,15 @@ def held(key, make):
     """What a Python worker keeps between tasks: one thing at a time, so that operators in a row do not add up."""
     if _held.get("key") != key:
         _held.clear()
+        give_back_memory()
         _held.update(key=key, value=make())
     return _held["value"]
+
+
+def give_back_memory() -> None:
+    """Return freed memory of this process to the system, where the C library can."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass

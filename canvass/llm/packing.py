@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canvass.llm.common import byte_slices, held, read_table, staged
+from canvass.llm.common import byte_slices, give_back_memory, held, read_table, small_batches, staged
 
 LENGTH = 4096
 END_ID = 1
@@ -134,6 +134,7 @@ class Remembered:
 def pieces(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, end_id: int = END_ID,
            doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
+    small_batches(docs.sparkSession)
     path = vocabulary or default_vocabulary()
     end = np.array([end_id], "<u4").tobytes()
 
@@ -151,6 +152,9 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH,
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                                  names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        # between tasks only the words asked for lately are kept
+        held(path, lambda: Coder(path)).known.old = {}
+        give_back_memory()
 
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECE)
 
