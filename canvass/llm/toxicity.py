@@ -8,11 +8,13 @@ logit. Windows overlap by half and the last one ends with the text, so every
 word is scored whole; a document's logit is its largest window's.
 
 Training: a bounded sample of labelled rows (``FIT_DOCS`` per class, the
-smallest hashes of doc_id; up to ``FIT_WINDOWS`` windows per document, spread by
-hash over the whole text), by Adam on the best windows of each document
-(multiple-instance learning), then Platt scaling of the document logits. The
-weights are a few hundred KB and broadcast. Scoring covers every window of
-every document in one narrow pass.
+smallest hashes of doc_id) with their whole texts, by Adam on the best windows of
+each document (multiple-instance learning), then Platt scaling of the document
+logits. Before each epoch one Spark pass scores every window of the sample and
+brings only its best two and a few others per document to the driver; a last pass
+gives the largest window logit of each whole text, which the scaling is fitted
+on. The weights are a few hundred KB and broadcast. Scoring covers every
+window of every document in one narrow pass.
 
 Defined cases: texts without a word (null and empty ones too) score 0; a
 label given twice counts as toxic if either says so; null labels are left out;
@@ -22,6 +24,7 @@ scored alike; other columns pass through, those named like the outputs are repla
 
 from __future__ import annotations
 
+import heapq
 import zlib
 
 import numpy as np
@@ -30,11 +33,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canvass.llm.common import held, read_table, with_arrow
+from canvass.llm.common import held, read_table, staged, with_arrow
 
 WINDOW, STRIDE = 32, 16
 WORD_ROWS, CHAR_BITS, DIM, HIDDEN = 1 << 13, 13, 12, 8
-FIT_DOCS, FIT_WINDOWS = 1500, 32
+FIT_DOCS, FIRST_WINDOWS = 1500, 6   # of each class; windows of a text in the first epoch
 EPOCHS, BATCH_DOCS, RATE = 6, 64, 0.01
 THRESHOLD = 0.3
 CACHE = 200_000   # words whose gate inputs are remembered in a worker, 192 bytes each
@@ -169,80 +172,65 @@ class Network:
         return dx, du
 
 
-def fit(docs: list[tuple[int, list[list[str]]]], epochs: int = EPOCHS, seed: int = 7) -> Network | None:
-    """A network from (label, windows) pairs; a window is a list of words."""
-    if len({y for y, _ in docs}) < 2:
-        return None
+def fit(read, epochs: int = EPOCHS, seed: int = 7) -> Network | None:
+    """A network from labelled texts.
+
+    ``read(net, best, other, salt)`` lists (label, best windows under ``net``,
+    their logits, other windows) of every text; a window is a list of words.
+    """
     net, r = Network(seed), np.random.default_rng(seed)
-    vocab: dict[str, int] = {}
-    coded = [(y, np.array([[vocab.setdefault(x, len(vocab)) for x in w] + [-1] * (WINDOW - len(w)) for w in ws], np.int64))
-             for y, ws in docs if ws]
-    words = list(vocab)
-    rows, chars, first = features(words)
-    count = np.diff(np.append(first, len(chars)))
+    docs = read(None, 0, FIRST_WINDOWS, 0)
+    if len({d[0] for d in docs}) < 2:
+        return None
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.w.items()}
     step = 0
-
-    def forward(win, keep=None):
-        mask = (win >= 0).T
-        used, at = np.unique(np.where(win >= 0, win, 0), return_inverse=True)
-        lengths = count[used]
-        starts = np.cumsum(lengths) - lengths
-        cs = chars[np.repeat(first[used] - starts, lengths) + np.arange(lengths.sum())]
-        vec = net.vectors(rows[used], cs, starts)
-        x = (vec @ net.w["in"] + net.w["bias"])[at.reshape(win.shape).T]
-        return net.logits(x, mask, keep), (mask, used, at, lengths, cs, vec, x)
-
-    def scores():
-        """Each document's windows' logits, with the present weights."""
-        out = []
-        for i in range(0, len(coded), 64):
-            part = coded[i:i + 64]
-            got, _ = forward(np.concatenate([w for _, w in part]))
-            out += np.split(got, np.cumsum([len(w) for _, w in part])[:-1])
-        return out
-
-    positives = [i for i, (y, _) in enumerate(coded) if y]
-    negatives = [i for i, (y, _) in enumerate(coded) if not y]
+    positives = [i for i, d in enumerate(docs) if d[0]]
+    negatives = [i for i, d in enumerate(docs) if not d[0]]
     for epoch in range(epochs):
-        known = scores() if epoch else None
+        if epoch:
+            docs = read(net, 2, 2, epoch)
         n = max(len(positives), len(negatives))      # both classes equally often
         order = np.column_stack([np.resize(r.permutation(c), n) for c in (positives, negatives)]).ravel().tolist()
         for k in range(0, len(order), BATCH_DOCS):
             wins, ys, weights = [], [], []
             for i in order[k:k + BATCH_DOCS]:
-                y, w = coded[i]
-                if known is None:
-                    pick = r.permutation(len(w))[:6]
+                y, best, known, other = docs[i]
+                if not epoch:
+                    pick = other
                     share = .3 if y else 1.          # most windows of a toxic text may be clean
+                elif y:                              # clearly clean windows of toxic texts teach nothing
+                    pick, share = best[:1] if len(best) < 2 or known[1] < 0 else best, 1.
                 else:
-                    best = np.argsort(-known[i])
-                    pick, share = (best[:2], 1.) if y else (np.concatenate((best[:2], r.integers(0, len(w), 2))), 1.)
-                    if y:                            # clearly clean windows of toxic texts teach nothing
-                        pick = pick[:1] if len(pick) < 2 or known[i][pick[1]] < 0 else pick
-                wins.append(w[pick])
+                    pick, share = best + other, 1.
+                wins += pick
                 ys += [y] * len(pick)
                 weights += [share / len(pick)] * len(pick)
-            win, y, share = np.concatenate(wins), np.array(ys, np.float32), np.array(weights, np.float32)
+            y, share = np.array(ys, np.float32), np.array(weights, np.float32)
+            vocab: dict[str, int] = {}
+            win = np.array([[vocab.setdefault(x, len(vocab)) for x in w] + [-1] * (WINDOW - len(w)) for w in wins], np.int64)
+            rows, chars, first = features(list(vocab))
+            vec, mask, at = net.vectors(rows, chars, first), (win >= 0).T, np.maximum(win, 0).T
+            x = (vec @ net.w["in"] + net.w["bias"])[at]
             kept: list = []
-            logit, (mask, used, at, lengths, cs, vec, x) = forward(win, kept)
+            logit = net.logits(x, mask, kept)
             d = ((_sigmoid(logit) - y) * share / share.sum()).astype(np.float32)
             g, dx = net.gradients(x, mask, d, kept)
-            per = np.zeros((len(used), 6 * HIDDEN), np.float32)
-            np.add.at(per, at.reshape(win.shape).T.reshape(-1), dx.reshape(-1, 6 * HIDDEN))
+            per = np.zeros((len(rows), 6 * HIDDEN), np.float32)
+            np.add.at(per, at.reshape(-1), dx.reshape(-1, 6 * HIDDEN))
             g["in"], g["bias"] = vec.T @ per, per.sum(0)
             dvec = per @ net.w["in"].T
+            lengths = np.diff(np.append(first, len(chars)))
             g["word"], g["char"] = np.zeros_like(net.w["word"]), np.zeros_like(net.w["char"])
-            np.add.at(g["word"], rows[used], dvec[:, :DIM])
-            np.add.at(g["char"], cs, np.repeat(dvec[:, DIM:] / lengths[:, None], lengths, 0))
+            np.add.at(g["word"], rows, dvec[:, :DIM])
+            np.add.at(g["char"], chars, np.repeat(dvec[:, DIM:] / lengths[:, None], lengths, 0))
             step += 1
             for name, grad in g.items():
                 m, v = moment[name]
                 m += .1 * (grad - m)
                 v += .001 * (grad * grad - v)
                 net.w[name] -= RATE * (m / (1 - .9 ** step)) / (np.sqrt(v / (1 - .999 ** step)) + 1e-7)
-    top = np.array([s.max() for s in scores()], np.float64)
-    net.platt = _platt(top, np.array([y for y, _ in coded], np.float64))
+    docs = read(net, 1, 0, epochs)
+    net.platt = _platt(np.array([d[2][0] for d in docs], np.float64), np.array([d[0] for d in docs], np.float64))
     return net
 
 
@@ -268,6 +256,16 @@ def window_starts(n: int) -> list[int]:
     return [0] if n <= WINDOW else [*range(0, n - WINDOW, STRIDE), n - WINDOW]
 
 
+def text_windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and text of every window; ``first`` are the first words of the texts and the end."""
+    starts, owner = [], []
+    for d, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+        got = window_starts(b - a)
+        starts += [a + s for s in got]
+        owner += [d] * len(got)
+    return np.array(starts, np.int64), np.array(owner, np.int64)
+
+
 class Scorer:
     """Scores texts with a network; remembers words' gate inputs."""
 
@@ -289,36 +287,56 @@ class Scorer:
             self.row.update(zip(new, range(at, at + len(new))))
         return np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
 
-    def __call__(self, texts: pa.Array) -> np.ndarray:
-        codes, unique, first = split_words(texts)
-        codes = np.concatenate((self._rows(unique)[codes], np.zeros(WINDOW, np.int64)))
-        starts, owner = [], []
-        for d, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
-            got = window_starts(b - a)
-            starts += [a + s for s in got]
-            owner += [d] * len(got)
-        starts, owner = np.array(starts, np.int64), np.array(owner, np.int64)
+    def logits(self, rows: np.ndarray, first: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Logit of each window; ``rows`` are the words' rows of the table."""
+        rows = np.concatenate((rows, np.zeros(WINDOW, np.int64)))
         length = np.minimum(first[owner + 1] - starts, WINDOW)
-        best = np.full(len(first) - 1, -np.inf, np.float32)
+        out = np.empty(len(starts), np.float32)
         for full in (True, False):
             chosen = np.flatnonzero((length == WINDOW) == full)
             for k in range(0, len(chosen), 2048):
                 w = chosen[k:k + 2048]
-                at = codes[starts[w] + np.arange(WINDOW)[:, None]]
+                at = rows[starts[w] + np.arange(WINDOW)[:, None]]
                 mask = None
                 if not full:
                     mask = (np.arange(WINDOW)[:, None] < length[w]) & (at > 0)
-                np.maximum.at(best, owner[w], self.net.logits(self.table[at], mask))
+                out[w] = self.net.logits(self.table[at], mask)
+        return out
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        codes, unique, first = split_words(texts)
+        rows = self._rows(unique)[codes]
+        starts, owner = text_windows(first)
+        best = np.full(len(first) - 1, -np.inf, np.float32)
+        np.maximum.at(best, owner, self.logits(rows, first, starts, owner))
         a, b = self.net.platt
-        some = np.add.reduceat(codes > 0, first[:-1]) * (np.diff(first) > 0) > 0 if len(first) > 1 else np.zeros(0, bool)
+        some = np.add.reduceat(np.append(rows, 0) > 0, first[:-1]) * (np.diff(first) > 0) > 0 if len(first) > 1 else np.zeros(0, bool)
         return np.where(some, _sigmoid(a * best.astype(np.float64) + b), 0.)
 
+    def chosen(self, texts: pa.Array, best: int, other: int, salt: int) -> tuple[list, list, list]:
+        """Each text's windows with the largest logits, these logits, and some windows by hash."""
+        codes, unique, first = split_words(texts)
+        starts, owner = text_windows(first)
+        logits = self.logits(self._rows(unique)[codes], first, starts, owner) if best else np.zeros(len(starts), np.float32)
+        ends = np.searchsorted(owner, np.arange(len(first))).tolist()
+        out: tuple[list, list, list] = ([], [], [])
+        for d, (i, j) in enumerate(zip(ends[:-1], ends[1:])):
+            top = (i + np.argsort(-logits[i:j], kind="stable")[:best]).tolist()
+            rest = heapq.nsmallest(other, range(i, j), key=lambda w: zlib.crc32(b"%d %d %d" % (salt, first[d + 1] - first[d], starts[w] - first[d])))
+            said = [[" ".join(unique[c] for c in codes[starts[w]:min(starts[w] + WINDOW, first[d + 1])]) for w in ws] for ws in (top, rest)]
+            for part, value in zip(out, (said[0], logits[top].tolist(), said[1])):
+                part.append(value)
+        return out
+
+
+def _scorer(weights):
+    return held(("toxicity", weights.id_), lambda: Scorer(weights.value))
+
 
 def _score(weights, texts):
     if weights.value is None:
         return ([0.0] * len(texts),)
-    scorer = held(("toxicity", weights.id_), lambda: Scorer(weights.value))
-    return (pa.array(scorer(texts), pa.float64()),)
+    return (pa.array(_scorer(weights)(texts), pa.float64()),)
 
 
 class _Shared:
@@ -343,8 +361,8 @@ def fold(doc_id: str) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4))
 
 
-def fit_sample(docs: DataFrame, labels: DataFrame, text: str = "text", fit_docs: int = FIT_DOCS) -> list[tuple[int, list[list[str]]]]:
-    """Up to ``fit_docs`` labelled documents of each class, as (label, windows)."""
+def fit_sample(docs: DataFrame, labels: DataFrame, text: str = "text", fit_docs: int = FIT_DOCS):
+    """What ``fit`` reads: up to ``fit_docs`` labelled documents of each class, every window of their texts."""
     rows = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
             .where(fold("doc_id") != 2)
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
@@ -354,18 +372,17 @@ def fit_sample(docs: DataFrame, labels: DataFrame, text: str = "text", fit_docs:
     label = dict(ids)
     picked = docs.where(F.col("doc_id").isin(list(label))) if label else docs.limit(0)
 
-    def windows(texts):
-        codes, unique, first = split_words(texts)
-        out = []
-        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-            starts = window_starts(b - a)
-            starts = sorted(starts, key=lambda s: zlib.crc32(b"%d" % s))[:FIT_WINDOWS]
-            out.append([" ".join(unique[c] for c in codes[a + s:min(a + s + WINDOW, b)]) for s in sorted(starts)])
-        return (out,)
-
-    got = with_arrow(picked.select("doc_id", F.col(text).alias("t")), ["t"], [("windows", "array<string>")], windows)
-    rows = sorted((r.doc_id, r.windows) for r in got.select("doc_id", "windows").collect())
-    return [(label[d], [w.split() for w in ws]) for d, ws in rows]
+    sample = staged(picked.select("doc_id", F.col(text).alias("t")), "labelled")
+    fields = [("best", "array<string>"), ("logits", "array<double>"), ("other", "array<string>")]
+
+    def read(net, best, other, salt):
+        shared = _Shared(docs.sparkSession.sparkContext.broadcast(net))
+        got = with_arrow(sample, ["t"], fields, lambda t: _scorer(shared).chosen(t, best, other, salt))
+        rows = sorted(tuple(r) for r in got.select("doc_id", "best", "logits", "other").collect())
+        shared.broadcast.destroy()
+        return [(label[d], [w.split(" ") for w in b], x, [w.split(" ") for w in o]) for d, b, x, o in rows if (b or o)[0]]
+
+    return read
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", threshold: float = THRESHOLD, **how) -> DataFrame:

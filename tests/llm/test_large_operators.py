@@ -237,6 +237,32 @@ def test_toxicity_held_out_accuracy(spark):
     assert {q.score for q in toxicity.score_toxicity(df, marks.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_fits_on_whole_texts(spark, monkeypatch):
+    """Toxic passages of long texts lie where no small choice of windows by hash finds them; the curve belongs to whole texts."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice(["ba", "to", "li", "ne", "ru"]) for _ in range(r.randint(1, 3)))
+    starts = sorted(toxicity.window_starts(2400), key=lambda s: zlib.crc32(b"%d" % s))
+    seen = {w for s in starts[:32] for w in range(s, s + toxicity.WINDOW)}
+    unseen = [w for w in range(2400 - 4) if not seen & set(range(w, w + 4))]
+    docs = []
+    for i in range(360):
+        w = [word() for _ in range(2400 if i % 2 else 40)]
+        if i % 4 < 2:
+            at = r.choice(unseen) if i % 2 else r.randrange(36)
+            w[at:at + 4] = [r.choice(["zork", "grux", "plimf"]) for _ in range(4)]
+        docs.append((i, " ".join(w), int(i % 4 < 2)))
+    nets, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda *a, **k: nets.append(fit(*a, **k)) or nets[-1])
+    df = spark.createDataFrame(docs, "doc_id long, text string, toxic int")
+    got = {q.doc_id: q.predicted for q in toxicity.score_toxicity(df.drop("toxic"), df.select("doc_id", "toxic")).collect()}
+    net, sample = nets[0], [(t, y) for d, t, y in docs if zlib.crc32(str(d).encode()) % 4 != 2]
+    fitted, net.platt = net.platt, (1.0, 0.0)
+    p = toxicity.Scorer(net)(pa.array([t for t, _ in sample]))
+    assert fitted == pytest.approx(toxicity._platt(np.log(p / (1 - p)), np.array([float(y) for _, y in sample])), rel=.01, abs=.01)
+    held = [(y, got[d]) for d, _, y in docs if zlib.crc32(str(d).encode()) % 4 == 2]
+    assert sum(y == p for y, p in held) / len(held) > 0.95
+
+
 def test_toxicity_gradients():
     net = toxicity.Network(1)
     net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
