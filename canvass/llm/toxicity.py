@@ -1,5 +1,7 @@
 """Toxicity (operator 7): a bidirectional gated recurrent network with attention pooling, in numpy.
 
+A word is a run between ASCII characters that are no letter or digit; of a longer
+run (text without spaces, say) every 64 characters, or 21 beyond ASCII, are a word.
 Words get a vector from a hashed word table and the mean of hashed vectors of
 character 3- and 4-grams (word starts and ends marked), so endings unseen in training
 still share their stem's features. A forward and a backward GRU read windows of
@@ -40,6 +42,7 @@ WORD_ROWS, CHAR_BITS, DIM, HIDDEN = 1 << 13, 13, 12, 8
 FIT_DOCS, FIRST_WINDOWS = 1500, 6   # of each class; windows of a text in the first epoch
 EPOCHS, BATCH_DOCS, RATE = 6, 64, 0.01
 THRESHOLD = 0.3
+LONG = r"([^\x00-\x7F]{21}|[^ ]{64})"   # a whole word: what follows in the run is the next
 CACHE = 200_000   # words whose gate inputs are remembered in a worker, 192 bytes each
 
 
@@ -47,6 +50,7 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     """Word codes of all texts in a row, the distinct words, and each text's first word."""
     lower = pc.utf8_lower(pc.fill_null(texts, ""))
     spaced = pc.replace_substring_regex(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
+    spaced = pc.replace_substring_regex(spaced, LONG, r"\1 ")
     words = pc.ascii_split_whitespace(pc.ascii_trim(spaced, " "))
     coded = words.flatten().dictionary_encode()
     return coded.indices.to_numpy(), coded.dictionary.to_pylist(), words.offsets.to_numpy()
@@ -54,7 +58,7 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word row of each word; all character n-gram rows in a row, and each word's first."""
-    raw = [w.encode()[:64] for w in words]
+    raw = [w.encode() for w in words]
     rows = np.fromiter((zlib.crc32(r) % WORD_ROWS for r in raw), np.int64, len(raw))
     text = np.frombuffer(b"".join([b"<" + r + b">" for r in raw]) + bytes(3), np.uint8).astype(np.uint32)
     ends = np.cumsum([len(r) + 2 for r in raw])
@@ -283,7 +287,9 @@ class Scorer:
                 self.table = np.zeros((len(new) + 1, 6 * HIDDEN), np.float32)
         if new:
             at = len(self.row)
-            self.table[at:at + len(new)] = self.net.gates(new)
+            for k in range(0, len(new), 4096):                    # a word has up to 256 bytes
+                part = new[k:k + 4096]
+                self.table[at + k:at + k + len(part)] = self.net.gates(part)
             self.row.update(zip(new, range(at, at + len(new))))
         return np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
 

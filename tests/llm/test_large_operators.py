@@ -263,6 +263,18 @@ def test_toxicity_fits_on_whole_texts(spark, monkeypatch):
     assert sum(y == p for y, p in held) / len(held) > 0.95
 
 
+def test_toxicity_reads_long_runs_whole():
+    score = toxicity.Scorer(toxicity.Network(3))
+    for start, end in (("漢字" * 40, "毒" * 5), ("ab" * 90, "zork"), ("a中" * 50, "毒x")):
+        words = toxicity.split_words(pa.array([f"so, {start}{end}!"]))
+        assert "".join(words[1][c] for c in words[0]) == "so" + start + end
+        p = score(pa.array([start, start + end, start + end[::-1] + end]))
+        assert len(set(p.tolist())) == 3
+    alike = toxicity.Network(3).gates(["漢" * 21 + "毒", "漢" * 21 + "字", "漢" * 21])
+    assert len(np.unique(alike, axis=0)) == 3
+    assert toxicity.split_words(pa.array(["a" * 64 + " b"]))[1] == ["a" * 64, "b"]
+
+
 def test_toxicity_gradients():
     net = toxicity.Network(1)
     net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
