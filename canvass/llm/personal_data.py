@@ -49,6 +49,7 @@ _SHAPES = ((2, re.compile(r"(?<![0-9.])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){
            (3, re.compile(r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])")))
 _IDENTITY = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")
 _WRITTEN = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]{1,63}){1,8}", re.I)
+_AT = re.compile(r"[\[(]at[\])]", re.I)   # in every match of _WRITTEN
 
 # Gazetteers: fixed values.
 ENDINGS = frozenset("com org net edu gov io info biz de fr es it uk us ch at nl be pt eu ca au example test".split())
@@ -128,7 +129,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             if n >= 7:
                 kind = 4 if _IDENTITY.fullmatch(g.group()) else 1 if IP.fullmatch(g.group()) else 2 if n >= 13 else 3
                 found.append((kind, at + g.start(), at + g.end()))
-    if "at" in text and ("at]" in text or "at)" in text or "AT]" in text or "AT)" in text):
+    if _AT.search(text):
         found += [(0, m.start(), m.end()) for m in _WRITTEN.finditer(text)]
     kept, taken = [], sorted((a, b) for _, a, b in base)
     k, last = 0, 0

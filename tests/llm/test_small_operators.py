@@ -87,6 +87,13 @@ def test_base_spans_equal_plain_patterns():
             assert pii.base_spans(t) == base_plain(t)
 
 
+@pytest.mark.parametrize("text", ["JOHN [AT] EXAMPLE.COM", "john (At) example (dot) com", "so john[aT]example.com", "x [AT) EXAMPLE [DOT] COM"])
+def test_written_out_addresses_in_any_case(text):
+    spans = [(0, m.start(), m.end()) for m in pii._WRITTEN.finditer(text)]
+    assert len(spans) == 1 and pii.candidates(text, []) == spans
+    assert pii.candidates(text + " that cat) sat", []) == spans
+
+
 def test_personal_data_adds_swallowed_spans(spark):
     clean = [(i, f"mail x{i}@mail.example.com or +1 (209) 555-{1000 + i} card 4041894974608795 ip 10.1.2.{i}") for i in range(60)]
     both = "so +1 (269) 555-3296 4041894974608795 was"
