@@ -4,7 +4,8 @@ Lines of at least ``MIN_CHARS`` characters within ``EDITS`` edits of each other
 are linked; classes are the connected components. The first line of a class
 (smallest doc_id, then line number) stays, all others are removed.
 
-1. Equal lines become one, with their first place.
+1. Equal lines become one, with their first place. With ``exact_chars`` this covers
+   shorter lines too, down to that length: equal ones are a class; blank lines stay.
 2. Each distinct line is split into EDITS + 1 segments. Two lines within EDITS
    edits share a segment exactly: the longer one holds it as a substring, at a
    place that the lengths narrow to a few positions (multi-match-aware
@@ -26,7 +27,7 @@ shuffled. Removed line numbers are joined back to the documents by a broadcast
 of at most ``BROADCAST_ROWS`` documents' lists, else by a shuffle.
 
 Defined cases: null text stays null and has no lines; an empty text is one
-empty line; shorter lines are never removed; a text's order of kept lines stays;
+empty line; lines shorter than ``exact_chars`` are never removed; a text's order of kept lines stays;
 rows with equal doc_id are one document (equal lines at equal numbers stay or
 go together); documents without doc_id lose nothing and make no others lose;
 other columns pass through, those named like the outputs are replaced.
@@ -40,17 +41,21 @@ from pyspark.sql import functions as F
 from canvass.llm.common import components, read_table, staged
 
 EDITS = 2
-MIN_CHARS = 32
+MIN_CHARS = 32     # of lines compared by edits
+EXACT_CHARS = 1    # of lines whose exact repeats go, in the query and the pipeline
 FIRST_LEADS = 64   # lines of a key that meet all others in the first round, and the growth per round
 BROADCAST_ROWS = 1_000_000   # line ids, or lists of line numbers, some 100 MB
 # Letters counted together: similar lines have similar counts (any partition will do).
 BAGS = ("eE", "aA", "iI", "oO", "nN", "tT", "rR", "sS", "lLhH", "dDcC", "uUyY", "mMgG", "wWbBpPfF", "0123456789", " ", ".,")
 
 
-def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _lines(docs: DataFrame, doc_id: str, text: str, exact_chars: int | None = None) -> DataFrame:
+    long = F.length("line") >= MIN_CHARS
+    if exact_chars is not None:
+        long = long | ((F.length("line") >= exact_chars) & F.col("line").rlike(r"\S"))
     return (docs.where(F.col(doc_id).isNotNull())
             .select(F.col(doc_id).alias("doc_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
-            .where(F.length("line") >= MIN_CHARS))
+            .where(long))
 
 
 def _keys(lines: DataFrame, edits: int) -> DataFrame:
@@ -168,13 +173,13 @@ def _count_of(column: str, letters: str) -> Column:
     return F.length(column) - F.length(F.translate(column, letters, ""))
 
 
-def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS) -> DataFrame:
+def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS, exact_chars: int | None = None) -> DataFrame:
     """doc_id, removed: the line numbers to remove, with the line's hash and whether the kept line differs."""
-    lines = _lines(docs, doc_id, text)
+    lines = _lines(docs, doc_id, text, exact_chars)
     distinct = lines.groupBy("line").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
     distinct = staged(distinct.withColumnRenamed("n", "times").withColumns(
         {"id": F.monotonically_increasing_id(), "n": F.length("line")}), "lines")
-    known = components(line_links(distinct.select("id", "n", "line"), edits))
+    known = components(line_links(distinct.where(F.col("n") >= MIN_CHARS).select("id", "n", "line"), edits))
     # lines that occur again or are linked; others are alone in their class
     some = (distinct.join(known, "id", "left").where("times > 1 or component is not null")
             .select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "first",
@@ -186,10 +191,13 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", e
     return staged(gone.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "h1", "near")).alias("removed")), "removed")
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS) -> DataFrame:
-    """``docs`` with deduped (the text of the lines that stay), n_lines, n_removed and n_near (removed ones that differ from the kept line)."""
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS, exact_chars: int | None = None) -> DataFrame:
+    """``docs`` with deduped (the text of the lines that stay), n_lines, n_removed and n_near (removed ones that differ from the kept line).
+
+    Exact repeats of lines from ``exact_chars`` characters on go as well (if not given: from ``MIN_CHARS``).
+    """
     outputs = ("deduped", "n_lines", "n_removed", "n_near")
-    gone = removed_lines(docs, doc_id, text, edits).withColumnRenamed("doc_id", "__id")
+    gone = removed_lines(docs, doc_id, text, edits, exact_chars).withColumnRenamed("doc_id", "__id")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     rows = docs.join(gone, F.col(doc_id) == F.col("__id"), "left").drop("__id")
     lines = F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct(
@@ -208,4 +216,4 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edi
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines removed from all documents."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "n_near", F.sha2(F.coalesce("deduped", F.lit("")), 256).alias("kept_sha256"))
+    return dedup_lines(docs, exact_chars=EXACT_CHARS).select("doc_id", "n_lines", "n_removed", "n_near", F.sha2(F.coalesce("deduped", F.lit("")), 256).alias("kept_sha256"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from canvass.llm.common import read_table, set_aside, staged
 from canvass.llm.decontaminate import decontaminate
-from canvass.llm.line_dedup import dedup_lines
+from canvass.llm.line_dedup import EXACT_CHARS, dedup_lines
 from canvass.llm.near_duplicates import BROADCAST_IDS, near_duplicates
 from canvass.llm.packing import pack, pieces
 from canvass.llm.toxicity import score_toxicity
@@ -36,7 +36,7 @@ def _with_text(docs: DataFrame, text: str, changed) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines go."""
     apart, give_back = set_aside(docs, ("doc_id", "text", "n_chars"))
-    done = dedup_lines(apart).where("n_removed = 0 or length(deduped) > 0")
+    done = dedup_lines(apart, exact_chars=EXACT_CHARS).where("n_removed = 0 or length(deduped) > 0")
     return give_back(_with_text(done, "deduped", F.col("n_removed") > 0))
 
 

@@ -95,6 +95,15 @@ def test_line_dedup_against_plain(spark, monkeypatch):
     assert lines.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_takes_exact_repeats_of_short_lines(spark, tmp_path):
+    docs = [(1, "Menu\n\nfirst text\n "), (2, "Menu\n\nfirst texts\nMenu"), (3, "menu\n\n \nfirst text"), (None, "Menu"), (4, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {x.doc_id: (x.n_lines, x.n_removed, x.n_near, x.kept_sha256) for x in lines.op1_line_dedup(spark, str(tmp_path)).collect()}
+    kept = {1: docs[0][1], 2: "\nfirst texts", 3: "menu\n\n ", None: "Menu", 4: ""}
+    assert {d: g[1:3] for d, g in got.items()} == {1: (0, 0), 2: (2, 0), 3: (1, 0), None: (0, 0), 4: (0, 0)}
+    assert {d: g[3] for d, g in got.items()} == {d: hashlib.sha256(t.encode()).hexdigest() for d, t in kept.items()}
+
+
 def test_nearest_recall_ties_and_bad_vectors(spark, monkeypatch):
     r = np.random.default_rng(1)
     x = r.standard_normal((3000, 16)).astype(np.float32)
