@@ -90,18 +90,21 @@ def with_arrow(df: DataFrame, columns: list[str], fields: list[tuple[str, str]],
     small_batches(df.sparkSession)
     names = [n for n, _ in fields]
     kept = [c for c in df.columns if c not in names]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(columns)])
+    # every column is sent once; those that ``work`` reads come last
+    sent = [c for c in kept if c not in columns] + list(dict.fromkeys(columns))
+    source = df.select(*[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(sent)])
     schema = T.StructType([df.schema[c] for c in kept] + [
         T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
-    width = len(kept)
+    passed, read = [sent.index(c) for c in kept], [sent.index(c) for c in columns]
+    first, width = min(read), len(kept)
 
     def run(batches):
         arrow = to_arrow_schema(schema)
         for batch in batches:
-            for part in byte_slices(batch, width, max_bytes):
-                made = work(*part.columns[width:])
+            for part in byte_slices(batch, first, max_bytes):
+                made = work(*[part.column(i) for i in read])
                 made = [x if isinstance(x, pa.Array) else pa.array(x, arrow.field(width + i).type) for i, x in enumerate(made)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:width], *made], schema=arrow)
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in passed], *made], schema=arrow)
 
     return source.mapInArrow(run, schema)
 
@@ -144,8 +147,9 @@ def held(key, make):
 
 
 def give_back_memory() -> None:
-    """Return freed memory of this process to the system, where the C library can."""
+    """Return freed memory of this process to the system, where the C library can; Arrow's pool gives up its own first."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):
