@@ -2,27 +2,35 @@
 
 Parsing runs in Spark: every inbound message gets its candidate reason,
 name, postal code, phone and city/state from the Column functions in
-``functions.contacts``. Only the slot-filling step — a few comparisons per
-message on the pre-parsed candidates — runs in Python, per conversation,
-in turn order. ``dialogue_replay`` is the batch form (a secondary-sort scan:
-``mapInPandas`` over partitions sorted by conversation and turn);
-``dialogue_stream`` is the streaming form
-(``applyInPandasWithState``) where a key's state is O(1) and only one
-micro-batch of its messages is in memory at a time.
+``functions.contacts``.
+
+``dialogue_replay`` is the batch form and all JVM. What a message does depends
+on the question asked last and on which slots are filled, 18 states in all, and
+on which parts its text holds, 17 kinds. So a message is a map from state to
+state; maps compose associatively, and a prefix scan over blocks of messages
+gives the state before each one, however long a conversation is. The table of
+maps is read off ``answer`` itself. The values in the slots are then the last
+ones that were set: a running maximum by place.
+
+``dialogue_stream`` is the streaming form (``applyInPandasWithState``) where a
+key's state is O(1) and only one micro-batch of its messages is in memory at a
+time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from canvass.functions import contacts as C
+from canvass.operators.scan import numbered, prior_maxes
 
 # The dialogue's reply texts.
 START = "Let's get more people to join in this fight!\n"
@@ -163,45 +171,139 @@ def _with_profiles(messages: DataFrame, profiles: DataFrame | None) -> DataFrame
     return messages.withColumns({f"_known_{k}": F.lit(None).cast("string") for k in PROFILE_SLOTS if k not in known})
 
 
-_OUT_FIELDS = OUT_SCHEMA.fieldNames()
-
-
-def _replay_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of a partition sorted by (conversation, turn): the slot state is
-    reset whenever the conversation changes and carried across Arrow batches,
-    so only one batch and one conversation's state are held at a time."""
-    conv, last_turn, s = None, None, None
-    for pdf in batches:
-        if not len(pdf):
-            continue
-        cols = {f: [] for f in _OUT_FIELDS}
-        names = list(pdf.columns)
-        for row in pdf.itertuples(index=False, name=None):
-            m = dict(zip(names, row))
-            if m["conv_id"] != conv:
-                conv, last_turn, s = m["conv_id"], None, _begin(m)
-            elif m["turn"] < last_turn:
-                raise RuntimeError("dialogue replay received turns out of order")
-            last_turn = m["turn"]
-            reply, sent = answer(s, m)
-            for f, v in _record(conv, m["turn"], reply, s, sent).items():
-                cols[f].append(v)
-        yield pd.DataFrame(cols, columns=_OUT_FIELDS)
+# ------------------------------------------------------------ batch: maps between states
+# Groups of slots that are filled together, by the question that fills them.
+OWN, FRIEND = ("why", "who", "where"), ("friend", "friend_phone", "friend_place")
+# Parts that a text may hold, in the order of a kind's bits; kind 0 is an empty text.
+PARTS = (("_first", "_last"), ("_zip",), ("_phone",), ("_city", "_st"))
+KINDS = 1 + (1 << len(PARTS))
+BLOCK = 64  # maps composed in one row
+
+
+class _Said(str):
+    """A stand-in that came with the message, not from a slot."""
+
+
+def _try(state: tuple, kind: int) -> tuple:
+    """``answer`` on stand-ins: next state, reply, the questions whose slots were set, and whether a referral was sent."""
+    asked, filled = state
+    slots = dict.fromkeys(SLOTS) | {"asked": asked}
+    shown = {"_full": "{friend}", "_first": "{first}"}     # how a reply shows them
+    have = filled | set(FRIEND[:FRIEND.index(asked)] if asked in FRIEND else ())
+    for q in QUESTIONS:
+        if q.name in have:
+            slots.update({slot: shown.get(part, "?") for slot, part in q.fills})
+    message = dict.fromkeys(["_msg", "_full", *[c for part in PARTS for c in part]])
+    if kind:
+        said = {"_msg", *[c for bit, part in enumerate(PARTS) if (kind - 1) >> bit & 1 for c in part]}
+        said |= {"_full"} if "_first" in said else set()
+        message.update({c: _Said(shown.get(c, "?")) for c in said})
+    reply, referral = answer(slots, message)
+    used = referral or slots
+    done = frozenset(q.name for q in QUESTIONS if all(isinstance(used[slot], _Said) for slot in q.needs))
+    return (slots["asked"], frozenset(q for q in OWN if all(slots[s] for s in QUESTIONS[PLACE[q]].needs))), reply, done, referral is not None
+
+
+def dialogue_states() -> tuple[list[tuple], list[list[tuple]]]:
+    """All states that can be reached, the eight beginnings first, and for each state and kind what ``_try`` gives."""
+    states = [(None, frozenset(q for i, q in enumerate(OWN) if known >> i & 1)) for known in range(1 << len(OWN))]
+    steps = []
+    for state in states:  # grows while it is walked
+        row = [_try(state, kind) for kind in range(KINDS)]
+        states += [s for s in dict.fromkeys(r[0] for r in row) if s not in states]
+        steps.append([(states.index(to), *rest) for to, *rest in row])
+    return states, steps
+
+
+def _numbers(values, kind: str = "int") -> Column:
+    """A literal array, as one expression (hundreds of single literals are slow to build)."""
+    return F.expr(f"cast(array({', '.join(str(v).lower() for v in values)}) as array<{kind}>)")
+
+
+def _kind() -> Column:
+    """Which parts a message's text holds."""
+    def said(c: str) -> Column:
+        return F.coalesce(F.length(c) > 0, F.lit(False))
+    bits = [F.when(reduce(lambda a, b: a & b, [said(c) for c in part]), 1 << i).otherwise(0) for i, part in enumerate(PARTS)]
+    return F.when(said("_msg"), 1 + reduce(lambda a, b: a + b, bits)).otherwise(0)
+
+
+def _beginning() -> Column:
+    """The state of a conversation before its first message, by what the profile knows."""
+    def known(*slots: str) -> Column:
+        return reduce(lambda a, b: a & b, [F.coalesce(F.length(f"_known_{s}") > 0, F.lit(False)) for s in slots])
+    return sum((F.when(known(*QUESTIONS[PLACE[q]].needs), 1 << i).otherwise(0) for i, q in enumerate(OWN)), F.lit(0))
+
+
+def states_before(rows: DataFrame, begins: DataFrame, n_states: int) -> DataFrame:
+    """conv_id, rn, state: the state before each map of ``rows`` (conv_id, rn from 1, map: next state of every state).
+
+    ``begins`` has conv_id and state. ``BLOCK`` maps in a row compose to one;
+    the composed ones are scanned in the same way, so a conversation of n
+    messages takes log n rounds and no row holds more than a block.
+    """
+    blocks = rows.groupBy("conv_id", F.floor((F.col("rn") - 1) / BLOCK).alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("rn", "map"))).alias("members")).checkpoint()
+    several = blocks.where("block > 0").select("conv_id").distinct()
+    if several.isEmpty():
+        at = blocks.join(begins, "conv_id")
+    else:
+        identity = _numbers(range(n_states), "tinyint")
+        composed = F.aggregate("members", identity, lambda acc, m: F.transform(acc, lambda s: F.get(m["map"], s)))
+        long = blocks.join(several, "conv_id", "left_semi").select("conv_id", (F.col("block") + 1).alias("rn"), composed.alias("map"))
+        within = states_before(long, begins, n_states).select("conv_id", (F.col("rn") - 1).alias("block"), "state")
+        first = blocks.where("block = 0").join(begins, "conv_id")
+        at = first.unionByName(blocks.where("block > 0").join(within, ["conv_id", "block"]))
+    empty = F.array().cast("array<struct<rn:bigint,state:int>>")
+    walked = F.aggregate("members", F.struct(F.col("state").cast("int").alias("now"), empty.alias("seen")), lambda acc, m: F.struct(
+        F.get(m["map"], acc["now"]).cast("int").alias("now"),
+        F.concat(acc["seen"], F.array(F.struct(m["rn"].cast("bigint").alias("rn"), acc["now"].alias("state")))).alias("seen")))
+    return at.select("conv_id", F.inline(walked["seen"]))
 
 
 def dialogue_replay(messages: DataFrame, key: str = "conv_id", turn: str = "turn", text: str = "text",
                     profiles: DataFrame | None = None) -> DataFrame:
     """ST7 batch replay: one reply (and state) per inbound message.
 
-    Messages are hash-partitioned by conversation and sorted by
-    (conversation, turn) inside each partition; one Python pass per partition
-    walks them in order (a secondary-sort scan). A conversation with a third
-    of all messages is still streamed batch by batch, never held whole.
+    Rows without conversation or turn have no place in a talk and are left out;
+    equal turns are taken in the order of their texts. Nothing runs in Python,
+    and no task holds a whole conversation.
     """
-    rows = messages.select(F.col(key).alias("conv_id"), F.col(turn).alias("turn"), F.col(text).alias("text"))
-    p = parse_messages(_with_profiles(rows, profiles), "text").select(*_PARSED_COLS)
-    ordered = p.repartition("conv_id").sortWithinPartitions("conv_id", "turn")
-    return ordered.mapInPandas(_replay_partition, OUT_SCHEMA)
+    rows = messages.select(F.col(key).alias("conv_id"), F.col(turn).alias("turn"), F.col(text).alias("text")).where(
+        "conv_id is not null and turn is not null")
+    # places first: range bounds come from a sample, which would parse every message once more
+    placed = parse_messages(_with_profiles(numbered(rows, ["conv_id"], ["turn", "text"]), profiles), "text").select(*_PARSED_COLS, "rn")
+    placed = placed.checkpoint().withColumns({"_kind": _kind(), "_begin": _beginning()})
+    states, steps = dialogue_states()
+    maps = F.array(*[_numbers([row[kind][0] for row in steps], "tinyint") for kind in range(KINDS)])
+    begins = placed.where("rn = 1").select("conv_id", F.col("_begin").alias("state"))
+    before = states_before(placed.select("conv_id", "rn", F.get(maps, F.col("_kind")).alias("map")), begins, len(states))
+    flat = [step for row in steps for step in row]
+    texts = list(dict.fromkeys(step[1] for step in flat))
+    step = F.col("state") * KINDS + F.col("_kind")
+    done = placed.join(before, ["conv_id", "rn"]).withColumns({
+        "_text": F.get(F.array(*[F.lit(x) for x in texts]), F.get(_numbers([texts.index(s[1]) for s in flat]), step)),
+        "_next": F.get(_numbers([s[0] for s in flat]), step), "referral_sent": F.get(_numbers([s[3] for s in flat], "boolean"), step)})
+    # what each message sets, with its place: the latest is in force
+    values = {q.name: F.struct("rn", *[F.col(part).alias(slot) for slot, part in q.fills]) for q in QUESTIONS}
+    done = done.withColumns({f"_set_{q}": F.when(F.get(_numbers([q in s[2] for s in flat], "boolean"), step), v) for q, v in values.items()})
+    done = prior_maxes(done, ["conv_id"], "rn", {f"_was_{q}": f"_set_{q}" for q in values})
+    now = {q: F.greatest(f"_was_{q}", f"_set_{q}") for q in values}
+
+    def own(q: str, slot: str) -> Column:
+        return F.when(F.col("referral_sent"), F.coalesce(now[q][slot], F.nullif(F.col(f"_known_{slot}"), F.lit(""))))
+
+    friend = {"full": "friend", "first": "friend", "last": "friend", "phone": "friend_phone", "city": "friend_place", "state": "friend_place"}
+    reply = F.col("_text")
+    for mark, slot in (("{friend}", "ref_full"), ("{first}", "ref_first")):
+        reply = F.replace(reply, F.lit(mark), F.coalesce(now["friend"][slot], F.lit("")))
+    return done.select(
+        "conv_id", "turn", reply.alias("reply"),
+        F.get(F.array(*[F.lit(asked) for asked, _ in states]), F.col("_next")).alias("state_after"), "referral_sent",
+        *[F.when(F.col("referral_sent"), now[q][f"ref_{k}"]).alias(f"referee_{k}") for k, q in friend.items()],
+        *[own(q, k).alias(f"referrer_{k}") for k, q in (("full", "who"), ("first", "who"), ("last", "who"), ("postal_code", "where"))],
+        F.when(F.col("referral_sent"), F.nullif("_known_email", F.lit(""))).alias("referrer_email"),
+        own("why", "reason").alias("referrer_reason"))
 
 
 STATE_SCHEMA = T.StructType([T.StructField(k, T.StringType()) for k in SLOTS])

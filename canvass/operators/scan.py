@@ -29,19 +29,23 @@ def prior_max(df: DataFrame, keys: list[str], order: str, value: str, out: str,
     UNBOUNDED PRECEDING AND 1 PRECEDING)`` but no window spans more than one
     bucket of one key.
     """
+    return prior_maxes(df, keys, order, {out: value}, bucket_width)
+
+
+def prior_maxes(df: DataFrame, keys: list[str], order: str, values: dict[str, str],
+                bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """``prior_max`` of several columns (out -> value) in one scan."""
     b = F.floor(F.col(order) / F.lit(bucket_width)).alias("_bucket")
     x = df.withColumn("_bucket", b)
     inner = (Window.partitionBy(*keys, "_bucket").orderBy(order)
              .rowsBetween(Window.unboundedPreceding, -1))
-    x = x.withColumn("_in", F.max(value).over(inner))
-    per_bucket = x.groupBy(*keys, "_bucket").agg(F.max(value).alias("_bmax"))
-    carry = per_bucket.withColumn(
-        "_carry", F.max("_bmax").over(Window.partitionBy(*keys).orderBy("_bucket")
-                                      .rowsBetween(Window.unboundedPreceding, -1))
-    ).select(*keys, "_bucket", "_carry")
+    x = x.withColumns({f"_in_{out}": F.max(v).over(inner) for out, v in values.items()})
+    per_bucket = x.groupBy(*keys, "_bucket").agg(*[F.max(v).alias(f"_bmax_{out}") for out, v in values.items()])
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(*keys, "_bucket", *[F.max(f"_bmax_{out}").over(before).alias(f"_carry_{out}") for out in values])
     return (join_null_safe(x, carry, [*keys, "_bucket"])
-            .withColumn(out, F.greatest("_in", "_carry"))
-            .drop("_bucket", "_in", "_carry"))
+            .withColumns({out: F.greatest(f"_in_{out}", f"_carry_{out}") for out in values})
+            .drop("_bucket", *[f"_{k}_{out}" for out in values for k in ("in", "carry")]))
 
 
 def fixed_ranges(df: DataFrame, columns: list[str], partitions: int) -> DataFrame:

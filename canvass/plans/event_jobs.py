@@ -325,14 +325,6 @@ def result_report(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ dialogue
-def dialogue_replay(spark: SparkSession, base: str) -> DataFrame:
-    """ST7: referral dialogue replayed over every inbound (user) message of
-    every conversation, in turn order; one reply per message."""
-    from canvass.operators.dialogue import dialogue_replay as replay
-    cv = Tables(spark, base).conversations.filter(F.col("role") == "user")
-    return replay(cv, "conv_id", "turn", "text")
-
-
 # State codes used to build the scripted conversations (a rule over the list
 # of codes, not data from the reference).
 _SCRIPT_STATES = sorted(set(C.STATE_TO_CODE.values()))

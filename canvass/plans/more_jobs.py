@@ -341,43 +341,6 @@ def reply_classes(spark: SparkSession, base: str) -> DataFrame:
 REPLY_CLASSES_SQL = "SELECT c_custkey, c_custkey % 2 = 1 AS is_new FROM customer"
 
 
-def lag_windows(spark: SparkSession, base: str) -> DataFrame:
-    """ST3 + X19: average and largest lag per five minutes of receipt, over orders as donations."""
-    paid = F.col("o_orderdate")
-    flat = Tables(spark, base).orders.select(paid.alias("paid_at"), (paid + F.make_interval(secs=F.col("o_orderkey") % 900)).alias("received_at"))
-    m = SD.lag_metrics(flat)
-    return m.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), F.round("avg_lag_seconds", 6).alias("avg_lag"),
-                    F.col("max_lag_seconds").cast("double").alias("max_lag"), "events")
-
-
-LAG_WINDOWS_SQL = """
-WITH r AS (SELECT cast(o_orderkey % 900 AS double) AS lag, o_orderdate + to_seconds(o_orderkey % 900) AS received FROM orders)
-SELECT strftime(time_bucket(INTERVAL 5 minutes, received), '%Y-%m-%d %H:%M:%S') AS window_start, round(avg(lag), 6) AS avg_lag,
-       max(lag) AS max_lag, count(*) AS events
-  FROM r GROUP BY 1
-"""
-
-
-def new_subscribers(spark: SparkSession, base: str) -> DataFrame:
-    """ST5: valid, unknown phones that pass the lag gate."""
-    t = Tables(spark, base)
-    paid = F.col("o_orderdate")
-    flat = t.orders.select("o_orderkey", paid.alias("paid_at"), (paid + F.make_interval(secs=F.col("o_orderkey") % 900)).alias("received_at"),
-                           d.customer_phone(F.col("o_custkey")).alias("phone"))
-    known = t.customer.where("c_mktsegment = 'BUILDING'").select(d.customer_phone().alias("phone_number"))
-    return SD.opt_in(flat, known).select("o_orderkey", "phone11")
-
-
-NEW_SUBSCRIBERS_SQL = f"""
-WITH r AS (SELECT o_orderkey, cast(2000000000 + o_custkey * 7919 AS varchar) AS p, o_orderkey % 900 AS lag,
-                  o_orderdate + to_seconds(o_orderkey % 900) AS received FROM orders)
-SELECT o_orderkey, '1' || p AS phone11 FROM r
- WHERE regexp_full_match(p, '[2-9][0-9]{{2}}[2-9][0-9]{{6}}')
-   AND (lag <= 300 OR hour(received) >= 13 OR hour(received) < 1)
-   AND p NOT IN (SELECT {d.CUSTOMER_PHONE_SQL} FROM customer WHERE c_mktsegment = 'BUILDING')
-"""
-
-
 def archive_keys(spark: SparkSession, base: str) -> DataFrame:
     """SNK1 + ST6: events archived by a stream and read back with their keys."""
     root = scratch_folder(spark, "archive")
@@ -494,6 +457,5 @@ MORE = {
     "predicates": (predicates, PREDICATES_SQL), "outer_predicates": (outer_predicates, OUTER_PREDICATES_SQL),
     "push_queue": (push_queue, PUSH_QUEUE_SQL), "first_groups": (first_groups, FIRST_GROUPS_SQL),
     "distance_function": (distance_function, DISTANCE_FUNCTION_SQL), "name_parts": (name_parts, NAME_PARTS_SQL),
-    "reply_classes": (reply_classes, REPLY_CLASSES_SQL), "lag_windows": (lag_windows, LAG_WINDOWS_SQL),
-    "new_subscribers": (new_subscribers, NEW_SUBSCRIBERS_SQL), "archive_keys": (archive_keys, ARCHIVE_KEYS_SQL),
+    "reply_classes": (reply_classes, REPLY_CLASSES_SQL), "archive_keys": (archive_keys, ARCHIVE_KEYS_SQL),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from canvass.plans import contact_jobs as cj
+from canvass.plans import dialogue_jobs as dj
 from canvass.plans import event_jobs as ej
 from canvass.plans import export_jobs as xj
 from canvass.plans import geo_jobs
@@ -59,6 +60,9 @@ REGISTRY = {
     "invite_buttons": (ej.invite_buttons, ej.INVITE_BUTTONS_SQL),
     "debt_relief": (ej.debt_relief, ej.DEBT_RELIEF_SQL),
     "donor_stream": (st.donor_stream, st.DONOR_STREAM_SQL),
+    "lag_windows": (st.lag_windows, st.LAG_WINDOWS_SQL),
+    "new_subscribers": (st.new_subscribers, st.NEW_SUBSCRIBERS_SQL),
+    "cancellation_keys": (st.cancellation_keys, st.CANCELLATION_KEYS_SQL),
     "event_signups": (xj.event_signups, xj.EVENT_SIGNUPS_SQL),
     "invite_export": (xj.invite_export, xj.INVITE_EXPORT_SQL),
     "config_groups": (xj.config_groups, xj.CONFIG_GROUPS_SQL),
@@ -70,8 +74,7 @@ REGISTRY = {
     "email_export": (ox.email_export, ox.EMAIL_EXPORT_SQL),
     "email_export_capped": (ox.email_export_capped, ox.EMAIL_EXPORT_CAPPED_SQL),
     "result_report": (ej.result_report, ej.RESULT_REPORT_SQL),
-    # State machine over free text: no SQL form; tests replay a scripted transcript.
-    "dialogue_replay": (ej.dialogue_replay, None),
+    "dialogue_replay": (dj.dialogue_replay, dj.DIALOGUE_REPLAY_SQL),
     # Scripted conversations: the twin states the script's expected outcome.
     "referrals": (ej.referrals, ej.REFERRALS_SQL),
     **MORE,

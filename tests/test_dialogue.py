@@ -1,6 +1,8 @@
 """Referral dialogue: invented conversations, batch replay and stream alike."""
 
 import os
+import random
+import re
 import tempfile
 
 from canvass.operators import dialogue as DG
@@ -64,3 +66,51 @@ def test_stream_matches_batch(spark):
     got = sorted(spark.read.schema(DG.OUT_SCHEMA).parquet(os.path.join(root, "out")).collect(),
                  key=lambda r: r["turn"])
     assert [r["reply"] for r in got] == [want for _, _, want in TALK]
+
+
+def plain_replay(rows, known):
+    """Every conversation walked message by message with ``answer``."""
+    out = {}
+    for conv in {r["conv_id"] for r in rows}:
+        slots = dict.fromkeys(DG.SLOTS) | {k: v or None for k, v in known.get(conv, {}).items()}
+        for m in sorted((r for r in rows if r["conv_id"] == conv), key=lambda r: r["turn"]):
+            reply, sent = DG.answer(slots, m)
+            out[conv, m["turn"]] = (reply, slots["asked"], sent)
+    return out
+
+
+def test_state_maps_equal_a_walk(spark):
+    """Random talks, one of them much longer than a block of maps (and of blocks), against the message-by-message rule."""
+    rng = random.Random(4)
+    says = ["", None, "  ", "Because", "Ana Diaz", "otto VAN DER BERG", "50309", "515 555 0133", "Ames IA", "Fort Dodge, Iowa",
+            "Mia Lund 50010 515-555-0144 Pella IA", "x"]
+    good = ["Because", "Ana Diaz", "50309", "Mia Lund", "515 555 0133", "Ames IA"]
+    talks = []
+    for conv in range(40):
+        n, script = (5000, 3) if conv == 0 else (rng.randint(1, 90), 0)
+        for turn in range(n):
+            talks.append((conv, 3 * turn - 7, good[turn % len(good)] if rng.random() < 0.7 else rng.choice(says)))
+    rows = spark.createDataFrame(talks, "conv_id long, turn long, text string")
+    known = {c: {"reason": "r" if c % 2 else "", "first": "A" if c % 3 else None, "last": "B", "full": "A B", "postal_code": "50010" if c % 5 else None,
+                 "email": f"{c}@example.org"} for c in range(0, 40, 2)} | {1: dict.fromkeys(DG.PROFILE_SLOTS, "known")}
+    profiles = spark.createDataFrame([(c, *[v[k] for k in DG.PROFILE_SLOTS]) for c, v in known.items()],
+                                     "conv_id long, " + ", ".join(f"{k} string" for k in DG.PROFILE_SLOTS))
+    parsed = DG.parse_messages(rows).toPandas().astype(object).to_dict("records")
+    want = plain_replay(parsed, known)
+    got = DG.dialogue_replay(rows.repartition(8), profiles=profiles).collect()
+    assert len(got) == len(want) and sum(r["referral_sent"] for r in got) > 300
+    for r in got:
+        reply, asked, sent = want[r["conv_id"], r["turn"]]
+        assert (r["reply"], r["state_after"], r["referral_sent"]) == (reply, asked, sent is not None)
+        for k in ("full", "first", "last", "phone", "city", "state"):
+            assert r[f"referee_{k}"] == (sent or {}).get(f"ref_{k}")
+        for k in ("full", "first", "last", "postal_code", "email", "reason"):
+            assert r[f"referrer_{k}"] == (sent or {}).get(k)
+
+
+def test_replay_plan_has_no_python_and_odd_rows_are_left_out(spark):
+    rows = spark.createDataFrame([(None, 1, "x"), (1, None, "x"), (1, 1, None), (1, 2, "Because")], "conv_id long, turn long, text string")
+    out = DG.dialogue_replay(rows)
+    assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
+    assert sorted((r["turn"], r["state_after"]) for r in out.collect()) == [(1, "why"), (2, "who")]
+    assert DG.dialogue_replay(rows.limit(0)).count() == 0
