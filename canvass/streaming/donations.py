@@ -2,30 +2,29 @@
 
 * ``read_donations``: JSON events with a fixed schema; bodies that do not
   parse land in ``bad`` (the corrupt-record column), the rest in ``good``.
-* ``donor_stream``: per-email state with ``applyInPandasWithState``. Inside a
-  micro-batch rows are sorted by arrival; an event whose paid time is not
-  later than the key's high-water mark is dropped (a per-key rule — a global
-  watermark would drop other donors' events). State is O(1) per donor; the rows
-  of a donor in one micro-batch are held together, so the trigger bounds them.
-* ``lag_metrics`` (ST3, re-aimed as a 5-minute tumbling window with a
-  watermark), ``gate`` (ST4), ``opt_in`` (ST5, stream-static anti join),
-  ``archive`` (ST6 with SNK1 keys).
+* ``donor_stream``: per-email state in a ``KeyedTable``. An event whose paid time
+  is not later than the key's high-water mark is dropped (a per-key rule — a
+  global watermark would drop other donors' events).
+* ``lag_stream`` (ST3, re-aimed as tumbling windows with a watermark; late events
+  are a side output), ``gate`` (ST4), ``opt_in`` and ``subscriber_stream`` (ST5:
+  every phone once), ``archive`` and ``archive_cancellations`` (ST6, SNK1 keys).
+
+The streams with memory are ``foreachBatch`` jobs over a ``KeyedTable``: every
+step is a DataFrame job, no key's rows are one task's, and a repeated micro-batch
+changes nothing. ``lag_metrics`` is the same windows by Spark's own watermark.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from canvass.functions import contacts as C
 from canvass.functions import timefmt as TF
 from canvass.operators.donors import DEBATE_DAYS, badges, donor_id
+from canvass.operators.scan import prior_max
+from canvass.streaming.keyed import KeyedTable, write_batch
 
 _S, _B, _I, _L, _D = T.StringType(), T.BooleanType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
@@ -88,78 +87,69 @@ def flatten_donation(events: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- ST1 / ST2
-# The state handler only folds numbers and strings; ids, dates and badges
-# are computed by JVM expressions before and after it.
-FOLD_OUT = _st(("email", _S), ("total_donation_amount", _D), ("last_donation_amount", _D),
-               ("last_paid_us", _L), ("firstname", _S), ("lastname", _S), ("city", _S), ("badges", _S),
-               ("n_donations", _L), ("version", _L))
-FOLD_STATE = _st(("last_paid_us", _L), ("total", _D), ("last_amount", _D), ("firstname", _S),
-                 ("lastname", _S), ("city", _S), ("badges", _S), ("n", _L), ("version", _L))
-DONOR_OUT = _st(("email", _S), ("donor_id", _S), ("total_donation_amount", _D), ("last_donation_amount", _D),
-                ("last_donation_ts", T.TimestampType()), ("last_donation_dt", _S), ("firstname", _S),
-                ("lastname", _S), ("city", _S), ("badges", _S), ("n_donations", _L), ("version", _L))
-
-
-def _fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    frames = [b for b in batches if len(b)]
-    if not frames:
-        return
-    pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-    if state.exists:
-        last, total, last_amount, fn, ln, city, badges, n, version = state.get
-    else:
-        last, total, last_amount, fn, ln, city, badges, n, version = (None, 0.0, None, None, None, None, "", 0, 0)
-    # Arrival order decides which events count; a key's rows may come in
-    # several chunks, so order this micro-batch's rows (bounded by the trigger).
-    order = np.argsort(pdf["arrival"].to_numpy(), kind="stable")
-    paid = pdf["paid_us"].to_numpy(dtype=np.int64)[order]
-    floor = np.iinfo(np.int64).min if last is None else int(last)
-    prev = np.maximum.accumulate(np.concatenate(([floor], paid[:-1])))
-    ok = paid > prev            # later than every earlier arrival (and the state)
-    if not ok.any():
-        return
-    idx = order[ok]
-    amounts = np.nan_to_num(pdf["amount"].to_numpy(dtype=float)[idx])
-    total = float(total) + float(amounts.sum())
-    n = int(n) + int(idx.size)
-    i = idx[-1]
-    last, last_amount = int(paid[ok][-1]), float(amounts[-1])
-    fn, ln, city = pdf["firstname"].iat[i], pdf["lastname"].iat[i], pdf["city"].iat[i]
-    new_badges = {b for b in pdf["badges"].to_numpy()[idx] if b}
-    if new_badges:
-        got = set(filter(None, (badges or "").split(",")))
-        for b in new_badges:
-            got.update(b.split(","))
-        badges = ",".join(sorted(got))
-    version = int(version) + 1
-    state.update((last, total, last_amount, fn, ln, city, badges, n, version))
-    yield pd.DataFrame({"email": [key[0]], "total_donation_amount": [total], "last_donation_amount": [last_amount],
-                        "last_paid_us": [last], "firstname": [fn], "lastname": [ln], "city": [city],
-                        "badges": [badges], "n_donations": [n], "version": [version]}, copy=False)
-
-
-def donor_stream(flat: DataFrame, salt: str, debate_days: list[str] = DEBATE_DAYS) -> DataFrame:
-    """ST1 + ST2: donor state keyed by the email exactly as received. Emits
-    the donor's new state (with a ``version``) whenever an event is accepted."""
+DONOR_STATE = _st(("email", _S), ("last_paid_us", _L), ("total", _D), ("last_amount", _D), ("firstname", _S),
+                  ("lastname", _S), ("city", _S), ("badges", T.ArrayType(_S)), ("n", _L), ("version", _L))
+
+
+def donor_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, DONOR_STATE, ["email"])
+
+
+def merge_donors(flat: DataFrame, batch: int, donors: KeyedTable, debate_days: list[str] = DEBATE_DAYS) -> None:
+    """ST1 + ST2: one micro-batch of events into the donors' state.
+
+    An event counts if it was paid later than every event of its donor that
+    arrived before, in this batch (a scan over ranges of arrivals, so a donor
+    with very many events is spread over tasks) or in earlier ones (the state).
+    Counted events are added up in the JVM, partially before the shuffle.
+    """
     day = F.to_date(F.col("paid_local_day"))
-    ok = (flat.filter(F.col("email").isNotNull() & (F.col("email") != "") & F.col("paid_at").isNotNull())
-          .select("email", "arrival", F.unix_micros("paid_at").alias("paid_us"), "amount",
-                  "firstname", "lastname", "city",
-                  F.array_join(badges(day, F.col("is_recurring"), debate_days), ",").alias("badges")))
-    folded = ok.groupBy("email").applyInPandasWithState(_fold, FOLD_OUT, FOLD_STATE, "append",
-                                                        GroupStateTimeout.NoTimeout)
+    amount = F.coalesce(F.nanvl("amount", F.lit(0.0)), F.lit(0.0))
+    events = (flat.filter(F.col("email").isNotNull() & (F.col("email") != "") & F.col("paid_at").isNotNull())
+              .select("email", "arrival", F.unix_micros("paid_at").alias("paid_us"), amount.alias("amount"),
+                      "firstname", "lastname", "city", badges(day, F.col("is_recurring"), debate_days).alias("badges")))
+    before = donors.before(batch)
+    placed = prior_max(events, ["email"], "arrival", "paid_us", "_earlier").join(
+        before.select("email", F.col("last_paid_us").alias("_floor")), "email", "left")
+    latest = F.greatest("_earlier", "_floor")
+    counted = placed.where(latest.isNull() | (F.col("paid_us") > latest))
+    new = counted.groupBy("email").agg(
+        F.sum("amount").alias("_sum"), F.count(F.lit(1)).alias("_n"), F.max("paid_us").alias("_last"),
+        F.max_by(F.struct("amount", "firstname", "lastname", "city"), "paid_us").alias("_event"),
+        F.collect_set("badges").alias("_badges"))     # a few kinds of badges: few sets of them
+    merged = new.join(before.select("email", "total", "n", "version", "badges"), "email", "left")
+    none = F.array().cast("array<string>")
+    donors.put(merged.select(
+        "email", F.col("_last").alias("last_paid_us"), (F.coalesce("total", F.lit(0.0)) + F.col("_sum")).alias("total"),
+        F.col("_event.amount").alias("last_amount"), "_event.firstname", "_event.lastname", "_event.city",
+        F.array_sort(F.array_union(F.coalesce("badges", none), F.flatten("_badges"))).alias("badges"),
+        (F.coalesce("n", F.lit(0)) + F.col("_n")).alias("n"), (F.coalesce("version", F.lit(0)) + 1).cast("bigint").alias("version")), batch)
+
+
+def donor_stream(flat: DataFrame, donors: KeyedTable, checkpoint: str, debate_days: list[str] = DEBATE_DAYS):
+    """ST1 + ST2 as a running stream: a writer that keeps ``donors``, keyed by the e-mail exactly as received."""
+    return _each_batch(flat, checkpoint, lambda rows, batch: merge_donors(rows, batch, donors, debate_days))
+
+
+def donor_rows(state: DataFrame, salt: str) -> DataFrame:
+    """Donors as users see them, from rows of their state."""
     ts = F.timestamp_micros("last_paid_us")
-    return folded.select("email", donor_id(F.col("email"), salt).alias("donor_id"), "total_donation_amount",
-                         "last_donation_amount", ts.alias("last_donation_ts"),
-                         TF.eastern_date(ts).alias("last_donation_dt"), "firstname", "lastname", "city",
-                         "badges", "n_donations", "version")
+    return state.select("email", donor_id(F.col("email"), salt).alias("donor_id"), F.col("total").alias("total_donation_amount"),
+                        F.col("last_amount").alias("last_donation_amount"), ts.alias("last_donation_ts"),
+                        TF.eastern_date(ts).alias("last_donation_dt"), "firstname", "lastname", "city",
+                        F.array_join("badges", ",").alias("badges"), F.col("n").alias("n_donations"), "version")
+
 
+def _each_batch(stream: DataFrame, checkpoint: str, work):
+    """A writer that gives every micro-batch, held for as long as it is read, to ``work(rows, batch)``."""
+    def run(rows: DataFrame, batch: int) -> None:
+        rows = rows.persist()
+        try:
+            work(rows, batch)
+        finally:
+            rows.unpersist()
 
-def latest_state(updates: DataFrame) -> DataFrame:
-    """Final donor rows from an append log of state versions."""
-    cols = [c for c in updates.columns if c not in ("email", "version")]
-    best = updates.groupBy("email").agg(F.max_by(F.struct(*cols), "version").alias("_s"))
-    return best.select("email", *[F.col("_s")[c].alias(c) for c in cols])
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
 
 # ---------------------------------------------------------------- ST3-ST6
@@ -178,6 +168,55 @@ def lag_metrics(flat: DataFrame, window: str = "5 minutes", watermark: str = "10
                  F.count(F.lit(1)).alias("events")))
 
 
+# A window's sums while it is open; one row without a window keeps the latest receipt.
+LAG_STATE = _st(("window_start", T.TimestampType()), ("latest", T.TimestampType()), ("lag_sum", _D), ("lag_max", _D), ("events", _L), ("open", _B))
+_CLOCK = "1970-01-01 00:00:00"
+
+
+def merge_lag(flat: DataFrame, batch: int, windows: KeyedTable, out: str, window: str = "5 minutes", delay: str = "10 minutes") -> None:
+    """ST3: one micro-batch of events into the open windows.
+
+    The watermark is the latest receipt of earlier batches less ``delay``. Events
+    of windows that ended by then are written to ``out``/late, not dropped; the
+    others join their window. Windows that end by the new watermark are written
+    to ``out``/closed and leave the open ones.
+    """
+    end = F.col("window_start") + F.expr(f"interval {window}")
+    clock = F.lit(_CLOCK).cast("timestamp")
+    before = windows.before(batch)
+    seen = before.where(F.col("window_start") == clock).agg(F.max("latest").alias("latest")).first()["latest"]
+    x = with_lag(flat).where("received_at is not null").withColumn("window_start", F.window("received_at", window)["start"])
+    mark = F.lit(seen).cast("timestamp") - F.expr(f"interval {delay}")
+    late = F.coalesce(end <= mark, F.lit(False))
+    write_batch(x.where(late), f"{out}/late", batch)
+    new = x.where(~late).groupBy("window_start").agg(
+        F.max("received_at").alias("_latest"), F.sum("lag_seconds").cast("double").alias("_sum"),
+        F.max("lag_seconds").cast("double").alias("_max"), F.count(F.lit(1)).alias("_n"))
+    was = before.where("open and events > 0")
+    both = was.join(new, "window_start", "full").select(
+        "window_start", F.greatest("latest", "_latest").alias("latest"),
+        (F.coalesce("lag_sum", F.lit(0.0)) + F.coalesce("_sum", F.lit(0.0))).alias("lag_sum"), F.greatest("lag_max", "_max").alias("lag_max"),
+        (F.coalesce("events", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias("events"))
+    latest = x.agg(F.max("received_at").alias("latest")).first()["latest"]
+    latest = max((t for t in (seen, latest) if t is not None), default=None)
+    both = both.withColumn("open", ~F.coalesce(end <= F.lit(latest).cast("timestamp") - F.expr(f"interval {delay}"), F.lit(False)))
+    tick = flat.sparkSession.range(1).select(
+        clock.alias("window_start"), F.lit(latest).cast("timestamp").alias("latest"), F.lit(0.0).alias("lag_sum"),
+        F.lit(None).cast("double").alias("lag_max"), F.lit(0).cast("bigint").alias("events"), F.lit(True).alias("open"))
+    windows.put(both.unionByName(tick), batch)
+    write_batch(both.where("not open").select("window_start", (F.col("lag_sum") / F.col("events")).alias("avg_lag_seconds"),
+                                              F.col("lag_max").alias("max_lag_seconds"), "events"), f"{out}/closed", batch)
+
+
+def lag_stream(flat: DataFrame, windows: KeyedTable, out: str, checkpoint: str, window: str = "5 minutes", delay: str = "10 minutes"):
+    """ST3 as a running stream with late events as a side output."""
+    return _each_batch(flat, checkpoint, lambda rows, batch: merge_lag(rows, batch, windows, out, window, delay))
+
+
+def lag_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, LAG_STATE, ["window_start"])
+
+
 def gate(lag: Column, received: Column) -> Column:
     """ST4: with more than 300 s of lag, only inside sending hours (UTC hour
     >= 13 or < 1); otherwise always. Exactly 300 s is not "lots of lag"."""
@@ -196,6 +235,26 @@ def opt_in(flat: DataFrame, profiles: DataFrame, phone_col: str = "phone_number"
     return x.join(known, C.phone10(F.col("phone11")) == F.col("_p10"), "left_anti")
 
 
+SUBSCRIBER = _st(("phone11", _S), ("arrival", _L), ("email", _S), ("firstname", _S), ("lastname", _S), ("order_number", _S))
+
+
+def subscriber_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, SUBSCRIBER, ["phone11"])
+
+
+def merge_subscribers(flat: DataFrame, batch: int, sent: KeyedTable, profiles: DataFrame, **how) -> None:
+    """ST5: of one micro-batch, the first event of every phone that ``opt_in`` lets through and that was not sent before."""
+    first = opt_in(flat, profiles, **how).groupBy("phone11").agg(
+        F.min_by(F.struct("arrival", "email", "firstname", "lastname", "order_number"), "arrival").alias("_e"))
+    first = first.select("phone11", "_e.*")
+    sent.put(first.join(sent.before(batch).select("phone11"), "phone11", "left_anti"), batch)
+
+
+def subscriber_stream(flat: DataFrame, sent: KeyedTable, profiles: DataFrame, checkpoint: str, **how):
+    """ST5 as a running stream: every new phone is sent once, in whichever batch it first comes."""
+    return _each_batch(flat, checkpoint, lambda rows, batch: merge_subscribers(rows, batch, sent, profiles, **how))
+
+
 def archive_key(prefix: str, as_of: Column, event_ts: Column, order: Column) -> Column:
     """SNK1: ``prefix/<now>_<event time>_<order>.json``, times in UTC as
     ``yyyy-MM-dd_HH:mm:ss``."""
@@ -211,3 +270,10 @@ def archive(events: DataFrame, out_path: str, checkpoint: str, prefix: str = "do
                   .withColumn("event_date", F.to_date("received_at"))
     return (keyed.writeStream.format("json").option("path", out_path).option("checkpointLocation", checkpoint)
             .partitionBy("event_date").outputMode("append"))
+
+
+def archive_cancellations(events: DataFrame, out_path: str, checkpoint: str):
+    """ST6: the second archive stream: cancelled donations, keyed by the time they were cancelled at."""
+    cancelled = events.select(
+        "*", F.try_to_timestamp(F.col("contribution.cancelledAt")).alias("paid_at"), F.col("contribution.orderNumber").alias("order_number"))
+    return archive(cancelled.where("paid_at is not null"), out_path, checkpoint, "cancellations")
