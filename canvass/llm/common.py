@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import time
 import uuid
 
 import numpy as np
@@ -29,8 +30,9 @@ def ascii_lower(c: Column) -> Column:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of fewer rows: documents are long, and a worker holds a batch whole."""
+    """Arrow batches bound by rows and bytes: documents are long, and a worker holds a batch whole."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -79,7 +81,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .union(links.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct())
 
 
-def with_arrow(df: DataFrame, columns: list[str], fields: list[tuple[str, str]], work, max_bytes: int = 4 << 20) -> DataFrame:
+def with_arrow(df: DataFrame, columns: list[str], fields: list[tuple[str, str]], work, max_bytes: int = 2 << 20) -> DataFrame:
     """``df`` with the columns ``fields`` (name, type) that ``work`` makes from ``columns``.
 
     ``work`` gets one Arrow array per column, a run of rows of at most
@@ -154,3 +156,21 @@ def give_back_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):
         pass
+
+
+def empty_workers(spark: SparkSession) -> None:
+    """Let idle Python workers drop what they hold, before a step that needs the memory for other things.
+
+    One short job with several tasks a core; a worker that it misses drops its
+    own at its next ``held``. Results never depend on it.
+    """
+    tasks = 2 * spark.sparkContext.defaultParallelism
+
+    def run(batches):
+        for batch in batches:
+            _held.clear()
+            give_back_memory()
+            time.sleep(0.05)  # so that one worker does not take all tasks of its core's neighbours
+            yield batch
+
+    spark.range(0, tasks, 1, tasks).mapInArrow(run, "id bigint").agg(F.count("*")).collect()

@@ -34,13 +34,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canvass.llm.common import byte_slices, give_back_memory, held, read_table, small_batches, staged
+from canvass.llm.common import byte_slices, empty_workers, give_back_memory, held, read_table, small_batches, staged
 
 LENGTH = 4096
 END_ID = 1
 PART_PIECES = 50_000   # pieces in one partition, some 10 MB
 CACHE = 600_000        # remembered words, some 120 MB at most
-ROUNDS = 4
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 # The vocabulary's split rule: a fixed value.
@@ -140,7 +139,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH,
 
     def run(batches):
         for batch in batches:
-            for part in byte_slices(batch, 1, 4 << 20):
+            for part in byte_slices(batch, 1, 2 << 20):
                 coded = held(path, lambda: Coder(path)).ids([t or "" for t in part.column(1).to_pylist()])
                 rows = []
                 for d, ids in zip(part.column(0).to_pylist(), coded):
@@ -170,11 +169,13 @@ def lower_bound(sizes: np.ndarray, length: int = LENGTH) -> int:
         whole = (k + 1) * x % length == 0
         f = np.where(whole, k * x, (k + 1) * x // length * length)
         best = max(best, -(-int((n * f).sum()) // (k * length)))
-    for cut in np.unique(np.minimum(sizes, length - sizes))[:64].tolist():   # above 1 - cut counts whole, below cut not at all
-        if 0 < cut <= length // 2:
-            f = np.where(x > length - cut, length, np.where(x < cut, 0, x))
-            best = max(best, -(-int((n * f).sum()) // length))
-    return best
+    # every cut: sizes above 1 - cut count whole, those below cut not at all
+    cut = np.unique(np.minimum(sizes, length - sizes))
+    cut = cut[(cut > 0) & (cut <= length // 2)]
+    count, total = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(n * x)])
+    above = count[-1] - count[length - cut + 1]
+    between = total[length - cut + 1] - total[cut]
+    return max(best, int((above - (-between // length)).max(initial=0)))
 
 
 def best_fit_decreasing(sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -201,14 +202,14 @@ def best_fit_decreasing(sizes: np.ndarray, length: int = LENGTH) -> tuple[np.nda
     return bins, offsets
 
 
-PACKED = PIECE + ", sequence_id bigint, offset bigint, open boolean"
+PACKED = PIECE + ", row bigint, sequence_id bigint, offset bigint, open boolean"
 
 
 def _pack(df: DataFrame, parts: int, round_: int, length: int) -> DataFrame:
     """Each partition packed; ``open`` marks pieces that go to the next exchange."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         part = int(pdf["part"].iloc[0])
-        pdf = pdf.sort_values(["length", "doc_id", "piece", "start"], ascending=[False, True, True, True], na_position="last")
+        pdf = pdf.sort_values(["length", "row"], ascending=[False, True])
         sizes = pdf["length"].to_numpy()
         bins, offsets = best_fit_decreasing(sizes, length)
         fill = np.bincount(bins, weights=sizes)
@@ -217,39 +218,44 @@ def _pack(df: DataFrame, parts: int, round_: int, length: int) -> DataFrame:
         else:
             loose = np.zeros(len(fill), bool)         # certified: the emptiest alone
             loose[int(np.argmin(fill))] = fill.min() < length
-        # sequence numbers: round, partition, bin; a partition has at most 2^20 bins
-        pdf["sequence_id"] = (np.int64(round_) << 58) + (np.int64(part) << 20) + bins
+        # sequence numbers: round, partition, bin; a partition has some part_pieces pieces, fewer than 2^20
+        pdf["sequence_id"] = (np.int64(round_) << 52) + (np.int64(part) << 20) + bins
         pdf["offset"], pdf["open"] = offsets, loose[bins]
         return pdf.drop(columns="part")
 
-    dealt = df.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", F.lit(round_)), F.lit(parts)).cast("int"))
+    # by a number of the piece itself: rows that repeat one id are spread like any others
+    dealt = df.withColumn("part", F.pmod(F.xxhash64("row", F.lit(round_)), F.lit(parts)).cast("int"))
     return dealt.groupBy("part").applyInPandas(run, PACKED)
 
 
-def pack(made: DataFrame, length: int = LENGTH, part_pieces: int = PART_PIECES, rounds: int = ROUNDS) -> DataFrame:
+def pack(made: DataFrame, length: int = LENGTH, part_pieces: int = PART_PIECES) -> DataFrame:
     """Pieces with sequence_id and offset."""
-    made = staged(made, "pieces")
-    n = made.count()
+    if not 0 < part_pieces <= 1 << 19:
+        raise ValueError("part_pieces: from 1 to 2^19, as sequence numbers leave 20 bits to a partition")
+    numbered = staged(made.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    empty_workers(made.sparkSession)
+    n = numbered.count()
     if not n:
         return made.withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")})
-    now = staged(_pack(made, -(-n // part_pieces), 0, length), "packed")
-    closed = [now.where("not open")]
-    for k in range(1, rounds + 1):
+    now = staged(_pack(numbered, -(-n // part_pieces), 0, length), "packed")
+    closed, k = [now.where("not open")], 0
+    while True:
+        k += 1
         pool = now.where("open")
         n, tokens, had, parts = pool.agg(F.count("*"), F.sum("length"), F.countDistinct("sequence_id"),
                                          F.countDistinct(F.shiftright("sequence_id", 20))).first()
         if not n or had <= -(-tokens // length) or k > 1 and parts == 1:
             break                                     # certified, or nothing to exchange with
-        again = staged(_pack(pool.select(*made.columns), -(-n // part_pieces), k, length), "packed")
+        again = staged(_pack(pool.select(*numbered.columns), -(-n // part_pieces), k, length), "packed")
         if again.select("sequence_id").distinct().count() >= had:
-            break
+            break                                     # no sequence saved
         closed.append(again.where("not open"))
         now = again
     closed.append(now.where("open"))
     out = closed[0]
     for c in closed[1:]:
         out = out.unionByName(c)
-    return out.drop("open")
+    return out.drop("open", "row")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

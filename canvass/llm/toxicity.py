@@ -395,7 +395,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", thres
     """``docs`` with score (0 to 1) and predicted (1 if score >= threshold)."""
     net = fit(fit_sample(docs, labels, text, **how))
     shared = _Shared(docs.sparkSession.sparkContext.broadcast(net))
-    out = with_arrow(docs, [text], [("score", "double")], lambda t: _score(shared, t), 4 << 20)
+    out = with_arrow(docs, [text], [("score", "double")], lambda t: _score(shared, t))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
