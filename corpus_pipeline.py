@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canvass.llm.common import read_table, set_aside, staged
+from canvass.llm.common import empty_workers, read_table, set_aside, staged
 from canvass.llm.decontaminate import decontaminate
 from canvass.llm.line_dedup import EXACT_CHARS, dedup_lines
 from canvass.llm.near_duplicates import BROADCAST_IDS, near_duplicates
@@ -23,6 +23,7 @@ from canvass.llm.toxicity import score_toxicity
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
+    empty_workers(spark)
     apart, give_back = set_aside(docs, ("doc_id", "text"))
     return give_back(score_toxicity(apart, read_table(spark, sf_dir, "labels")).where("predicted = 0"))
 
@@ -35,6 +36,7 @@ def _with_text(docs: DataFrame, text: str, changed) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines go."""
+    empty_workers(spark)
     apart, give_back = set_aside(docs, ("doc_id", "text", "n_chars"))
     done = dedup_lines(apart, exact_chars=EXACT_CHARS).where("n_removed = 0 or length(deduped) > 0")
     return give_back(_with_text(done, "deduped", F.col("n_removed") > 0))
@@ -42,6 +44,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
+    empty_workers(spark)
     gone = staged(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "copies")
     # a broadcast list of bounded size leaves the texts in place
     return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti").select(*docs.columns)
@@ -49,6 +52,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages cut out; documents that are little else go."""
+    empty_workers(spark)
     apart, give_back = set_aside(docs, ("doc_id", "text", "n_chars"))
     cut = decontaminate(apart.withColumn("was", F.length("text")), read_table(spark, sf_dir, "benchmark"))
     return give_back(_with_text(cut, "text", F.length("text") != F.col("was")))
@@ -56,6 +60,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and place."""
+    empty_workers(spark)
     return pack(pieces(docs))
 
 
