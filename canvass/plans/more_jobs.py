@@ -110,16 +110,21 @@ SELECT c_custkey, nullif(seg, '') AS seg, sms, '7,9' AS group_ids, 'feed' AS sou
 
 
 def merge_row(spark: SparkSession, base: str) -> DataFrame:
-    """SNK10: mail-merge row and its URL-quoted form."""
-    n = Tables(spark, base).nation.where("n_nationkey is not null")
-    return n.select("n_nationkey", SK.merge_rows(F.col("n_name"), ["n_nationkey", "n_name"]).alias("row"),
-                    SK.triggered_form(["n_nationkey"]).alias("form"))
-
-
-MERGE_ROW_SQL = """
-SELECT n_nationkey, '{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"}' AS row,
-       '%7B%22n_nationkey%22%3A' || n_nationkey || '%7D' AS form
-  FROM nation
+    """SNK10: bulk mail-merge requests over all customers, fifty recipients each, with default values; and the
+    URL-quoted form of the batch number."""
+    c = Tables(spark, base).customer.select("c_custkey", "c_mktsegment", d.customer_email().alias("address"))
+    made = SK.merge_requests(c, "address", ["c_custkey", "c_mktsegment"], ["c_custkey"], {"c_mktsegment": "none"})
+    return made.select("batch", "n", "request", SK.triggered_form(["batch"]).alias("form"))
+
+
+MERGE_ROW_SQL = f"""
+WITH c AS (SELECT c_custkey, c_mktsegment, {d.CUSTOMER_EMAIL_SQL} AS e, (row_number() OVER (ORDER BY c_custkey) - 1) // 50 AS batch FROM customer),
+r AS (SELECT batch, c_custkey, '{{"Destination":{{"ToAddresses":["' || e || '"]}},"ReplacementTemplateData":"{{\\"email\\":\\"' || e ||
+             '\\",\\"c_custkey\\":' || c_custkey || ',\\"c_mktsegment\\":\\"' || c_mktsegment || '\\"}}"}}' AS d FROM c)
+SELECT cast(batch AS bigint) AS batch, count(*) AS n,
+       '{{"Destinations":[' || string_agg(d, ',' ORDER BY c_custkey) || '],"DefaultTemplateData":"{{\\"c_mktsegment\\":\\"none\\"}}"}}' AS request,
+       '%7B%22batch%22%3A' || cast(batch AS bigint) || '%7D' AS form
+  FROM r GROUP BY batch
 """
 
 
@@ -271,7 +276,9 @@ def push_queue(spark: SparkSession, base: str) -> DataFrame:
                          "1997-06-01", [F.col("o_orderdate").desc(), F.col("o_orderkey").asc()])
     rn = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").asc()))
     cap = F.coalesce(*[F.when(F.col("o_orderstatus") == k, F.lit(v)) for k, v in limits.items()])
-    return rows.withColumn("rn", rn.cast("long")).where(F.col("rn") <= cap).select("o_orderkey", "o_orderstatus", "rn")
+    # the largest limit, a literal, cuts every partition before the shuffle
+    first = rows.withColumn("_rn", rn).where(F.col("_rn") <= max(limits.values()))
+    return first.where(F.col("_rn") <= cap).select("o_orderkey", "o_orderstatus", F.col("_rn").cast("long").alias("rn"))
 
 
 PUSH_QUEUE_SQL = """

@@ -24,6 +24,7 @@ from canvass.operators import aggregates as A
 from canvass.operators import dedupe as D
 from canvass.operators import joins as J
 from canvass.operators.sizing import broadcast_if_small
+from canvass.operators.scan import numbered
 from canvass.plans import derive as d
 from canvass.plans.sync_jobs import resubscribe_filter
 from canvass.sources.tables import Tables
@@ -120,10 +121,12 @@ def email_export_parts(spark: SparkSession, base: str, cap: int | None = None) -
     x = (x.join(broadcast_if_small(nat, J.CONFIG_ROWS), F.col("c_nationkey") == F.col("n_nationkey"), "left")
          .withColumn("valid", FL.email_syntax_ok("email") & F.coalesce("domain_ok", F.lit(False))))
     rejects = x.filter(~F.col("valid")).select("email", "ext_type", F.lit("undeliverable").alias("reason"))
-    rn = F.row_number().over(Window.partitionBy("ext_type").orderBy(F.col("c_custkey").asc()))
-    exports = x.filter("valid").withColumn("rank_in_type", rn.cast("long"))
-    if cap is not None:
-        exports = exports.filter(F.col("rank_in_type") <= cap)
+    exports = x.filter("valid")
+    if cap is None:     # a whole ranking of a few types: no window per type
+        exports = numbered(exports, ["ext_type"], ["c_custkey", "email"], out="rank_in_type")
+    else:               # the literal limit cuts every partition before the shuffle
+        rn = F.row_number().over(Window.partitionBy("ext_type").orderBy("c_custkey", "email"))
+        exports = exports.withColumn("_rank", rn).filter(F.col("_rank") <= cap).withColumn("rank_in_type", F.col("_rank").cast("long"))
     exports = (exports.select("email", "ext_type", F.col("c_custkey").cast("string").alias("ext_id"),
                        "is_resubscribe", "rank_in_type"))
     counts = A.counts_by(x, "ext_type", ~F.col("valid"))

@@ -7,10 +7,13 @@ expects, per row, with built-in ``to_json`` / ``to_xml``.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canvass.functions.text import whole_number_text
+from canvass.operators.scan import batches
 
 
 def append_log(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -84,9 +87,24 @@ def profile_payload(phone11: Column, fields: list[str], ints: list[str], yesno:
     return F.to_json(F.struct(phone.alias("phone_number"), *[val(f).alias(f) for f in fields]))
 
 
+MERGE_GROUP = 50   # fixed: recipients in one bulk request
+
+
 def merge_rows(email: Column, cols: list[str]) -> Column:
-    """SNK10: mail-merge row: the recipient's own values as JSON."""
-    return F.to_json(F.struct(*[F.col(c) for c in cols]))
+    """SNK10: one recipient of a mail merge: the address, and its own values (the address among them) as JSON text."""
+    values = F.to_json(F.struct(email.alias("email"), *[F.col(c) for c in cols]))
+    return F.struct(F.struct(F.array(email).alias("ToAddresses")).alias("Destination"), values.alias("ReplacementTemplateData"))
+
+
+def merge_requests(df: DataFrame, email: str, cols: list[str], order: list[str], default: dict | None = None) -> DataFrame:
+    """SNK10 (bulk form): (batch, n, request): requests of ``MERGE_GROUP`` recipients at most, in ``order`` (unique),
+    each with the default values. Rows without an address go to nobody."""
+    numbered = batches(df.where(F.col(email).isNotNull()), MERGE_GROUP, order)
+    row = F.struct(*[F.col(c) for c in order], merge_rows(F.col(email), cols).alias("_row"))
+    grouped = numbered.groupBy("batch").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    request = F.to_json(F.struct(F.transform("_rows", lambda r: r["_row"]).alias("Destinations"),
+                                 F.lit(json.dumps(default or {}, separators=(",", ":"))).alias("DefaultTemplateData")))
+    return grouped.select("batch", F.size("_rows").cast("bigint").alias("n"), request.alias("request"))
 
 
 def triggered_form(cols: list[str]) -> Column:

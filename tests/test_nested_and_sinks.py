@@ -106,3 +106,15 @@ def test_payload_values_by_type(spark):
     r = df.select(*[N.get_or_default(F.col(c), F.lit(v)).alias(c) for c, v in
                     (("a", "z"), ("b", "z"), ("c", -1.0), ("d", -1.0), ("i", -1), ("h", -1), ("k", "z"))]).first()
     assert tuple(r) == ("abc", "0", -1.0, 24.0, -1, 1, "z")
+
+
+def test_merge_requests_hold_fifty_recipients(spark):
+    import json
+    df = spark.range(120).selectExpr("id", "case when id % 10 != 3 then concat('p', id, '@example.org') end address", "if(id = 4, 'say \"hi\"', null) note")
+    rows = sorted(SK.merge_requests(df, "address", ["note"], ["id"], {"note": "none"}).collect(), key=lambda r: r["batch"])
+    assert [(r["batch"], r["n"]) for r in rows] == [(0, 50), (1, 50), (2, 8)]
+    first = json.loads(rows[0]["request"])
+    assert json.loads(first["DefaultTemplateData"]) == {"note": "none"}
+    assert [d["Destination"]["ToAddresses"] for d in first["Destinations"][:4]] == [["p0@example.org"], ["p1@example.org"], ["p2@example.org"], ["p4@example.org"]]
+    assert json.loads(first["Destinations"][3]["ReplacementTemplateData"]) == {"email": "p4@example.org", "note": 'say "hi"'}
+    assert SK.merge_requests(df.where("address is null"), "address", ["note"], ["id"]).count() == 0
