@@ -9,7 +9,7 @@ then the last boundary of all earlier partitions (one row per partition).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from canvass.operators.scan import fixed_ranges
@@ -18,8 +18,10 @@ from canvass.operators.sizing import broadcast_if_small, row_count_at_most
 # Up to so many boundaries a nested loop over a broadcast list is cheaper than
 # the scan; both give the same rows.
 BROADCAST_BOUNDARIES = 1_000
-# Phases, by the spans of days that they touch, which a task may hold.
-BROADCAST_SPANS = 200_000
+# Phases, by the blocks of days that make them up, which a task may hold.
+BROADCAST_BLOCKS = 200_000
+# Blocks of up to 2^24 days cover every date that Spark can write.
+MAX_LEVEL = 24
 
 
 def _asof_scan(keys: DataFrame, key: str, bounds: DataFrame, bcol: str, out: str,
@@ -83,23 +85,48 @@ def phase_table(mapping: DataFrame) -> DataFrame:
     return mapping.select("timeframe", "timeframe_start", "timeframe_end").distinct()
 
 
+def _dyadic_nodes(start: Column, stop: Column) -> Column:
+    """The canonical dyadic blocks of days that make up [start, stop): disjoint,
+    at most two per level, so O(log length) of them. At level ``k`` the open
+    part runs from ceil(start / 2^k) to floor(stop / 2^k); an odd first block
+    and the block before an odd end belong to no larger block and are taken."""
+    blocks = []
+    for k in range(MAX_LEVEL + 1):
+        lo, hi = F.ceil(start / 2 ** k).cast("long"), F.floor(stop / 2 ** k).cast("long")
+        blocks += [F.when((lo < hi) & (F.pmod(lo, F.lit(2)) == 1), F.struct(F.lit(k).alias("level"), lo.alias("block"))),
+                   F.when((lo < hi) & (F.pmod(hi, F.lit(2)) == 1), F.struct(F.lit(k).alias("level"), (hi - 1).alias("block")))]
+    return F.filter(F.array(*blocks), lambda b: b.isNotNull())
+
+
 def sites_by_phase(sites: DataFrame, phases: DataFrame) -> DataFrame:
     """Sites whose start lies inside a phase (and still open at its start);
-    phases may overlap.
-
-    Days are cut into spans as long as the average phase. A phase is listed
-    under every span that it touches (two or three on average), a site under
-    the span of its start; they meet by an equi join, so each (site, phase)
-    pair appears once. The list is broadcast while it is small (checked).
+    phases may overlap and be of any lengths.
+
+    A dyadic interval index: a phase is listed under the O(log) disjoint blocks
+    of 2^k days that make it up, a site under the one block of every level that
+    holds its start (levels that no phase uses are left out). They meet by an
+    equi join on (level, block). A phase's blocks are disjoint, so each (site,
+    phase) pair appears once, and the list stays within 2 log2(length) rows a
+    phase whether it lasts a day or decades. It is broadcast while it is small
+    (checked).
+
+    A null in either date of a phase, a phase that ends before it starts and a
+    site without a start or an end match nothing. Repeated phases or sites give
+    repeated rows, as in SQL.
     """
     ph = phases.select("timeframe_start", "timeframe_end").where("timeframe_start <= timeframe_end")
-    days = ph.agg(F.avg(F.date_diff("timeframe_end", "timeframe_start"))).first()[0] or 0
-    width = F.lit(max(1, int(days) + 1))
-
-    def span(c: str):
-        return F.floor(F.unix_date(F.col(c).cast("date")) / width)
-
-    listed = ph.withColumn("_span", F.explode(F.sequence(span("timeframe_start"), span("timeframe_end"))))
-    return (sites.withColumn("_span", span("start_date")).join(broadcast_if_small(listed, BROADCAST_SPANS), "_span")
+    nodes = _dyadic_nodes(F.unix_date(F.col("timeframe_start").cast("date")).cast("long"),
+                          F.unix_date(F.col("timeframe_end").cast("date")).cast("long") + 1)
+    listed = (ph.withColumn("_node", F.explode(nodes))
+              .select("timeframe_start", "timeframe_end", F.col("_node.level").alias("_level"),
+                      F.col("_node.block").alias("_block")))
+    # at most MAX_LEVEL + 1 numbers
+    used = [r[0] for r in listed.select("_level").distinct().orderBy("_level").collect()]
+    day = F.unix_date(F.col("start_date").cast("date"))
+    holding = [F.struct(F.lit(k).alias("_level"), F.floor(day / 2 ** k).alias("_block")) for k in used]
+    if not used:
+        holding = [F.lit(None).cast("struct<_level:int,_block:bigint>")]
+    at = sites.withColumn("_at", F.explode(F.array(*holding))).select("*", "_at._level", "_at._block").drop("_at")
+    return (at.join(broadcast_if_small(listed, BROADCAST_BLOCKS), ["_level", "_block"])
             .where((F.col("start_date") <= F.col("timeframe_end")) & (F.col("start_date") >= F.col("timeframe_start"))
-                   & (F.col("end_date") >= F.col("timeframe_start"))).drop("_span"))
+                   & (F.col("end_date") >= F.col("timeframe_start"))).drop("_level", "_block"))

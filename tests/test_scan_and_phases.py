@@ -52,3 +52,31 @@ def test_sites_by_phase_large_calendar_path(spark, monkeypatch):
                    .select("site", "start_date", "end_date", "timeframe_start", "timeframe_end").collect())
     assert [r[0] for r in small] == [1, 2, 4]
     assert large == small
+
+
+def test_sites_by_phase_of_any_length(spark):
+    import random
+
+    rnd = random.Random(3)
+    day = dt.date(1990, 1, 1)
+    phases = [(day + dt.timedelta(days=(a := rnd.randrange(12000))), day + dt.timedelta(days=a + n))
+              for n in [0, 1, 2, 6, 30, 364, 9000, 12000] + [rnd.randrange(40) for _ in range(60)]]
+    odd = [(None, day), (day, None), (day + dt.timedelta(days=9), day), phases[0]]
+    phases += odd + [(dt.date(1, 1, 1), dt.date(9999, 12, 31))]
+    sites = [(i, (s := day + dt.timedelta(days=rnd.randrange(14000))), s + dt.timedelta(days=rnd.randrange(50)))
+             for i in range(400)] + [(900, None, day), (901, day, None), (902, phases[0][0], phases[0][1])]
+    got = PH.sites_by_phase(spark.createDataFrame(sites, "site int, start_date date, end_date date"),
+                            spark.createDataFrame(phases, "timeframe_start date, timeframe_end date"))
+    want = [(i, a, b) for i, s, e in sites for a, b in phases
+            if None not in (s, e, a, b) and a <= s <= b and e >= a]
+    assert sorted((r["site"], r["timeframe_start"], r["timeframe_end"]) for r in got.collect()) == sorted(want)
+
+
+def test_sites_by_phase_lists_are_logarithmic(spark):
+    day = dt.date(2000, 1, 1)
+    ph = spark.createDataFrame([(0, n) for n in (1, 7, 365, 20000)], "a long, b long")
+    n = {r["b"]: len(r["n"]) for r in ph.select("b", PH._dyadic_nodes(F.col("a") + 1, F.col("b") + 1).alias("n")).collect()}
+    assert n[1] == 1 and all(v <= 2 * k.bit_length() for k, v in n.items())
+    none = spark.createDataFrame([], "timeframe_start date, timeframe_end date")
+    sites = spark.createDataFrame([(1, day, day)], "site int, start_date date, end_date date")
+    assert PH.sites_by_phase(sites, none).count() == 0
