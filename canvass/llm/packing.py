@@ -40,6 +40,7 @@ LENGTH = 4096
 END_ID = 1
 PART_PIECES = 50_000   # pieces in one partition, some 10 MB
 CACHE = 600_000        # remembered words, some 120 MB at most
+SLICE_BYTES = 2 << 20  # text coded at a time
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 # The vocabulary's split rule: a fixed value.
@@ -131,16 +132,25 @@ class Remembered:
 
 
 def pieces(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, end_id: int = END_ID,
-           doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32."""
+           doc_id: str = "doc_id", text: str = "text", cache: int = CACHE, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32.
+
+    ``cache`` (words remembered in a worker) and ``slice_bytes`` (text coded at
+    a time, or one document) trade memory for time; rows never depend on them.
+    """
     small_batches(docs.sparkSession)
     path = vocabulary or default_vocabulary()
     end = np.array([end_id], "<u4").tobytes()
 
+    def coder():
+        return held((path, cache), lambda: Coder(path, cache))
+
     def run(batches):
+        coder()
+        give_back_memory()  # what reading the vocabulary took
         for batch in batches:
-            for part in byte_slices(batch, 1, 2 << 20):
-                coded = held(path, lambda: Coder(path)).ids([t or "" for t in part.column(1).to_pylist()])
+            for part in byte_slices(batch, 1, slice_bytes):
+                coded = coder().ids([t or "" for t in part.column(1).to_pylist()])
                 rows = []
                 for d, ids in zip(part.column(0).to_pylist(), coded):
                     ids += end
@@ -152,7 +162,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH,
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                                  names=["doc_id", "piece", "start", "length", "ids_crc32"])
         # between tasks only the words asked for lately are kept
-        held(path, lambda: Coder(path)).known.old = {}
+        coder().known.old = {}
         give_back_memory()
 
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECE)
