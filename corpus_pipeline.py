@@ -20,6 +20,8 @@ from canvass.llm.near_duplicates import BROADCAST_IDS, near_duplicates
 from canvass.llm.packing import pack, pieces
 from canvass.llm.toxicity import score_toxicity
 
+CACHED_WORDS = 100_000
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
@@ -61,7 +63,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and place."""
     empty_workers(spark)
-    return pack(pieces(docs))
+    # the last stage runs in executors that earlier ones have filled: a small memory of words
+    return pack(pieces(docs, cache=CACHED_WORDS, slice_bytes=512 << 10))
 
 
 STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
