@@ -143,6 +143,39 @@ def _refine_edge(pois: DataFrame, match: list[str], h: float, n_points: int | No
 BROADCAST_POI_COPIES = 400_000
 
 
+# Groups of so few points are compared whole, in one pass: more passes of a
+# grid cost more than so many chords.
+WHOLE_GROUP = 64
+# Points in one list of a cell. A cell with more (points stacked on nearly the
+# same place) has several lists, dealt by a hash of the point's id.
+LIST_POINTS = 8_192
+
+
+def _point_lists(pois: DataFrame, match: list[str], poi_id: str, fields: list[str], h: float, split: bool) -> DataFrame:
+    """One row per cell (or several, each of about ``LIST_POINTS``) with the points ``_pts`` of the 27 cells around."""
+    spread = pois.withColumn("_cell", F.explode(_neighbours_xyz("_p", h)))
+    keys = [*match, "_cell"]
+    if split:
+        counts = spread.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / LIST_POINTS).alias("_lists"))
+        spread = spread.join(counts, keys).withColumn("_list", F.pmod(F.xxhash64(poi_id, F.lit(1)), F.col("_lists")))
+        keys.append("_list")
+    return spread.groupBy(*keys).agg(F.collect_list(F.struct(*fields)).alias("_pts")).drop("_list")
+
+
+def _chord(p: Column) -> Column:
+    """Straight-line distance from the row's origin to point ``p`` on the unit sphere."""
+    return F.sqrt(F.pow(F.col("_ox") - p["_px"], 2) + F.pow(F.col("_oy") - p["_py"], 2)
+                  + F.pow(F.col("_oz") - p["_pz"], 2))
+
+
+def _within_least(points: Column, measure, slack: float) -> Column:
+    """The points whose measure is within ``slack`` of the least. The least is
+    bound to a lambda's variable, so it is worked out once a list and not
+    once a point, wherever the optimiser moves the expression."""
+    least = F.array_min(F.transform(points, measure))
+    return F.transform(F.array(least), lambda m: F.filter(points, lambda p: measure(p) <= m + F.lit(slack)))[0]
+
+
 def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], poi_id: str,
                     o_lat: str, o_lng: str, p_lat: str, p_lng: str, *,
                     match: list[str] | None = None, metric: Metric = SPHERE_MILES,
@@ -154,6 +187,10 @@ def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], p
     ``match`` columns must be equal on both sides (e.g. county, phase). The
     result holds the origin columns, the point columns and ``dist_col``
     (rounded to ``digits``). Origins with no point of interest give no row.
+    An origin meets one list of points, that of its cell, and keeps of it only
+    the band around its least distance, inside the row: no candidate is
+    shuffled. Only where a match group is longer than a list may hold can an origin meet several
+    lists; then the least distance is taken over their bands.
     Each pass is persisted (later passes and the result both read it); from
     the fourth pass on it is checkpointed to the session's checkpoint folder
     to cut the growing lineage.
@@ -176,38 +213,45 @@ def band_candidates(origins: DataFrame, pois: DataFrame, origin_id: list[str], p
     # (three multiply-adds), the trigonometric distance runs on survivors only.
     pois = _with_xyz(pois, p_lat, p_lng, "_p")
     # a cell never holds more points than the largest match group
-    h = start_edge or _refine_edge(pois, match, _initial_edge(st), st["gmax"])
+    whole = (st["gmax"] or 0) <= WHOLE_GROUP
+    h = start_edge or (2.0 if whole else _refine_edge(pois, match, _initial_edge(st), st["gmax"]))
     pending = _with_xyz(origins, o_lat, o_lng, "_o")
-    o_cols = o_cols + ["_ox", "_oy", "_oz"]
+    o_names, o_cols = o_cols, o_cols + ["_ox", "_oy", "_oz"]
     slack = (band + 1e-5) / metric.radius + 1e-12
+    # one list per cell unless some group of points could overfill it
+    split = (st["gmax"] or 0) > LIST_POINTS
     results: list[DataFrame] = []
-    w = Window.partitionBy(*origin_id)
     while True:
         final = h >= 2.0
         bound = bound_for_edge(h, metric)
-        spread = pois.withColumn("_cell", F.explode(_neighbours_xyz("_p", h)))
-        spread = F.broadcast(spread) if poi_small else spread
-        keyed = pending.withColumn("_cell", _cell_xyz("_o", h))
-        joined = keyed.join(spread, on=match + ["_cell"], how="left").drop("_cell")
-        joined = (joined.withColumn("_c", F.sqrt(_chord2()))
-                  .withColumn("_cmin", F.min("_c").over(w))
-                  .filter(F.col("_c").isNull() | (F.col("_c") <= F.col("_cmin") + F.lit(slack))))
-        d = F.round(metric.fn(F.col(o_lat), F.col(o_lng), F.col(p_lat), F.col(p_lng)), digits)
-        scored = (joined.withColumn(dist_col, F.when(F.col(poi_id).isNotNull(), d))
-                  .withColumn("_dmin", F.min(dist_col).over(w)))
-        ok = F.lit(True) if final else (F.col("_dmin") + F.lit(band + _ROUND_MARGIN) < F.lit(bound))
-        scored = (scored.withColumn("_ok", F.coalesce(ok, F.lit(False)))
-                  .filter(~F.col("_ok") | (F.col(dist_col) <= F.col("_dmin") + F.lit(band))))
+        lists = _point_lists(pois, match, poi_id, [poi_id, p_lat, p_lng, "_px", "_py", "_pz"], h, split)
+        lists = F.broadcast(lists) if poi_small else lists
+        met = pending.withColumn("_cell", _cell_xyz("_o", h)).join(lists, on=match + ["_cell"], how="left").drop("_cell")
+        near = F.transform(
+            _within_least(F.col("_pts"), _chord, slack),
+            lambda p: F.struct(F.round(metric.fn(F.col(o_lat), F.col(o_lng), p[p_lat], p[p_lng]), digits).alias("_d"),
+                               *[p[c].alias(c) for c in (poi_id, p_lat, p_lng)]))
+        scored = (met.withColumn("_near", near).drop("_pts")
+                  .withColumn("_least", F.array_min(F.transform("_near", lambda p: p["_d"]))))
+        if split:
+            # a cell's points may lie in several lists, each cut to its own band by now
+            scored = scored.withColumn("_least", F.min("_least").over(Window.partitionBy(*origin_id)))
+        ok = F.lit(True) if final else (F.col("_least") + F.lit(band + _ROUND_MARGIN) < F.lit(bound))
+        scored = scored.withColumn("_ok", F.coalesce(ok, F.lit(False)))
         if not final:
             # Later passes and the result both read this pass: keep it once.
             # Past a few passes the lineage is cut with a reliable checkpoint.
             scored = (scored.checkpoint(eager=True) if len(results) >= 3
                       else scored.persist(StorageLevel.MEMORY_AND_DISK))
-        results.append(scored.filter("_ok").drop("_dmin", "_ok", "_c", "_cmin",
-                                                 "_ox", "_oy", "_oz", "_px", "_py", "_pz"))
+        best = F.transform(F.array("_least"), lambda m: F.filter("_near", lambda p: p["_d"] <= m + F.lit(band)))[0]
+        results.append(scored.filter("_ok").withColumn("_p", F.explode(best))
+                       .select(*o_names, *[F.col("_p")[c].alias(c) for c in (poi_id, p_lat, p_lng)],
+                               F.col("_p")["_d"].alias(dist_col)))
         if final:
             break
-        pending = scored.filter(~F.col("_ok")).select(*o_cols).dropDuplicates(origin_id)
+        pending = scored.filter(~F.col("_ok")).select(*o_cols)
+        if split:
+            pending = pending.dropDuplicates(origin_id)
         if pending.isEmpty():
             break
         h = min(2.0, h * 4.0)

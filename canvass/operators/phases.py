@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from canvass.operators.scan import fixed_ranges
-from canvass.operators.sizing import broadcast_if_small, row_count_at_most
+from canvass.operators.sizing import row_count_at_most
 
 # Up to so many boundaries a nested loop over a broadcast list is cheaper than
 # the scan; both give the same rows.
@@ -120,13 +120,14 @@ def sites_by_phase(sites: DataFrame, phases: DataFrame) -> DataFrame:
     listed = (ph.withColumn("_node", F.explode(nodes))
               .select("timeframe_start", "timeframe_end", F.col("_node.level").alias("_level"),
                       F.col("_node.block").alias("_block")))
-    # at most MAX_LEVEL + 1 numbers
-    used = [r[0] for r in listed.select("_level").distinct().orderBy("_level").collect()]
+    # one number and at most MAX_LEVEL + 1 levels
+    rows, used = listed.agg(F.count(F.lit(1)), F.sort_array(F.collect_set("_level"))).first()
     day = F.unix_date(F.col("start_date").cast("date"))
     holding = [F.struct(F.lit(k).alias("_level"), F.floor(day / 2 ** k).alias("_block")) for k in used]
     if not used:
         holding = [F.lit(None).cast("struct<_level:int,_block:bigint>")]
     at = sites.withColumn("_at", F.explode(F.array(*holding))).select("*", "_at._level", "_at._block").drop("_at")
-    return (at.join(broadcast_if_small(listed, BROADCAST_BLOCKS), ["_level", "_block"])
+    listed = F.broadcast(listed) if rows <= BROADCAST_BLOCKS else listed
+    return (at.join(listed, ["_level", "_block"])
             .where((F.col("start_date") <= F.col("timeframe_end")) & (F.col("start_date") >= F.col("timeframe_start"))
                    & (F.col("end_date") >= F.col("timeframe_start"))).drop("_level", "_block"))

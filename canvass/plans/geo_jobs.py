@@ -100,7 +100,8 @@ def nearest_sites(spark: SparkSession, base: str) -> DataFrame:
     # A plain equi join: AQE broadcasts this (county, phase) list once its
     # measured size is small, and shuffles otherwise.
     county_phases = sp.select("county", "timeframe_start", "timeframe_end").distinct()
-    origins = people.join(county_phases, "county")
+    # Dealt by person: the tolerance windows after the search use the same partitions.
+    origins = people.join(county_phases, "county").repartition("c_custkey")
     res = nn.nearest_with_tolerance(
         origins, sp.withColumnRenamed("s_suppkey", "site_id"),
         ["c_custkey", "timeframe_start", "timeframe_end"], "site_id",

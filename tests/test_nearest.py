@@ -85,3 +85,30 @@ def test_dense_cluster_refines_first_cell_and_stays_exact(spark):
     for oid, la, ln in o:
         want = min((round(hav(la, ln, pla, pln), 6), pid) for pid, pla, pln in p)
         assert best[oid][1] == want[1], oid
+
+
+def test_stacked_points_fill_several_lists(spark, monkeypatch):
+    # a third of all points on one spot: lists are split, ties and bands stay exact
+    monkeypatch.setattr(nn, "LIST_POINTS", 16)
+    p = points(8, 120) + [(1000 + i, 41.0, -95.0) for i in range(60)]
+    o = points(9, 80) + [(900 + i, 41.0 + i * 1e-3, -95.0) for i in range(20)] + [(990, None, 1.0)]
+    odf = spark.createDataFrame(o, "oid long, olat double, olng double")
+    pdf = spark.createDataFrame(p, "pid long, plat double, plng double")
+    got = {(r["oid"], r["pid"]) for r in nn.band_candidates(
+        odf, pdf, ["oid"], "pid", "olat", "olng", "plat", "plng", band=0.5).collect()}
+    want = set()
+    for oid, la, ln in o:
+        if la is not None:
+            dist = {pid: round(hav(la, ln, pla, pln), 6) for pid, pla, pln in p}
+            want |= {(oid, pid) for pid, x in dist.items() if x <= min(dist.values()) + 0.5}
+    assert {x for x in got ^ want} == set()
+
+
+def test_no_candidate_is_shuffled(spark):
+    odf = spark.createDataFrame(points(1, 50), "oid long, olat double, olng double")
+    pdf = spark.createDataFrame(points(2, 40), "pid long, plat double, plng double")
+    spark.catalog.clearCache()
+    out = nn.band_candidates(odf, pdf, ["oid"], "pid", "olat", "olng", "plat", "plng", start_edge=2.0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan
+    assert {r["oid"] for r in out.collect()} == set(range(50))
