@@ -17,6 +17,7 @@ from canvass.operators import joins as J
 from canvass.operators import nested as N
 from canvass.operators import phases as P
 from canvass.operators import report as R
+from canvass.operators import suppression as SU
 from canvass.plans import derive as d
 from canvass.plans.stream_jobs import scratch_folder
 from canvass.sources import files as SF
@@ -236,6 +237,26 @@ SELECT s_suppkey, start_date, a AS timeframe_start, b AS timeframe_end FROM s JO
 """
 
 
+# ------------------------------------------------------------ suppression against long lists
+SUPPRESSED_FLAGS = ["A", "N"]
+
+
+def suppress_large(spark: SparkSession, base: str) -> DataFrame:
+    """J6 + J8 at size: order lines whose order is on no list of their return flag, only possible hits shuffled."""
+    t = Tables(spark, base)
+    listed = t.orders.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") != "P")).select(
+        F.col("o_orderkey").alias("l_orderkey"))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    return SU.anti_split(lines, J.tag_lists(listed, SUPPRESSED_FLAGS, "l_returnflag"), ["l_returnflag", "l_orderkey"])
+
+
+SUPPRESS_LARGE_SQL = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem l
+ WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o_orderpriority = '1-URGENT'
+                     AND o_orderstatus <> 'P' AND l.l_returnflag IN ('A', 'N'))
+"""
+
+
 # ------------------------------------------------------------ predicates and joins
 def predicates(spark: SparkSession, base: str) -> DataFrame:
     """F9, F13, F18, X12, X20, X22 over orders."""
@@ -461,6 +482,7 @@ MORE = {
     "merge_row": (merge_row, MERGE_ROW_SQL), "written_and_read": (written_and_read, WRITTEN_AND_READ_SQL),
     "sheets_and_tags": (sheets_and_tags, SHEETS_AND_TAGS_SQL), "upserted": (upserted, UPSERTED_SQL),
     "asof_large": (asof_large, ASOF_LARGE_SQL), "sites_in_phase": (sites_in_phase, SITES_IN_PHASE_SQL),
+    "suppress_large": (suppress_large, SUPPRESS_LARGE_SQL),
     "predicates": (predicates, PREDICATES_SQL), "outer_predicates": (outer_predicates, OUTER_PREDICATES_SQL),
     "push_queue": (push_queue, PUSH_QUEUE_SQL), "first_groups": (first_groups, FIRST_GROUPS_SQL),
     "distance_function": (distance_function, DISTANCE_FUNCTION_SQL), "name_parts": (name_parts, NAME_PARTS_SQL),
