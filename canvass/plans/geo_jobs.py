@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from canvass.functions.geo import cosine_miles_sql, sphere_miles_sql
 from canvass.operators import nearest as nn
 from canvass.operators.phases import assign_phase, sites_by_phase
+from canvass.operators.radius import first_k_within
 from canvass.plans import derive as d
 from canvass.sources.tables import Tables
 
@@ -150,15 +151,13 @@ RADIUS_TYPES = (0, 1, 2)
 def radius_events(spark: SparkSession, base: str) -> DataFrame:
     """Per customer, the first 3 sites (by id) within 50 miles that start in
     a time range, are of a listed type and not full (positive balance). The
-    filters come before the join; the limit is applied per task before the shuffle."""
+    filters come before the join; cells wholly inside the radius answer from their lists."""
     t = Tables(spark, base)
     origins = d.customer_geo(t.customer).select("c_custkey", "c_lat", "c_lng")
     open_ = (F.col("start_date").between(F.lit(RADIUS_FROM).cast("date"), F.lit(RADIUS_TO).cast("date"))
              & (F.col("s_nationkey") % 4).isin(*RADIUS_TYPES) & (F.col("s_acctbal") > 0))
     pois = d.supplier_sites(t.supplier).where(open_).select("s_suppkey", "s_lat", "s_lng")
-    pairs = nn.within_radius(origins, pois, "c_lat", "c_lng", "s_lat", "s_lng", RADIUS_MILES)
-    top = nn.top_k_per(pairs, ["c_custkey"], [F.col("s_suppkey").asc()], RADIUS_TOP)
-    return top.select("c_custkey", "s_suppkey", "distance")
+    return first_k_within(origins, pois, "c_custkey", "s_suppkey", "c_lat", "c_lng", "s_lat", "s_lng", RADIUS_MILES, RADIUS_TOP)
 
 
 RADIUS_EVENTS_SQL = f"""
