@@ -27,11 +27,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from canvass.operators.nearest import (_OFFSETS, BROADCAST_POI_COPIES, SPHERE_MILES, Metric, _cell_xyz, _with_xyz,
-                                       edge_for_distance)
+                                       edge_for_distance, top_k_per, within_radius)
 from canvass.operators.sizing import broadcast_if_small
 
 LEAF_POINTS = 64     # levels are added until no cell of the last one holds more points
 MAX_LEVELS = 14      # ... or so many: 2^-14 of the radius, points stacked on one place
+# So few points are measured whole: an origin meets this many at most, and the
+# rounds of the hierarchy would cost more.
+FEW_POINTS = 1_024
 _AXES = "xyz"
 
 
@@ -107,9 +110,17 @@ def first_k_within(origins: DataFrame, pois: DataFrame, origin_id: str, poi_id:
     inner, outer = _reach(max_dist - eps, metric) - 1e-9, _reach(max_dist + eps, metric) + 1e-9
     h = edge_for_distance(max_dist + eps, metric)
     pois = pois.where(F.col(poi_id).isNotNull() & F.col(p_lat).isNotNull() & F.col(p_lng).isNotNull())
-    pois = _with_xyz(pois.select(*match, poi_id, p_lat, p_lng).distinct(), p_lat, p_lng, "_p")
-    point = F.struct(F.col(poi_id).alias("id"), F.col(p_lat).alias("lat"), F.col(p_lng).alias("lng"))
+    pois = pois.select(*match, poi_id, p_lat, p_lng).distinct()
+    origins = origins.where(F.col(origin_id).isNotNull() & F.col(o_lat).isNotNull() & F.col(o_lng).isNotNull())
+    origins = origins.select(origin_id, o_lat, o_lng, *match)
     n = pois.count()
+    if n <= FEW_POINTS:
+        pairs = within_radius(origins, pois, o_lat, o_lng, p_lat, p_lng, max_dist, match=match, metric=metric,
+                              digits=digits, dist_col=dist_col)
+        first = top_k_per(pairs, [origin_id], [F.col(c).asc() for c in (poi_id, p_lat, p_lng)], k)
+        return first.select(origin_id, *match, poi_id, dist_col)
+    pois = _with_xyz(pois, p_lat, p_lng, "_p")
+    point = F.struct(F.col(poi_id).alias("id"), F.col(p_lat).alias("lat"), F.col(p_lng).alias("lng"))
     levels = _levels(pois, match, h, n)
     cells = _pyramid(pois, match, poi_id, point, h, levels, k)
 
@@ -122,8 +133,7 @@ def first_k_within(origins: DataFrame, pois: DataFrame, origin_id: str, poi_id:
         lists = F.flatten(F.array(F.any_value("_best"), F.flatten(F.collect_list("_found"))))
         return [*kept, F.slice(F.sort_array(F.array_distinct(lists)), 1, k).alias("_best")]
 
-    state = origins.where(F.col(origin_id).isNotNull() & F.col(o_lat).isNotNull() & F.col(o_lng).isNotNull())
-    state = _with_xyz(state.select(origin_id, o_lat, o_lng, *match), o_lat, o_lng, "_o")
+    state = _with_xyz(origins, o_lat, o_lng, "_o")
     base = _cell_xyz("_o", h)
     state = state.withColumn("_best", F.array().cast(cells[0].schema["_first"].dataType)).withColumn(
         "_open", F.array(*[F.struct(*[(base[f"c{a}"] + d).alias(f"c{a}") for a, d in zip(_AXES, o)]) for o in _OFFSETS]))

@@ -22,6 +22,7 @@ from canvass.plans import derive as d
 from canvass.plans.stream_jobs import scratch_folder
 from canvass.sources import files as SF
 from canvass.sources import sinks as SK
+from canvass.sources.stored import StoredTable
 from canvass.sources.tables import Tables
 from canvass.streaming import donations as SD
 
@@ -204,6 +205,31 @@ UNION ALL SELECT -c_custkey, 1.0 FROM customer WHERE c_acctbal < 0 AND c_nationk
 """
 
 
+def stored_tables(spark: SparkSession, base: str) -> DataFrame:
+    """SNK3 + SNK4 on a stored table: replaced by the orders, an empty frame ignored, corrections of open orders and
+    new keys upserted by bucket; rows read back, summed by status."""
+    t = Tables(spark, base)
+    rows = t.orders.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("price"))
+    table = StoredTable(spark, scratch_folder(spark, "stored") + "/orders", ("o_orderkey",))
+    table.replace(rows)
+    table.replace(rows.where("false"))
+    fixed = rows.where("o_orderstatus = 'O'").select(
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")).otherwise(-F.col("o_orderkey")).alias("o_orderkey"),
+        F.lit("fixed").alias("o_orderstatus"), F.lit(1.0).alias("price"))
+    table.upsert(fixed)
+    return table.read().groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").cast("bigint").alias("key_sum"), F.max("price").alias("top_price"))
+
+
+STORED_TABLES_SQL = """
+WITH r AS (
+  SELECT o_orderkey AS k, o_orderstatus, cast(o_totalprice AS double) AS price FROM orders
+   WHERE o_orderstatus <> 'O' OR o_orderkey % 2 <> 0
+  UNION ALL SELECT CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE -o_orderkey END, 'fixed', 1.0 FROM orders WHERE o_orderstatus = 'O')
+SELECT o_orderstatus, count(*) AS n, cast(sum(k) AS bigint) AS key_sum, max(price) AS top_price FROM r GROUP BY 1
+"""
+
+
 # ------------------------------------------------------------ phases
 def asof_large(spark: SparkSession, base: str) -> DataFrame:
     """J13 by the scan for long boundary lists: latest ship day of another order before each order day."""
@@ -481,6 +507,7 @@ MORE = {
     "nested_default": (nested_default, NESTED_DEFAULT_SQL), "constituent_record": (constituent_record, CONSTITUENT_RECORD_SQL),
     "merge_row": (merge_row, MERGE_ROW_SQL), "written_and_read": (written_and_read, WRITTEN_AND_READ_SQL),
     "sheets_and_tags": (sheets_and_tags, SHEETS_AND_TAGS_SQL), "upserted": (upserted, UPSERTED_SQL),
+    "stored_tables": (stored_tables, STORED_TABLES_SQL),
     "asof_large": (asof_large, ASOF_LARGE_SQL), "sites_in_phase": (sites_in_phase, SITES_IN_PHASE_SQL),
     "suppress_large": (suppress_large, SUPPRESS_LARGE_SQL),
     "predicates": (predicates, PREDICATES_SQL), "outer_predicates": (outer_predicates, OUTER_PREDICATES_SQL),

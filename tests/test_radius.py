@@ -48,6 +48,7 @@ def test_dense_cluster_and_wide_spread(spark, dist, k):
 
 
 def test_stacked_points_are_measured_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(radius, "FEW_POINTS", 0)
     monkeypatch.setattr(radius, "MAX_LEVELS", 2)
     rnd = random.Random(3)
     pois = [(i, 10 + (i % 40) * 1e-3, 20.0) for i in range(400)]
@@ -55,7 +56,9 @@ def test_stacked_points_are_measured_one_by_one(spark, monkeypatch):
     assert _run(spark, origins, pois, 20.0, 4) == _brute(origins, pois, 20.0, 4)
 
 
-def test_odd_rows(spark):
+@pytest.mark.parametrize("few", [0, 1024])
+def test_odd_rows(spark, monkeypatch, few):
+    monkeypatch.setattr(radius, "FEW_POINTS", few)
     pois = [(1, 0.0, 179.99), (1, 0.0, 179.99), (2, 0.0, -179.99), (3, None, 0.0), (None, 0.0, 180.0), (4, 89.99, 0.0)]
     origins = [(1, 0.0, 180.0), (2, 90.0, 77.0), (3, None, 1.0), (None, 0.0, 180.0), (5, -45.0, 0.0)]
     assert _run(spark, origins, pois, 10.0, 3) == {1: [1, 2], 2: [4]}
@@ -66,6 +69,6 @@ def test_odd_rows(spark):
 def test_rows_met_grow_with_the_rows(spark):
     """A radius that holds nearly all points: an origin meets lists of cells, not the points."""
     rnd = random.Random(11)
-    pois = [(i, 40 + rnd.uniform(-1, 1), -75 + rnd.uniform(-1, 1)) for i in range(20000)]
-    origins = [(i, 40 + rnd.uniform(-1, 1), -75 + rnd.uniform(-1, 1)) for i in range(300)]
+    pois = [(i, 40 + rnd.uniform(-1, 1), -75 + rnd.uniform(-1, 1)) for i in range(8000)]
+    origins = [(i, 40 + rnd.uniform(-1, 1), -75 + rnd.uniform(-1, 1)) for i in range(200)]
     assert _run(spark, origins, pois, 60.0, 3) == _brute(origins, pois, 60.0, 3)
