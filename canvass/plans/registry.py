@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from canvass.plans import contact_jobs as cj
 from canvass.plans import dialogue_jobs as dj
+from canvass.plans import email_upload as eu
 from canvass.plans import event_jobs as ej
 from canvass.plans import export_jobs as xj
 from canvass.plans import geo_jobs
@@ -18,6 +19,9 @@ REGISTRY = {
                                    geo_jobs.NEAREST_BY_PHASE_TOLERANCE_SQL),
     "phase_asof": (geo_jobs.phase_asof, geo_jobs.PHASE_ASOF_SQL),
     "radius_events": (geo_jobs.radius_events, geo_jobs.RADIUS_EVENTS_SQL),
+    "email_upload": (eu.email_upload, eu.EMAIL_UPLOAD_SQL),
+    "email_upload_limited": (eu.email_upload_limited, eu.EMAIL_UPLOAD_LIMITED_SQL),
+    "email_upload_records": (eu.email_upload_records, eu.EMAIL_UPLOAD_RECORDS_SQL),
     "merge_contacts": (cj.merge_contacts, cj.MERGE_CONTACTS_SQL),
     "first_touch": (cj.first_touch, cj.FIRST_TOUCH_SQL),
     "latest_per_key": (cj.latest_per_key, cj.LATEST_PER_KEY_SQL),

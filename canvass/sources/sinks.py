@@ -12,6 +12,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canvass.functions.contacts import normalize_name_case
 from canvass.functions.text import whole_number_text
 from canvass.operators.scan import batches
 
@@ -53,6 +54,32 @@ def constituent_xml(df: DataFrame, fields: list[str], group_ids: list[int], sour
     return F.to_xml(F.struct(*cols), {"rowTag": "cons"})
 
 
+PHONE_KIND, EMAIL_KIND = "home", "personal"   # fixed: kinds of a record's phone and address
+
+
+def person_xml(df: DataFrame, group_ids: list[int], own_group: Column, type_field_id: int) -> Column:
+    """SNK7 (nested): the record of one person: re-cased names, source, postal address, phone (only if there is one),
+    e-mail, the common groups and ``own_group`` (text, may be null), and the source type as a custom field. Null and
+    empty values render no element; the address always has its country."""
+    def text(c: str) -> Column:
+        return F.nullif(F.col(c), F.lit(""))
+    first, last = normalize_name_case(F.coalesce("first_name", F.lit("")), F.coalesce("last_name", F.lit("")))
+    address = F.struct(*[text(c).alias(n) for c, n in [("addr1", "addr1"), ("addr2", "addr2"), ("city", "city"),
+                                                       ("state_cd", "state_cd"), ("postal_code", "zip")]], F.lit("US").alias("country"))
+    phone = F.when(text("phone_number").isNotNull(), F.struct(
+        F.col("phone_number").alias("phone"), F.lit(PHONE_KIND).alias("phone_type"),
+        F.lit("0").alias("is_subscribed"), F.lit("1").alias("is_primary")))
+    mail = F.struct(F.col("email").alias("email"), F.lit(EMAIL_KIND).alias("email_type"),
+                    F.lit("1").alias("is_subscribed"), F.lit("1").alias("is_primary"))
+    groups = F.array_compact(F.array(*[F.lit(str(g)) for g in group_ids], own_group))
+    kind = F.struct(F.lit(str(type_field_id)).alias("_id"), F.col("ext_type").alias("value"))
+    person = F.struct(F.nullif(first, F.lit("")).alias("firstname"), F.nullif(last, F.lit("")).alias("lastname"), F.lit("0").alias("is_banned"),
+                      text("source").alias("source"), text("subsource").alias("subsource"), address.alias("cons_addr"),
+                      phone.alias("cons_phone"), mail.alias("cons_email"),
+                      F.transform(groups, lambda g: F.struct(g.alias("_id"))).alias("cons_group"), kind.alias("cons_field"))
+    return F.concat(F.lit('<?xml version="1.0" encoding="utf-8"?><api>'), F.to_xml(person, {"rowTag": "cons"}), F.lit("</api>"))
+
+
 def field_xml(key: Column, fields: list[str], field_ids: dict[str, int]) -> Column:
     """SNK8: custom-field update XML. A field with no value (null, empty text,
     the number 0, false) renders without a ``value`` element, which clears it.
