@@ -10,6 +10,7 @@ from canvass.plans import export_jobs as xj
 from canvass.plans import geo_jobs
 from canvass.plans import outreach_exports as ox
 from canvass.plans.more_jobs import MORE
+from canvass.plans.push_jobs import PUSH
 from canvass.plans import stream_jobs as st
 from canvass.plans import sync_jobs as sj
 
@@ -81,5 +82,5 @@ REGISTRY = {
     "dialogue_replay": (dj.dialogue_replay, dj.DIALOGUE_REPLAY_SQL),
     # Scripted conversations: the twin states the script's expected outcome.
     "referrals": (ej.referrals, ej.REFERRALS_SQL),
-    **MORE,
+    **MORE, **PUSH,
 }

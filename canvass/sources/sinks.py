@@ -97,6 +97,22 @@ def field_xml(key: Column, fields: list[str], field_ids: dict[str, int]) -> Colu
     return F.to_xml(F.struct(key.alias("_id"), F.array(*items).alias("cons_field")), {"rowTag": "cons"})
 
 
+FIELD_GROUP = 100   # fixed: people in one custom-field update
+
+
+def field_requests(df: DataFrame, key: str, fields: list[str], field_ids: dict[str, int], limit: int | None = None) -> DataFrame:
+    """SNK8 + SNK6: (batch, n, request): updates of ``FIELD_GROUP`` people at most, in order of ``key`` (unique), of the
+    first ``limit`` people if one is given. Rows without a key are left out."""
+    x = df.where(F.col(key).isNotNull())
+    if limit is not None:
+        x = x.orderBy(key).limit(limit)
+    row = F.struct(F.col(key), field_xml(F.col(key), fields, field_ids).alias("_xml"))
+    grouped = batches(x, FIELD_GROUP, [key]).groupBy("batch").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    body = F.array_join(F.transform("_rows", lambda r: r["_xml"]), "\n")
+    return grouped.select("batch", F.size("_rows").cast("bigint").alias("n"), F.concat(
+        F.lit('<?xml version="1.0" encoding="utf-8"?><api>'), body, F.lit("</api>")).alias("request"))
+
+
 def profile_payload(phone11: Column, fields: list[str], ints: list[str], yesno: list[str]) -> Column:
     """SNK9: SMS profile JSON: null/empty keys dropped (``to_json`` omits
     nulls), ints rounded half-even, 1/0 as Yes/No and Yes/No as they are, other
