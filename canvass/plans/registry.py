@@ -11,6 +11,7 @@ from canvass.plans import geo_jobs
 from canvass.plans import outreach_exports as ox
 from canvass.plans.more_jobs import MORE
 from canvass.plans.push_jobs import PUSH
+from canvass.plans import sms_upload as su
 from canvass.plans import stream_jobs as st
 from canvass.plans import sync_jobs as sj
 
@@ -23,6 +24,7 @@ REGISTRY = {
     "email_upload": (eu.email_upload, eu.EMAIL_UPLOAD_SQL),
     "email_upload_limited": (eu.email_upload_limited, eu.EMAIL_UPLOAD_LIMITED_SQL),
     "email_upload_records": (eu.email_upload_records, eu.EMAIL_UPLOAD_RECORDS_SQL),
+    "sms_upload": (su.sms_upload, su.SMS_UPLOAD_SQL),
     "merge_contacts": (cj.merge_contacts, cj.MERGE_CONTACTS_SQL),
     "first_touch": (cj.first_touch, cj.FIRST_TOUCH_SQL),
     "latest_per_key": (cj.latest_per_key, cj.LATEST_PER_KEY_SQL),
