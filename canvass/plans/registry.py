@@ -8,6 +8,7 @@ from canvass.plans import email_upload as eu
 from canvass.plans import event_jobs as ej
 from canvass.plans import export_jobs as xj
 from canvass.plans import geo_jobs
+from canvass.plans import lookup_jobs as lj
 from canvass.plans import outreach_exports as ox
 from canvass.plans.more_jobs import MORE
 from canvass.plans.push_jobs import PUSH
@@ -24,6 +25,7 @@ REGISTRY = {
     "email_upload": (eu.email_upload, eu.EMAIL_UPLOAD_SQL),
     "email_upload_limited": (eu.email_upload_limited, eu.EMAIL_UPLOAD_LIMITED_SQL),
     "email_upload_records": (eu.email_upload_records, eu.EMAIL_UPLOAD_RECORDS_SQL),
+    "event_lookup": (lj.event_lookup, lj.EVENT_LOOKUP_SQL),
     "sms_upload": (su.sms_upload, su.SMS_UPLOAD_SQL),
     "merge_contacts": (cj.merge_contacts, cj.MERGE_CONTACTS_SQL),
     "first_touch": (cj.first_touch, cj.FIRST_TOUCH_SQL),
