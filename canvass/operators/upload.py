@@ -61,7 +61,9 @@ def process(candidates: DataFrame, domains: DataFrame, existing: DataFrame, repl
     ``was_new``: of a dry run, whether the address is missing there; of a creation, the
     answer; else null. ``limit`` as in ``within_limit`` (ids and types are not null).
     """
-    x = within_limit(deliverable(candidates, "email", domains, "_valid"), "_valid", limit)
+    x = deliverable(candidates, "email", domains, "_valid")
+    if limit is not None:       # read twice: once for the rows that fill the limits, once to cut
+        x = within_limit(x.checkpoint(eager=True), "_valid", limit)
     x = x.withColumn("_address", C.canon_email("email"))
     have = existing.select(C.canon_email(existing.columns[0]).alias("_address"))
     x = J.flag_in(x, have, "_address", "_have")
