@@ -19,7 +19,7 @@ from canvass.operators.sizing import row_count_at_most
 # the scan; both give the same rows.
 BROADCAST_BOUNDARIES = 1_000
 # Phases, by the blocks of days that make them up, which a task may hold.
-BROADCAST_BLOCKS = 200_000
+BROADCAST_SPANS = 200_000
 # Blocks of up to 2^24 days cover every date that Spark can write.
 MAX_LEVEL = 24
 
@@ -127,7 +127,7 @@ def sites_by_phase(sites: DataFrame, phases: DataFrame) -> DataFrame:
     if not used:
         holding = [F.lit(None).cast("struct<_level:int,_block:bigint>")]
     at = sites.withColumn("_at", F.explode(F.array(*holding))).select("*", "_at._level", "_at._block").drop("_at")
-    listed = F.broadcast(listed) if rows <= BROADCAST_BLOCKS else listed
+    listed = F.broadcast(listed) if rows <= BROADCAST_SPANS else listed
     return (at.join(listed, ["_level", "_block"])
             .where((F.col("start_date") <= F.col("timeframe_end")) & (F.col("start_date") >= F.col("timeframe_start"))
                    & (F.col("end_date") >= F.col("timeframe_start"))).drop("_level", "_block"))
