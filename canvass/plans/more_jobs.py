@@ -416,6 +416,9 @@ SELECT cast(event_id AS varchar) AS order_number,
   FROM events
 """
 
+PROFILES_PER_PAGE = 20_000   # some 16 MB
+
+
 def profiles_flat(spark: SparkSession, base: str) -> DataFrame:
     """SRC3 + AR2 + O4: profile pages written as XML from customers, read and flattened; messages newest first."""
     root = scratch_folder(spark, "profiles")
@@ -435,7 +438,9 @@ def profiles_flat(spark: SparkSession, base: str) -> DataFrame:
                                     .alias("custom_column"))).alias("custom_columns"),
         F.when(k % 3 != 0, F.struct(F.array(campaign(k % 9), campaign(F.lit(4))).alias("subscription"))).alias("subscriptions"),
         F.struct(F.array(message(0), message(1), message(2)).alias("message")).alias("messages"))
-    pages.write.format("xml").option("rootTag", "profiles").option("rowTag", "profile").save(f"{root}/pages")
+    # a page of XML is read whole by one task: pages hold a bounded number of profiles, as downloaded ones do
+    (pages.write.format("xml").option("rootTag", "profiles").option("rowTag", "profile")
+     .option("maxRecordsPerFile", PROFILES_PER_PAGE).save(f"{root}/pages"))
     flat = N.flatten_profiles(SF.read_profiles_xml(spark, f"{root}/pages"))
     return flat.select(F.col("id").cast("long").alias("id"), "phone_number", F.array_join("campaign_ids", ",").alias("campaigns"),
                        F.try_element_at("custom_columns", F.lit("seg")).alias("seg"), F.col("last_message.id").alias("last_message"),
