@@ -133,7 +133,9 @@ def first_k_within(origins: DataFrame, pois: DataFrame, origin_id: str, poi_id:
         lists = F.flatten(F.array(F.any_value("_best"), F.flatten(F.collect_list("_found"))))
         return [*kept, F.slice(F.sort_array(F.array_distinct(lists)), 1, k).alias("_best")]
 
-    state = _with_xyz(origins, o_lat, o_lng, "_o")
+    # Dealt by origin: what a few input files hold is spread over all tasks before it is multiplied, and the
+    # rounds group by origin without another shuffle wherever the cells are broadcast.
+    state = _with_xyz(origins.repartition(origin_id), o_lat, o_lng, "_o")
     base = _cell_xyz("_o", h)
     state = state.withColumn("_best", F.array().cast(cells[0].schema["_first"].dataType)).withColumn(
         "_open", F.array(*[F.struct(*[(base[f"c{a}"] + d).alias(f"c{a}") for a, d in zip(_AXES, o)]) for o in _OFFSETS]))

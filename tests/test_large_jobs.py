@@ -3,6 +3,7 @@
 import glob
 
 
+from canvass.operators import radius
 from canvass.plans import more_jobs as MJ
 
 
@@ -21,3 +22,15 @@ def test_profile_pages_are_of_bounded_size(spark, tmp_path, monkeypatch):
     assert sorted(r["id"] for r in got.select("id").collect()) == list(range(105))
     sizes = [open(f).read().count("<profile>") for f in glob.glob(f"{paths[0].removeprefix('file:')}/part-*")]
     assert sum(sizes) == 105 and max(sizes) <= 20
+
+
+def test_origins_of_one_file_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(radius, "FEW_POINTS", 0)
+    plans, with_xyz = [], radius._with_xyz
+    monkeypatch.setattr(radius, "_with_xyz", lambda df, *a: plans.append((a[-1], df._jdf.queryExecution().optimizedPlan().toString()))
+                        or with_xyz(df, *a))
+    o = spark.createDataFrame([(i, 10.0, 20.0 + i / 100) for i in range(50)], "o long, la double, ln double").coalesce(1)
+    p = spark.createDataFrame([(i, 10.0, 20.0 + i / 100) for i in range(0, 50, 7)], "p long, pa double, pn double")
+    got = radius.first_k_within(o, p, "o", "p", "la", "ln", "pa", "pn", 0.1, 3)
+    assert sorted((r["o"], r["p"]) for r in got.collect()) == [(i, i) for i in range(0, 50, 7)]
+    assert "RepartitionByExpression [o#" in dict(plans)["_o"]
