@@ -29,6 +29,10 @@ LIMIT = 150
 GROUPS, TYPE_FIELD = [11, 12], 5
 TYPE_GROUPS = {"events": 21, "shop": 23, "voter": 26}
 STATES = ["STATE_A", "STATE_B", "STATE_C"]
+PART_END = "\x1f"
+RECORD_PARTS = {"firstname": "firstname", "source": "source", "addr1": "cons_addr/addr1", "zip": "cons_addr/zip", "country": "cons_addr/country",
+                "phone": "cons_phone/phone", "phone_type": "cons_phone/phone_type", "xml_email": "cons_email/email",
+                "kind": f"cons_field[@id='{TYPE_FIELD}']/value"}
 
 
 def _zip():
@@ -191,14 +195,13 @@ def email_upload_records(spark: SparkSession, base: str) -> DataFrame:
     """SNK7: the nested records of the people to create, read back from their XML."""
     r = U.records(seen(spark, base), GROUPS, TYPE_GROUPS, TYPE_FIELD)
 
-    def part(path: str):
-        return F.xpath_string("xml", F.lit("/api/cons/" + path))
     body = r.withColumn("xml", F.regexp_replace("record", r"^<\?[^>]*>", ""))
-    return body.select(
-        "email", "ext_type", "ext_id", part("firstname").alias("firstname"), part("source").alias("source"),
-        part("cons_addr/addr1").alias("addr1"), part("cons_addr/zip").alias("zip"), part("cons_addr/country").alias("country"),
-        part("cons_phone/phone").alias("phone"), part("cons_phone/phone_type").alias("phone_type"), part("cons_email/email").alias("xml_email"),
-        F.array_join(F.xpath("xml", F.lit("/api/cons/cons_group/@id")), ",").alias("groups"), part("cons_field[@id='5']/value").alias("kind"))
+    # every XPath call parses the record anew: one call reads all parts, with a character between them that XML cannot hold
+    parts = F.xpath_string("xml", F.lit("concat(" + f", '{PART_END}', ".join(f"/api/cons/{p}" for p in RECORD_PARTS.values()) + ")"))
+    x = body.withColumn("_parts", F.split(parts, PART_END, -1))
+    value = {c: F.get("_parts", F.lit(i)) for i, c in enumerate(RECORD_PARTS)}
+    return x.select("email", "ext_type", "ext_id", *[v.alias(c) for c, v in value.items() if c != "kind"],
+                    F.array_join(F.xpath("xml", F.lit("/api/cons/cons_group/@id")), ",").alias("groups"), value["kind"].alias("kind"))
 
 
 # ------------------------------------------------------------ the twin, feed by feed

@@ -2,8 +2,11 @@
 
 import glob
 
+from pyspark.sql import functions as F
 
 from canvass.operators import radius
+from canvass.operators import upload as U
+from canvass.plans import email_upload as EU
 from canvass.plans import more_jobs as MJ
 
 
@@ -24,6 +27,24 @@ def test_profile_pages_are_of_bounded_size(spark, tmp_path, monkeypatch):
     assert sum(sizes) == 105 and max(sizes) <= 20
 
 
+def test_a_record_is_parsed_twice_at_most(spark, monkeypatch):
+    odd = ["Ann", " ", "a  b ", "<&>'\"", "", "Zoë 😀", "x\ty", None]
+    base = dict.fromkeys(U.LAYOUT)
+    rows = [tuple({**base, "email": f"p{i}@x.org", "addr1": v, "source": v, "ext_id": str(i), "phone_number": v,
+                   "ext_type": ["shop", "sms"][i % 2]}.values()) for i, v in enumerate(odd)]
+    schema = ", ".join(f"{c} {'double' if c == 'action_epoch' else 'string'}" for c in U.LAYOUT)
+    seen = spark.createDataFrame(rows, schema).withColumn("outcome", F.lit("create"))
+    monkeypatch.setattr(EU, "seen", lambda *a: seen)
+    out = EU.email_upload_records(spark, "")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("xpath") <= 2
+    got = {r["ext_id"]: r for r in out.collect()}
+    for i, v in enumerate(odd):
+        r = got[str(i)]
+        assert (r["addr1"], r["source"], r["phone"], r["phone_type"]) == (v or "", v or "", v or "", "home" if v else "")
+        assert (r["xml_email"], r["zip"], r["country"], r["kind"]) == (f"p{i}@x.org", "", "US", ["shop", "sms"][i % 2])
+        assert r["groups"] == ("11,12,23" if i % 2 == 0 else "11,12")
+
+
 def test_origins_of_one_file_are_dealt(spark, monkeypatch):
     monkeypatch.setattr(radius, "FEW_POINTS", 0)
     plans, with_xyz = [], radius._with_xyz
