@@ -43,7 +43,7 @@ FIT_DOCS, FIRST_WINDOWS = 1500, 6   # of each class; windows of a text in the fi
 EPOCHS, BATCH_DOCS, RATE = 6, 64, 0.01
 THRESHOLD = 0.3
 LONG = r"([^\x00-\x7F]{21}|[^ ]{64})"   # a whole word: what follows in the run is the next
-CACHE = 200_000   # words whose gate inputs are remembered in a worker, 192 bytes each
+CACHE = 50_000   # words whose gate inputs are remembered in a worker: 192 bytes each, and as much for their row numbers
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
