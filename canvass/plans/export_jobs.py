@@ -76,7 +76,8 @@ def invite_export(spark: SparkSession, base: str) -> DataFrame:
     """P1 tail: nearest site per phase with the voter's best phone (voters
     without one drop out), in the invite layout, for upcoming send dates."""
     t = Tables(spark, base)
-    near = G.nearest_sites(spark, base)
+    # a site starts within its phase, so phases that end before the first send date give no row
+    near = G.nearest_sites(spark, base, lambda end: FL.upcoming(F.date_sub(end, 1), INVITE_AS_OF))
     ph = best_phone(_phones(t.orders))
     x = (near.join(ph, near["c_custkey"] == ph["vanid"], "inner")
          .join(t.customer, "c_custkey"))

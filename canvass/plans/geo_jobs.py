@@ -3,14 +3,18 @@ phase with tolerance, J13 phase mapping, J22 radius search."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass.functions.geo import cosine_miles_sql, sphere_miles_sql
 from canvass.operators import nearest as nn
+from canvass.operators.joins import CONFIG_ROWS
 from canvass.operators.phases import assign_phase, sites_by_phase
 from canvass.operators.radius import first_k_within
+from canvass.operators.sizing import broadcast_if_small
 from canvass.plans import derive as d
 from canvass.sources.tables import Tables
 
@@ -83,14 +87,17 @@ def nearest_by_phase_tolerance(spark: SparkSession, base: str) -> DataFrame:
                       "distance_to_site")
 
 
-def nearest_sites(spark: SparkSession, base: str) -> DataFrame:
-    """Typed form of ``nearest_by_phase_tolerance`` (dates stay dates)."""
+def nearest_sites(spark: SparkSession, base: str, phase_end: Callable[[str], Column] | None = None) -> DataFrame:
+    """Typed form of ``nearest_by_phase_tolerance`` (dates stay dates). ``phase_end``: a condition on the end of a
+    phase; only phases that meet it are searched (each has a search of its own)."""
     t = Tables(spark, base)
     days, starts, ends = _phase_bounds(t.orders)
     # The phase calendar is a small dimension read by several size checks and
     # joins below: keep it once.
-    phases = (assign_phase(days, "ds", starts, ends).select("timeframe_start", "timeframe_end")
-              .distinct().persist(StorageLevel.MEMORY_AND_DISK))
+    phases = assign_phase(days, "ds", starts, ends).select("timeframe_start", "timeframe_end").distinct()
+    if phase_end is not None:
+        phases = phases.where(phase_end("timeframe_end"))
+    phases = phases.persist(StorageLevel.MEMORY_AND_DISK)
     sites = d.supplier_sites(t.supplier).select(
         F.col("s_nationkey").alias("county"), "s_suppkey", "s_lat", "s_lng", "start_date", "end_date")
     sp = sites_by_phase(sites, phases)
@@ -98,11 +105,11 @@ def nearest_sites(spark: SparkSession, base: str) -> DataFrame:
                                                "c_lat", "c_lng")
     # One origin per (person, phase open in the person's county): phases are a
     # small dimension, so this matches the reference's phases x people rows.
-    # A plain equi join: AQE broadcasts this (county, phase) list once its
-    # measured size is small, and shuffles otherwise.
-    county_phases = sp.select("county", "timeframe_start", "timeframe_end").distinct()
-    # Dealt by person: the tolerance windows after the search use the same partitions.
-    origins = people.join(county_phases, "county").repartition("c_custkey")
+    # People are dealt before they are multiplied by the phases: a shuffle of
+    # one row a person, which a broadcast (county, phase) list leaves in place.
+    # Where the lists of the search are broadcast too, its windows use the same partitions.
+    county_phases = broadcast_if_small(sp.select("county", "timeframe_start", "timeframe_end").distinct(), CONFIG_ROWS)
+    origins = people.repartition("c_custkey").join(county_phases, "county")
     res = nn.nearest_with_tolerance(
         origins, sp.withColumnRenamed("s_suppkey", "site_id"),
         ["c_custkey", "timeframe_start", "timeframe_end"], "site_id",

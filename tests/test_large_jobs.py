@@ -1,5 +1,6 @@
 """Jobs that must spread over tasks and read or search no more than they need; the tests build their own rows."""
 
+import datetime as dt
 import glob
 
 from pyspark.sql import functions as F
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 from canvass.operators import radius
 from canvass.operators import upload as U
 from canvass.plans import email_upload as EU
+from canvass.plans import export_jobs as XJ
+from canvass.plans import geo_jobs as GJ
 from canvass.plans import more_jobs as MJ
 
 
@@ -55,3 +58,24 @@ def test_origins_of_one_file_are_dealt(spark, monkeypatch):
     got = radius.first_k_within(o, p, "o", "p", "la", "ln", "pa", "pn", 0.1, 3)
     assert sorted((r["o"], r["p"]) for r in got.collect()) == [(i, i) for i in range(0, 50, 7)]
     assert "RepartitionByExpression [o#" in dict(plans)["_o"]
+
+
+def test_invites_search_only_phases_still_to_come(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    _customers(spark, base, 30)
+    spark.createDataFrame([(i, f"Supplier#{i}", i % 3, 1.0) for i in range(150)],
+                          "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{base}/supplier.parquet")
+    days = [dt.datetime(1995, 1, 1) + dt.timedelta(31 * i) for i in range(80)]
+    spark.createDataFrame([(20 * i + 1, i % 30, "F", 1000.0 + i, d, "5-LOW") for i, d in enumerate(days)],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp,"
+                          " o_orderpriority string").write.parquet(f"{base}/orders.parquet")
+    whole = GJ.nearest_sites(spark, base)
+    phones = XJ.best_phone(XJ._phones(spark.read.parquet(f"{base}/orders.parquet")))
+    want = sorted((r["c_custkey"], r["phone"], str(r["start_date"])) for r in whole.join(
+        phones, F.col("vanid") == F.col("c_custkey")).where(f"date_sub(start_date, 1) > date '{XJ.INVITE_AS_OF}'").collect())
+    met, search = [], GJ.nn.nearest_with_tolerance
+    monkeypatch.setattr(GJ.nn, "nearest_with_tolerance", lambda o, *a, **k: met.append(o) or search(o, *a, **k))
+    got = sorted((r["Custom ID"], r["phone"], r["start_date"]) for r in XJ.invite_export(spark, base).collect())
+    assert got == want and len(got) > 100
+    ends = [r[0] for r in met[0].select("timeframe_end").distinct().collect()]
+    assert min(ends) > dt.date.fromisoformat(XJ.INVITE_AS_OF) and len(ends) > 5
