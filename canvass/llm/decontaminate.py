@@ -176,9 +176,14 @@ def _judge(automaton, texts):
 
 
 def benchmark_hits(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
-                   item_text: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``docs`` with n_words, n_hit, items (ids as texts, sorted) and hit_spans (word numbers)."""
+                   item_text: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS,
+                   cut: str | None = None) -> DataFrame:
+    """``docs`` with n_words, n_hit, items (ids as texts, sorted), hit_spans (word numbers) and, if named, ``cut``: the text without them.
+
+    The text is cut in the last shard's pass: a pass of its own would keep a second Python worker beside each.
+    """
     sc = docs.sparkSession.sparkContext
+    more_fields = [(cut, docs.schema[text].dataType.simpleString())] if cut else []
     rows = items.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text")).dropna()
     size = F.length("text") - F.length(F.regexp_replace("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", "")) + 1
     total = rows.agg(F.sum(size)).first()[0] or 0   # separators + 1: at least the words
@@ -187,22 +192,27 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, text: str = "text", item_i
     for k in range(shards):
         part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(shards)) == k).distinct().orderBy("id", "text").collect()
         automaton = sc.broadcast(Automaton([(r.id, words_of(r.text)) for r in part], window))
+        last = more_fields if k == shards - 1 else []
         if k == 0:
-            out = with_arrow(docs, [text], HITS, lambda t, a=automaton: _judge(a, t))
+            def first(t, a=automaton, last=last):
+                got = _judge(a, t)
+                return (*got, _cut(t, got[3])) if last else got
+            out = with_arrow(docs, [text], HITS + last, first)
         else:
-            def more(t, ids, spans, a=automaton):
+            def more(t, ids, spans, a=automaton, last=last):
                 n_words, n_hit, new_ids, new_spans = _judge(a, t)
                 ids = [sorted({*x, *y}) for x, y in zip(ids.to_pylist(), new_ids)]
                 both = [_merged([(s["start"], s["end"]) for s in x + y]) for x, y in zip(spans.to_pylist(), new_spans)]
-                return (n_words, [sum(b - c for c, b in x) for x in both], ids,
-                        [[{"start": c, "end": b} for c, b in x] for x in both])
-            out = with_arrow(out, [text, "items", "hit_spans"], HITS, more)
+                hits = [[{"start": c, "end": b} for c, b in x] for x in both]
+                got = n_words, [sum(b - c for c, b in x) for x in both], ids, hits
+                return (*got, _cut(t, hits)) if last else got
+            out = with_arrow(out, [text, "items", "hit_spans"], HITS + last, more)
     return out
 
 
 def _cut(texts, spans):
     out = []
-    for text, hit in zip(texts.to_pylist(), spans.to_pylist()):
+    for text, hit in zip(texts.to_pylist(), spans):
         if hit:
             raw = text.encode()
             at = [m.span() for m in _WORD.finditer(raw.translate(_TABLE))]
@@ -212,14 +222,13 @@ def _cut(texts, spans):
                 last = at[s["end"] - 1][1]
             text = (b"".join(kept) + raw[last:]).decode()
         out.append(text)
-    return (out,)
+    return out
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", max_coverage: float = MAX_COVERAGE, **how) -> DataFrame:
     """The documents' own columns: hit spans cut from the text, documents hit beyond ``max_coverage`` left out."""
     apart, give_back = set_aside(docs, (text,))
-    hits = benchmark_hits(apart, items, text, **how).where(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words"))
-    kept = with_arrow(hits, [text, "hit_spans"], [("__text", docs.schema[text].dataType.simpleString())], _cut)
+    kept = benchmark_hits(apart, items, text, cut="__text", **how).where(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words"))
     return give_back(kept.drop(text).withColumnRenamed("__text", text))
 
 

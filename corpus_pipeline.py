@@ -37,8 +37,7 @@ def _with_text(docs: DataFrame, text: str, changed) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated and nearly repeated lines go."""
-    empty_workers(spark)
+    """Repeated and nearly repeated lines go. No Python runs here: toxicity's workers have emptied themselves."""
     apart, give_back = set_aside(docs, ("doc_id", "text", "n_chars"))
     done = dedup_lines(apart, exact_chars=EXACT_CHARS).where("n_removed = 0 or length(deduped) > 0")
     return give_back(_with_text(done, "deduped", F.col("n_removed") > 0))
