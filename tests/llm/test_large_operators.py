@@ -348,6 +348,50 @@ def test_suffix_ranks_against_sorting(spark):
     assert all((key[a] == key[b]) or got[a] < got[b] for a, b in zip(ordered, ordered[1:]))
 
 
+def test_suffix_ranks_share_names_with_their_neighbours(spark):
+    r = random.Random(10)
+    runs = {d: [r.choice([3, 5]) for _ in range(r.randint(1, 60))] for d in range(20)} | {20: [4] * 50, 21: [4] * 50}
+    gap = {(d, i) for d in (3, 4, 20) for i in (7, 30)}
+    rows = [(d, -d, 0, i, v) for d, x in runs.items() for i, v in enumerate(x) if (d, i) not in gap]
+    df = spark.createDataFrame(rows, "h1 long, h2 long, path long, pos long, name long").repartition(7)
+    got = sorted(suffix.suffix_ranks(df).collect(), key=lambda q: q["rank"])
+    assert [q["rank"] for q in got] == list(range(1, len(rows) + 1))
+
+    def names(q):
+        end = min([len(runs[q.h1])] + [i for d, i in gap if d == q.h1 and i > q.pos])
+        return runs[q.h1][q.pos:end][:3 ** suffix.LEVELS]
+
+    def shared(x, y):
+        return next((i for i, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+
+    pairs = [shared(names(a), names(b)) for a, b in zip(got, got[1:])]
+    assert [q.before for q in got] == [0, *pairs] and [q.after for q in got] == [*pairs, 0]
+
+
+def test_few_cuts_against_counting():
+    r = np.random.default_rng(3)
+    cut = [np.sort(r.choice(1500, k, replace=False)) for k in (0, 1, 2, 3, 5, 9, 20)] + [np.array([], int)]
+    sizes = np.array([1500] * 7 + [399])
+    want = set()
+    for d, (c, size) in enumerate(zip(cut, sizes)):
+        a, b = suffix.window_cuts(c, size, 400)
+        want |= {(d, p) for p in np.flatnonzero(b - a < 1).tolist()}
+    assert {(d, p) for d, x, y in suffix.few_cuts(cut, sizes, 400) for p in range(x, y)} == want
+
+
+def test_suffix_dedup_sorts_once(spark, monkeypatch):
+    """Each written table is a pass over the phrases or the windows; a sort by levels of triples wrote twenty."""
+    r = random.Random(11)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    shared, labels, staged = text(900), [], suffix.staged
+    monkeypatch.setattr(suffix, "staged", lambda df, label: (labels.append(label), staged(df, label))[1])
+    docs = [(i, text(300) + shared + text(300)) for i in range(6)]
+    rows = suffix.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    # the bytes beside the passage may agree by chance
+    assert all(900 <= q.n_removed < 920 and q.n_spans == 1 for q in rows)
+    assert len(labels) <= 7
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert suffix.remove_repeats(df).count() == 0
